@@ -2,6 +2,259 @@
 
 from __future__ import annotations
 
+from fieldlake.functions.parse import FLOAT_PATTERN, INT_PATTERN, WHITESPACE
+from fieldlake.registry_ops import (
+    ALL_DATES, BACKFILL_MONTHS, CALENDAR_AS_OF, CHANGED_AS_OF, CHANGED_DAYS, RUN_AT, WINDOW,
+)
+from fieldlake.sources.testdata import FIXTURES, TICKETS_WITHOUT_ITEMS, _office, cte, select_sql
+
+# -- parse rules in SQL ------------------------------------------------------
+
+TS_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+
+
+def strip(x: str) -> str:
+    return f"trim(COALESCE({x}, ''), '{WHITESPACE}')"
+
+
+def to_int(x: str, default: str | None = None) -> str:
+    v = f"CASE WHEN regexp_matches({x}, '{INT_PATTERN}') THEN TRY_CAST(trim({x}, ' \t') AS BIGINT) END"
+    return v if default is None else f"COALESCE({v}, {default})"
+
+
+def to_float(x: str, default: str | None = None) -> str:
+    v = f"CASE WHEN regexp_matches({x}, '{FLOAT_PATTERN}') THEN TRY_CAST(trim({x}, ' \t') AS DOUBLE) END"
+    return v if default is None else f"COALESCE({v}, CAST({default} AS DOUBLE))"
+
+
+def to_date(x: str) -> str:
+    return f"CASE WHEN NOT starts_with({x}, '0000') THEN TRY_CAST(substr({x}, 1, 10) AS DATE) END"
+
+
+def to_ts(x: str) -> str:
+    return f"CASE WHEN NOT starts_with({x}, '0000') THEN TRY_CAST(replace({x}, ' ', 'T') AS TIMESTAMP) END"
+
+
+def strict_ts(x: str) -> str:
+    s = f"substr({x}, 1, 19)"
+    return (f"CASE WHEN regexp_matches({s}, '{TS_PATTERN}') AND NOT starts_with({x}, '0000') "
+            f"THEN TRY_CAST(replace({s}, ' ', 'T') AS TIMESTAMP) END")
+
+
+def flag(x: str) -> str:
+    return f"COALESCE({x} = '1', FALSE)"
+
+
+def not_orphan(x: str) -> str:
+    return f"COALESCE({x}, '-1') <> '-1'"
+
+
+# -- conform SELECT lists ------------------------------------------------------
+
+INSPECTIONS = ("'Rodent Inspection', 'Pigeon Inspection', 'Bed Bug Inspection', "
+               "'Bed Bug Room Inspection', 'Pest Control Inspection'")
+
+SERVICE_TYPES_SQL = f"""SELECT {to_int('typeID', '0')} AS type_id, COALESCE(description, '') AS description,
+ {to_int('officeID', '-1')} AS office_id, {flag('reservice')} AS reservice, {flag('initial')} AS initial,
+ {flag('regularService')} AS regular_service, {to_int('frequency', '-1')} AS frequency,
+ {to_int('billingFrequency', '-1')} AS billing_frequency, {to_float('defaultCharge', '0')} AS default_charge,
+ COALESCE(category, '') AS category, COALESCE(description, '') IN ({INSPECTIONS}) AS is_inspection
+FROM raw_service_types"""
+
+EMPLOYEES_SQL = f"""SELECT {to_int('employeeID', '0')} AS employee_id, {strip('fname')} AS first_name,
+ {strip('lname')} AS last_name, {strip('nickname')} AS nickname, {strip('initials')} AS initials,
+ {to_int('officeID', '-1')} AS office_id, {to_int('type', '0')} AS emp_type, {flag('active')} AS active,
+ {strip('email')} AS email FROM raw_employees"""
+
+PRODUCTS_SQL = f"""SELECT {to_int('productID', '0')} AS product_id, {strip('description')} AS description,
+ {strip('code')} AS code, {strip('category')} AS category, {to_float('amount', '0')} AS unit_cost,
+ {to_int('officeID', '-1')} AS office_id, {flag('taxable')} AS taxable FROM raw_products"""
+
+CUSTOMER_COLS = f"""{to_int('customerID', '0')} AS customer_id, {strip('fname')} AS first_name,
+ {strip('lname')} AS last_name, {strip('companyName')} AS company_name, lower({strip('email')}) AS email,
+ {strip('phone1')} AS phone1, {strip('address')} AS address, {strip('city')} AS city, {strip('state')} AS state,
+ {strip('zip')} AS zip, {to_int('officeID', '-1')} AS office_id, {flag('active')} AS active,
+ {flag('commercialAccount')} AS commercial_account, {to_date('dateAdded')} AS date_added,
+ {to_date('dateCancelled')} AS date_cancelled, {strip('source')} AS source,
+ {to_int('billToAccountID', '0')} AS bill_to_account_id,
+ lower({strip("COALESCE(aPay, 'No')")}) = 'yes' AS auto_pay"""
+
+SUBSCRIPTION_COLS = f"""{to_int('subscriptionID', '0')} AS subscription_id, {to_int('customerID', '0')} AS customer_id,
+ {to_int('officeID', '-1')} AS office_id, {to_int('serviceID', '0')} AS service_type_id,
+ {strip('serviceType')} AS service_type, {to_float('recurringCharge', '0')} AS recurring_charge,
+ {to_float('initialCharge', '0')} AS initial_charge,
+ CASE WHEN upper({strip('frequency')}) = 'CUSTOM' THEN -2 ELSE {to_int('frequency', '0')} END AS frequency,
+ {to_date('nextService')} AS next_service, {to_date('lastService')} AS last_service,
+ {to_date('dateAdded')} AS date_added, {to_date('dateCancelled')} AS date_cancelled,
+ {flag('active')} AS active"""
+
+_MIN = f"((epoch({strict_ts('timeOut')}) - epoch({strict_ts('timeIn')})) / 60.0)"
+
+APPOINTMENT_COLS = f"""{to_int('appointmentID', '0')} AS appointment_id, {to_int('customerID')} AS customer_id,
+ {to_int('subscriptionID')} AS subscription_id, {to_int('ticketID')} AS ticket_id,
+ {to_int('officeID')} AS office_id, {to_int('routeID')} AS route_id, {to_int('sequence')} AS sequence,
+ {to_int('assignedTech')} AS assigned_tech_id, rt.route_tech_id, {to_int('servicedBy')} AS serviced_by_id,
+ NULLIF(regexp_replace(additionalTechs, '[\\[\\]" ]', '', 'g'), '') AS additional_tech_ids,
+ {to_int('type')} AS service_type_id, {to_date('date')} AS scheduled_date,
+ {to_ts('dateCompleted')} AS date_completed, {to_ts('timeIn')} AS time_in, {to_ts('timeOut')} AS time_out,
+ {to_int('duration')} AS duration_scheduled_min,
+ CASE WHEN {_MIN} > 0 AND {_MIN} < 600 THEN round({_MIN}, 2) END AS duration_actual_min,
+ {to_int('status')} AS status, {strip('statusText')} AS status_text, {flag('isInitial')} AS is_initial,
+ {to_float('productionValue')} AS production_value, {to_float('amountCollected')} AS amount_collected,
+ {to_int('reserviceReasonID')} AS reservice_reason_id, {to_float('latIn')} AS lat_in,
+ {to_float('longIn')} AS lng_in, {to_float('temperature')} AS temperature, {to_float('windSpeed')} AS wind_speed,
+ {strip('windDirection')} AS wind_direction, {to_ts('dateAdded')} AS date_added,
+ {to_ts('dateUpdated')} AS date_updated"""
+
+TICKET_COLS = f"""{to_int('ticketID', '0')} AS ticket_id, {to_int('appointmentID', '0')} AS appointment_id,
+ {to_int('customerID', '0')} AS customer_id, {to_int('subscriptionID', '0')} AS subscription_id,
+ {to_int('officeID', '-1')} AS office_id, {to_int('serviceID', '0')} AS service_id,
+ {to_date('invoiceDate')} AS invoice_date, {to_ts('dateCreated')} AS date_created,
+ {to_ts('dateUpdated')} AS date_updated, {to_float('subTotal', '0')} AS subtotal,
+ {to_float('taxAmount', '0')} AS tax_amount, {to_float('total', '0')} AS total,
+ {to_float('balance', '0')} AS balance, {to_float('productionValue', '0')} AS production_value,
+ {flag('active')} AS active"""
+
+
+def route_tech_sql(start: str, end: str, office: int | None) -> str:
+    of = f" AND {to_int('officeID')} = {office}" if office is not None else ""
+    return f"""SELECT {to_int('routeID')} AS route_id, max({to_int('assignedTech')}) AS route_tech_id
+FROM raw_routes WHERE {to_int('routeID')} IS NOT NULL AND COALESCE({to_int('assignedTech')} <> 0, FALSE)
+ AND {to_date('date')} BETWEEN DATE '{start}' AND DATE '{end}'{of}
+GROUP BY 1"""
+
+
+def conformed_appointments_ctes() -> str:
+    return (cte("raw_appointments", "raw_routes")
+            + f", rt AS ({route_tech_sql(ALL_DATES[0], ALL_DATES[1], None)}),\n"
+            + f"conf_appts AS (SELECT {APPOINTMENT_COLS} FROM raw_appointments "
+            + f"LEFT JOIN rt ON {to_int('routeID')} = rt.route_id WHERE {not_orphan('officeID')})\n")
+
+
+def _items_sql() -> str:
+    fx = FIXTURES["raw_items"]
+    cols = {c: f"CAST({e} AS {t})" for c, e, t in fx.columns}
+    ticket = f"CAST(CASE WHEN o_orderkey % 211 = 0 THEN '' ELSE CAST(o_orderkey + 1 AS STRING) END AS STRING)"
+    office = f"CAST(CASE WHEN o_orderkey % 97 = 0 THEN '-1' ELSE CAST({_office('o_custkey')} AS STRING) END AS STRING)"
+    return f"""SELECT {to_int(cols['itemID'], '0')} AS item_id, {to_int(ticket, '0')} AS ticket_id,
+ {to_int(office, '-1')} AS office_id, {strip(cols['description'])} AS description,
+ {to_float(cols['quantity'], '0')} AS quantity, {to_float(cols['amount'], '0')} AS amount,
+ {to_int(cols['productID'], '0')} AS product_id, {to_int(cols['serviceID'], '0')} AS service_id,
+ {flag(cols['taxable'])} AS taxable
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+WHERE NOT ({TICKETS_WITHOUT_ITEMS}) AND {not_orphan(office)}"""
+
+
+def _conform() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["conform_service_types"] = cte("raw_service_types") + SERVICE_TYPES_SQL
+    q["conform_employees"] = cte("raw_employees") + EMPLOYEES_SQL
+    q["conform_products"] = cte("raw_products") + PRODUCTS_SQL
+    q["conform_customers"] = cte("raw_customers") + (
+        f"SELECT {CUSTOMER_COLS} FROM raw_customers WHERE {not_orphan('officeID')} AND {not_orphan('customerID')}")
+    q["conform_subscriptions"] = cte("raw_subscriptions") + (
+        f"SELECT {SUBSCRIPTION_COLS} FROM raw_subscriptions "
+        f"WHERE {not_orphan('officeID')} AND {not_orphan('customerID')}")
+    q["conform_appointments"] = conformed_appointments_ctes() + "SELECT * FROM conf_appts"
+    q["conform_tickets"] = cte("raw_tickets") + (
+        f"SELECT {TICKET_COLS} FROM raw_tickets WHERE {not_orphan('officeID')}")
+    q["ticket_items"] = _items_sql()
+    q["real_records"] = cte("raw_subscriptions") + (
+        f"SELECT * FROM raw_subscriptions WHERE {not_orphan('officeID')} AND {not_orphan('customerID')}")
+    q["real_appointments"] = cte("raw_appointments") + (
+        f"SELECT appointmentID, officeID, customerID FROM raw_appointments WHERE {not_orphan('officeID')}")
+    return q
+
+
+def _load() -> dict[str, str]:
+    q: dict[str, str] = {}
+    office, start, end = WINDOW
+    in_win = (f"COALESCE(office_id = {office} AND scheduled_date BETWEEN DATE '{start}' AND DATE '{end}', FALSE)")
+    fa_cols = ", ".join(c for c, _, _ in FIXTURES["fact_appointments"].columns)
+    incoming = (f"incoming AS (SELECT * REPLACE (CASE WHEN appointment_id % 7 = 0 THEN CAST(-1 AS BIGINT) "
+                f"ELSE status END AS status) FROM fact_appointments WHERE office_id = {office} "
+                f"AND scheduled_date BETWEEN DATE '{start}' AND DATE '{end}' AND appointment_id % 10 <> 0)")
+    q["replace_window"] = cte("fact_appointments") + f""", {incoming}
+SELECT {fa_cols} FROM fact_appointments a WHERE NOT {in_win}
+  AND NOT EXISTS (SELECT 1 FROM incoming i WHERE i.office_id = a.office_id AND i.appointment_id = a.appointment_id)
+UNION ALL SELECT {fa_cols} FROM incoming"""
+    q["vanished_ids"] = cte("fact_appointments") + f""", {incoming}
+SELECT DISTINCT appointment_id FROM fact_appointments WHERE {in_win}
+  AND appointment_id NOT IN (SELECT appointment_id FROM incoming)"""
+    tickets_in_win = (f"SELECT DISTINCT ticket_id FROM fact_appointments WHERE {in_win} AND ticket_id > 0")
+    q["window_ticket_ids"] = cte("fact_appointments") + tickets_in_win
+    fi_cols = ", ".join(c for c, _, _ in FIXTURES["fact_ticket_items"].columns)
+    q["replace_children"] = cte("fact_appointments", "fact_ticket_items") + f""", parents AS ({tickets_in_win})
+SELECT {fi_cols} FROM fact_ticket_items WHERE ticket_id NOT IN (SELECT ticket_id FROM parents)
+UNION ALL
+SELECT * REPLACE (quantity + 1 AS quantity) FROM fact_ticket_items
+WHERE ticket_id IN (SELECT ticket_id FROM parents) AND item_id % 10 <> 1"""
+    dc_cols = ", ".join(c for c, _, _ in FIXTURES["dim_customers"].columns)
+    changed = (f"{to_ts('dateUpdated')} >= TIMESTAMP '{CHANGED_AS_OF}' - INTERVAL {CHANGED_DAYS} DAY")
+    q["replace_by_id"] = cte("dim_customers", "raw_customers") + f""", incoming AS (
+  SELECT {dc_cols} FROM (SELECT {CUSTOMER_COLS} FROM raw_customers
+  WHERE {changed} AND {not_orphan('officeID')} AND {not_orphan('customerID')}))
+SELECT {dc_cols} FROM dim_customers WHERE customer_id NOT IN (SELECT customer_id FROM incoming)
+UNION ALL SELECT * FROM incoming"""
+    q["route_tech"] = cte("raw_routes") + route_tech_sql(start, end, office)
+    q["best_tech"] = cte("fact_appointments") + (
+        "SELECT appointment_id, assigned_tech_id, route_tech_id, "
+        "COALESCE(NULLIF(assigned_tech_id, 0), route_tech_id) AS best_tech_id FROM fact_appointments")
+    q["changed_since"] = cte("raw_customers") + f"SELECT customerID, dateUpdated FROM raw_customers WHERE {changed}"
+    m = "CAST(date_trunc('month', scheduled_date) AS DATE)"
+    q["backfill_month"] = conformed_appointments_ctes().replace("WITH ", "WITH ", 1) + f""", fa AS (
+  {select_sql('fact_appointments')}),
+inc AS (SELECT {fa_cols} FROM conf_appts),
+parts AS (SELECT DISTINCT office_id, {m} AS month FROM inc
+  WHERE scheduled_date IS NOT NULL AND {m} BETWEEN DATE '{BACKFILL_MONTHS[0]}' AND DATE '{BACKFILL_MONTHS[1]}')
+SELECT {fa_cols} FROM fa WHERE NOT EXISTS (SELECT 1 FROM parts p WHERE p.office_id = fa.office_id AND p.month = {m})
+UNION ALL
+SELECT {fa_cols} FROM inc WHERE EXISTS (SELECT 1 FROM parts p WHERE p.office_id = inc.office_id AND p.month = {m})"""
+    win = f"BETWEEN DATE '{start}' AND DATE '{end}'"
+    q["sync_summary"] = cte("fact_appointments", "fact_tickets", "fact_ticket_items", "dim_customers",
+                            "dim_subscriptions") + f""",
+a AS (SELECT office_id FROM fact_appointments WHERE scheduled_date {win}),
+t AS (SELECT office_id, ticket_id FROM fact_tickets WHERE invoice_date {win}),
+i AS (SELECT office_id FROM fact_ticket_items WHERE ticket_id IN (SELECT ticket_id FROM t)),
+c AS (SELECT office_id FROM dim_customers WHERE date_added {win}),
+s AS (SELECT office_id FROM dim_subscriptions WHERE date_added {win}),
+o AS (SELECT DISTINCT office_id FROM a WHERE office_id IN (1, 2)),
+n AS (SELECT o.office_id,
+  (SELECT COUNT(*) FROM a WHERE a.office_id = o.office_id) AS na,
+  (SELECT COUNT(*) FROM t WHERE t.office_id = o.office_id) AS nt,
+  (SELECT COUNT(*) FROM i WHERE i.office_id = o.office_id) AS ni,
+  (SELECT COUNT(*) FROM c WHERE c.office_id = o.office_id) AS nc,
+  (SELECT COUNT(*) FROM s WHERE s.office_id = o.office_id) AS ns FROM o)
+SELECT TIMESTAMP '{RUN_AT}' AS run_at, office_id,
+  CASE WHEN office_id = 1 THEN 'Residential' ELSE 'Commercial' END AS office_name,
+  CASE WHEN office_id = 2 THEN 'error' ELSE 'success' END AS status,
+  CASE WHEN office_id = 2 THEN 'route search failed' END AS error_message,
+  CAST(2 AS BIGINT) AS lookback_days,
+  CAST(CASE WHEN office_id = 2 THEN 0 ELSE na END AS BIGINT) AS appointments_synced,
+  CAST(CASE WHEN office_id = 2 THEN 0 ELSE nt END AS BIGINT) AS tickets_synced,
+  CAST(CASE WHEN office_id = 2 THEN 0 ELSE ni END AS BIGINT) AS ticket_items_synced,
+  CAST(CASE WHEN office_id = 2 THEN 0 ELSE nc END AS BIGINT) AS customers_synced,
+  CAST(CASE WHEN office_id = 2 THEN 0 ELSE ns END AS BIGINT) AS subscriptions_synced
+FROM n"""
+    y5 = f"make_date(year(DATE '{CALENDAR_AS_OF}') - 5, month(DATE '{CALENDAR_AS_OF}'), 1)"
+    q["backfill_progress"] = cte("fact_appointments") + f""",
+cal AS (SELECT CAST(m AS DATE) AS month_start, o AS office_id
+  FROM unnest(generate_series(CAST({y5} AS TIMESTAMP),
+       CAST(date_trunc('month', DATE '{CALENDAR_AS_OF}') AS TIMESTAMP), INTERVAL 1 MONTH)) AS g(m),
+       (VALUES (1), (2)) AS offs(o)),
+done AS (SELECT DISTINCT office_id, {m} AS month_start FROM fact_appointments WHERE scheduled_date IS NOT NULL),
+j AS (SELECT cal.*, d.office_id IS NOT NULL AS is_done FROM cal LEFT JOIN done d
+  ON d.office_id = cal.office_id AND d.month_start = cal.month_start),
+g AS (SELECT COUNT(*) AS total_slots, CAST(COUNT_IF(is_done) AS BIGINT) AS done_slots,
+  min(month_start) AS first_month, max(month_start) AS last_month FROM j)
+SELECT first_month, last_month, done_slots, total_slots,
+  CAST((2 * done_slots * 100 + total_slots) // (2 * total_slots) AS BIGINT) AS pct_done,
+  total_slots - done_slots AS remaining_slots, (total_slots - done_slots) * 2 AS est_minutes FROM g"""
+    return q
+
 
 def oracles() -> dict[str, str]:
-    return {}
+    out: dict[str, str] = {}
+    out.update(_conform())
+    out.update(_load())
+    return out

@@ -2,6 +2,122 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fieldlake.operators import conform as C
+from fieldlake.operators import load as L
+from fieldlake.sources.testdata import load
+
+RUN_AT = "2000-01-03 06:00:00"
+WINDOW = (1, "1999-12-01", "1999-12-31")        # office, start, end of the sync window
+ALL_DATES = ("1990-01-01", "2010-12-31")
+CHANGED_AS_OF, CHANGED_DAYS = "1999-12-31 00:00:00", 7
+BACKFILL_MONTHS = ("1998-01-01", "1998-03-01")
+CALENDAR_AS_OF = "1999-12-15"
+
+
+def _no_stamp(df: DataFrame) -> DataFrame:
+    return df.drop("loaded_at")
+
+
+def conformed_appointments(s: SparkSession, sf: str) -> DataFrame:
+    rt = L.route_tech(load(s, sf, "raw_routes"), *ALL_DATES)
+    return C.conform_appointments(C.real_office(load(s, sf, "raw_appointments")), RUN_AT, rt)
+
+
+def window_incoming(s: SparkSession, sf: str) -> DataFrame:
+    """The window's re-fetched appointments: a tenth vanished from the
+    search, a seventh now cancelled."""
+    office, start, end = WINDOW
+    a = load(s, sf, "fact_appointments")
+    w = a.filter((F.col("office_id") == office) & F.col("scheduled_date").between(start, end)
+                 & (F.col("appointment_id") % 10 != 0))
+    return w.withColumn("status", F.when(F.col("appointment_id") % 7 == 0, F.lit(-1).cast("long"))
+                        .otherwise(F.col("status")))
+
+
+def _conform_queries() -> dict:
+    q = {}
+    q["conform_service_types"] = lambda s, sf: _no_stamp(C.conform_service_types(
+        load(s, sf, "raw_service_types"), RUN_AT))
+    q["conform_employees"] = lambda s, sf: _no_stamp(C.conform_employees(load(s, sf, "raw_employees"), RUN_AT))
+    q["conform_products"] = lambda s, sf: _no_stamp(C.conform_products(load(s, sf, "raw_products"), RUN_AT))
+    q["conform_customers"] = lambda s, sf: _no_stamp(C.conform_customers(
+        C.real_records(load(s, sf, "raw_customers")), RUN_AT))
+    q["conform_subscriptions"] = lambda s, sf: _no_stamp(C.conform_subscriptions(
+        C.real_records(load(s, sf, "raw_subscriptions")), RUN_AT))
+    q["conform_appointments"] = lambda s, sf: _no_stamp(conformed_appointments(s, sf))
+    q["conform_tickets"] = lambda s, sf: _no_stamp(C.conform_tickets(
+        C.real_office(load(s, sf, "raw_tickets")), RUN_AT))
+    q["ticket_items"] = lambda s, sf: _no_stamp(C.explode_ticket_items(
+        C.real_office(load(s, sf, "raw_tickets_nested")), RUN_AT))
+    q["real_records"] = lambda s, sf: C.real_records(load(s, sf, "raw_subscriptions"))
+    q["real_appointments"] = lambda s, sf: C.real_office(load(s, sf, "raw_appointments")).select(
+        "appointmentID", "officeID", "customerID")
+    return q
+
+
+def _load_queries() -> dict:
+    q = {}
+    office, start, end = WINDOW
+    q["replace_window"] = lambda s, sf: L.replace_window(
+        load(s, sf, "fact_appointments"), window_incoming(s, sf), office, start, end,
+        keys=["office_id", "appointment_id"])
+    q["vanished_ids"] = lambda s, sf: L.vanished_ids(
+        load(s, sf, "fact_appointments"), window_incoming(s, sf), office, start, end)
+    q["window_ticket_ids"] = lambda s, sf: L.window_ticket_ids(load(s, sf, "fact_appointments"), office, start, end)
+
+    def _replace_children(s, sf):
+        items = load(s, sf, "fact_ticket_items")
+        parents = L.window_ticket_ids(load(s, sf, "fact_appointments"), office, start, end)
+        new = (items.join(parents, ["ticket_id"], "left_semi").filter(F.col("item_id") % 10 != 1)
+               .withColumn("quantity", F.col("quantity") + 1))
+        return L.replace_children(items, new, parents)
+    q["replace_children"] = _replace_children
+
+    def _replace_by_id(s, sf):
+        existing = load(s, sf, "dim_customers")
+        raw = L.changed_since(load(s, sf, "raw_customers"), CHANGED_AS_OF, CHANGED_DAYS)
+        incoming = C.conform_customers(C.real_records(raw), RUN_AT).select(*existing.columns)
+        return L.replace_by_id(existing, incoming, ["customer_id"])
+    q["replace_by_id"] = _replace_by_id
+
+    q["route_tech"] = lambda s, sf: L.route_tech(load(s, sf, "raw_routes"), start, end, office=office)
+    q["best_tech"] = lambda s, sf: L.best_tech(load(s, sf, "fact_appointments")).select(
+        "appointment_id", "assigned_tech_id", "route_tech_id", "best_tech_id")
+    q["changed_since"] = lambda s, sf: L.changed_since(
+        load(s, sf, "raw_customers"), CHANGED_AS_OF, CHANGED_DAYS).select("customerID", "dateUpdated")
+
+    def _backfill(s, sf):
+        existing = load(s, sf, "fact_appointments")
+        incoming = conformed_appointments(s, sf).select(*existing.columns)
+        parts = (L.loaded_months(incoming).withColumnRenamed("month_start", "month")
+                 .filter(F.col("month").between(*BACKFILL_MONTHS)))
+        return L.backfill(existing, incoming, parts)
+    q["backfill_month"] = _backfill
+
+    def _sync_summary(s, sf):
+        a = load(s, sf, "fact_appointments").filter(F.col("scheduled_date").between(start, end))
+        t = load(s, sf, "fact_tickets").filter(F.col("invoice_date").between(start, end))
+        items = load(s, sf, "fact_ticket_items").join(t.select("ticket_id"), ["ticket_id"], "left_semi")
+        c = load(s, sf, "dim_customers").filter(F.col("date_added").between(start, end))
+        sub = load(s, sf, "dim_subscriptions").filter(F.col("date_added").between(start, end))
+        offices = a.select("office_id").filter(F.col("office_id").isin(1, 2)).distinct()
+        errors = offices.filter(F.col("office_id") == 2).select(
+            "office_id", F.lit("route search failed").alias("error_message"))
+        loaded = {"appointments": a, "tickets": t, "ticket_items": items, "customers": c,
+                  "subscriptions": sub}
+        return L.sync_summary(loaded, RUN_AT, 2, offices, errors)
+    q["sync_summary"] = _sync_summary
+
+    q["backfill_progress"] = lambda s, sf: L.backfill_progress(
+        L.backfill_calendar(s, CALENDAR_AS_OF), L.loaded_months(load(s, sf, "fact_appointments")))
+    return q
+
 
 def queries() -> dict:
-    return {}
+    out = {}
+    out.update(_conform_queries())
+    out.update(_load_queries())
+    return out

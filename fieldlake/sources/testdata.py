@@ -221,10 +221,146 @@ CRM_CONTACTS = Fixture("crm_contacts", "customer", (
     ("tags", "'vip,fr_inactive,svc_pest,fr_office1'", "STRING"),
 ), where="c_custkey % 3 = 0")
 
+def _dec2(x: str) -> str:
+    return _s(f"CAST({x} AS DECIMAL(12,2))")
+
+
+_ODATE = _s("CAST(o_orderdate AS DATE)")
+
+RAW_SERVICE_TYPES = Fixture("raw_service_types", "nation", (
+    ("typeID", _s("n_nationkey + 1"), "STRING"),
+    ("description", "CASE n_nationkey WHEN 0 THEN 'Rodent Inspection' "
+                    "WHEN 1 THEN 'Pigeon Inspection' WHEN 2 THEN 'Bed Bug Inspection' "
+                    "WHEN 3 THEN 'Bed Bug Room Inspection' WHEN 4 THEN 'Pest Control Inspection' "
+                    "WHEN 22 THEN 'Rodent Inspection ' ELSE 'Service ' || n_name END", "STRING"),
+    ("officeID", "CASE WHEN n_nationkey % 2 = 0 THEN '1' ELSE '2' END", "STRING"),
+    ("reservice", "CASE WHEN n_nationkey % 7 = 6 THEN '1' ELSE '0' END", "STRING"),
+    ("initial", "CASE WHEN n_nationkey % 4 = 0 THEN '1' WHEN n_nationkey % 4 = 1 THEN 'true' ELSE '0' END",
+     "STRING"),
+    ("regularService", "CASE WHEN n_nationkey % 3 <> 0 THEN '1' ELSE '0' END", "STRING"),
+    ("frequency", "CASE n_nationkey % 5 WHEN 0 THEN '' WHEN 1 THEN 'x' ELSE " + _s("n_nationkey * 10")
+     + " END", "STRING"),
+    ("billingFrequency", "CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE ' 30 ' END", "STRING"),
+    ("defaultCharge", "CASE n_nationkey % 4 WHEN 1 THEN '' WHEN 2 THEN '1d' ELSE "
+     + _s("n_nationkey") + " || '.5' END", "STRING"),
+    ("category", "CASE WHEN n_nationkey % 2 = 0 THEN ' GENERAL ' END", "STRING"),
+), copies=(None, "n_nationkey % 2 = 0"))
+
+RAW_EMPLOYEES = Fixture("raw_employees", "supplier", (
+    ("employeeID", "CASE WHEN s_suppkey % 17 = 16 THEN 'x' ELSE " + _s("s_suppkey + 1") + " END", "STRING"),
+    ("fname", "CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE ' Tech ' END", "STRING"),
+    ("lname", "s_name || '\t'", "STRING"),
+    ("nickname", "''", "STRING"),
+    ("initials", "CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE 'T' || " + _s("s_suppkey") + " END", "STRING"),
+    ("officeID", _s(_office("s_suppkey")), "STRING"),
+    ("type", "CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE '2' END", "STRING"),
+    ("active", "CASE WHEN s_suppkey % 6 = 0 THEN '0' ELSE '1' END", "STRING"),
+    ("email", "' T' || " + _s("s_suppkey") + " || '@Firm.com'", "STRING"),
+))
+
+RAW_PRODUCTS = Fixture("raw_products", "part", (
+    ("productID", _s("p_partkey + 1"), "STRING"),
+    ("description", "' ' || p_name", "STRING"),
+    ("code", "p_brand", "STRING"),
+    ("category", "CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE p_type END", "STRING"),
+    ("amount", "CASE WHEN p_partkey % 10 = 0 THEN 'n/a' ELSE " + _dec2("p_retailprice") + " END", "STRING"),
+    ("officeID", "CASE WHEN p_partkey % 8 = 0 THEN '' ELSE '1' END", "STRING"),
+    ("taxable", "CASE WHEN p_partkey % 2 = 0 THEN '1' ELSE '0' END", "STRING"),
+))
+
+_STATUS = ("CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 ELSE "
+           "CASE WHEN o_orderkey % 4 = 0 THEN -1 WHEN o_orderkey % 4 = 1 THEN -2 ELSE 1 END END")
+
+RAW_APPOINTMENTS = Fixture("raw_appointments", "orders", (
+    ("appointmentID", _s("o_orderkey + 1"), "STRING"),
+    ("customerID", _s("o_custkey + 1"), "STRING"),
+    ("subscriptionID", "CASE WHEN o_orderkey % 3 = 0 THEN " + _s("o_orderkey + 1") + " ELSE '' END", "STRING"),
+    ("ticketID", "CASE WHEN o_orderkey % 31 = 0 THEN '0' ELSE " + _s("o_orderkey + 1") + " END", "STRING"),
+    ("officeID", "CASE WHEN o_orderkey % 97 = 0 THEN '-1' ELSE " + _s(_office("o_custkey")) + " END", "STRING"),
+    ("routeID", _s("o_orderkey % 60 + 1"), "STRING"),
+    ("sequence", _s("o_orderkey % 12 + 1"), "STRING"),
+    ("assignedTech", "CASE WHEN o_orderkey % 2 = 0 THEN '0' ELSE " + _s("o_orderkey % 40 + 1") + " END",
+     "STRING"),
+    ("servicedBy", "CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE " + _s("o_orderkey % 40 + 1") + " END",
+     "STRING"),
+    ("additionalTechs", "CASE o_orderkey % 4 WHEN 0 THEN '[3,4]' WHEN 1 THEN '[]' WHEN 2 THEN '7' END",
+     "STRING"),
+    ("type", _s("o_orderkey % 25 + 1"), "STRING"),
+    ("date", _ODATE, "STRING"),
+    ("dateCompleted", f"CASE WHEN o_orderstatus = 'F' THEN {_ODATE} || ' 17:00:00' "
+                      "ELSE '0000-00-00 00:00:00' END", "STRING"),
+    ("timeIn", f"CASE o_orderkey % 6 WHEN 0 THEN '0000-00-00 00:00:00' WHEN 5 THEN 'garbage' "
+               f"ELSE {_ODATE} || ' 08:00:00' END", "STRING"),
+    ("timeOut", f"CASE o_orderkey % 6 WHEN 1 THEN {_ODATE} || ' 07:30:00' "
+                f"WHEN 2 THEN {_ODATE} || ' 19:00:00' WHEN 3 THEN {_ODATE} || ' 08:45:30' "
+                f"WHEN 4 THEN {_ODATE} || ' 09:' || lpad({_s('o_orderkey % 60')}, 2, '0') || ':15' "
+                f"ELSE {_ODATE} || ' 09:00:00' END", "STRING"),
+    ("duration", _s("30 + (o_orderkey % 4) * 15"), "STRING"),
+    ("status", _s(_STATUS), "STRING"),
+    ("statusText", "CASE o_orderstatus WHEN 'F' THEN ' Completed ' ELSE 'Pending' END", "STRING"),
+    ("isInitial", "CASE WHEN o_orderkey % 9 = 0 THEN '1' ELSE '0' END", "STRING"),
+    ("productionValue", "CASE WHEN o_orderkey % 13 = 0 THEN '' ELSE " + _dec2("o_totalprice") + " END",
+     "STRING"),
+    ("amountCollected", "CASE WHEN o_orderstatus = 'F' THEN " + _dec2("o_totalprice") + " ELSE '0' END",
+     "STRING"),
+    ("reserviceReasonID", "CASE WHEN o_orderkey % 20 = 0 THEN '5' ELSE '' END", "STRING"),
+    ("latIn", "'36.17'", "STRING"),
+    ("longIn", "'-115.14'", "STRING"),
+    ("temperature", "CASE WHEN o_orderkey % 10 = 0 THEN 'n/a' ELSE '75.5' END", "STRING"),
+    ("windSpeed", "''", "STRING"),
+    ("windDirection", "' NW '", "STRING"),
+    ("dateAdded", _ODATE + " || ' 07:00:00'", "STRING"),
+    ("dateUpdated", _ODATE + " || ' 12:00:00'", "STRING"),
+))
+
+RAW_TICKETS = Fixture("raw_tickets", "orders", (
+    ("ticketID", "CASE WHEN o_orderkey % 211 = 0 THEN '' ELSE " + _s("o_orderkey + 1") + " END", "STRING"),
+    ("appointmentID", _s("o_orderkey + 1"), "STRING"),
+    ("customerID", _s("o_custkey + 1"), "STRING"),
+    ("subscriptionID", "''", "STRING"),
+    ("officeID", "CASE WHEN o_orderkey % 97 = 0 THEN '-1' ELSE " + _s(_office("o_custkey")) + " END", "STRING"),
+    ("serviceID", _s("o_orderkey % 25 + 1"), "STRING"),
+    ("invoiceDate", "CASE WHEN o_orderkey % 53 = 0 THEN '0000-00-00' ELSE " + _ODATE + " END", "STRING"),
+    ("dateCreated", _ODATE + " || ' 06:00:00'", "STRING"),
+    ("dateUpdated", _ODATE + " || ' 18:00:00'", "STRING"),
+    ("subTotal", _dec2("o_totalprice"), "STRING"),
+    ("taxAmount", "'0.00'", "STRING"),
+    ("total", "CASE WHEN o_orderkey % 17 = 0 THEN '' ELSE " + _dec2("o_totalprice") + " END", "STRING"),
+    ("balance", "CASE WHEN o_orderstatus = 'O' THEN " + _dec2("o_totalprice") +
+     " WHEN o_orderkey % 19 = 0 THEN '0.01' ELSE '0' END", "STRING"),
+    ("productionValue", "CASE WHEN o_orderkey % 13 = 0 THEN '-1' WHEN o_orderkey % 29 = 0 THEN '' ELSE "
+     + _dec2("o_totalprice") + " END", "STRING"),
+    ("active", "CASE WHEN o_orderkey % 23 = 0 THEN '0' ELSE '1' END", "STRING"),
+))
+
+# Line items of a raw ticket (one row per lineitem; nested into the ticket's
+# ``items`` array by ``load``). Tickets with o_orderkey % 10 = 9 carry no
+# ``items`` field at all.
+RAW_ITEMS = Fixture("raw_items", "lineitem", (
+    ("l_orderkey", "l_orderkey", "BIGINT"),
+    ("itemID", _s("l_orderkey * 10 + l_linenumber"), "STRING"),
+    ("description", "' ' || l_returnflag || ' item '", "STRING"),
+    ("quantity", _s("CAST(l_quantity AS BIGINT)"), "STRING"),
+    ("amount", _dec2("l_extendedprice"), "STRING"),
+    ("productID", "CASE WHEN l_linenumber = 7 THEN '' ELSE " + _s("l_partkey + 1") + " END", "STRING"),
+    ("serviceID", "''", "STRING"),
+    ("taxable", "CASE WHEN l_linenumber % 2 = 0 THEN '1' ELSE '0' END", "STRING"),
+))
+TICKETS_WITHOUT_ITEMS = "o_orderkey % 10 = 9"
+
+RAW_ROUTES = Fixture("raw_routes", "orders", (
+    ("routeID", _s("o_orderkey % 60 + 1"), "STRING"),
+    ("officeID", _s(_office("o_custkey")), "STRING"),
+    ("date", _ODATE, "STRING"),
+    ("assignedTech", "CASE WHEN (o_orderkey % 60 + 1) % 5 = 0 THEN '0' "
+                     "ELSE " + _s("(o_orderkey % 60 + 1) % 40 + 1") + " END", "STRING"),
+))
+
 FIXTURES: dict[str, Fixture] = {f.name: f for f in (
     DIM_CUSTOMERS, DIM_EMPLOYEES, DIM_SERVICE_TYPES, DIM_PRODUCTS, DIM_SUBSCRIPTIONS,
     FACT_APPOINTMENTS, FACT_TICKETS, FACT_TICKET_ITEMS,
-    RAW_SUBSCRIPTIONS, RAW_CUSTOMERS, CRM_CONTACTS,
+    RAW_SUBSCRIPTIONS, RAW_CUSTOMERS, CRM_CONTACTS, RAW_SERVICE_TYPES, RAW_EMPLOYEES,
+    RAW_PRODUCTS, RAW_APPOINTMENTS, RAW_TICKETS, RAW_ITEMS, RAW_ROUTES,
 )}
 
 # Dates used by the parameterised views (fixed values for the fixtures).
@@ -232,19 +368,39 @@ AS_OF_AGING = "2001-08-02"
 AS_OF_ROUTES = "1999-12-15"
 
 
+# Raw fixtures are padded to the entity's full landing schema: fields the
+# fixture does not set arrive as NULL, as from the JSON reader.
+RAW_ENTITY = {"raw_service_types": "serviceType", "raw_employees": "employee",
+              "raw_products": "product", "raw_customers": "customer",
+              "raw_subscriptions": "subscription", "raw_appointments": "appointment",
+              "raw_tickets": "ticket", "raw_routes": "route"}
+
+
+def _padded(fx: Fixture) -> tuple[tuple[str, str, str], ...]:
+    entity = RAW_ENTITY.get(fx.name)
+    if entity is None:
+        return fx.columns
+    from fieldlake.sources.schemas import RAW_FIELDS
+    have = {c for c, _, _ in fx.columns}
+    return fx.columns + tuple((f, "NULL", "STRING") for f in RAW_FIELDS[entity] if f not in have)
+
+
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Render fixture ``name`` from the driver tables under ``sf_dir``."""
+    if name == "raw_tickets_nested":
+        return _nested_tickets(spark, sf_dir)
     fx = FIXTURES[name]
     src = read_table(spark, sf_dir, fx.source)
+    columns = _padded(fx)
     if fx.join:
         src = src.join(read_table(spark, sf_dir, fx.join[0]), F.expr(fx.join[1]), "inner")
     if fx.where:
         src = src.filter(F.expr(fx.where))
-    cols = [F.expr(f"CAST({e} AS {t})").alias(c) for c, e, t in fx.columns]
+    cols = [F.expr(f"CAST({e} AS {t})").alias(c) for c, e, t in columns]
     parts = [(src if c is None else src.filter(F.expr(c))).select(cols) for c in fx.copies]
     out = parts[0]
     for p in parts[1:]:
@@ -252,10 +408,26 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return out
 
 
+def _nested_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """raw_tickets with an ``items`` array of all-string structs, the shape the
+    source API returns. Items are grouped per order (at most 7 lines each)."""
+    from fieldlake.sources.schemas import RAW_ITEM_FIELDS
+    items = (load(spark, sf_dir, "raw_items").groupBy("l_orderkey")
+             .agg(F.collect_list(F.struct(*RAW_ITEM_FIELDS)).alias("items")))
+    orders = read_table(spark, sf_dir, "orders")
+    fx = FIXTURES["raw_tickets"]
+    cols = [F.expr(f"CAST({e} AS {t})").alias(c) for c, e, t in _padded(fx)]
+    t = orders.select(F.col("o_orderkey"), F.expr(TICKETS_WITHOUT_ITEMS).alias("_no_items"), *cols)
+    t = t.join(items, t["o_orderkey"] == items["l_orderkey"], "left")
+    empty = F.array().cast(items.schema["items"].dataType)
+    return t.select(*[c for c, _, _ in _padded(fx)],
+                    F.when(~F.col("_no_items"), F.coalesce(F.col("items"), empty)).alias("items"))
+
+
 def select_sql(name: str) -> str:
     """The fixture as one SELECT statement (DuckDB / Spark SQL)."""
     fx = FIXTURES[name]
-    cols = ", ".join(f"CAST({e} AS {t}) AS {c}" for c, e, t in fx.columns)
+    cols = ", ".join(f"CAST({e} AS {t}) AS {c}" for c, e, t in _padded(fx))
     src = fx.source + (f" JOIN {fx.join[0]} ON {fx.join[1]}" if fx.join else "")
     parts = []
     for copy in fx.copies:
