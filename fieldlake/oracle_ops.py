@@ -253,8 +253,149 @@ SELECT first_month, last_month, done_slots, total_slots,
     return q
 
 
+# -- contacts ----------------------------------------------------------------------
+
+def e164(x: str) -> str:
+    d = f"regexp_replace(COALESCE({x}, ''), '[^0-9]', '', 'g')"
+    return (f"CASE WHEN length({d}) = 10 THEN '+1' || {d} "
+            f"WHEN length({d}) = 11 AND starts_with({d}, '1') THEN '+' || {d} END")
+
+
+PHONE = f"COALESCE({e164('phone1')}, {e164('phone2')})"
+EMAIL_DAILY = f"NULLIF(lower({strip('email')}), '')"
+EMAIL_IMPORT = f"NULLIF(lower({strip(f'regexp_split_to_array({strip(chr(101) + 'mail')}, {chr(39)}[;,]{chr(39)})[1]')}), '')"
+REAL = f"{not_orphan('officeID')} AND {not_orphan('customerID')}"
+SEGMENT = "CASE WHEN COALESCE(commercialAccount, '0') = '1' THEN 'fr_commercial' ELSE 'fr_residential' END"
+DAILY_TAGS = (f"['fr_office1', CASE WHEN COALESCE(active, '0') = '1' THEN 'fr_active' ELSE 'fr_inactive' END, "
+              f"{SEGMENT}]")
+
+
+def blank_null(x: str) -> str:
+    return f"NULLIF({strip(x)}, '')"
+
+
+def _sub_active(x: str) -> str:
+    return f"lower({strip(f'COALESCE({x}, {chr(39)}0{chr(39)})')}) IN ('1', 'true')"
+
+
+def _tag_case() -> str:
+    n = f"lower({strip('serviceType')})"
+
+    def has(*ws):
+        return "(" + " OR ".join(f"contains({n}, '{w}')" for w in ws) + ")"
+    return f"""CASE WHEN {n} = '' THEN NULL WHEN {has('inspection', 'estimate')} THEN NULL
+ WHEN {has('rodent baiting')} THEN 'svc_rodent_baiting' WHEN NOT ({_sub_active('active')}) THEN NULL
+ WHEN {n} = 'termite treatment' THEN 'svc_termite' WHEN {has('mosquito')} THEN 'svc_mosquito'
+ WHEN {has('rodent')} AND {has('exclusion', 'trapping', 'control program')} THEN 'svc_rodent_service'
+ WHEN {has('weed')} THEN 'svc_weed' WHEN {has('pigeon', 'flock')} THEN 'svc_bird'
+ WHEN {has('heater rental')} THEN 'svc_heater_rental' WHEN {has('bed bug', 'actisol')} THEN 'svc_bedbug'
+ WHEN {has('deep root')} THEN 'svc_deep_root' WHEN {has('bee')} THEN 'svc_bee'
+ WHEN {has('pest control', 'roach', 'attic', 'blacklight', 'drain')} THEN 'svc_pest' END"""
+
+
+TAG_SUBS = (f"SELECT * FROM raw_subscriptions WHERE {_sub_active('active')} "
+            f"OR {strip('serviceID')} IN ('1595', '225', '1363', '1384')")
+SVC = f"""svc AS (SELECT customerID, list_sort(list_distinct(list(tag))) AS svc_tags
+  FROM (SELECT customerID, {_tag_case()} AS tag FROM ({TAG_SUBS})) WHERE tag IS NOT NULL GROUP BY 1)"""
+
+CRM = """crm AS (SELECT contact_id, email, phone, string_split(tags, ',') AS tags FROM crm_contacts),
+by_email AS (SELECT lower(email) AS k, min(contact_id) AS cid FROM crm WHERE email IS NOT NULL GROUP BY 1),
+by_phone AS (SELECT phone AS k, min(contact_id) AS cid FROM crm WHERE phone IS NOT NULL GROUP BY 1)"""
+
+DAILY = f"""daily AS (SELECT customerID AS fr_id, {EMAIL_DAILY} AS email, {PHONE} AS phone,
+  {DAILY_TAGS} AS tags, {REAL} AS real FROM raw_customers)"""
+
+IMPORT = f"""imp AS (SELECT 1 AS office, customerID AS fr_id, {strip('fname')} AS first_name,
+  {strip('lname')} AS last_name, {EMAIL_IMPORT} AS email, {PHONE} AS phone,
+  ['fr_office1', 'fr_active', {SEGMENT}] AS tags FROM raw_customers
+  WHERE COALESCE(active, '0') = '1' AND {REAL}),
+pending AS (SELECT * FROM imp WHERE fr_id NOT IN (SELECT customerID FROM raw_customers
+  WHERE TRY_CAST(customerID AS BIGINT) % 11 = 0 AND customerID IS NOT NULL)),
+send AS (SELECT * FROM pending WHERE email IS NOT NULL OR phone IS NOT NULL),
+dd AS (SELECT s.*,
+  s.email IS NOT NULL AND (s.email IN (SELECT lower(email) FROM crm WHERE email IS NOT NULL)
+    OR EXISTS (SELECT 1 FROM send s2 WHERE s2.email = s.email AND (s2.office < s.office OR
+      (s2.office = s.office AND CAST(s2.fr_id AS BIGINT) < CAST(s.fr_id AS BIGINT))))) AS de,
+  s.phone IS NOT NULL AND (s.phone IN (SELECT phone FROM crm WHERE phone IS NOT NULL)
+    OR EXISTS (SELECT 1 FROM send s2 WHERE s2.phone = s.phone AND (s2.office < s.office OR
+      (s2.office = s.office AND CAST(s2.fr_id AS BIGINT) < CAST(s.fr_id AS BIGINT))))) AS dp
+  FROM send s),
+deduped AS (SELECT office, fr_id, first_name, last_name, email AS original_email, phone AS original_phone,
+  CASE WHEN NOT de THEN email END AS email, CASE WHEN NOT dp THEN phone END AS phone,
+  tags || list_filter([CASE WHEN de THEN 'fr_duplicate_email' END, CASE WHEN dp THEN 'fr_duplicate_phone' END],
+                      lambda t: t IS NOT NULL) AS tags,
+  CASE WHEN de AND dp THEN 'created_no_email_no_phone' WHEN de THEN 'created_no_email'
+       WHEN dp THEN 'created_no_phone' ELSE 'created' END AS action,
+  CASE WHEN de AND dp THEN 'email+phone' WHEN de THEN 'email' WHEN dp THEN 'phone' END AS matched_on
+  FROM dd)"""
+
+PLAN = f""", {SVC}, {CRM}, {DAILY},
+sendable AS (SELECT d.fr_id, d.email, d.phone, d.tags || COALESCE(svc.svc_tags, []) AS tags
+  FROM daily d LEFT JOIN svc ON d.fr_id = svc.customerID
+  WHERE d.real AND (d.email IS NOT NULL OR d.phone IS NOT NULL)),
+m AS (SELECT s.*, COALESCE(e.cid, p.cid) AS contact_id FROM sendable s
+  LEFT JOIN by_email e ON s.email = e.k LEFT JOIN by_phone p ON s.phone = p.k),
+merged AS (SELECT m.fr_id, m.contact_id,
+  list_filter(list_filter(c.tags, lambda t: t NOT IN ('fr_active', 'fr_inactive') AND NOT starts_with(t, 'svc_'))
+              || m.tags, lambda x, i: i = list_position(
+     list_filter(c.tags, lambda t: t NOT IN ('fr_active', 'fr_inactive') AND NOT starts_with(t, 'svc_')) || m.tags, x))
+  AS tags FROM m JOIN crm c ON c.contact_id = m.contact_id),
+actions AS (SELECT CASE WHEN contact_id IS NOT NULL THEN 'updated' ELSE 'created' END AS action FROM m
+  UNION ALL SELECT CASE WHEN NOT real THEN 'skipped_orphaned' ELSE 'skipped_no_contact' END FROM daily
+  WHERE NOT (real AND (email IS NOT NULL OR phone IS NOT NULL)))
+"""
+
+
+def _contacts() -> dict[str, str]:
+    q: dict[str, str] = {}
+    rc = cte("raw_customers")
+    q["contact_phones"] = rc + f"SELECT customerID, {PHONE} AS phone FROM raw_customers"
+    q["contact_emails"] = rc + (f"SELECT customerID, {EMAIL_DAILY} AS email_daily, {EMAIL_IMPORT} AS email_import "
+                                "FROM raw_customers")
+    q["contacts_daily"] = rc + f"""SELECT customerID AS fr_id, {strip('fname')} AS first_name,
+ {strip('lname')} AS last_name, {EMAIL_DAILY} AS email, {PHONE} AS phone, {blank_null('companyName')} AS company_name,
+ {blank_null('address')} AS address1, {blank_null('city')} AS city, {blank_null('state')} AS state,
+ {blank_null('zip')} AS postal_code, array_to_string({DAILY_TAGS}, ',') AS tags, {REAL} AS real FROM raw_customers"""
+    q["contacts_import"] = rc + f""", {IMPORT.split(',' + chr(10) + 'pending')[0]}
+SELECT CAST(office AS BIGINT) AS office, fr_id, email, phone,
+ (SELECT {blank_null('companyName')} FROM raw_customers r WHERE r.customerID = imp.fr_id) AS company_name,
+ array_to_string(tags, ',') AS tags, COALESCE(fr_id, '') AS custom_value FROM imp"""
+    q["contactable"] = rc + f", {DAILY} SELECT fr_id, email, phone FROM daily WHERE real AND (email IS NOT NULL OR phone IS NOT NULL)"
+    rs = cte("raw_subscriptions")
+    q["tag_subscriptions"] = rs + f"SELECT subscriptionID, customerID, serviceID, active FROM ({TAG_SUBS})"
+    q["service_tags"] = rs + f", {SVC} SELECT customerID, array_to_string(svc_tags, ',') AS svc_tags FROM svc"
+    q["tag_counts"] = rs + f""", {SVC}
+SELECT tag, COUNT(*) AS customers FROM (SELECT unnest(svc_tags) AS tag FROM svc) GROUP BY 1
+UNION ALL SELECT 'svc_pest_not_svc_mosquito', CAST(COUNT_IF(list_contains(svc_tags, 'svc_pest')
+  AND NOT list_contains(svc_tags, 'svc_mosquito')) AS BIGINT) FROM svc"""
+    both = cte("raw_customers", "raw_subscriptions", "crm_contacts")
+    q["contact_match"] = both + PLAN + "SELECT fr_id, contact_id FROM m"
+    q["tag_merge"] = both + PLAN + "SELECT fr_id, contact_id, array_to_string(tags, ',') AS tags FROM merged"
+    q["upsert_summary"] = both + PLAN + "SELECT action, COUNT(*) AS customers FROM actions GROUP BY 1"
+    ic = cte("raw_customers", "crm_contacts") + f", {CRM}, {IMPORT}\n"
+    q["import_dedupe"] = ic + ("SELECT fr_id, email, phone, array_to_string(tags, ',') AS tags, action, matched_on "
+                               "FROM deduped")
+    q["duplicate_review"] = ic + """SELECT fr_id, trim(COALESCE(first_name, '') || ' ' || COALESCE(last_name, '')) AS name,
+ COALESCE(original_email, '') AS email, COALESCE(original_phone, '') AS phone, matched_on, CAST(office AS BIGINT) AS office
+FROM deduped WHERE matched_on IS NOT NULL"""
+    q["import_pending"] = ic + "SELECT fr_id FROM pending"
+    skipped = "SELECT 'skipped' AS action FROM pending WHERE email IS NULL AND phone IS NULL"
+    q["import_summary"] = ic + f"""SELECT action, COUNT(*) AS customers FROM
+ (SELECT action FROM deduped UNION ALL {skipped}) GROUP BY 1"""
+    q["import_summary_dry_run"] = ic + f"""SELECT action, COUNT(*) AS customers FROM
+ (SELECT 'would_create' AS action FROM send UNION ALL {skipped}) GROUP BY 1"""
+    bad = "(d.email IS NOT NULL AND NOT regexp_matches(d.email, '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$'))"
+    q["invalid_emails"] = rc + f""", {DAILY}
+SELECT fr_id, CASE WHEN NOT {bad} THEN email END AS email, phone,
+ array_to_string(CASE WHEN {bad} THEN tags || ['fr_invalid_email'] ELSE tags END, ',') AS tags,
+ CASE WHEN {bad} AND phone IS NOT NULL THEN 'created_no_email' WHEN {bad} THEN 'error' END AS invalid_action
+FROM daily d WHERE real"""
+    return q
+
+
 def oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(_conform())
     out.update(_load())
+    out.update(_contacts())
     return out

@@ -116,8 +116,79 @@ def _load_queries() -> dict:
     return q
 
 
+def crm_existing(s: SparkSession, sf: str) -> DataFrame:
+    return load(s, sf, "crm_contacts").withColumn("tags", F.split("tags", ","))
+
+
+def done_imports(s: SparkSession, sf: str) -> DataFrame:
+    """Customers a previous import run already created (derived from data)."""
+    return (load(s, sf, "raw_customers").filter(F.col("customerID").cast("long") % 11 == 0)
+            .select(F.col("customerID").alias("fr_id")))
+
+
+def _txt(c: str) -> F.Column:
+    return F.array_join(F.col(c), ",").alias(c)
+
+
+def _contact_queries() -> dict:
+    from fieldlake.functions.contact import best_phone, clean_email
+    from fieldlake.operators import contacts as G
+    q = {}
+    q["contact_phones"] = lambda s, sf: load(s, sf, "raw_customers").select(
+        "customerID", best_phone(F.col("phone1"), F.col("phone2")).alias("phone"))
+    q["contact_emails"] = lambda s, sf: load(s, sf, "raw_customers").select(
+        "customerID", clean_email(F.col("email")).alias("email_daily"),
+        clean_email(F.col("email"), first_of_list=True).alias("email_import"))
+    q["contacts_daily"] = lambda s, sf: G.contacts_daily(load(s, sf, "raw_customers")).select(
+        "fr_id", "first_name", "last_name", "email", "phone", "company_name", "address1", "city",
+        "state", "postal_code", _txt("tags"), "real")
+    q["contacts_import"] = lambda s, sf: G.contacts_import(load(s, sf, "raw_customers"), 1).select(
+        "office", "fr_id", "email", "phone", "company_name", _txt("tags"),
+        F.col("custom_fields")[0]["value"].alias("custom_value"))
+    q["contactable"] = lambda s, sf: G.contactable(
+        G.contacts_daily(load(s, sf, "raw_customers")).filter("real")).select("fr_id", "email", "phone")
+    q["tag_subscriptions"] = lambda s, sf: G.tag_subscriptions(load(s, sf, "raw_subscriptions")).select(
+        "subscriptionID", "customerID", "serviceID", "active")
+
+    def _tags(s, sf):
+        return G.service_tags(G.tag_subscriptions(load(s, sf, "raw_subscriptions")))
+    q["service_tags"] = lambda s, sf: _tags(s, sf).select("customerID", _txt("svc_tags"))
+    q["tag_counts"] = lambda s, sf: G.tag_counts(_tags(s, sf))
+
+    def _daily_sendable(s, sf):
+        return G.contactable(G.contacts_daily(load(s, sf, "raw_customers")).filter("real"))
+    q["contact_match"] = lambda s, sf: G.match_contacts(_daily_sendable(s, sf), crm_existing(s, sf)).select(
+        "fr_id", "contact_id")
+
+    def _plan(s, sf):
+        return G.upsert_plan(load(s, sf, "raw_customers"), load(s, sf, "raw_subscriptions"),
+                             crm_existing(s, sf))
+    q["tag_merge"] = lambda s, sf: _plan(s, sf).filter(F.col("action") == "updated").select(
+        "fr_id", "contact_id", _txt("tags"))
+    q["upsert_summary"] = lambda s, sf: G.upsert_summary(_plan(s, sf))
+
+    def _sendable_import(s, sf):
+        return G.contactable(G.import_pending(G.contacts_import(load(s, sf, "raw_customers"), 1),
+                                              done_imports(s, sf)))
+    q["import_dedupe"] = lambda s, sf: G.import_dedupe(_sendable_import(s, sf), crm_existing(s, sf)).select(
+        "fr_id", "email", "phone", _txt("tags"), "action", "matched_on")
+    q["duplicate_review"] = lambda s, sf: G.duplicate_review(
+        G.import_dedupe(_sendable_import(s, sf), crm_existing(s, sf)))
+    q["import_pending"] = lambda s, sf: G.import_pending(
+        G.contacts_import(load(s, sf, "raw_customers"), 1), done_imports(s, sf)).select("fr_id")
+    q["import_summary"] = lambda s, sf: G.import_summary(G.import_plan(
+        load(s, sf, "raw_customers"), 1, crm_existing(s, sf), done_imports(s, sf), dry_run=False))
+    q["import_summary_dry_run"] = lambda s, sf: G.import_summary(G.import_plan(
+        load(s, sf, "raw_customers"), 1, crm_existing(s, sf), done_imports(s, sf), dry_run=True))
+    q["invalid_emails"] = lambda s, sf: G.flag_invalid_emails(
+        G.contacts_daily(load(s, sf, "raw_customers")).filter("real")).select(
+        "fr_id", "email", "phone", _txt("tags"), "invalid_action")
+    return q
+
+
 def queries() -> dict:
     out = {}
     out.update(_conform_queries())
     out.update(_load_queries())
+    out.update(_contact_queries())
     return out
