@@ -393,9 +393,105 @@ FROM daily d WHERE real"""
     return q
 
 
+# -- quality and pricing -------------------------------------------------------------
+
+def _half_up(num: str, den: str) -> str:
+    return (f"(CASE WHEN ({num}) < 0 THEN -1 ELSE 1 END) * "
+            f"((2 * abs({num}) + ({den})) // (2 * ({den})))")
+
+
+def _reject(field: str, kind: str) -> str:
+    nb = f"({field} IS NOT NULL AND {strip(field)} <> '')"
+    ph = f"starts_with({strip(field)}, '0000')"
+    bad = {"int": f"{to_int(field)} IS NULL", "float": f"{to_float(field)} IS NULL",
+           "frequency": f"{to_int(field)} IS NULL AND upper({strip(field)}) <> 'CUSTOM'",
+           "date": f"{to_date(field)} IS NULL AND NOT {ph}",
+           "ts": f"{to_ts(field)} IS NULL AND NOT {ph}"}[kind]
+    return f"CAST(COUNT_IF({nb} AND {bad}) AS BIGINT) AS {field}"
+
+
+def _fill_sql(template: str, values: dict[str, str]) -> str:
+    out = "'" + template.replace("'", "''") + "'"
+    for name, v in values.items():
+        if "{" + name + ":.2f}" in template:
+            out = f"replace({out}, '{{{name}:.2f}}', printf('%.2f', {v}))"
+        if "{" + name + "}" in template:
+            out = f"replace({out}, '{{{name}}}', CAST({v} AS VARCHAR))"
+    return out
+
+
+def _quality_pricing() -> dict[str, str]:
+    from fieldlake.operators.pricing import DEFAULT_CONFIG as CFG
+    from fieldlake.operators.quality import REJECT_RULES
+    from fieldlake.registry_ops import EXPECTED_CUSTOMERS, PRICE_AS_OF
+    q: dict[str, str] = {}
+    rs = cte("raw_subscriptions")
+    real = f"{not_orphan('officeID')} AND {not_orphan('customerID')}"
+    q["orphan_rate"] = rs + f""", r AS (SELECT * FROM raw_subscriptions WHERE active = '1'),
+g AS (SELECT COUNT(*) AS total, COUNT(*) AS inspected, CAST(COUNT_IF(NOT ({real})) AS BIGINT) AS orphans FROM r)
+SELECT total, inspected, orphans,
+ CASE WHEN inspected > 0 THEN CAST({_half_up('orphans * 10000', 'inspected')} AS DOUBLE) / 100 END AS orphan_pct,
+ CASE WHEN inspected > 0 THEN CAST({_half_up('total * (inspected - orphans)', 'inspected')} AS BIGINT) END AS est_real
+FROM g"""
+    vals = ", ".join(f"({k}, {v})" for k, v in EXPECTED_CUSTOMERS.items())
+    q["count_check"] = cte("raw_customers") + f""",
+e AS (SELECT CAST(o AS BIGINT) AS office_id, CAST(x AS BIGINT) AS expected FROM (VALUES {vals}) t(o, x)),
+c AS (SELECT {to_int('officeID')} AS office_id, COUNT(*) AS count FROM raw_customers GROUP BY 1)
+SELECT e.office_id, e.expected, COALESCE(c.count, 0) AS count,
+ CASE WHEN COALESCE(c.count, 0) * 100 >= e.expected * 90 THEN 'ok' ELSE 'warning' END AS status
+FROM e LEFT JOIN c ON e.office_id = c.office_id"""
+    charge = to_float('recurringCharge', '0')
+    q["sample_subscription"] = rs + f"""SELECT {to_int('subscriptionID')} AS subscription_id,
+ {strip('serviceType')} AS service_type, printf('%.2f', {charge}) AS recurring_charge, nextService AS next_service
+FROM raw_subscriptions WHERE {real} AND {charge} > 0
+ORDER BY subscription_id NULLS LAST LIMIT 1"""
+    for name, table, entity in (("conform_rejects", "raw_subscriptions", "subscription"),
+                                ("conform_rejects_appointments", "raw_appointments", "appointment")):
+        rules = REJECT_RULES[entity]
+        q[name] = cte(table) + f""", g AS (SELECT {', '.join(_reject(f, k) for f, k in rules)} FROM {table})
+SELECT field, rejects FROM (UNPIVOT g ON {', '.join(f for f, _ in rules)} INTO NAME field VALUE rejects)"""
+
+    el = CFG["eligibility"]
+    cents = "CAST(ROUND(recurring_charge * 100) AS BIGINT)"
+    eligible = f"""history AS (SELECT customer_id, date_added + 400 AS increase_date FROM dim_subscriptions
+  WHERE subscription_id % 5 = 1),
+eligible AS (SELECT * FROM dim_subscriptions WHERE active = TRUE
+  AND {cents} >= {int(round(el['minimum_recurring_charge'] * 100))}
+  AND customer_id NOT IN (SELECT customer_id FROM history
+      WHERE increase_date > DATE '{PRICE_AS_OF}' - {el['minimum_days_since_last_increase']})),
+priced AS (SELECT *, CAST({cents} AS DOUBLE) / 100 AS old_price,
+  CAST({_half_up(f'{cents} * 10500', '10000')} AS DOUBLE) / 100 AS new_price,
+  CAST({cents} + 500 AS DOUBLE) / 100 AS new_price_flat FROM eligible)"""
+    base = cte("dim_subscriptions") + ", " + eligible + "\n"
+    q["increase_eligible"] = base + "SELECT subscription_id, customer_id, recurring_charge FROM eligible"
+    q["increase_prices"] = base + "SELECT subscription_id, customer_id, old_price, new_price FROM priced"
+    q["increase_prices_flat"] = base + "SELECT subscription_id, old_price, new_price_flat AS new_price FROM priced"
+    n = CFG["notification"]
+    eff = f"(DATE '{PRICE_AS_OF}' + {n['days_before_increase']})"
+    body = _fill_sql(n["email_body"], {
+        "customer_name": "COALESCE(COALESCE(NULLIF(c.company_name, ''), c.first_name || ' ' || c.last_name), '')",
+        "effective_date": f"CAST({eff} AS VARCHAR)", "old_price": "p.old_price", "new_price": "p.new_price",
+        "company_name": "'Your service team'"})
+    q["increase_notices"] = cte("dim_subscriptions", "dim_customers") + ", " + eligible + f"""
+SELECT p.subscription_id, p.customer_id, c.email, {eff} AS effective_date, '{n['notification_method']}' AS method,
+ '{n['email_subject']}' AS subject, {body} AS body
+FROM priced p LEFT JOIN dim_customers c ON p.customer_id = c.customer_id"""
+    a = CFG["account_notation"]
+    nv = {"old_price": "old_price", "new_price": "new_price", "date": f"CAST(DATE '{PRICE_AS_OF}' AS VARCHAR)",
+          "days_before": f"'{n['days_before_increase']}'"}
+    q["increase_notes"] = base + f"""SELECT subscription_id, customer_id,
+ {_fill_sql(a['note_template'], nv)} AS account_note, {_fill_sql(a['service_note_template'], nv)} AS service_note
+FROM priced"""
+    q["increase_plan"] = base + f"""SELECT subscription_id, customer_id, old_price, new_price, TRUE AS dry_run
+FROM priced WHERE customer_id IN (SELECT DISTINCT customer_id FROM priced ORDER BY customer_id
+  LIMIT {CFG['safety']['max_customers_per_run']})"""
+    return q
+
+
 def oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(_conform())
     out.update(_load())
     out.update(_contacts())
+    out.update(_quality_pricing())
     return out

@@ -186,8 +186,55 @@ def _contact_queries() -> dict:
     return q
 
 
+EXPECTED_CUSTOMERS = {1: 1000, 2: 250, 3: 20}
+PRICE_AS_OF = "2001-06-01"
+
+
+def increase_history(s: SparkSession, sf: str) -> DataFrame:
+    """Past increases derived from the subscriptions: every fifth one had an
+    increase 400 days after it was added."""
+    subs = load(s, sf, "dim_subscriptions")
+    return subs.filter(F.col("subscription_id") % 5 == 1).select(
+        "customer_id", F.date_add("date_added", 400).alias("increase_date"))
+
+
+def _quality_pricing_queries() -> dict:
+    from fieldlake.operators import pricing as P
+    from fieldlake.operators import quality as Q
+    q = {}
+    active_subs = lambda s, sf: load(s, sf, "raw_subscriptions").filter(F.col("active") == "1")
+    q["orphan_rate"] = lambda s, sf: Q.orphan_rate(active_subs(s, sf))
+    q["orphan_rate_sampled"] = lambda s, sf: Q.orphan_rate(active_subs(s, sf), sample_modulus=7)
+    q["count_check"] = lambda s, sf: Q.count_check(load(s, sf, "raw_customers"),
+                                                   Q.expectations(s, EXPECTED_CUSTOMERS))
+    q["sample_subscription"] = lambda s, sf: Q.sample_subscription(load(s, sf, "raw_subscriptions"))
+    q["conform_rejects"] = lambda s, sf: Q.conform_rejects(load(s, sf, "raw_subscriptions"), "subscription")
+    q["conform_rejects_appointments"] = lambda s, sf: Q.conform_rejects(
+        load(s, sf, "raw_appointments"), "appointment")
+
+    cfg = P.config()
+
+    def _eligible(s, sf):
+        return P.increase_eligible(load(s, sf, "dim_subscriptions"), increase_history(s, sf), cfg, PRICE_AS_OF)
+    q["increase_eligible"] = lambda s, sf: _eligible(s, sf).select("subscription_id", "customer_id",
+                                                                   "recurring_charge")
+    q["increase_prices"] = lambda s, sf: P.increase_prices(_eligible(s, sf), cfg).select(
+        "subscription_id", "customer_id", "old_price", "new_price")
+    flat = P.config({"increase": {"type": "flat", "value": 5}})
+    q["increase_prices_flat"] = lambda s, sf: P.increase_prices(_eligible(s, sf), flat).select(
+        "subscription_id", "old_price", "new_price")
+    q["increase_notices"] = lambda s, sf: P.increase_notices(
+        P.increase_prices(_eligible(s, sf), cfg), load(s, sf, "dim_customers"), cfg, PRICE_AS_OF)
+    q["increase_notes"] = lambda s, sf: P.increase_notes(P.increase_prices(_eligible(s, sf), cfg), cfg,
+                                                         PRICE_AS_OF)
+    q["increase_plan"] = lambda s, sf: P.increase_plan(P.increase_prices(_eligible(s, sf), cfg), cfg).select(
+        "subscription_id", "customer_id", "old_price", "new_price", "dry_run")
+    return q
+
+
 def queries() -> dict:
     out = {}
+    out.update(_quality_pricing_queries())
     out.update(_conform_queries())
     out.update(_load_queries())
     out.update(_contact_queries())
