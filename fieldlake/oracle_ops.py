@@ -488,8 +488,21 @@ FROM priced WHERE customer_id IN (SELECT DISTINCT customer_id FROM priced ORDER
     return q
 
 
+def _sources() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["raw_subscriptions"] = cte("raw_subscriptions") + "SELECT * FROM raw_subscriptions"
+    q["dim_overwrite"] = cte("raw_service_types") + SERVICE_TYPES_SQL + " WHERE officeID IN ('1', '2')"
+    k = "(CAST(customerID AS BIGINT) - 1)"
+    q["stream_upsert"] = cte("raw_customers") + f""", landed AS (
+  SELECT * REPLACE (CASE WHEN {k} % 10 = 0 THEN 'changed' || customerID || '@x.com' ELSE email END AS email)
+  FROM raw_customers)
+SELECT {CUSTOMER_COLS} FROM landed WHERE {not_orphan('officeID')} AND {not_orphan('customerID')}"""
+    return q
+
+
 def oracles() -> dict[str, str]:
     out: dict[str, str] = {}
+    out.update(_sources())
     out.update(_conform())
     out.update(_load())
     out.update(_contacts())

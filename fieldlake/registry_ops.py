@@ -232,8 +232,61 @@ def _quality_pricing_queries() -> dict:
     return q
 
 
+def stream_landing(s: SparkSession, sf: str, landing: str) -> None:
+    """Land raw customers as change files: three files of originals, then a
+    later file re-sending every tenth customer with a new email — and that
+    key twice within the file, the newer one winning."""
+    raw = load(s, sf, "raw_customers")
+    k = F.col("customerID").cast("long") - 1
+    for part in range(3):
+        raw.filter(k % 3 == part).coalesce(1).write.mode("append").json(landing)
+    changed = raw.filter(k % 10 == 0)
+    older = changed.withColumn("email", F.concat(F.lit("old"), F.col("customerID"), F.lit("@x.com"))) \
+        .withColumn("dateUpdated", F.lit("2000-01-01 09:00:00"))
+    newer = changed.withColumn("email", F.concat(F.lit("changed"), F.col("customerID"), F.lit("@x.com"))) \
+        .withColumn("dateUpdated", F.lit("2000-01-02 09:00:00"))
+    older.unionByName(newer).coalesce(1).write.mode("append").json(landing)
+
+
+def _source_stream_queries() -> dict:
+    from fieldlake.operators.load import refresh_dimension
+    from fieldlake.plans.catalog import register_views
+    from fieldlake.session import scratch_path
+    from fieldlake.sources import sinks
+    from fieldlake.sources.raw import read_raw
+    from fieldlake.sources.testdata import star
+    from fieldlake.streaming.upsert import start_upsert_stream
+    q = {}
+
+    def _raw(s, sf):
+        path = scratch_path(s, "landing")
+        load(s, sf, "raw_subscriptions").write.json(path)
+        return read_raw(s, "subscription", path)
+    q["raw_subscriptions"] = _raw
+
+    def _dim(s, sf):
+        path = scratch_path(s, "dim")
+        raw = load(s, sf, "raw_service_types")
+        per_office = [raw.filter(F.col("officeID") == o) for o in ("1", "2")]
+        sinks.overwrite(refresh_dimension(per_office, C.conform_service_types, RUN_AT), path)
+        sinks.overwrite(raw.limit(0), path)  # an empty refresh keeps the table
+        return s.read.parquet(path).drop("loaded_at")
+    q["dim_overwrite"] = _dim
+
+    q["view_catalog"] = lambda s, sf: register_views(s, star(s, sf), "2001-08-02")
+
+    def _stream(s, sf):
+        landing, table, ckpt = (scratch_path(s, n) for n in ("stream-landing", "stream-table", "stream-ckpt"))
+        stream_landing(s, sf, landing)
+        start_upsert_stream(s, landing, table, "customer", ckpt, RUN_AT).awaitTermination()
+        return s.read.parquet(table).drop("loaded_at")
+    q["stream_upsert"] = _stream
+    return q
+
+
 def queries() -> dict:
     out = {}
+    out.update(_source_stream_queries())
     out.update(_quality_pricing_queries())
     out.update(_conform_queries())
     out.update(_load_queries())

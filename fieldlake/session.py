@@ -44,9 +44,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder, setting a scratch one only when
     the session has none (local tests). On a cluster the shared folder named
     by ``spark.checkpoint.dir`` is used as is."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    current = sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="fieldlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+        current = tempfile.mkdtemp(prefix="fieldlake-ckpt-")  # unset: local runs and tests only
+    sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the checkpoint folder (shared on a cluster)."""
+    import uuid
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/fieldlake-{name}-{uuid.uuid4().hex[:12]}"
