@@ -99,9 +99,16 @@ def tag_subscriptions(raw_subscriptions: DataFrame,
     return raw_subscriptions.filter(sub_active(F.col("active")) | strip(F.col("serviceID")).isin(*ids))
 
 
-def service_tag(service_type: Column, active: Column) -> Column:
-    """The one tag (or NULL) a subscription maps to; rules apply in order."""
-    n = F.lower(strip(service_type))
+# Every tag the rules can produce, in sorted order.
+SERVICE_TAGS = ("svc_bedbug", "svc_bee", "svc_bird", "svc_deep_root", "svc_heater_rental",
+                "svc_mosquito", "svc_pest", "svc_rodent_baiting", "svc_rodent_service", "svc_termite",
+                "svc_weed")
+
+
+def service_tag(service_type: Column, active: Column, normalised: bool = False) -> Column:
+    """The one tag (or NULL) a subscription maps to; rules apply in order.
+    With ``normalised`` the name is already trimmed and lower-cased."""
+    n = service_type if normalised else F.lower(strip(service_type))
     has = lambda *ws: reduce(lambda x, y: x | y, [n.contains(w) for w in ws])
     return (F.when(n == "", None)
             .when(has("inspection", "estimate"), None)
@@ -121,12 +128,23 @@ def service_tag(service_type: Column, active: Column) -> Column:
 
 def service_tags(subscriptions: DataFrame) -> DataFrame:
     """(customerID, svc_tags): the sorted set of service tags per customer.
-    collect_set is combined map-side, so a customer's partial state is at
-    most the 11 tags whatever the number of subscriptions."""
-    t = subscriptions.select(F.col("customerID"),
-                             service_tag(F.col("serviceType"), sub_active(F.col("active"))).alias("tag"))
-    return (t.filter(F.col("tag").isNotNull()).groupBy("customerID")
-            .agg(F.array_sort(F.collect_set("tag")).alias("svc_tags")))
+
+    The tag vocabulary is fixed, so the set is aggregated as one boolean
+    per tag (max) — a fixed-size partial aggregate combined map-side,
+    whatever the number of subscriptions of a customer — and turned into
+    the sorted array at the end.
+    """
+    # The name is normalised once in its own projection; no filter sits
+    # between it and the aggregate (a pushed-down filter would inline the
+    # normalisation into every rule). max() skips the NULL tags instead.
+    n = subscriptions.select("customerID", F.lower(strip(F.col("serviceType"))).alias("_n"),
+                             sub_active(F.col("active")).alias("_active"))
+    t = n.select("customerID", service_tag(F.col("_n"), F.col("_active"), normalised=True).alias("tag"))
+    g = t.groupBy("customerID").agg(*[F.max(F.col("tag") == tag).alias(f"_{i}")
+                                      for i, tag in enumerate(SERVICE_TAGS)])
+    tags = F.array(*[F.when(F.col(f"_{i}"), F.lit(tag)) for i, tag in enumerate(SERVICE_TAGS)])
+    return (g.select("customerID", F.filter(tags, lambda x: x.isNotNull()).alias("svc_tags"))
+            .filter(F.size("svc_tags") > 0))
 
 
 def tag_counts(tags: DataFrame, tag_col: str = "svc_tags") -> DataFrame:
