@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlake.functions.contact import best_phone, blank_to_null, clean_email, valid_email
-from fieldlake.functions.parse import strip
+from fieldlake.functions.parse import strip, to_int
 
 # Fixed values of the CRM tagging scheme.
 OFFICE_TAGS = {1: "fr_office1", 2: "fr_office2"}
@@ -65,15 +65,21 @@ def contacts_daily(raw_customers: DataFrame, office: int = 1) -> DataFrame:
                                 _real(raw_customers).alias("real"))
 
 
-def contacts_import(raw_customers: DataFrame, office: int, field_id: str = "DRY_RUN_FIELD_ID") -> DataFrame:
+def contacts_import(raw_customers: DataFrame, office: int | None = None,
+                    field_id: str = "DRY_RUN_FIELD_ID") -> DataFrame:
     """Initial-import contact rows: active, non-orphan customers only; always
-    tagged active; first email of a list; the source id as a custom field."""
+    tagged active; first email of a list; the source id as a custom field.
+    ``office`` fixes the office of a single-office landing; by default each
+    record's own officeID is used (the import walks every office)."""
     active = F.coalesce(F.col("active"), F.lit("0")) == "1"
     c = raw_customers.filter(active & _real(raw_customers))
-    tags = F.array(F.lit(OFFICE_TAGS[office]), F.lit("fr_active"), _segment_tag())
+    office_col = F.lit(office).cast("long") if office is not None else to_int(F.col("officeID"))
+    c = c.withColumn("_office", office_col)
+    tags = F.array(F.concat(F.lit("fr_office"), F.col("_office").cast("string")), F.lit("fr_active"),
+                   _segment_tag())
     custom = F.array(F.struct(F.lit(field_id).alias("id"),
                               F.coalesce(F.col("customerID"), F.lit("")).alias("value")))
-    return c.select(F.lit(office).cast("long").alias("office"),
+    return c.select(F.col("_office").alias("office"),
                     *_base_fields(clean_email(F.col("email"), first_of_list=True)),
                     tags.alias("tags"), custom.alias("custom_fields"))
 
@@ -285,7 +291,7 @@ def duplicate_review(deduped: DataFrame) -> DataFrame:
         F.coalesce("original_phone", F.lit("")).alias("phone"), "matched_on", "office")
 
 
-def import_plan(raw_customers: DataFrame, office: int, existing: DataFrame, done_ids: DataFrame,
+def import_plan(raw_customers: DataFrame, office: int | None, existing: DataFrame, done_ids: DataFrame,
                 dry_run: bool = True) -> DataFrame:
     """One row per pending customer with its import action. Dry run:
     would_create / skipped; live: the dedupe actions / skipped."""

@@ -46,7 +46,7 @@ def replace_window(existing: DataFrame, incoming: DataFrame, office: int, start,
         return existing
     kept = existing.filter(~_in_window(date_col, office, start, end))
     if keys:
-        kept = kept.join(incoming.select(*keys), list(keys), "left_anti")
+        kept = kept.join(incoming.select(*keys), list(keys), "left_anti").select(*existing.columns)
     return kept.unionByName(incoming)
 
 
@@ -56,7 +56,7 @@ def replace_by_id(existing: DataFrame, incoming: DataFrame, keys: Iterable[str],
     ``incoming``), then append ``incoming``."""
     keys = list(keys)
     ids = (delete_ids if delete_ids is not None else incoming).select(*keys)
-    return existing.join(ids, keys, "left_anti").unionByName(incoming)
+    return existing.join(ids, keys, "left_anti").select(*existing.columns).unionByName(incoming)
 
 
 def replace_children(existing_children: DataFrame, new_children: DataFrame,
@@ -64,7 +64,7 @@ def replace_children(existing_children: DataFrame, new_children: DataFrame,
     """Children of every requested parent are replaced — also when the batch
     brings no children at all, and for parents that were not returned."""
     return (existing_children.join(parent_ids.select(parent_key), [parent_key], "left_anti")
-            .unionByName(new_children))
+            .select(*existing_children.columns).unionByName(new_children))
 
 
 def vanished_ids(existing: DataFrame, active_ids: DataFrame, office: int, start, end,
@@ -150,7 +150,7 @@ def backfill(existing: DataFrame, incoming: DataFrame, partitions: DataFrame,
     p = partitions.select("office_id", "month")
     kept = keyed(existing).join(p, ["office_id", "month"], "left_anti")
     new = keyed(incoming).join(p, ["office_id", "month"], "left_semi")
-    return kept.unionByName(new).drop("month")
+    return kept.unionByName(new).select(*existing.columns)
 
 
 # ---------------------------------------------------------------------------

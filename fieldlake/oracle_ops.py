@@ -305,9 +305,9 @@ by_phone AS (SELECT phone AS k, min(contact_id) AS cid FROM crm WHERE phone IS N
 DAILY = f"""daily AS (SELECT customerID AS fr_id, {EMAIL_DAILY} AS email, {PHONE} AS phone,
   {DAILY_TAGS} AS tags, {REAL} AS real FROM raw_customers)"""
 
-IMPORT = f"""imp AS (SELECT 1 AS office, customerID AS fr_id, {strip('fname')} AS first_name,
+IMPORT = f"""imp AS (SELECT {to_int('officeID')} AS office, customerID AS fr_id, {strip('fname')} AS first_name,
   {strip('lname')} AS last_name, {EMAIL_IMPORT} AS email, {PHONE} AS phone,
-  ['fr_office1', 'fr_active', {SEGMENT}] AS tags FROM raw_customers
+  ['fr_office' || CAST({to_int('officeID')} AS VARCHAR), 'fr_active', {SEGMENT}] AS tags FROM raw_customers
   WHERE COALESCE(active, '0') = '1' AND {REAL}),
 pending AS (SELECT * FROM imp WHERE fr_id NOT IN (SELECT customerID FROM raw_customers
   WHERE TRY_CAST(customerID AS BIGINT) % 11 = 0 AND customerID IS NOT NULL)),

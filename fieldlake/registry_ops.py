@@ -142,7 +142,7 @@ def _contact_queries() -> dict:
     q["contacts_daily"] = lambda s, sf: G.contacts_daily(load(s, sf, "raw_customers")).select(
         "fr_id", "first_name", "last_name", "email", "phone", "company_name", "address1", "city",
         "state", "postal_code", _txt("tags"), "real")
-    q["contacts_import"] = lambda s, sf: G.contacts_import(load(s, sf, "raw_customers"), 1).select(
+    q["contacts_import"] = lambda s, sf: G.contacts_import(load(s, sf, "raw_customers")).select(
         "office", "fr_id", "email", "phone", "company_name", _txt("tags"),
         F.col("custom_fields")[0]["value"].alias("custom_value"))
     q["contactable"] = lambda s, sf: G.contactable(
@@ -168,18 +168,18 @@ def _contact_queries() -> dict:
     q["upsert_summary"] = lambda s, sf: G.upsert_summary(_plan(s, sf))
 
     def _sendable_import(s, sf):
-        return G.contactable(G.import_pending(G.contacts_import(load(s, sf, "raw_customers"), 1),
+        return G.contactable(G.import_pending(G.contacts_import(load(s, sf, "raw_customers")),
                                               done_imports(s, sf)))
     q["import_dedupe"] = lambda s, sf: G.import_dedupe(_sendable_import(s, sf), crm_existing(s, sf)).select(
         "fr_id", "email", "phone", _txt("tags"), "action", "matched_on")
     q["duplicate_review"] = lambda s, sf: G.duplicate_review(
         G.import_dedupe(_sendable_import(s, sf), crm_existing(s, sf)))
     q["import_pending"] = lambda s, sf: G.import_pending(
-        G.contacts_import(load(s, sf, "raw_customers"), 1), done_imports(s, sf)).select("fr_id")
+        G.contacts_import(load(s, sf, "raw_customers")), done_imports(s, sf)).select("fr_id")
     q["import_summary"] = lambda s, sf: G.import_summary(G.import_plan(
-        load(s, sf, "raw_customers"), 1, crm_existing(s, sf), done_imports(s, sf), dry_run=False))
+        load(s, sf, "raw_customers"), None, crm_existing(s, sf), done_imports(s, sf), dry_run=False))
     q["import_summary_dry_run"] = lambda s, sf: G.import_summary(G.import_plan(
-        load(s, sf, "raw_customers"), 1, crm_existing(s, sf), done_imports(s, sf), dry_run=True))
+        load(s, sf, "raw_customers"), None, crm_existing(s, sf), done_imports(s, sf), dry_run=True))
     q["invalid_emails"] = lambda s, sf: G.flag_invalid_emails(
         G.contacts_daily(load(s, sf, "raw_customers")).filter("real")).select(
         "fr_id", "email", "phone", _txt("tags"), "invalid_action")

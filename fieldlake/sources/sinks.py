@@ -27,9 +27,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _norm(p: str) -> str:
+    """'file:///x', 'file:/x' → 'file:/x'; other schemes as given."""
+    p = p.rstrip("/")
+    return "file:/" + p[5:].lstrip("/") if p.startswith("file:") else p
+
+
 def _reads(df: DataFrame, path: str) -> bool:
-    root = path.rstrip("/")
-    return any(f.replace("file://", "").startswith(root.replace("file://", "")) for f in df.inputFiles())
+    """Does ``df`` scan files under ``path``?"""
+    fs, p = _fs(df.sparkSession, path)
+    root = _norm(fs.makeQualified(p).toString()) + "/"
+    return any(_norm(f).startswith(root) for f in df.inputFiles())
 
 
 def append(df: DataFrame, path: str, partition_by: Iterable[str] | None = None) -> None:
