@@ -52,3 +52,25 @@ def test_ensure_tables(spark):
     second = {r[0]: r[1] for r in sinks.ensure_tables(spark, root).collect()}
     assert set(first.values()) == {"created"} and set(second.values()) == {"existing"}
     assert len(first) == 9
+
+
+def test_partitioned_window_load(spark, sf):
+    from pyspark.sql import functions as F
+
+    from fieldlake.operators.load import replace_window
+    from fieldlake.registry_ops import WINDOW, window_incoming
+    office, start, end = WINDOW
+    path = scratch_path(spark, "facts")
+    facts = load(spark, sf, "fact_appointments")
+    assert sinks.write_fact(facts, path)
+    incoming = window_incoming(spark, sf)
+    assert sinks.load_window(spark, path, incoming, office, start, end)
+    got = sinks.read_fact(spark, path).drop("month")
+    want = replace_window(facts, incoming, office, start, end)
+    assert _rows(got.select(*facts.columns)) == _rows(want)
+    # a window whose rows all vanish leaves no stale partition behind
+    nov = facts.filter((F.col("office_id") == 2) & F.col("scheduled_date").between("1998-11-01", "1998-11-30"))
+    keep_one = nov.limit(1).withColumn("scheduled_date", F.lit("1998-12-05").cast("date"))
+    assert sinks.load_window(spark, path, keep_one, 2, "1998-11-01", "1998-12-31")
+    left = sinks.read_fact(spark, path).filter("office_id = 2 AND month = DATE'1998-11-01'")
+    assert left.count() == 0
