@@ -148,12 +148,22 @@ def conform_subscriptions(raw: DataFrame, run_at) -> DataFrame:
 # C6 — appointments
 # ---------------------------------------------------------------------------
 
+def elapsed_minutes(time_in: Column, time_out: Column) -> Column:
+    """Minutes between two strict 'YYYY-MM-DD HH:MM:SS' stamps (NULL if
+    either does not parse)."""
+    tin, tout = strict_timestamp(time_in), strict_timestamp(time_out)
+    return (F.unix_timestamp(tout) - F.unix_timestamp(tin)) / 60.0
+
+
+def plausible_duration(minutes: Column) -> Column:
+    """Rounded to 2 places when 0 < minutes < 600 (a sanity bound), else NULL."""
+    return F.when((minutes > 0) & (minutes < 600), F.round(minutes, 2))
+
+
 def actual_duration(time_in: Column, time_out: Column) -> Column:
     """Minutes between two 'YYYY-MM-DD HH:MM:SS' stamps, rounded to 2 places,
     when both parse and 0 < minutes < 600; else NULL."""
-    tin, tout = strict_timestamp(time_in), strict_timestamp(time_out)
-    minutes = (F.unix_timestamp(tout) - F.unix_timestamp(tin)) / 60.0
-    return F.when((minutes > 0) & (minutes < 600), F.round(minutes, 2))
+    return plausible_duration(elapsed_minutes(time_in, time_out))
 
 
 def additional_techs(x: Column) -> Column:
@@ -183,7 +193,7 @@ def conform_appointments(raw: DataFrame, run_at, route_tech: DataFrame | None =
         to_timestamp(_c("timeIn")).alias("time_in"),
         to_timestamp(_c("timeOut")).alias("time_out"),
         to_int(_c("duration")).alias("duration_scheduled_min"),
-        actual_duration(_c("timeIn"), _c("timeOut")).alias("duration_actual_min"),
+        elapsed_minutes(_c("timeIn"), _c("timeOut")).alias("_minutes"),
         to_int(_c("status")).alias("status"),
         strip(_c("statusText")).alias("status_text"),
         flag(_c("isInitial")).alias("is_initial"),
@@ -198,6 +208,9 @@ def conform_appointments(raw: DataFrame, run_at, route_tech: DataFrame | None =
         to_timestamp(_c("dateAdded")).alias("date_added"),
         to_timestamp(_c("dateUpdated")).alias("date_updated"),
         _stamp(run_at))
+    # minutes are computed once in the projection above; the bound check
+    # reads the column instead of re-parsing both stamps three times
+    df = df.withColumn("duration_actual_min", plausible_duration(F.col("_minutes"))).drop("_minutes")
     if route_tech is None:
         df = df.withColumn("route_tech_id", F.lit(None).cast("long"))
     else:
