@@ -181,6 +181,12 @@ UNION ALL SELECT {fa_cols} FROM incoming"""
     q["vanished_ids"] = cte("fact_appointments") + f""", {incoming}
 SELECT DISTINCT appointment_id FROM fact_appointments WHERE {in_win}
   AND appointment_id NOT IN (SELECT appointment_id FROM incoming)"""
+    q["vanished_refetch"] = conformed_appointments_ctes() + f""", {select_sql('fact_appointments')
+        .join(['fa AS (', ')'])}, {incoming.replace('FROM fact_appointments', 'FROM fa')},
+gone AS (SELECT DISTINCT appointment_id FROM fa WHERE {in_win}
+  AND appointment_id NOT IN (SELECT appointment_id FROM incoming))
+SELECT appointment_id, office_id, scheduled_date, status, ticket_id FROM conf_appts
+WHERE appointment_id IN (SELECT appointment_id FROM gone)"""
     tickets_in_win = (f"SELECT DISTINCT ticket_id FROM fact_appointments WHERE {in_win} AND ticket_id > 0")
     q["window_ticket_ids"] = cte("fact_appointments") + tickets_in_win
     fi_cols = ", ".join(c for c, _, _ in FIXTURES["fact_ticket_items"].columns)

@@ -68,6 +68,13 @@ def _load_queries() -> dict:
         load(s, sf, "fact_appointments"), window_incoming(s, sf), office, start, end)
     q["window_ticket_ids"] = lambda s, sf: L.window_ticket_ids(load(s, sf, "fact_appointments"), office, start, end)
 
+    def _refetch(s, sf):
+        gone = L.vanished_ids(load(s, sf, "fact_appointments"), window_incoming(s, sf), office, start, end)
+        raw = L.refetch(load(s, sf, "raw_appointments"), gone)
+        return C.conform_appointments(C.real_office(raw), RUN_AT).select(
+            "appointment_id", "office_id", "scheduled_date", "status", "ticket_id")
+    q["vanished_refetch"] = _refetch
+
     def _replace_children(s, sf):
         items = load(s, sf, "fact_ticket_items")
         parents = L.window_ticket_ids(load(s, sf, "fact_appointments"), office, start, end)

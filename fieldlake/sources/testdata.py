@@ -11,7 +11,7 @@ Portability rules: ``||`` instead of concat, explicit CASTs, ``DATE + int``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +35,6 @@ class Fixture:
     where: str | None = None
     join: tuple[str, str] | None = None  # (driver table, join condition)
     copies: tuple[str | None, ...] = (None,)  # UNION ALL of filtered copies
-    tables: tuple[str, ...] = field(default=())
-
-    def inputs(self) -> tuple[str, ...]:
-        return (self.source,) + ((self.join[0],) if self.join else ())
 
 
 # ---------------------------------------------------------------------------

@@ -74,3 +74,30 @@ def test_partitioned_window_load(spark, sf):
     assert sinks.load_window(spark, path, keep_one, 2, "1998-11-01", "1998-12-31")
     left = sinks.read_fact(spark, path).filter("office_id = 2 AND month = DATE'1998-11-01'")
     assert left.count() == 0
+
+
+def test_run_log_sinks(spark, sf):
+    from fieldlake.operators import contacts as G
+    from fieldlake.operators import load as L
+    from fieldlake.registry_ops import crm_existing
+    raw = load(spark, sf, "raw_customers")
+    deduped = G.import_dedupe(G.contactable(G.contacts_import(raw)), crm_existing(spark, sf))
+    review = G.duplicate_review(deduped)
+    p = scratch_path(spark, "review")
+    sinks.write_review(review, p)
+    back = spark.read.option("header", True).csv(p)
+    assert back.columns == ["fr_id", "name", "email", "phone", "matched_on", "office"]
+    assert back.count() == review.count()
+    logp = scratch_path(spark, "importlog")
+    plan = G.import_plan(raw, None, crm_existing(spark, sf), raw.limit(0).selectExpr("customerID AS fr_id"),
+                         dry_run=False)
+    sinks.write_import_log(plan, logp, RUN_AT)
+    assert spark.read.json(f"{logp}/entries").count() == plan.count()
+    stats = {r["action"]: r["customers"] for r in spark.read.json(f"{logp}/stats").collect()}
+    assert stats["created"] == 49
+    hp = scratch_path(spark, "health")
+    offices = spark.createDataFrame([(1,), (2,)], "office_id long")
+    health = L.sync_summary({"appointments": load(spark, sf, "fact_appointments")}, RUN_AT, 2, offices)
+    sinks.write_health(health, hp)
+    sinks.write_health(health, hp)
+    assert spark.read.parquet(hp).count() == 4
