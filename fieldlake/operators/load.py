@@ -187,6 +187,15 @@ def sync_summary(loaded: Mapping[str, DataFrame], run_at, lookback_days: int,
           .alias(f"{e}_synced") for e in SYNC_ENTITIES])
 
 
+def sync_totals(summary: DataFrame) -> DataFrame:
+    """Overall totals of one run's sync_health rows: rows per entity across
+    offices, and how many offices failed (the run fails if any did)."""
+    return summary.agg(
+        *[F.sum(f"{e}_synced").cast("long").alias(f"{e}_synced") for e in SYNC_ENTITIES],
+        F.count_if(F.col("status") == "error").alias("failed_offices"),
+        F.count(F.lit(1)).alias("offices"))
+
+
 def backfill_calendar(spark: SparkSession, as_of, years: int = 5,
                       offices: Iterable[int] = (1, 2)) -> DataFrame:
     """Every (month, office) from the first of as_of's month ``years`` years

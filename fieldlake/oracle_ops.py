@@ -242,6 +242,15 @@ SELECT TIMESTAMP '{RUN_AT}' AS run_at, office_id,
   CAST(CASE WHEN office_id = 2 THEN 0 ELSE nc END AS BIGINT) AS customers_synced,
   CAST(CASE WHEN office_id = 2 THEN 0 ELSE ns END AS BIGINT) AS subscriptions_synced
 FROM n"""
+    body = q["sync_summary"]
+    cut = body.rindex("SELECT TIMESTAMP")
+    q["sync_totals"] = body[:cut] + ", health AS (" + body[cut:] + """)
+SELECT CAST(SUM(appointments_synced) AS BIGINT) AS appointments_synced,
+  CAST(SUM(tickets_synced) AS BIGINT) AS tickets_synced,
+  CAST(SUM(ticket_items_synced) AS BIGINT) AS ticket_items_synced,
+  CAST(SUM(customers_synced) AS BIGINT) AS customers_synced,
+  CAST(SUM(subscriptions_synced) AS BIGINT) AS subscriptions_synced,
+  CAST(COUNT_IF(status = 'error') AS BIGINT) AS failed_offices, COUNT(*) AS offices FROM health"""
     y5 = f"make_date(year(DATE '{CALENDAR_AS_OF}') - 5, month(DATE '{CALENDAR_AS_OF}'), 1)"
     q["backfill_progress"] = cte("fact_appointments") + f""",
 cal AS (SELECT CAST(m AS DATE) AS month_start, o AS office_id

@@ -117,6 +117,7 @@ def _load_queries() -> dict:
                   "subscriptions": sub}
         return L.sync_summary(loaded, RUN_AT, 2, offices, errors)
     q["sync_summary"] = _sync_summary
+    q["sync_totals"] = lambda s, sf: L.sync_totals(_sync_summary(s, sf))
 
     q["backfill_progress"] = lambda s, sf: L.backfill_progress(
         L.backfill_calendar(s, CALENDAR_AS_OF), L.loaded_months(load(s, sf, "fact_appointments")))
