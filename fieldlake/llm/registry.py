@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import functools
 
-from fieldlake.llm import bpe, chat_tree, line_quality, mixing, radix_dedup, simhash
+from pyspark.sql import functions as F
+
+from fieldlake.llm import (
+    bpe, chat_tree, factor_quality, line_chunks, line_quality, mixing, radix_dedup, run_index, simhash, toxic_gru)
 from fieldlake.llm.common import documents, importable
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -17,6 +20,13 @@ def bpe_files() -> tuple[str, str]:
     return public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN
 
 
+def op1_line_chunks(spark, sf):
+    rows, n = line_chunks.deduplicated(documents(spark, sf).select("doc_id", "text"))
+    return rows.select("doc_id", F.col(n).cast("long").alias("chunks_removed"),
+                       F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_bpe(spark, sf):
     return bpe.round_trip(documents(spark, sf), *bpe_files())
 
@@ -38,6 +48,35 @@ def op5_line_quality(spark, sf):
     return line_quality.judged(documents(spark, sf)).drop("clean_text")
 
 
+def _fold(key, folds):
+    """The fold of an id: the CRC-32 of its decimal text modulo ``folds``."""
+    return F.crc32(key.cast("string").cast("binary")) % folds
+
+
+def toxic_network(spark, sf):
+    return toxic_gru.trained(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"),
+                             lambda key: _fold(key, 3) != 1)
+
+
+def op6_toxic_gru(spark, sf):
+    rows, score = toxic_gru.scored(documents(spark, sf).select("doc_id", "text"), toxic_network(spark, sf))
+    return rows.select("doc_id", (_fold(F.col("doc_id"), 3) == 1).alias("held_out"), F.col(score).alias("score"),
+                       (F.col(score) >= 0.7).cast("int").alias("predicted"))
+
+
+def op7_factor_quality(spark, sf):
+    docs = documents(spark, sf)
+    machine = factor_quality.fitted(docs, spark.read.parquet(f"{sf}/labels.parquet"),
+                                    lambda key: _fold(key, 5) != 0, length_col="n_chars")
+    rows = factor_quality.scored(docs, machine, length_col="n_chars")
+    return rows.select("doc_id", (_fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                       (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op8_run_index(spark, sf):
+    return run_index.long_repeats(documents(spark, sf)).drop("spans")
+
+
 def op9_simhash(spark, sf):
     return simhash.simhash(documents(spark, sf))
 
@@ -46,7 +85,8 @@ def op10_radix_dedup(spark, sf):
     return radix_dedup.exact_groups(documents(spark, sf))
 
 
-QUERIES = (op2_bpe, op3_chat_tree, op4_mixing, op5_line_quality, op9_simhash, op10_radix_dedup)
+QUERIES = (op1_line_chunks, op2_bpe, op3_chat_tree, op4_mixing, op5_line_quality, op6_toxic_gru,
+           op7_factor_quality, op8_run_index, op9_simhash, op10_radix_dedup)
 
 
 def _registered(query):
