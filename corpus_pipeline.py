@@ -9,13 +9,27 @@ columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldlake.llm import bpe, mixing, registry, simhash
-from fieldlake.llm.common import documents, importable
+from fieldlake.llm import bpe, line_chunks, mixing, registry, simhash, toxic_gru
+from fieldlake.llm.common import col, documents, importable
 from fieldlake.session import scratch_path
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.7 or more go; a text without words is clean."""
+    return toxic_gru.clean(docs, registry.toxic_network(spark, sf_dir))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts lose the line chunks that stand elsewhere already; n_chars is
+    counted anew where there is one."""
+    rows, _ = line_chunks.deduplicated(docs)
+    kinds = dict(docs.dtypes)
+    n = F.char_length("text").cast(kinds["n_chars"]) if "n_chars" in kinds else None
+    return rows.select(*[n.alias(c) if c == "n_chars" else col(c) for c in docs.columns])
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.deduplicated(docs)
 
@@ -29,7 +43,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encoded(docs, path, pattern)
 
 
-STAGES = [("near_dedup", near_dedup), ("mix", mix), ("encode", encode)]
+STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mix", mix), ("encode", encode)]
 
 #: The first stage is a trained model, which SQL cannot express.
 ORACLE_SQL = None
