@@ -7,10 +7,13 @@ document alone in its group is done; so is a group whose bytes have ended,
 and its members are equal. Only the others go on to the next level, which
 reads ``GROW`` times as many bytes.
 
-Sizes: a level counts its groups with map-side partial sums, so a group of
-copies, however large, is one row per map task. Rows meet their group's
-count in a sort-merge join, whose skewed partitions Spark splits. The number
-of levels is the logarithm of the longest text.
+Sizes: the first level moves no text, only lengths, first bytes and ids.
+Texts of groups of two or more are shuffled once to meet their group and cut
+off; later levels work on these alone. A level counts its groups with
+map-side partial sums, so a group of copies, however large, is one row per
+map task. Rows meet their group's count in a sort-merge join, whose skewed
+partitions Spark splits. The number of levels is the logarithm of the longest
+text.
 
 Defined cases: a null text is an empty one; empty texts are equal to each
 other; a null id never outranks another id and is kept only when no text of
@@ -21,43 +24,71 @@ read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import hashlib
 
-from fieldlake.llm.common import col
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F
+
+from fieldlake.llm.common import col, pinned
 
 FIRST = 16
 GROW = 64
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def ascii_lower(text: Column) -> Column:
-    """Lower-case A-Z and nothing else."""
-    only_ascii = F.octet_length(text) == F.char_length(text)
-    return F.when(only_ascii, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+def _lower(texts: pa.Array) -> pa.Array:
+    """The bytes, with A-Z and nothing else in lower case."""
+    return pc.cast(pc.ascii_lower(pc.fill_null(pc.cast(texts, pa.string()), "")), pa.binary())
+
+
+def _heads(batches):
+    for batch in batches:
+        body = _lower(batch.column(1))
+        sha = [hashlib.sha256(x.as_buffer()).hexdigest() for x in body]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pc.cast(pc.binary_length(body), pa.int32()), pc.binary_slice(body, 0, FIRST),
+             pa.array(sha, pa.string())], ["id", "n", "read", "sha"])
+
+
+def _bodies(batches):
+    for batch in batches:
+        body = _lower(batch.column(1))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pc.cast(pc.binary_length(body), pa.int32()), pc.binary_slice(body, 0, FIRST), body],
+            ["id", "n", "read", "body"])
+
+
+def _split(rows: DataFrame) -> DataFrame:
+    """Rows with the size and the largest id of their group."""
+    groups = rows.groupBy("n", "read").agg(F.count(F.lit(1)).alias("size"), F.max("id").alias("keep"))
+    return rows.join(groups, ["n", "read"])
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its id, ``keep_id`` (the largest id of the equal
-    texts), ``group_size``, ``kept`` and ``body`` digest ``text_sha256`` (an
-    output only)."""
-    text = F.coalesce(col(text_col), F.lit(""))
-    longest = docs.agg(F.max(F.octet_length(text))).first()[0] or 0
-    body = ascii_lower(text).cast("binary")
-    rows = docs.select(col(id_col).alias("id"), body.alias("body")).select(
-        "id", "body", F.octet_length("body").alias("n"), F.sha2("body", 256).alias("sha"))
-
-    done, width = [], FIRST
-    while True:
-        rows = rows.withColumn("read", F.expr(f"substring(body, 1, {width})"))
-        groups = rows.groupBy("n", "read").agg(F.count(F.lit(1)).alias("size"), F.max("id").alias("keep"))
-        met = rows.join(groups, ["n", "read"])
-        last = width >= longest
-        ended = (F.col("size") == 1) | (F.col("n") <= width)
-        done.append((met if last else met.where(ended)).select("id", "keep", "size", "sha"))
-        if last:
-            break
-        rows = met.where(~ended).select("id", "body", "n", "sha")
+    texts), ``group_size``, ``kept`` and ``text_sha256`` of the lower-cased
+    text (an output only)."""
+    longest = docs.agg(F.max(F.octet_length(col(text_col)))).first()[0] or 0
+    rows = docs.select(col(id_col), col(text_col))
+    kind = docs.schema[id_col].dataType.simpleString()
+    outputs = ["id", "keep", "size", "sha"]
+
+    heads = rows.mapInArrow(_heads, f"id {kind}, n int, read binary, sha string")
+    first = _split(heads)
+    alone = (F.col("size") == 1) | (F.col("n") <= FIRST)
+    done = [first.where(alone).select(*outputs)]
+    if longest > FIRST:
+        open_ = (heads.groupBy("n", "read").agg(F.count(F.lit(1)).alias("c"))
+                 .where((F.col("c") > 1) & (F.col("n") > FIRST)).select("n", "read"))
+        live = pinned(rows.mapInArrow(_bodies, f"id {kind}, n int, read binary, body binary")
+                      .join(open_, ["n", "read"]).select("id", "n", "body"))
+    width = FIRST
+    while width < longest:
         width *= GROW
+        met = _split(live.withColumn("read", F.expr(f"substring(body, 1, {width})")))
+        ended = (F.col("size") == 1) | (F.col("n") <= width)
+        done.append(met.where(ended).select("id", "keep", "size", F.sha2("body", 256).alias("sha")))
+        live = met.where(~ended).select("id", "n", "body")
 
     out = done[0]
     for part in done[1:]:
