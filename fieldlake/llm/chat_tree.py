@@ -34,7 +34,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fieldlake.llm.common import col
+from fieldlake.llm.common import col, pinned
 
 START, END, LEARNT = "<|im_start|>", "<|im_end|>\n", "assistant"
 PACK = 4_000_000  # characters of different conversations in one tree
@@ -142,8 +142,8 @@ def trees(convs: DataFrame, most: int = PACK) -> DataFrame:
     one = one.select("path", "c.*", chars.alias("chars"))
 
     def large(key: str, name: str) -> DataFrame:
-        return (one.groupBy(F.col(key).alias(f"{name}_key")).agg(F.sum("chars").alias(name))
-                .where(F.col(name) > most))
+        return pinned(one.groupBy(F.col(key).alias(f"{name}_key")).agg(F.sum("chars").alias(name))
+                      .where(F.col(name) > most))
 
     firsts, seconds = large("first", "of_first"), large("second", "of_second")
     split = (one.join(firsts, F.col("first") == F.col("of_first_key"), "left")

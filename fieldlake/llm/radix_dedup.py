@@ -58,10 +58,11 @@ def _bodies(batches):
             ["id", "n", "read", "body"])
 
 
-def _split(rows: DataFrame) -> DataFrame:
-    """Rows with the size and the largest id of their group."""
-    groups = rows.groupBy("n", "read").agg(F.count(F.lit(1)).alias("size"), F.max("id").alias("keep"))
-    return rows.join(groups, ["n", "read"])
+def _groups(rows: DataFrame) -> DataFrame:
+    """The groups of two or more, written out: as a table of its own its join
+    with the rows is one whose skewed partitions Spark can split."""
+    return pinned(rows.groupBy("n", "read").agg(F.count(F.lit(1)).alias("size"), F.max("id").alias("keep"))
+                  .where("size > 1"))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -71,24 +72,23 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     longest = docs.agg(F.max(F.octet_length(col(text_col)))).first()[0] or 0
     rows = docs.select(col(id_col), col(text_col))
     kind = docs.schema[id_col].dataType.simpleString()
-    outputs = ["id", "keep", "size", "sha"]
+    alone = [F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("keep")).alias("keep"),
+             F.coalesce("size", F.lit(1).cast("long")).alias("size")]
 
     heads = rows.mapInArrow(_heads, f"id {kind}, n int, read binary, sha string")
-    first = _split(heads)
-    alone = (F.col("size") == 1) | (F.col("n") <= FIRST)
-    done = [first.where(alone).select(*outputs)]
-    if longest > FIRST:
-        open_ = (heads.groupBy("n", "read").agg(F.count(F.lit(1)).alias("c"))
-                 .where((F.col("c") > 1) & (F.col("n") > FIRST)).select("n", "read"))
-        live = pinned(rows.mapInArrow(_bodies, f"id {kind}, n int, read binary, body binary")
-                      .join(open_, ["n", "read"]).select("id", "n", "body"))
-    width = FIRST
+    groups, width = _groups(heads.select("id", "n", "read")), FIRST
+    ended = F.col("size").isNull() | (F.col("n") <= width)
+    done = [heads.join(groups, ["n", "read"], "left").where(ended).select("id", *alone, "sha")]
+    live = rows.mapInArrow(_bodies, f"id {kind}, n int, read binary, body binary")
     while width < longest:
+        live = pinned(live.join(groups.where(F.col("n") > width).select("n", "read"), ["n", "read"])
+                      .select("id", "n", "body"))
         width *= GROW
-        met = _split(live.withColumn("read", F.expr(f"substring(body, 1, {width})")))
-        ended = (F.col("size") == 1) | (F.col("n") <= width)
-        done.append(met.where(ended).select("id", "keep", "size", F.sha2("body", 256).alias("sha")))
-        live = met.where(~ended).select("id", "n", "body")
+        live = live.withColumn("read", F.expr(f"substring(body, 1, {width})"))
+        groups = _groups(live.select("id", "n", "read"))
+        ended = F.col("size").isNull() | (F.col("n") <= width)
+        done.append(live.join(groups, ["n", "read"], "left").where(ended)
+                    .select("id", *alone, F.sha2("body", 256).alias("sha")))
 
     out = done[0]
     for part in done[1:]:

@@ -337,9 +337,9 @@ def long_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = numbered(docs, id_col, text_col)
     bitmap = spark.sparkContext.broadcast(repeated_anchors(rows))
     firsts = pinned(first_contexts(rows, bitmap))
-    kinds = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.sum(F.col("n") + LENGTH).alias("bytes"))
-    several = firsts.join(kinds.where("kinds > 1"), "anchor").select(
-        "anchor", "kinds", "n", "bytes", F.col("first.ord").alias("ord"), F.col("first.at").alias("at"))
+    kinds = pinned(firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
+    several = firsts.join(kinds, "anchor").select(
+        "anchor", "kinds", "n", F.col("first.ord").alias("ord"), F.col("first.at").alias("at"))
     total = several.where(F.col("kinds") <= many).agg(F.sum(F.col("n") + LENGTH)).first()[0] or 0
     few = _fetch(rows, several.where(F.col("kinds") <= many))
     shards = F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-total // shard))))

@@ -151,12 +151,14 @@ def components(edges: DataFrame) -> DataFrame:
     edges = pinned(edges.where("u <> v").distinct())
     while True:
         both = edges.union(edges.select("v", "u"))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).select(F.col("u").alias("x"), "m")
+        # written out, so that Spark can split the join of a node with many neighbours
+        low = pinned(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+                     .select(F.col("u").alias("x"), "m"))
         large = (both.join(low, F.col("u") == F.col("x")).where("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
         # small-star: each node and its smaller neighbours go to the smallest of them
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), "m")
+        down = pinned(large).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        least = pinned(down.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), "m"))
         small = (down.join(least, F.col("u") == F.col("x")).select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(least.select(F.col("x"), F.col("m"))).where("u <> v").distinct())
         after = pinned(small)
