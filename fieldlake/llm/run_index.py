@@ -36,6 +36,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from fieldlake.llm.common import col, pinned
@@ -181,14 +182,15 @@ class RunIndex:
     def __init__(self, text: np.ndarray, start: np.ndarray):
         """start: the start of the window at each place, as one number."""
         n = len(text)
-        rank, size = self._by_eight(text), 8
-        for step in (8, 16, 32, LENGTH - 64):
-            rank = self._join(rank, step)
-            size += step
-        order = np.lexsort((np.arange(n), rank))
+        order, rank = self._by_eight(text)
+        size = 8
+        while size < LENGTH:
+            steps = (size, 2 * size) if 3 * size <= LENGTH and n < 1 << 21 else (min(size, LENGTH - size),)
+            order, rank = self._join(rank, steps)
+            size += steps[-1]
         head = np.flatnonzero(np.diff(rank[order], prepend=-1))
-        self.heads = head
-        self.earliest = np.minimum.reduceat(start[order], head)  # the sample of each class
+        self.head_of = head[rank[order]]  # the first row of each row's class
+        self.earliest = np.minimum.reduceat(start[order], head)[rank[order]]  # the sample of each class
         bwt = text[order - 1]
         first = np.flatnonzero(np.diff(bwt.astype(np.int16), prepend=-1))
         size = np.diff(np.append(first, n))
@@ -211,17 +213,23 @@ class RunIndex:
         return RunIndex._ranks(key)
 
     @staticmethod
-    def _ranks(key: np.ndarray) -> np.ndarray:
+    def _ranks(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The order of the keys, and each one's rank; equal keys rank alike."""
         order = np.argsort(key)
-        new = np.diff(key[order], prepend=key[order[:1]]) != 0
+        ordered = key[order]
         rank = np.empty(len(key), np.int64)
-        rank[order] = np.cumsum(new)
-        return rank
+        rank[order] = np.cumsum(np.diff(ordered, prepend=ordered[:1]) != 0)
+        return order, rank
 
     @staticmethod
-    def _join(rank: np.ndarray, step: int) -> np.ndarray:
-        after = np.concatenate([rank[step:] + 1, np.zeros(min(step, len(rank)), np.int64)])
-        return RunIndex._ranks((rank.astype(np.uint64) << np.uint64(32)) | after.astype(np.uint64))
+    def _join(rank: np.ndarray, steps: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks by this rank and those so many bytes further on."""
+        key, bits = rank.astype(np.uint64), np.uint64(32 if len(steps) == 1 else 21)
+        for step in steps:
+            after = np.zeros(len(rank), np.uint64)
+            after[:len(rank) - step] = rank[step:] + 1
+            key = (key << bits) | after
+        return RunIndex._ranks(key)
 
     def back(self, row: np.ndarray, char: np.ndarray) -> np.ndarray:
         """The first row whose suffix is ``char`` and one from ``row`` on."""
@@ -233,8 +241,7 @@ class RunIndex:
 
     def starts(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The class of each row: its first row and its sample."""
-        k = np.searchsorted(self.heads, row, side="right") - 1
-        return self.heads[k], self.earliest[k]
+        return self.head_of[row], self.earliest[row]
 
 
 def repeats_in(pieces: list[bytes], order: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
@@ -311,16 +318,18 @@ def _packed(batches):
                                          ["ord", "at", "mark"])
 
 
-def _cover(text: bytes, bitmap: np.ndarray, listed: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-    """Start and stop of each run of removed bytes."""
+def _cover(text: bytes, bitmap: np.ndarray, listed: np.ndarray, marks: list) -> tuple[np.ndarray, np.ndarray]:
+    """Start and stop of each run of removed bytes; listed: where the listed
+    contexts start, marks: their marks, none where no window is a repeat."""
     anchor, at, n = contexts(text)
     if not len(at):
         return at, at
-    hit = np.repeat(_seen(bitmap, anchor), n)
-    size = dict(zip(at.tolist(), n.tolist(), strict=True))
-    for x in listed:
-        a, m = x["at"], size[x["at"]]
-        hit[a:a + m] = np.unpackbits(np.frombuffer(x["mark"], np.uint8), count=m) if x["mark"] else 0
+    seen, own = _seen(bitmap, anchor), np.searchsorted(at, listed)
+    seen[own] = False
+    hit = np.repeat(seen, n)
+    for a, m, mark in zip(listed.tolist(), n[own].tolist(), marks, strict=True):
+        if mark is not None:
+            hit[a:a + m] = np.unpackbits(np.frombuffer(mark, np.uint8), count=m)
     edge = np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))
     start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) + LENGTH - 1
     if len(start):  # runs whose bytes overlap or touch are one
@@ -355,9 +364,13 @@ def long_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches):
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
-            for text, marked in zip(batch.column(1), batch.column(2), strict=True):
+            lists = batch.column(2)
+            inside = lists.flatten()
+            places, marks = inside.field("at").to_numpy(zero_copy_only=False), inside.field("mark").to_pylist()
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+            for text, first, last in zip(batch.column(1), [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
                 data = _bytes(text)
-                start, stop = _cover(data, bitmap.value, marked.as_py() or [])
+                start, stop = _cover(data, bitmap.value, places[first:last], marks[first:last])
                 digest, at = hashlib.sha256(), 0
                 for a, b in zip(start.tolist(), stop.tolist(), strict=True):
                     digest.update(data[at:a])
