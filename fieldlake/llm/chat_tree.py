@@ -37,10 +37,11 @@ from pyspark.sql import DataFrame, functions as F
 from fieldlake.llm.common import col, pinned
 
 START, END, LEARNT = "<|im_start|>", "<|im_end|>\n", "assistant"
-PACK = 4_000_000  # characters of different conversations in one tree
-CONTROL = ("<|im_start|>", "<|im_end|>", "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
-_RAW = re.compile("|".join(f"{re.escape(c[0])}(\\\\*){re.escape(c[1:])}" for c in CONTROL))
-_ESCAPED = re.compile("|".join(f"{re.escape(c[0])}\\\\(\\\\*){re.escape(c[1:])}" for c in CONTROL))
+PACK = 250_000  # characters of different conversations in one tree
+CONTROL = ("<|im_start|>", "<|im_end|>", "<|endoftext|>", "<s>", "</s>", "<<SYS>>", "<</SYS>>", "[INST]", "[/INST]")
+_AFTER = {c: "|".join(re.escape(x[1:]) for x in CONTROL if x[0] == c) for c in "<["}
+_RAW = re.compile("|".join(f"{re.escape(c)}\\\\*(?:{after})" for c, after in _AFTER.items()))
+_ESCAPED = re.compile("|".join(f"{re.escape(c)}\\\\+(?:{after})" for c, after in _AFTER.items()))
 _TURN = re.compile(r"<\|im_start\|>(.*?)\n(.*?)<\|im_end\|>\n", re.S)
 
 TREES = ("tree string, text string, loss array<struct<start:long,stop:long>>, "
@@ -50,10 +51,14 @@ READ = "path string, n_turns long, turns_sha256 string, loss_chars long, loss_sh
 
 
 def escape(text: str) -> str:
+    if "<" not in text and "[" not in text:
+        return text
     return _RAW.sub(lambda m: m[0][0] + "\\" + m[0][1:], text)
 
 
 def unescape(text: str) -> str:
+    if "<" not in text and "[" not in text:
+        return text
     return _ESCAPED.sub(lambda m: m[0][0] + m[0][2:], text)
 
 

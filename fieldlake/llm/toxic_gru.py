@@ -27,6 +27,7 @@ read, and pass through ``clean`` unchanged, whatever their names.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ SAMPLE, LONGEST, ROUNDS, SEED = 1500, 20_000, 14, 3
 WINDOW, STRIDE = 24, 16
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 6, 6
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 17, 1 << 17
-_MEMO, _PART = 300_000, 2048  # words kept; windows scored at a time
+_MEMO, _PART, _WORDS = 300_000, 2048, 20_000  # words kept; windows, words worked on at a time
 _EDGE = " \t\n\r\x0b\x0c.,;:!?\"'()[]{}*#$%&<>|«»…"
 DIM = WORD_DIM + CHAR_DIM + 1
 
@@ -59,7 +60,7 @@ class Grams:
         data = np.frombuffer(b"".join(marked) + bytes(4), np.uint8).astype(np.uint32)
         n = int(end[-1]) if len(end) else 0
         left = np.repeat(end, size) - np.arange(n)
-        self.buckets = np.zeros((n, 3), np.int64)
+        self.buckets = np.zeros((n, 3), np.int32)
         h = (data[:n] * np.uint32(0x01000193) ^ data[1:n + 1]) * np.uint32(0x01000193)
         for k in range(3):
             h = (h ^ data[k + 2:k + 2 + n]) * np.uint32(0x01000193)
@@ -70,12 +71,19 @@ class Grams:
 
     def vectors(self, table: np.ndarray) -> np.ndarray:
         """Mean of the words' n-gram vectors, and the largest first number."""
-        total, largest = 0, 0
-        for k in range(3):
-            rows = table[self.buckets[:, k]]
-            total = total + np.add.reduceat(rows, self.first)
-            largest = np.maximum(largest, np.maximum.reduceat(rows[:, :1], self.first))
-        return np.hstack([total / self.count[:, None], largest])
+        out = np.empty((len(self.first), CHAR_DIM + 1), table.dtype)
+        ends = np.append(self.first[1:], len(self.buckets))
+        for i in range(0, len(out), _WORDS):  # a bounded part of the rows at a time
+            first = self.first[i:i + _WORDS]
+            part = self.buckets[first[0]:ends[i:i + _WORDS][-1]]
+            total, largest, at = 0, 0, first - first[0]
+            for k in range(3):
+                rows = table[part[:, k]]
+                total = total + np.add.reduceat(rows, at)
+                largest = np.maximum(largest, np.maximum.reduceat(rows[:, 0], at))
+            out[i:i + _WORDS, :-1] = total / self.count[i:i + _WORDS, None]
+            out[i:i + _WORDS, -1] = largest
+        return out
 
     def add(self, table: np.ndarray, change: np.ndarray) -> None:
         """Add to the vectors a share of the change of their words' mean."""
@@ -258,12 +266,13 @@ class Scorer:
         return best
 
 
-def _log_odds(net: Network, texts: list[list[str]], y: np.ndarray) -> None:
-    """The first number of each vector starts as its bucket's log-odds."""
+def _log_odds(net: Network, texts: Iterable[list[str]], again: Iterable[list[str]], y: np.ndarray) -> None:
+    """texts, and again: the words of each text. The first number of each vector starts as its bucket's log-odds."""
     n = np.bincount(y.astype(int), minlength=2)
-    for table, buckets in (("word", lambda t: [word_bucket(w) for w in t]), ("char", lambda t: Grams(t).buckets)):
+    for table, each, buckets in (("word", texts, lambda t: [word_bucket(w) for w in t]),
+                                 ("char", again, lambda t: Grams(t).buckets)):
         seen = np.zeros((2, len(net.p[table])))
-        for words, label in zip(texts, y, strict=True):
+        for words, label in zip(each, y, strict=True):
             if words:
                 seen[int(label), np.unique(buckets(words))] += 1
         odds = np.log((seen[1] + 0.5) / (n[1] + 1)) - np.log((seen[0] + 0.5) / (n[0] + 1))
@@ -276,17 +285,16 @@ def train(texts: list[str], y: np.ndarray, rounds: int = ROUNDS, seed: int = SEE
     if len(set(y.tolist())) < 2:
         net.constant = float(y.mean()) if len(y) else 0.0
         return net
-    split = [t.split() for t in texts]
     names: dict[str, int] = {"": 0}
-    ids = [np.array([names.setdefault(normal(w), len(names)) for w in words], np.int64) for words in split]
+    ids = [np.array([names.setdefault(normal(w), len(names)) for w in t.split()], np.int32) for t in texts]
     vocabulary = list(names)
-    _log_odds(net, [[vocabulary[i] for i in np.unique(x)] for x in ids], y)
+    _log_odds(net, *(([vocabulary[i] for i in np.unique(x)] for x in ids) for _ in range(2)), y)
     words = np.array([word_bucket(w) if w else 0 for w in vocabulary])
     chars = Grams(vocabulary)
     index, of = [], []
     for k, x in enumerate(ids):
         s = windows(len(x))
-        padded = np.concatenate([x, np.zeros(max(0, int(s[-1]) + WINDOW - len(x)), np.int64)])
+        padded = np.concatenate([x, np.zeros(max(0, int(s[-1]) + WINDOW - len(x)), np.int32)])
         index.append(padded[s[None, :] + np.arange(WINDOW)[:, None]])
         of.append(np.full(len(s), k))
     index, of = np.concatenate(index, axis=1), np.concatenate(of)
