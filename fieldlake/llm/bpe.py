@@ -8,8 +8,9 @@ by the vocabulary's pattern, pre-tokens are encoded one by one, and ids are
 decoded by the inverse mapping.
 
 Rows are independent: one map over the table without a shuffle. A worker
-keeps the ids of the pre-tokens it has met, in a table that is emptied when
-it holds ``MEMO`` of them; a long text is held once with its ids.
+keeps the ids of the pre-tokens it has met, packed, in a table that is emptied
+when it holds ``MEMO`` of them and at the end of a partition; a long text is
+held once with its ids.
 
 Defined cases: a null text is an empty one and has no ids; repeated rows are
 encoded alike; an empty table gives an empty table; further columns pass
@@ -21,15 +22,15 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from fieldlake.llm.common import col, columns_of, fresh
+from fieldlake.llm.common import col, columns_of, fresh, slices
 
-MEMO = 400_000
+MEMO = 200_000
 
 
 def byte_characters() -> list[str]:
@@ -90,12 +91,13 @@ class Codec:
         import sentencepiece
 
         self.ranks = read_ranks(ranks_path)
-        proto, self.rank_of = model_proto(self.ranks)
+        proto, rank_of = model_proto(self.ranks)
+        self.packed = [max(r, 0).to_bytes(4, "little") for r in rank_of]
         self.model = sentencepiece.SentencePieceProcessor(model_proto=proto)
         self.chars = dict(enumerate(byte_characters()))
         self.split = regex.compile(pattern).findall
         self.bytes_of: dict[int, bytes] = {r: p for p, r in self.ranks.items()}
-        self.memo: dict[str, list[int]] = {}
+        self.memo: dict[str, bytes] = {}  # a pre-token's ids as 4-byte integers
 
     def _learn(self, tokens: set[str]) -> None:
         new = [t for t in tokens if t not in self.memo]
@@ -107,20 +109,21 @@ class Codec:
             if rank is None:
                 hard.append(t)
             else:
-                self.memo[t] = [rank]
+                self.memo[t] = rank.to_bytes(4, "little")
         mapped = [t.encode().decode("latin-1").translate(self.chars) for t in hard]
         for t, ids in zip(hard, self.model.encode(mapped, num_threads=1) if mapped else [], strict=True):
-            self.memo[t] = [self.rank_of[i] for i in ids]
+            self.memo[t] = b"".join([self.packed[i] for i in ids])
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         tokens = self.split(text)
         try:
-            return list(chain.from_iterable(map(self.memo.__getitem__, tokens)))
+            ids = b"".join(map(self.memo.__getitem__, tokens))
         except KeyError:
             self._learn(set(tokens))
-            return list(chain.from_iterable(map(self.memo.__getitem__, tokens)))
+            ids = b"".join(map(self.memo.__getitem__, tokens))
+        return np.frombuffer(ids, dtype="<i4")
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
@@ -151,25 +154,15 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "tex
         c = codec(ranks_path, pattern)
         for batch in batches:
             for one in slices(batch, at):
-                ids = pa.array([c.encode(t) for t in _texts(one.column(at))], pa.list_(pa.int32()))
+                lists = [c.encode(t) for t in _texts(one.column(at))]
+                ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists)))
                 yield pa.RecordBatch.from_arrays([*one.columns, ids], [*one.schema.names, name])
+        c.memo = {}
 
     return docs.select(*columns_of(docs)).mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch, at: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """``batch`` in parts of about ``most`` bytes of text, a row at least."""
-    import numpy as np
-    import pyarrow.compute as pc
-
-    n = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(n, dtype="i8") // most
-    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(n)]
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """Per document the number of ids, the SHA-256 of the decimal ids joined
@@ -181,13 +174,14 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
         for batch in batches:
             n, ids_sha, text_sha = [], [], []
             for text in _texts(batch.column(1)):
-                ids = c.encode(text)
+                ids = c.encode(text).tolist()
                 n.append(len(ids))
                 ids_sha.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
                 text_sha.append(hashlib.sha256(c.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),
                  pa.array(text_sha, pa.string())], [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+        c.memo = {}
 
     kind = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField(id_col, kind), T.StructField("n_tokens", T.LongType()),

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldlake.session import ensure_checkpoint_dir
@@ -55,5 +59,15 @@ def importable(spark) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+def slices(batch: pa.RecordBatch, at: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """``batch`` in parts of about ``most`` bytes of text, a row at least."""
+    n = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(n, dtype="i8") // most
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(n)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -31,7 +31,7 @@ from fieldlake.llm.common import col
 
 SAMPLE, BUCKETS, FACTORS, EPOCHS = 4000, 1 << 14, 8, 12
 STATS = 16
-_MEMO = 1_000_000
+_MEMO = 200_000
 _PART = 1 << 16  # words looked up at a time
 
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from fieldlake.llm.common import col, columns_of, fresh, pinned
+from fieldlake.llm.common import col, columns_of, fresh, pinned, slices
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 TILE = 4096
@@ -64,19 +64,23 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def with_fingerprint(docs: DataFrame, text_col: str = "text", fp_col: str = "fp",
-                     shingle: int = SHINGLE) -> tuple[DataFrame, str]:
-    (name,) = fresh(docs, fp_col)
-    at = docs.columns.index(text_col)
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 shingle: int = SHINGLE) -> DataFrame:
+    """(id, row, own): each row's id, the hash of its text (null: empty),
+    which tells rows of one id apart, and its fingerprint."""
+    text = F.coalesce(col(text_col), F.lit(""))
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("row", T.LongType()),
+                           T.StructField("own", T.LongType())])
 
     def run(batches):
         for batch in batches:
-            low = pc.ascii_lower(pc.cast(batch.column(at), pa.string()))
-            fps = pa.array([signed(fingerprint((x.as_py() or "").encode(), shingle)) for x in low], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, fps], [*batch.schema.names, name])
+            for part in slices(batch, 2):
+                low = pc.ascii_lower(pc.cast(part.column(2), pa.string()))
+                fps = [signed(fingerprint(x.as_py().encode(), shingle)) for x in low]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fps, pa.int64())],
+                                                 ["id", "row", "own"])
 
-    return docs.select(*columns_of(docs)).mapInArrow(run, schema), name
+    return docs.select(col(id_col), F.xxhash64(text), text).mapInArrow(run, schema)
 
 
 def _quarters(fp):
@@ -183,8 +187,7 @@ def classes(rows: DataFrame, id_col: str, fp_col: str, radius: int = RADIUS) ->
 def simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
             radius: int = RADIUS) -> DataFrame:
     """Per document its fingerprint and the smallest id it is linked to."""
-    rows, fp = with_fingerprint(docs.select(col(id_col), col(text_col)), text_col, "fp", shingle)
-    rows = pinned(rows.select(col(id_col).alias("id"), col(fp).alias("own")))
+    rows = pinned(fingerprints(docs, id_col, text_col, shingle))
     of = classes(rows, "id", "own", radius)
     return rows.join(of, F.col("own") == F.col("fp")).select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("own")), 16, "0").alias("fingerprint"), "component_id")
@@ -193,21 +196,21 @@ def simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                  radius: int = RADIUS) -> DataFrame:
     """``docs`` with the document of the smallest id of each group; where
-    several rows have that id, one of the smallest fingerprint and text."""
-    rows, fp = with_fingerprint(docs, text_col, "fp", shingle)
-    slim = pinned(rows.select(col(id_col).alias("id"), col(fp).alias("own")))
+    several rows have that id, one of them."""
+    slim = pinned(fingerprints(docs, id_col, text_col, shingle))
     of = classes(slim, "id", "own", radius)
     best = (slim.join(of, F.col("own") == F.col("fp")).where(F.col("id").eqNullSafe(F.col("component_id")))
-            .groupBy("root", "component_id").agg(F.min("own").alias("own")))
-    a, b = fresh(rows, "keep_id", "keep_fp")
-    keep = best.select(F.col("component_id").alias(a), F.col("own").alias(b))
-    kept = rows.join(keep, col(id_col).eqNullSafe(F.col(a)) & (col(fp) == F.col(b)))
-    return _one_each(kept, [a, b], columns_of(docs), text_col)
+            .groupBy("root", "component_id").agg(F.min("row").alias("row")))
+    a, b, c = fresh(docs, "keep_id", "keep_row", "keep_root")
+    keep = best.select(F.col("component_id").alias(a), F.col("row").alias(b), F.col("root").alias(c))
+    own = F.xxhash64(F.coalesce(col(text_col), F.lit("")))
+    kept = docs.join(keep, col(id_col).eqNullSafe(F.col(a)) & (own == F.col(b)))
+    return _one_each(kept, [a, b, c], columns_of(docs), text_col)
 
 
 def _one_each(rows: DataFrame, key: list[str], columns: list, text_col: str) -> DataFrame:
-    """One row per key: repeated rows of one id and fingerprint are few unless
-    the table repeats rows, so the smallest text of a key is aggregated."""
+    """One row per key; rows that repeat id and text are aggregated to the
+    smallest."""
     (packed,) = fresh(rows, "packed")
     names = [c for c in rows.columns if c not in key]
     order = [text_col, *[c for c in names if c != text_col]]

@@ -15,7 +15,8 @@ vectors left out.
 
 Scoring is a map over whole texts without a shuffle. Windows are scored in
 parts of fixed size, and the projections of the words met are kept in a table
-that is emptied when full, so memory does not grow with the text's windows.
+that is emptied when full and at the end of a partition, so memory
+does not grow with the text's windows.
 
 Defined cases: a null or empty text is one window without a word; labels that
 are null or belong to no row are not learnt from; without labels of both
@@ -33,13 +34,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from fieldlake.llm.common import col, columns_of, fresh
+from fieldlake.llm.common import col, columns_of, fresh, slices
 
 SAMPLE, LONGEST, ROUNDS, SEED = 1500, 20_000, 14, 3
 WINDOW, STRIDE = 24, 16
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 6, 6
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 17, 1 << 17
-_MEMO, _PART, _WORDS = 300_000, 2048, 20_000  # words kept; windows, words worked on at a time
+_MEMO, _PART, _WORDS = 160_000, 2048, 20_000  # words kept; windows, words worked on at a time
 _EDGE = " \t\n\r\x0b\x0c.,;:!?\"'()[]{}*#$%&<>|«»…"
 DIM = WORD_DIM + CHAR_DIM + 1
 
@@ -351,13 +352,12 @@ def scored(docs: DataFrame, net: Network, text_col: str = "text", score_col: str
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 
     def run(batches):
-        from fieldlake.llm.bpe import slices
-
         for batch in batches:
             for part in slices(batch, at, 1 << 20):
                 texts = [x.as_py() or "" for x in part.column(at)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(_score(shared.value, texts), pa.float64())],
                                                  [*part.schema.names, name])
+        _scorers.clear()  # an idle worker keeps nothing
 
     return docs.select(*columns_of(docs)).mapInArrow(run, schema), name
 
