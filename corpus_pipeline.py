@@ -12,18 +12,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldlake.llm import bpe, line_chunks, mixing, registry, simhash, toxic_gru
-from fieldlake.llm.common import col, documents, importable
+from fieldlake.llm.common import col, documents, prepared
 from fieldlake.session import scratch_path
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.7 or more go; a text without words is clean."""
+    prepared(spark)
     return toxic_gru.clean(docs, registry.toxic_network(spark, sf_dir))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose the line chunks that stand elsewhere already; n_chars is
     counted anew where there is one."""
+    prepared(spark)
     rows, _ = line_chunks.deduplicated(docs)
     kinds = dict(docs.dtypes)
     n = F.char_length("text").cast(kinds["n_chars"]) if "n_chars" in kinds else None
@@ -31,14 +33,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepared(spark)
     return simhash.deduplicated(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepared(spark)
     return mixing.apply_mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepared(spark)
     path, pattern = registry.bpe_files()
     return bpe.encoded(docs, path, pattern)
 
@@ -50,7 +55,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    importable(spark)
+    prepared(spark)
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
         path = scratch_path(spark, name)

@@ -49,9 +49,14 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def importable(spark) -> None:
-    """Let Python workers import this package when only the driver's path
-    has it (a session started from another folder)."""
+BATCH_ROWS = 256  # of an Arrow batch: whole texts, however long, stay few at a time
+
+
+def prepared(spark) -> None:
+    """Set the session for these operators: small Arrow batches, and a path
+    on which Python workers find this package when only the driver's has it
+    (a session started from another folder)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fieldlake.llm import (
     bpe, chat_tree, factor_quality, line_chunks, line_quality, mixing, radix_dedup, run_index, simhash, toxic_gru)
-from fieldlake.llm.common import documents, importable
+from fieldlake.llm.common import documents, prepared
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -92,7 +92,7 @@ QUERIES = (op1_line_chunks, op2_bpe, op3_chat_tree, op4_mixing, op5_line_quality
 def _registered(query):
     @functools.wraps(query)
     def run(spark, sf_dir):
-        importable(spark)
+        prepared(spark)
         return query(spark, sf_dir)
 
     return run

@@ -5,9 +5,9 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 @pytest.fixture(autouse=True)
 def _workers(spark):
-    from fieldlake.llm.common import importable
+    from fieldlake.llm.common import prepared
 
-    importable(spark)
+    prepared(spark)
 
 
 @pytest.fixture(scope="session")
