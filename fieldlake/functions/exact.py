@@ -2,7 +2,7 @@
 
 Double sums depend on the order partitions are combined in, and
 ``round(avg(double), 2)`` rounds differently across engines. Money is
-therefore summed as integer cents (or milli-units for quantities) and every
+therefore summed as decimals and rounded once, after the sum, and every
 rounded ratio is computed with integer half-away-from-zero division, so the
 result is the same on any partitioning and in any engine.
 """
@@ -18,9 +18,19 @@ def units(x: Column, scale: int = 2) -> Column:
     return F.round(x * (10 ** scale)).cast("long")
 
 
+def sum_exact(x: Column) -> Column:
+    """Aggregate: the sum as a decimal of 8 places, not rounded."""
+    return F.sum(x.try_cast("decimal(30,8)"))
+
+
+def rounded_units(total: Column, scale: int = 2) -> Column:
+    """A decimal in 10**-scale units (BIGINT), halves away from zero."""
+    return (F.round(total, scale) * (10 ** scale)).cast("long")
+
+
 def sum_units(x: Column, scale: int = 2) -> Column:
-    """Aggregate: exact sum of ``x`` in 10**-scale units (BIGINT)."""
-    return F.sum(units(x, scale))
+    """Aggregate: the sum of ``x``, rounded once, in 10**-scale units (BIGINT)."""
+    return rounded_units(sum_exact(x), scale)
 
 
 def from_units(u: Column, scale: int = 2) -> Column:

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 INT_PATTERN = r"^[ \t]*[+-]?[0-9]+[ \t]*$"
+DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+TIMESTAMP_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T].*)?$"
 FLOAT_PATTERN = r"^[ \t]*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?[ \t]*$"
 
 
@@ -44,13 +46,17 @@ def to_float(x: Column, default=None) -> Column:
 
 
 def to_date(x: Column) -> Column:
-    """First 10 characters as a DATE; empty, '0000…' or invalid → NULL."""
-    return F.when(~x.startswith("0000"), F.substring(x, 1, 10).try_cast("date"))
+    """First 10 characters as a DATE; empty, '0000…', a part of a date or an
+    invalid one → NULL."""
+    day = F.substring(x, 1, 10)
+    return F.when(day.rlike(DATE_PATTERN) & ~x.startswith("0000"), day.try_cast("date"))
 
 
 def to_timestamp(x: Column) -> Column:
-    """'YYYY-MM-DD HH:MM:SS' (or with 'T') → TIMESTAMP (UTC); '0000…' → NULL."""
-    return F.when(~x.startswith("0000"), F.translate(x, " ", "T").try_cast("timestamp"))
+    """'YYYY-MM-DD HH:MM:SS' (or with 'T') → TIMESTAMP (UTC); '0000…' or a
+    text that does not begin with a whole date → NULL."""
+    whole = x.rlike(TIMESTAMP_PATTERN) & ~x.startswith("0000")
+    return F.when(whole, F.translate(x, " ", "T").try_cast("timestamp"))
 
 
 def strict_timestamp(x: Column) -> Column:

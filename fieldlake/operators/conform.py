@@ -247,10 +247,10 @@ def conform_tickets(raw: DataFrame, run_at) -> DataFrame:
 
 def explode_ticket_items(raw_tickets: DataFrame, run_at) -> DataFrame:
     """One row per line item; items inherit the ticket's id and office. A
-    ticket without an ``items`` field yields no rows."""
+    ticket without an ``items`` field, or a null in it, yields no rows."""
     t = raw_tickets.select(to_int(_c("ticketID"), 0).alias("ticket_id"),
                            to_int(_c("officeID"), -1).alias("office_id"),
-                           F.explode(_c("items")).alias("it"))
+                           F.explode(F.filter(_c("items"), lambda x: x.isNotNull())).alias("it"))
     return t.select(
         to_int(_c("it.itemID"), 0).alias("item_id"),
         "ticket_id", "office_id",

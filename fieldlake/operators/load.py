@@ -44,7 +44,8 @@ def replace_window(existing: DataFrame, incoming: DataFrame, office: int, start,
     """
     if incoming.isEmpty():
         return existing
-    kept = existing.filter(~_in_window(date_col, office, start, end))
+    inside = F.coalesce(_in_window(date_col, office, start, end), F.lit(False))  # undated rows stay
+    kept = existing.filter(~inside)
     if keys:
         kept = kept.join(incoming.select(*keys), list(keys), "left_anti").select(*existing.columns)
     return kept.unionByName(incoming)

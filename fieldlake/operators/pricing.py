@@ -136,11 +136,12 @@ def increase_notes(priced: DataFrame, cfg: Mapping, as_of) -> DataFrame:
 
 
 def increase_plan(priced: DataFrame, cfg: Mapping) -> DataFrame:
-    """The run's batch: the first ``max_customers_per_run`` customers by id
-    (the safety cap of one run — later runs take the next customers, as the
-    increase history then excludes these), with the dry-run flag."""
+    """Every priced row, with the dry-run flag and ``in_this_run``: whether
+    its customer is among the first ``max_customers_per_run`` by id, the
+    safety limit of one run. The others wait for a later run."""
     sf = cfg["safety"]
-    batch = (priced.select("customer_id").distinct()
-             .orderBy("customer_id").limit(int(sf["max_customers_per_run"])))
-    return (priced.join(batch, ["customer_id"], "left_semi")
+    batch = (priced.select("customer_id").distinct().orderBy("customer_id")
+             .limit(int(sf["max_customers_per_run"])).withColumn("in_this_run", F.lit(True)))
+    return (priced.join(batch, ["customer_id"], "left")
+            .withColumn("in_this_run", F.coalesce("in_this_run", F.lit(False)))
             .withColumn("dry_run", F.lit(bool(sf["dry_run"]))))

@@ -497,9 +497,9 @@ FROM priced p LEFT JOIN dim_customers c ON p.customer_id = c.customer_id"""
     q["increase_notes"] = base + f"""SELECT subscription_id, customer_id,
  {_fill_sql(a['note_template'], nv)} AS account_note, {_fill_sql(a['service_note_template'], nv)} AS service_note
 FROM priced"""
-    q["increase_plan"] = base + f"""SELECT subscription_id, customer_id, old_price, new_price, TRUE AS dry_run
-FROM priced WHERE customer_id IN (SELECT DISTINCT customer_id FROM priced ORDER BY customer_id
-  LIMIT {CFG['safety']['max_customers_per_run']})"""
+    q["increase_plan"] = base + f"""SELECT subscription_id, customer_id, old_price, new_price,
+ dense_rank() OVER (ORDER BY customer_id) <= {CFG['safety']['max_customers_per_run']} AS in_this_run,
+ TRUE AS dry_run FROM priced"""
     return q
 
 

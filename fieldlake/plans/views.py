@@ -26,7 +26,7 @@ from fieldlake.functions.codes import (
     customer_display_name, office_name, person_name, production_value,
 )
 from fieldlake.functions.exact import (
-    div_half_up, from_units, money_avg, money_sum, ratio_pct, sum_units, units,
+    div_half_up, from_units, money_avg, money_sum, ratio_pct, rounded_units, sum_exact, sum_units, units,
 )
 
 
@@ -320,7 +320,7 @@ def chemical_usage(items: DataFrame, tickets: DataFrame, appointments: DataFrame
     """
     ti = (items.filter((F.col("product_id") > 0) & (F.col("quantity") > 0))
           .groupBy("ticket_id", "office_id", "product_id")
-          .agg(sum_units(F.col("quantity"), 3).alias("_qty"), sum_units(F.col("amount")).alias("_amt")))
+          .agg(sum_exact(F.col("quantity")).alias("_qty"), sum_exact(F.col("amount")).alias("_amt")))
     t = (tickets.filter(F.col("invoice_date").isNotNull())
          .select(F.col("ticket_id").alias("t_ticket_id"), F.col("appointment_id").alias("t_appt_id"),
                  _month(F.col("invoice_date")).alias("month")))
@@ -335,8 +335,8 @@ def chemical_usage(items: DataFrame, tickets: DataFrame, appointments: DataFrame
             F.col("serviced_by_id").alias("employee_id"), "tech_name", "initials", "product_id",
             "product_name", "product_code", "product_category"]
     return (j.groupBy(*keys)
-            .agg(from_units(F.sum("_qty"), 3).alias("total_quantity"),
-                 from_units(F.sum("_amt")).alias("total_cost")))
+            .agg(from_units(rounded_units(F.sum("_qty"), 3), 3).alias("total_quantity"),
+                 from_units(rounded_units(F.sum("_amt"))).alias("total_cost")))
 
 
 # ---------------------------------------------------------------------------

@@ -236,7 +236,7 @@ def _quality_pricing_queries() -> dict:
     q["increase_notes"] = lambda s, sf: P.increase_notes(P.increase_prices(_eligible(s, sf), cfg), cfg,
                                                          PRICE_AS_OF)
     q["increase_plan"] = lambda s, sf: P.increase_plan(P.increase_prices(_eligible(s, sf), cfg), cfg).select(
-        "subscription_id", "customer_id", "old_price", "new_price", "dry_run")
+        "subscription_id", "customer_id", "old_price", "new_price", "in_this_run", "dry_run")
     return q
 
 

@@ -51,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     current = sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="fieldlake-ckpt-")  # unset: local runs and tests only
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current

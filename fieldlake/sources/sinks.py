@@ -1,13 +1,13 @@
 """Sinks: table writes (S2–S4) and the run logs (S6–S8).
 
 Tables are Parquet folders; facts are partitioned by (office_id, month) so
-a window load rewrites only the partitions it touches (dynamic partition
-overwrite). A write never reads and overwrites the same folder in one job:
-the new content is first checkpointed to the cluster's checkpoint folder.
+a window load rewrites only the partitions it touches. New content is written
+beside the table and moved in once it is whole.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,19 +27,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def _norm(p: str) -> str:
-    """'file:///x', 'file:/x' → 'file:/x'; other schemes as given."""
-    p = p.rstrip("/")
-    return "file:/" + p[5:].lstrip("/") if p.startswith("file:") else p
-
-
-def _reads(df: DataFrame, path: str) -> bool:
-    """Does ``df`` scan files under ``path``?"""
-    fs, p = _fs(df.sparkSession, path)
-    root = _norm(fs.makeQualified(p).toString()) + "/"
-    return any(_norm(f).startswith(root) for f in df.inputFiles())
-
-
 def append(df: DataFrame, path: str, partition_by: Iterable[str] | None = None) -> None:
     """Append rows (an empty DataFrame adds no data files)."""
     w = df.write.mode("append")
@@ -48,35 +35,64 @@ def append(df: DataFrame, path: str, partition_by: Iterable[str] | None = None)
     w.parquet(path)
 
 
+def _rename(fs, source, target) -> None:
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def _folders(fs, p, depth: int, names: tuple = ()) -> list[tuple]:
+    """Partition folders under ``p``, as names from the table on."""
+    if not depth:
+        return [names]
+    return [x for st in fs.listStatus(p) if st.isDirectory() and "=" in st.getPath().getName()
+            for x in _folders(fs, st.getPath(), depth - 1, (*names, st.getPath().getName()))]
+
+
 def overwrite(df: DataFrame, path: str, partition_by: Iterable[str] | None = None,
-              cleared: Iterable[dict] | None = None) -> bool:
+              cleared: Iterable[dict] | None = None, allow_empty: bool = False) -> bool:
     """Replace the table (or, with ``partition_by``, only the partitions the
     rows fall in). Returns False and leaves the table untouched when ``df``
-    is empty — as the source does, so a failed fetch never empties a table.
+    is empty — as the source does, so a failed fetch never empties a table —
+    unless ``allow_empty``.
+
+    The rows are written to a folder beside the table and moved in when all
+    of them are there, so a write that fails leaves the table as it was, and
+    ``df`` may read the table. What is replaced is set aside first and
+    deleted last.
 
     ``cleared`` lists partitions (e.g. ``{"office_id": 1, "month": "2024-03-01"}``)
-    that must end up empty: a dynamic overwrite keeps a partition the new
-    rows do not reach, so those folders are removed explicitly.
+    that must end up empty.
     """
-    if df.isEmpty():
+    if not allow_empty and df.isEmpty():
         return False
-    spark = df.sparkSession
-    if _reads(df, path):
-        from fieldlake.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(spark)
-        df = df.checkpoint(eager=True)  # cut lineage: the folder is about to change
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
-    for part in cleared or ():
-        sub = path.rstrip("/") + "/" + "/".join(f"{k}={v}" for k, v in part.items())
-        fs, p = _fs(spark, sub)
-        if fs.exists(p):
-            fs.delete(p, True)
+    spark, root, tag = df.sparkSession, path.rstrip("/"), uuid.uuid4().hex[:12]
+    keys = tuple(partition_by or ())
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    staged, aside = f"{root}.staged-{tag}", f"{root}.old-{tag}"
+    fs, table = _fs(spark, root)
+    try:
+        w = df.write.mode("errorifexists")
+        (w.partitionBy(*keys) if keys else w).parquet(staged)
+        if not keys or not fs.exists(table):
+            if fs.exists(table):
+                _rename(fs, table, at(aside))
+            _rename(fs, at(staged), table)
+        else:
+            gone = ["/".join(f"{k}={NO_VALUE if v is None else v}" for k, v in p.items()) for p in cleared or ()]
+            new = ["/".join(x) for x in _folders(fs, at(staged), len(keys))]
+            for part in dict.fromkeys([*gone, *new]):
+                if fs.exists(at(f"{root}/{part}")):
+                    _rename(fs, at(f"{root}/{part}"), at(f"{aside}/{part}"))
+            for part in new:
+                _rename(fs, at(f"{staged}/{part}"), at(f"{root}/{part}"))
+    finally:
+        fs.delete(at(staged), True)
+    fs.delete(at(aside), True)
     return True
 
 
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # the folder of a null partition value
 FACT_PARTITIONS = ("office_id", "month")
 
 
@@ -98,42 +114,42 @@ def write_fact(df: DataFrame, path: str, date_col: str = "scheduled_date") -> bo
 
 
 def load_window(spark: SparkSession, path: str, incoming: DataFrame, office: int, start, end,
-                date_col: str = "scheduled_date") -> bool:
+                date_col: str = "scheduled_date", keys: Iterable[str] | None = None) -> bool:
     """The window load (replace the office's rows dated in [start, end]) on
-    a partitioned fact table. Only the touched partitions are read — the
-    filter on the partition columns prunes every other folder — and only
-    they are rewritten (dynamic overwrite). A touched partition left without
-    rows is removed, since a dynamic overwrite would keep its old files.
-
-    The touched partitions are the window's months for the office plus the
-    partitions the incoming rows fall in; their keys (office, month) are the
-    only thing brought to the driver, bounded by the window length.
+    a partitioned fact table. Only the touched partitions are read in full —
+    the filter on the partition columns prunes every other folder — and only
+    they are replaced.
+
+    The touched partitions are the window's months for the office, the
+    partitions the incoming rows fall in (undated rows have one of their
+    own), and those that hold a row with an incoming row's ``keys`` (default:
+    the first column and the office), which has moved. Their names are the
+    only thing brought to the driver.
     """
     import datetime as dt
 
     from fieldlake.operators.load import replace_window
-    if incoming.isEmpty():
+    from fieldlake.session import ensure_checkpoint_dir
+    keys = list(keys or (incoming.columns[0], "office_id"))
+    ensure_checkpoint_dir(spark)
+    inc = with_month(incoming, date_col).checkpoint(eager=True)  # fetched once
+    if inc.isEmpty():
         return False
     s, e = dt.date.fromisoformat(str(start)[:10]), dt.date.fromisoformat(str(end)[:10])
     months, m = [], s.replace(day=1)
     while m <= e:
         months.append(m)
         m = (m.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
-    inc = with_month(incoming, date_col)
-    parts = {(int(office), mm) for mm in months}
-    parts |= {(int(r[0]), r[1]) for r in inc.select(*FACT_PARTITIONS).distinct().collect()}
-    pred = None
-    for o, mm in sorted(parts):
-        c = (F.col("office_id") == o) & (F.col("month") == F.lit(mm))
-        pred = c if pred is None else pred | c
-    existing = read_fact(spark, path).filter(pred)
-    new = replace_window(existing, inc.select(*existing.columns), office, start, end, date_col=date_col)
-    if _reads(new, path):  # cut lineage once; both the key scan and the write use it
-        from fieldlake.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(spark)
-        new = new.checkpoint(eager=True)
-    kept ={(int(r[0]), r[1]) for r in new.select(*FACT_PARTITIONS).distinct().collect()}
-    cleared = [{"office_id": o, "month": mm.isoformat()} for o, mm in sorted(parts - kept)]
+    table = read_fact(spark, path)
+    moved = table.join(inc.select(*keys), keys, "left_semi")
+    touched = inc.select(*FACT_PARTITIONS).union(moved.select(*FACT_PARTITIONS)).distinct().collect()
+    parts = sorted({(int(office), x) for x in months} | {tuple(r) for r in touched}, key=str)
+    inside = F.lit(False)
+    for o, month in parts:
+        inside |= F.col("office_id").eqNullSafe(F.lit(o)) & F.col("month").eqNullSafe(F.lit(month).cast("date"))
+    existing = table.filter(inside)
+    new = replace_window(existing, inc.select(*existing.columns), office, start, end, keys=keys, date_col=date_col)
+    cleared = [{"office_id": o, "month": month} for o, month in parts]
     return overwrite(new, path, partition_by=FACT_PARTITIONS, cleared=cleared)
 
 

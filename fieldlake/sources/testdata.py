@@ -64,13 +64,13 @@ DIM_CUSTOMERS = Fixture("dim_customers", "customer", (
 ))
 
 DIM_EMPLOYEES = Fixture("dim_employees", "supplier", (
-    ("employee_id", "s_suppkey + 1", "BIGINT"),
+    ("employee_id", "CASE WHEN s_suppkey % 10 = 3 THEN s_suppkey + 1000000001 ELSE s_suppkey + 1 END", "BIGINT"),
     ("first_name", "'Tech'", "STRING"),
     ("last_name", "s_name", "STRING"),
     ("initials", "CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE 'T' || " + _s("s_suppkey") + " END", "STRING"),
     ("office_id", _office("s_suppkey"), "BIGINT"),
     ("active", "TRUE", "BOOLEAN"),
-), where="s_suppkey % 10 <> 3")
+))  # a tenth of the ids are moved away: their techs have no employee row
 
 DIM_SERVICE_TYPES = Fixture("dim_service_types", "nation", (
     ("type_id", "n_nationkey + 1", "BIGINT"),
@@ -85,12 +85,12 @@ DIM_SERVICE_TYPES = Fixture("dim_service_types", "nation", (
 ), copies=(None, "n_nationkey % 2 = 0"))
 
 DIM_PRODUCTS = Fixture("dim_products", "part", (
-    ("product_id", "p_partkey + 1", "BIGINT"),
+    ("product_id", "CASE WHEN p_partkey % 50 = 0 THEN p_partkey + 1000000001 ELSE p_partkey + 1 END", "BIGINT"),
     ("description", "p_name", "STRING"),
     ("code", "p_brand", "STRING"),
     ("category", "p_type", "STRING"),
     ("unit_cost", "p_retailprice", "DOUBLE"),
-), where="p_partkey % 50 <> 0")
+))  # ids moved away: their items have no product row
 
 DIM_SUBSCRIPTIONS = Fixture("dim_subscriptions", "orders", (
     ("subscription_id", "o_orderkey + 1", "BIGINT"),
@@ -101,8 +101,8 @@ DIM_SUBSCRIPTIONS = Fixture("dim_subscriptions", "orders", (
     ("recurring_charge", "CASE WHEN o_orderkey % 11 = 0 THEN 0 "
                          "ELSE 25 + o_orderkey % 200 + CAST(0.5 AS DOUBLE) END", "DOUBLE"),
     ("date_added", "CAST(o_orderdate AS DATE)", "DATE"),
-    ("active", "o_orderkey % 4 <> 0", "BOOLEAN"),
-), where="o_orderkey % 3 = 0", join=("nation", "n_nationkey = o_orderkey % 25"))
+    ("active", "o_orderkey % 4 <> 0 AND o_orderkey % 3 = 0", "BOOLEAN"),
+), join=("nation", "n_nationkey = o_orderkey % 25"))
 
 FACT_APPOINTMENTS = Fixture("fact_appointments", "orders", (
     ("appointment_id", "o_orderkey + 1", "BIGINT"),
@@ -212,10 +212,11 @@ RAW_CUSTOMERS = Fixture("raw_customers", "customer", (
 
 CRM_CONTACTS = Fixture("crm_contacts", "customer", (
     ("contact_id", "c_custkey + 100000", "BIGINT"),
-    ("email", "CASE WHEN c_custkey % 2 = 0 THEN 'c' || " + _s("c_custkey") + " || '@x.com' END", "STRING"),
-    ("phone", "'+1702555' || " + _PN, "STRING"),
+    ("email", "CASE WHEN c_custkey % 3 <> 0 THEN 'z' || " + _s("c_custkey") + " || '@other.com' "
+              "WHEN c_custkey % 2 = 0 THEN 'c' || " + _s("c_custkey") + " || '@x.com' END", "STRING"),
+    ("phone", "CASE WHEN c_custkey % 3 = 0 THEN '+1702555' ELSE '+1888555' END || " + _PN, "STRING"),
     ("tags", "'vip,fr_inactive,svc_pest,fr_office1'", "STRING"),
-), where="c_custkey % 3 = 0")
+))  # two thirds of the contacts match no customer
 
 def _dec2(x: str) -> str:
     return _s(f"CAST({x} AS DECIMAL(12,2))")

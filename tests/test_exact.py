@@ -4,7 +4,7 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import functions as F
 
-from fieldlake.functions.exact import div_half_up, money_avg, money_sum
+from fieldlake.functions.exact import div_half_up, from_units, money_avg, money_sum, sum_units
 
 
 def test_div_half_up(spark):
@@ -21,5 +21,11 @@ def test_money_aggregates_are_order_independent(spark):
     a = df.agg(money_sum(F.col("x")), money_avg(F.col("x"))).first()
     b = df.repartition(3).agg(money_sum(F.col("x")), money_avg(F.col("x"))).first()
     assert tuple(a) == tuple(b)
-    cents = [int(Decimal(str(v * 100)).quantize(Decimal(1), rounding=ROUND_HALF_UP)) for v in vals]
-    assert a[0] == sum(cents) / 100
+    total = sum(Decimal(str(v)) for v in vals)
+    assert a[0] == float(total.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+
+
+def test_sums_are_rounded_once(spark):
+    df = spark.range(1000).select(F.lit(0.0625).alias("q"), F.lit(0.004).alias("m"))
+    got = df.agg(from_units(sum_units(F.col("q"), 3), 3), money_sum(F.col("m"))).first()
+    assert tuple(got) == (62.5, 4.0)

@@ -60,3 +60,13 @@ def test_contact_fields(spark):
     assert _one(spark, clean_email, [" A@X.com ", "", None]) == ["a@x.com", None, None]
     first = _one(spark, lambda c: clean_email(c, first_of_list=True), ["a@x.com; b@x.com", "c@x.com,d@x.com"])
     assert first == ["a@x.com", "c@x.com"]
+
+
+def test_parts_of_dates_are_not_dates(spark):
+    from pyspark.sql import functions as F
+
+    from fieldlake.functions.parse import to_date, to_timestamp
+    df = spark.createDataFrame([("2024",), ("2024-03",), ("08:00:00",), ("2024-03-05",), ("2024-03-05 08:00:00",)], "x string")
+    got = [tuple(map(str, r)) for r in df.select(to_date(F.col("x")), to_timestamp(F.col("x"))).collect()]
+    assert got[:3] == [("None", "None")] * 3
+    assert got[3] == ("2024-03-05", "2024-03-05 00:00:00") and got[4] == ("2024-03-05", "2024-03-05 08:00:00")

@@ -1,5 +1,9 @@
 """Streaming upsert and sinks."""
 
+import datetime as dt
+
+import pytest
+
 from fieldlake.registry_ops import RUN_AT, stream_landing
 from fieldlake.session import scratch_path
 from fieldlake.sources import sinks
@@ -101,3 +105,30 @@ def test_run_log_sinks(spark, sf):
     sinks.write_health(health, hp)
     sinks.write_health(health, hp)
     assert spark.read.parquet(hp).count() == 4
+
+
+def _fact(spark, rows):
+    return spark.createDataFrame(rows, "appointment_id long, office_id long, scheduled_date date")
+
+
+def test_failed_write_keeps_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert sinks.overwrite(spark.range(10), path)
+    bad = spark.range(100).selectExpr("if(id = 99, raise_error('stop'), id) AS id")
+    with pytest.raises(Exception):
+        sinks.overwrite(bad, path, allow_empty=True)
+    assert spark.read.parquet(path).count() == 10
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_window_load_of_moved_undated_and_officeless_rows(spark, tmp_path):
+    d, path = dt.date, str(tmp_path / "f")
+    old = [(1, 1, d(2024, 1, 5)), (2, 1, d(2024, 5, 5)), (2, 2, d(2024, 5, 5)), (3, 1, None), (4, None, d(2024, 1, 9)),
+           (5, 1, d(2024, 1, 20))]
+    sinks.write_fact(_fact(spark, old), path)
+    new = [(2, 1, d(2024, 1, 7)), (6, 1, None), (7, None, None)]
+    assert sinks.load_window(spark, path, _fact(spark, new), 1, "2024-01-01", "2024-01-31")
+    got = sorted(map(str, (tuple(r) for r in sinks.read_fact(spark, path).select(
+        "appointment_id", "office_id", "scheduled_date").collect())))
+    assert got == sorted(map(str, [(2, 1, d(2024, 1, 7)), (2, 2, d(2024, 5, 5)), (3, 1, None), (4, None, d(2024, 1, 9)),
+                                   (6, 1, None), (7, None, None)]))
