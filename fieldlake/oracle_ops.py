@@ -278,7 +278,9 @@ def e164(x: str) -> str:
 
 PHONE = f"COALESCE({e164('phone1')}, {e164('phone2')})"
 EMAIL_DAILY = f"NULLIF(lower({strip('email')}), '')"
-EMAIL_IMPORT = f"NULLIF(lower({strip(f'regexp_split_to_array({strip(chr(101) + 'mail')}, {chr(39)}[;,]{chr(39)})[1]')}), '')"
+PENDING = ",\npending"
+_FIRST_EMAIL = f"regexp_split_to_array({strip('email')}, '[;,]')[1]"
+EMAIL_IMPORT = f"NULLIF(lower({strip(_FIRST_EMAIL)}), '')"
 REAL = f"{not_orphan('officeID')} AND {not_orphan('customerID')}"
 SEGMENT = "CASE WHEN COALESCE(commercialAccount, '0') = '1' THEN 'fr_commercial' ELSE 'fr_residential' END"
 DAILY_TAGS = (f"['fr_office1', CASE WHEN COALESCE(active, '0') = '1' THEN 'fr_active' ELSE 'fr_inactive' END, "
@@ -290,7 +292,8 @@ def blank_null(x: str) -> str:
 
 
 def _sub_active(x: str) -> str:
-    return f"lower({strip(f'COALESCE({x}, {chr(39)}0{chr(39)})')}) IN ('1', 'true')"
+    text = strip(f"COALESCE({x}, '0')")
+    return f"lower({text}) IN ('1', 'true')"
 
 
 def _tag_case() -> str:
@@ -371,7 +374,7 @@ def _contacts() -> dict[str, str]:
  {strip('lname')} AS last_name, {EMAIL_DAILY} AS email, {PHONE} AS phone, {blank_null('companyName')} AS company_name,
  {blank_null('address')} AS address1, {blank_null('city')} AS city, {blank_null('state')} AS state,
  {blank_null('zip')} AS postal_code, array_to_string({DAILY_TAGS}, ',') AS tags, {REAL} AS real FROM raw_customers"""
-    q["contacts_import"] = rc + f""", {IMPORT.split(',' + chr(10) + 'pending')[0]}
+    q["contacts_import"] = rc + f""", {IMPORT.split(PENDING)[0]}
 SELECT CAST(office AS BIGINT) AS office, fr_id, email, phone,
  (SELECT {blank_null('companyName')} FROM raw_customers r WHERE r.customerID = imp.fr_id) AS company_name,
  array_to_string(tags, ',') AS tags, COALESCE(fr_id, '') AS custom_value FROM imp"""
