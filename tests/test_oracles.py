@@ -4,10 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from fieldlake.oracle import oracles
+from fieldlake.registry import queries
 from tools.oracle_check import TABLES, rows_of
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = queries()
+ORACLES = oracles()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +24,7 @@ def test_every_query_has_an_oracle_or_is_listed():
     rows_only = {"view_catalog", "orphan_rate_sampled"}
     assert set(QUERIES) - set(ORACLES) == rows_only
     assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
