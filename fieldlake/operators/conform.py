@@ -96,8 +96,9 @@ def conform_products(raw: DataFrame, run_at) -> DataFrame:
         _stamp(run_at))
 
 
-def conform_customers(raw: DataFrame, run_at) -> DataFrame:
-    """Email lower-cased; auto_pay is 'yes' in any case."""
+def conform_customers(raw: DataFrame, run_at, *extra: Column) -> DataFrame:
+    """Email lower-cased; auto_pay is 'yes' in any case. ``extra`` columns of
+    the raw record are kept at the end."""
     return raw.select(
         to_int(_c("customerID"), 0).alias("customer_id"),
         strip(_c("fname")).alias("first_name"),
@@ -117,7 +118,7 @@ def conform_customers(raw: DataFrame, run_at) -> DataFrame:
         strip(_c("source")).alias("source"),
         to_int(_c("billToAccountID"), 0).alias("bill_to_account_id"),
         yes(_c("aPay")).alias("auto_pay"),
-        _stamp(run_at))
+        _stamp(run_at), *extra)
 
 
 def subscription_frequency(raw_frequency: Column) -> Column:
@@ -126,7 +127,7 @@ def subscription_frequency(raw_frequency: Column) -> Column:
         .otherwise(to_int(raw_frequency, 0))
 
 
-def conform_subscriptions(raw: DataFrame, run_at) -> DataFrame:
+def conform_subscriptions(raw: DataFrame, run_at, *extra: Column) -> DataFrame:
     return raw.select(
         to_int(_c("subscriptionID"), 0).alias("subscription_id"),
         to_int(_c("customerID"), 0).alias("customer_id"),
@@ -141,7 +142,7 @@ def conform_subscriptions(raw: DataFrame, run_at) -> DataFrame:
         to_date(_c("dateAdded")).alias("date_added"),
         to_date(_c("dateCancelled")).alias("date_cancelled"),
         flag(_c("active")).alias("active"),
-        _stamp(run_at))
+        _stamp(run_at), *extra)
 
 
 # ---------------------------------------------------------------------------
@@ -173,7 +174,7 @@ def additional_techs(x: Column) -> Column:
 
 def conform_appointments(raw: DataFrame, run_at, route_tech: DataFrame | None = None) -> DataFrame:
     """Ids default to NULL (only the key defaults to 0). ``route_tech``
-    (route_id, route_tech_id), one row per route, fills route_tech_id; it is a
+    (office_id, route_id, route_tech_id), one row per office and route, fills route_tech_id; it is a
     per-day route table, small next to the facts, and the planner broadcasts
     it only when its measured size allows."""
     df = raw.select(
@@ -214,8 +215,7 @@ def conform_appointments(raw: DataFrame, run_at, route_tech: DataFrame | None =
     if route_tech is None:
         df = df.withColumn("route_tech_id", F.lit(None).cast("long"))
     else:
-        rt = route_tech.select(F.col("route_id").alias("_rt_route"), "route_tech_id")
-        df = df.join(rt, df["route_id"] == rt["_rt_route"], "left").drop("_rt_route")
+        df = df.join(route_tech.select("office_id", "route_id", "route_tech_id"), ["office_id", "route_id"], "left")
     from fieldlake.sources.schemas import STAR_SCHEMAS
     return df.select(*STAR_SCHEMAS["fact_appointments"].fieldNames())
 

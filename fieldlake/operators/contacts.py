@@ -21,6 +21,7 @@ from fieldlake.functions.parse import strip, to_int
 OFFICE_TAGS = {1: "fr_office1", 2: "fr_office2"}
 STATUS_TAGS = ("fr_active", "fr_inactive")
 SERVICE_TAG_PREFIX = "svc_"
+SERVICE_TAG_OFFICES = (1,)  # the other office's sync adds no service tags
 BAITING_SERVICE_IDS = (1595, 225, 1363, 1384)
 CUSTOMER_ID_FIELD = "FR Customer ID"
 
@@ -30,6 +31,11 @@ def _real(raw: DataFrame) -> Column:
             & (F.coalesce(F.col("customerID"), F.lit("-1")) != "-1"))
 
 
+def _of_office(raw: DataFrame, office: int) -> DataFrame:
+    """The office's records; orphans carry no office and come with each."""
+    return raw.filter((F.coalesce(F.col("officeID"), F.lit("-1")) == "-1") | (to_int(F.col("officeID")) == office))
+
+
 def _base_fields(email: Column) -> list[Column]:
     return [
         F.col("customerID").alias("fr_id"),
@@ -61,8 +67,8 @@ def contacts_daily(raw_customers: DataFrame, office: int = 1) -> DataFrame:
     active = F.coalesce(F.col("active"), F.lit("0")) == "1"
     tags = F.array(F.lit(OFFICE_TAGS[office]),
                    F.when(active, F.lit("fr_active")).otherwise(F.lit("fr_inactive")), _segment_tag())
-    return raw_customers.select(*_base_fields(clean_email(F.col("email"))), tags.alias("tags"),
-                                _real(raw_customers).alias("real"))
+    return _of_office(raw_customers, office).select(
+        *_base_fields(clean_email(F.col("email"))), tags.alias("tags"), _real(raw_customers).alias("real"))
 
 
 def contacts_import(raw_customers: DataFrame, office: int | None = None,
@@ -98,10 +104,13 @@ def sub_active(x: Column) -> Column:
 
 
 def tag_subscriptions(raw_subscriptions: DataFrame,
-                      baiting_ids: Iterable[int] = BAITING_SERVICE_IDS) -> DataFrame:
+                      baiting_ids: Iterable[int] = BAITING_SERVICE_IDS,
+                      office: int | None = None) -> DataFrame:
     """Subscriptions that feed tags: every active one, plus inactive ones
-    whose service id is a rodent-baiting id."""
+    whose service id is a rodent-baiting id; with ``office``, only its own."""
     ids = [str(i) for i in baiting_ids]
+    if office is not None:
+        raw_subscriptions = raw_subscriptions.filter(to_int(F.col("officeID")) == office)
     return raw_subscriptions.filter(sub_active(F.col("active")) | strip(F.col("serviceID")).isin(*ids))
 
 
@@ -153,9 +162,11 @@ def service_tags(subscriptions: DataFrame) -> DataFrame:
             .filter(F.size("svc_tags") > 0))
 
 
-def tag_counts(tags: DataFrame, tag_col: str = "svc_tags") -> DataFrame:
-    """Customers per tag, plus the count of customers with svc_pest but not
-    svc_mosquito (as the row 'svc_pest_not_svc_mosquito')."""
+def tag_counts(tags: DataFrame, contacts: DataFrame, tag_col: str = "svc_tags") -> DataFrame:
+    """Of this run's ``contacts`` (real and contactable, by fr_id): customers
+    per tag, plus the count of customers with svc_pest but not svc_mosquito
+    (as the row 'svc_pest_not_svc_mosquito')."""
+    tags = tags.join(contacts.select(F.col("fr_id").alias("customerID")), ["customerID"], "left_semi")
     per_tag = tags.select(F.explode(tag_col).alias("tag")).groupBy("tag").agg(
         F.count(F.lit(1)).alias("customers"))
     pnm = tags.agg(F.count_if(F.array_contains(tag_col, "svc_pest")
@@ -169,10 +180,16 @@ def tag_counts(tags: DataFrame, tag_col: str = "svc_tags") -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def _lookup(existing: DataFrame, key: Column, name: str) -> DataFrame:
-    """One row per key with the lowest contact id holding it — de-duplicated
+    """One row per key with the contact of lowest id holding it — de-duplicated
     before the join so a shared address cannot fan the contacts out."""
-    return (existing.select(key.alias(name), "contact_id").filter(F.col(name).isNotNull())
-            .groupBy(name).agg(F.min("contact_id").alias(f"{name}_contact")))
+    return (existing.select(key.alias(name), F.struct("contact_id", "tags").alias("_hit"))
+            .filter(F.col(name).isNotNull()).groupBy(name).agg(F.min("_hit").alias(f"{name}_hit")))
+
+
+def _key(field: str) -> Column:
+    """A join key that spreads the rows without a value over the partitions:
+    each gets a value of its own, which no address or number equals."""
+    return F.coalesce(F.col(field), F.concat(F.lit("\x00"), F.coalesce(F.col("fr_id"), F.lit(""))))
 
 
 def match_contacts(contacts: DataFrame, existing: DataFrame) -> DataFrame:
@@ -180,12 +197,29 @@ def match_contacts(contacts: DataFrame, existing: DataFrame) -> DataFrame:
     phone (NULL when none), and its tags as existing_tags."""
     by_email = _lookup(existing, F.lower(F.col("email")), "_m_email")
     by_phone = _lookup(existing, F.col("phone"), "_m_phone")
-    j = (contacts.join(by_email, contacts["email"] == by_email["_m_email"], "left")
-         .join(by_phone, contacts["phone"] == by_phone["_m_phone"], "left"))
-    j = j.withColumn("contact_id", F.coalesce(F.col("_m_email_contact"), F.col("_m_phone_contact")))
-    ex = existing.select(F.col("contact_id").alias("_ex_id"), F.col("tags").alias("existing_tags"))
-    j = j.join(ex, j["contact_id"] == ex["_ex_id"], "left")
-    return j.drop("_m_email", "_m_phone", "_m_email_contact", "_m_phone_contact", "_ex_id")
+    j = contacts.withColumn("_e", _key("email")).withColumn("_p", _key("phone"))
+    j = (j.join(by_email, j["_e"] == by_email["_m_email"], "left")
+         .join(by_phone, j["_p"] == by_phone["_m_phone"], "left"))
+    hit = F.coalesce(F.col("_m_email_hit"), F.col("_m_phone_hit"))
+    return j.select(*contacts.columns, hit["contact_id"].alias("contact_id"), hit["tags"].alias("existing_tags"))
+
+
+def earlier_in_batch(contacts: DataFrame, batch: DataFrame) -> DataFrame:
+    """Adds same_as, the first row of ``batch`` (by numeric id) that comes
+    before this one and carries its email, else its phone (NULL when none),
+    and that row's tags as batch_tags. A grouped minimum joined back, so a
+    shared address never gathers in one task."""
+    order = F.struct(F.col("fr_id").try_cast("long").alias("n"), F.col("fr_id").alias("fr_id"))
+    out, hits = contacts.withColumn("_ord", order), []
+    for field in ("email", "phone"):
+        first = (batch.filter(F.col(field).isNotNull())
+                 .groupBy(F.col(field).alias(f"_k_{field}"))
+                 .agg(F.min(F.struct(order.alias("ord"), F.col("tags").alias("tags"))).alias(f"_f_{field}")))
+        out = out.withColumn(f"_j_{field}", _key(field))
+        out = out.join(first, out[f"_j_{field}"] == first[f"_k_{field}"], "left")
+        hits.append(F.when(F.col(f"_f_{field}.ord") < F.col("_ord"), F.col(f"_f_{field}")))
+    hit = F.coalesce(*hits)
+    return out.select(*contacts.columns, hit["ord"]["fr_id"].alias("same_as"), hit["tags"].alias("batch_tags"))
 
 
 def merge_tags(existing_tags: Column, new_tags: Column) -> Column:
@@ -198,24 +232,36 @@ def merge_tags(existing_tags: Column, new_tags: Column) -> Column:
 
 def upsert_plan(raw_customers: DataFrame, raw_subscriptions: DataFrame, existing: DataFrame,
                 office: int = 1) -> DataFrame:
-    """Per changed customer: the action (created, updated, skipped_orphaned,
-    skipped_no_contact), the matched contact and the tags to write.
-    ``existing`` has contact_id, email, phone and tags (ARRAY<STRING>)."""
+    """Per changed customer of the office: the action (created, updated,
+    skipped_orphaned, skipped_no_contact), the matched contact and the tags
+    to write. ``existing`` has contact_id, email, phone and tags
+    (ARRAY<STRING>).
+
+    The source sends one contact after the other, so a customer whose email
+    or phone an earlier one of the batch carries finds that contact and
+    updates it: ``same_as`` names the first such customer, and its unmanaged
+    tags stay. A match in the CRM goes before one in the batch."""
     c = contacts_daily(raw_customers, office)
-    svc = service_tags(tag_subscriptions(raw_subscriptions))
-    c = c.join(svc, c["fr_id"] == svc["customerID"], "left").drop("customerID")
-    c = c.withColumn("tags", F.concat("tags", F.coalesce("svc_tags", F.array().cast("array<string>"))))
     has_contact = F.col("email").isNotNull() | F.col("phone").isNotNull()
     sendable = F.col("real") & has_contact
-    m = match_contacts(c.filter(sendable), existing)
-    m = m.withColumn("action", F.when(F.col("contact_id").isNotNull(), F.lit("updated"))
-                     .otherwise(F.lit("created"))) \
-        .withColumn("tags", F.when(F.col("contact_id").isNotNull(),
-                                   merge_tags(F.col("existing_tags"), F.col("tags"))).otherwise(F.col("tags")))
+    batch = send = c.filter(sendable)
+    if office in SERVICE_TAG_OFFICES:
+        svc = service_tags(tag_subscriptions(raw_subscriptions, office=office))
+        send = send.join(svc, send["fr_id"] == svc["customerID"], "left").drop("customerID")
+        send = send.withColumn("tags", F.concat("tags", F.coalesce("svc_tags", F.array().cast("array<string>"))))
+    else:
+        send = send.withColumn("svc_tags", F.lit(None).cast("array<string>"))
+    m = earlier_in_batch(match_contacts(send, existing), batch)
+    known = F.col("contact_id").isNotNull()
+    found = known | F.col("same_as").isNotNull()
+    m = (m.withColumn("same_as", F.when(~known, F.col("same_as")))
+         .withColumn("existing_tags", F.when(known, F.col("existing_tags")).otherwise(F.col("batch_tags")))
+         .withColumn("action", F.when(found, F.lit("updated")).otherwise(F.lit("created")))
+         .withColumn("tags", F.when(F.col("action") == "updated", merge_tags(F.col("existing_tags"), F.col("tags")))
+                     .otherwise(F.col("tags"))).drop("batch_tags"))
     skipped = c.filter(~sendable).withColumn(
-        "action", F.when(~F.col("real"), F.lit("skipped_orphaned")).otherwise(F.lit("skipped_no_contact"))) \
-        .withColumn("contact_id", F.lit(None).cast("long")).withColumn("existing_tags", F.lit(None).cast("array<string>"))
-    return m.unionByName(skipped).drop("real")
+        "action", F.when(~F.col("real"), F.lit("skipped_orphaned")).otherwise(F.lit("skipped_no_contact")))
+    return m.unionByName(skipped, allowMissingColumns=True).drop("real")
 
 
 def upsert_summary(plan: DataFrame) -> DataFrame:

@@ -61,33 +61,39 @@ def replace_by_id(existing: DataFrame, incoming: DataFrame, keys: Iterable[str],
 
 
 def replace_children(existing_children: DataFrame, new_children: DataFrame,
-                     parent_ids: DataFrame, parent_key: str = "ticket_id") -> DataFrame:
+                     parent_ids: DataFrame, parent_keys: Iterable[str] = ("office_id", "ticket_id")) -> DataFrame:
     """Children of every requested parent are replaced — also when the batch
-    brings no children at all, and for parents that were not returned."""
-    return (existing_children.join(parent_ids.select(parent_key), [parent_key], "left_anti")
+    brings no children at all, and for parents that were not returned. Another
+    office's parent of the same id keeps its children."""
+    keys = list(parent_keys)
+    return (existing_children.join(parent_ids.select(*keys), keys, "left_anti")
             .select(*existing_children.columns).unionByName(new_children))
 
 
 def vanished_ids(existing: DataFrame, active_ids: DataFrame, office: int, start, end,
                  key: str = "appointment_id", date_col: str = "scheduled_date") -> DataFrame:
-    """Ids stored for the office's window that the active search no longer
-    returns (cancelled or rescheduled); they must be fetched again."""
-    stored = existing.filter(_in_window(date_col, office, start, end)).select(key).distinct()
-    return stored.join(active_ids.select(key), [key], "left_anti")
+    """(office_id, id) stored for the office's window that its active search
+    no longer returns (cancelled or rescheduled); they must be fetched again."""
+    keys = ["office_id", key]
+    stored = existing.filter(_in_window(date_col, office, start, end)).select(*keys).distinct()
+    return stored.join(active_ids.select(*keys), keys, "left_anti")
 
 
 def refetch(raw_snapshot: DataFrame, ids: DataFrame, raw_key: str = "appointmentID",
             key: str = "appointment_id") -> DataFrame:
-    """Raw records whose id is in ``ids`` (the re-fetch of vanished rows)."""
-    r = raw_snapshot.withColumn("_k", to_int(F.col(raw_key)))
-    return r.join(ids.select(F.col(key).alias("_k")), ["_k"], "left_semi").drop("_k")
+    """Raw records whose office and id are in ``ids`` (the re-fetch of
+    vanished rows)."""
+    r = raw_snapshot.withColumn("_o", to_int(F.col("officeID"))).withColumn("_k", to_int(F.col(raw_key)))
+    wanted = ids.select(F.col("office_id").alias("_o"), F.col(key).alias("_k"))
+    return r.join(wanted, ["_o", "_k"], "left_semi").drop("_o", "_k")
 
 
 def window_ticket_ids(appointments: DataFrame, office: int, start, end) -> DataFrame:
-    """Distinct ticket ids > 0 of the office's appointments in the window."""
+    """Distinct (office_id, ticket_id), id > 0, of the office's appointments
+    in the window."""
     return (appointments.filter(_in_window("scheduled_date", office, start, end)
                                 & (F.col("ticket_id") > 0))
-            .select("ticket_id").distinct())
+            .select("office_id", "ticket_id").distinct())
 
 
 # ---------------------------------------------------------------------------
@@ -95,8 +101,8 @@ def window_ticket_ids(appointments: DataFrame, office: int, start, end) -> DataF
 # ---------------------------------------------------------------------------
 
 def route_tech(raw_routes: DataFrame, start, end, office: int | None = None) -> DataFrame:
-    """(route_id, route_tech_id) for routes dated in [start, end] with a
-    non-zero tech. Several techs for one route: the highest id wins (the
+    """(office_id, route_id, route_tech_id) for routes dated in [start, end]
+    with a non-zero tech. Several techs for one route: the highest id wins (the
     source's pick depends on API order; ours is deterministic)."""
     r = raw_routes.select(to_int(F.col("routeID")).alias("route_id"),
                           to_int(F.col("assignedTech")).alias("tech"),
@@ -106,7 +112,7 @@ def route_tech(raw_routes: DataFrame, start, end, office: int | None = None) ->
                  & F.col("route_date").between(_date(start), _date(end)))
     if office is not None:
         r = r.filter(F.col("office_id") == office)
-    return r.groupBy("route_id").agg(F.max("tech").alias("route_tech_id"))
+    return r.groupBy("office_id", "route_id").agg(F.max("tech").alias("route_tech_id"))
 
 
 def best_tech(appointments: DataFrame) -> DataFrame:
@@ -164,6 +170,7 @@ SYNC_ENTITIES = ("appointments", "tickets", "ticket_items", "customers", "subscr
 def sync_summary(loaded: Mapping[str, DataFrame], run_at, lookback_days: int,
                  offices: DataFrame, errors: DataFrame | None = None) -> DataFrame:
     """One sync_health row per office: rows loaded per entity, status and
+    error. A failed office keeps the counts of what it had loaded before the
     error. ``loaded`` maps entity → conformed rows (with office_id);
     ``offices`` lists the office ids that were synced; ``errors`` has
     (office_id, error_message) for failed offices."""
@@ -184,8 +191,7 @@ def sync_summary(loaded: Mapping[str, DataFrame], run_at, lookback_days: int,
         F.col("office_id").cast("long").alias("office_id"), name.alias("office_name"),
         F.when(failed, F.lit("error")).otherwise(F.lit("success")).alias("status"),
         "error_message", F.lit(lookback_days).cast("long").alias("lookback_days"),
-        *[F.when(failed, F.lit(0)).otherwise(F.coalesce(F.col(e), F.lit(0))).cast("long")
-          .alias(f"{e}_synced") for e in SYNC_ENTITIES])
+        *[F.coalesce(F.col(e), F.lit(0)).cast("long").alias(f"{e}_synced") for e in SYNC_ENTITIES])
 
 
 def sync_totals(summary: DataFrame) -> DataFrame:
@@ -219,6 +225,15 @@ def loaded_months(facts: DataFrame, date_col: str = "scheduled_date") -> DataFra
             .select("office_id", F.trunc(F.col(date_col), "month").alias("month_start")).distinct())
 
 
+def backfill_pending(calendar: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Office-months of the calendar that are not in the progress ledger
+    (office_id, month_start). The ledger lists finished slots, so a month
+    without rows is done once it was fetched, and one whose load stopped
+    half-way is still pending whatever rows it left."""
+    return calendar.join(ledger.select("office_id", "month_start"), ["office_id", "month_start"], "left_anti") \
+        .select(*calendar.columns)
+
+
 def backfill_progress(calendar: DataFrame, done: DataFrame, minutes_per_slot: int = 2) -> DataFrame:
     """Done / total office-months, percent, remaining slots and an estimate.
     ``done`` has (office_id, month_start) of completed partitions."""

@@ -19,9 +19,11 @@ def _orphan(raw: DataFrame) -> Column:
 
 def orphan_rate(raw: DataFrame, id_col: str = "subscriptionID", sample_modulus: int | None = None) -> DataFrame:
     """Share of orphan records (office or customer missing / -1) and the real
-    count. Exact by default; with ``sample_modulus`` k only ids whose hash is
-    0 mod k are inspected and the real count is estimated from that share."""
-    picked = (F.pmod(F.xxhash64(F.col(id_col)), F.lit(sample_modulus)) == 0
+    count. Exact by default; with ``sample_modulus`` k only ids whose hash (the
+    first 32 bits of the md5) is 0 mod k are inspected and the real count is
+    estimated from that share."""
+    head = F.conv(F.substring(F.md5(F.col(id_col)), 1, 8), 16, 10).cast("long")
+    picked = (F.pmod(head, F.lit(sample_modulus)) == 0
               if sample_modulus and sample_modulus > 1 else F.lit(True))
     g = raw.agg(F.count(F.lit(1)).alias("total"), F.count_if(picked).alias("inspected"),
                 F.count_if(picked & _orphan(raw)).alias("orphans"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from fieldlake.functions.parse import FLOAT_PATTERN, INT_PATTERN, WHITESPACE
 from fieldlake.registry_ops import (
-    ALL_DATES, BACKFILL_MONTHS, CALENDAR_AS_OF, CHANGED_AS_OF, CHANGED_DAYS, RUN_AT, WINDOW,
+    ALL_DATES, BACKFILL_MONTHS, CALENDAR_AS_OF, CHANGED_AS_OF, CHANGED_DAYS, LEDGER_BEFORE, RUN_AT, WINDOW,
 )
 from fieldlake.sources.testdata import FIXTURES, TICKETS_WITHOUT_ITEMS, _office, cte, select_sql
 
@@ -118,17 +118,17 @@ TICKET_COLS = f"""{to_int('ticketID', '0')} AS ticket_id, {to_int('appointmentID
 
 def route_tech_sql(start: str, end: str, office: int | None) -> str:
     of = f" AND {to_int('officeID')} = {office}" if office is not None else ""
-    return f"""SELECT {to_int('routeID')} AS route_id, max({to_int('assignedTech')}) AS route_tech_id
+    return f"""SELECT {to_int('officeID')} AS office_id, {to_int('routeID')} AS route_id, max({to_int('assignedTech')}) AS route_tech_id
 FROM raw_routes WHERE {to_int('routeID')} IS NOT NULL AND COALESCE({to_int('assignedTech')} <> 0, FALSE)
  AND {to_date('date')} BETWEEN DATE '{start}' AND DATE '{end}'{of}
-GROUP BY 1"""
+GROUP BY 1, 2"""
 
 
 def conformed_appointments_ctes() -> str:
     return (cte("raw_appointments", "raw_routes")
             + f", rt AS ({route_tech_sql(ALL_DATES[0], ALL_DATES[1], None)}),\n"
             + f"conf_appts AS (SELECT {APPOINTMENT_COLS} FROM raw_appointments "
-            + f"LEFT JOIN rt ON {to_int('routeID')} = rt.route_id WHERE {not_orphan('officeID')})\n")
+            + f"LEFT JOIN rt ON {to_int('routeID')} = rt.route_id AND {to_int('officeID')} = rt.office_id WHERE {not_orphan('officeID')})\n")
 
 
 def _items_sql() -> str:
@@ -179,28 +179,31 @@ SELECT {fa_cols} FROM fact_appointments a WHERE NOT {in_win}
   AND NOT EXISTS (SELECT 1 FROM incoming i WHERE i.office_id = a.office_id AND i.appointment_id = a.appointment_id)
 UNION ALL SELECT {fa_cols} FROM incoming"""
     q["vanished_ids"] = cte("fact_appointments") + f""", {incoming}
-SELECT DISTINCT appointment_id FROM fact_appointments WHERE {in_win}
-  AND appointment_id NOT IN (SELECT appointment_id FROM incoming)"""
+SELECT DISTINCT office_id, appointment_id FROM fact_appointments WHERE {in_win}
+  AND (office_id, appointment_id) NOT IN (SELECT (office_id, appointment_id) FROM incoming)"""
     q["vanished_refetch"] = conformed_appointments_ctes() + f""", {select_sql('fact_appointments')
         .join(['fa AS (', ')'])}, {incoming.replace('FROM fact_appointments', 'FROM fa')},
-gone AS (SELECT DISTINCT appointment_id FROM fa WHERE {in_win}
-  AND appointment_id NOT IN (SELECT appointment_id FROM incoming))
-SELECT appointment_id, office_id, scheduled_date, status, ticket_id FROM conf_appts
-WHERE appointment_id IN (SELECT appointment_id FROM gone)"""
-    tickets_in_win = (f"SELECT DISTINCT ticket_id FROM fact_appointments WHERE {in_win} AND ticket_id > 0")
+gone AS (SELECT DISTINCT office_id, appointment_id FROM fa WHERE {in_win}
+  AND (office_id, appointment_id) NOT IN (SELECT (office_id, appointment_id) FROM incoming))
+SELECT appointment_id, office_id, scheduled_date, status, ticket_id FROM conf_appts c
+WHERE EXISTS (SELECT 1 FROM gone g WHERE g.office_id = c.office_id AND g.appointment_id = c.appointment_id)"""
+    tickets_in_win = (f"SELECT DISTINCT office_id, ticket_id FROM fact_appointments WHERE {in_win} AND ticket_id > 0")
     q["window_ticket_ids"] = cte("fact_appointments") + tickets_in_win
     fi_cols = ", ".join(c for c, _, _ in FIXTURES["fact_ticket_items"].columns)
     q["replace_children"] = cte("fact_appointments", "fact_ticket_items") + f""", parents AS ({tickets_in_win})
-SELECT {fi_cols} FROM fact_ticket_items WHERE ticket_id NOT IN (SELECT ticket_id FROM parents)
+SELECT {fi_cols} FROM fact_ticket_items i WHERE NOT EXISTS (
+  SELECT 1 FROM parents p WHERE p.office_id = i.office_id AND p.ticket_id = i.ticket_id)
 UNION ALL
-SELECT * REPLACE (quantity + 1 AS quantity) FROM fact_ticket_items
-WHERE ticket_id IN (SELECT ticket_id FROM parents) AND item_id % 10 <> 1"""
+SELECT * REPLACE (quantity + 1 AS quantity) FROM fact_ticket_items i
+WHERE EXISTS (SELECT 1 FROM parents p WHERE p.office_id = i.office_id AND p.ticket_id = i.ticket_id)
+  AND item_id % 10 <> 1"""
     dc_cols = ", ".join(c for c, _, _ in FIXTURES["dim_customers"].columns)
     changed = (f"{to_ts('dateUpdated')} >= TIMESTAMP '{CHANGED_AS_OF}' - INTERVAL {CHANGED_DAYS} DAY")
     q["replace_by_id"] = cte("dim_customers", "raw_customers") + f""", incoming AS (
   SELECT {dc_cols} FROM (SELECT {CUSTOMER_COLS} FROM raw_customers
   WHERE {changed} AND {not_orphan('officeID')} AND {not_orphan('customerID')}))
-SELECT {dc_cols} FROM dim_customers WHERE customer_id NOT IN (SELECT customer_id FROM incoming)
+SELECT {dc_cols} FROM dim_customers c WHERE NOT EXISTS (
+  SELECT 1 FROM incoming i WHERE i.office_id = c.office_id AND i.customer_id = c.customer_id)
 UNION ALL SELECT * FROM incoming"""
     q["route_tech"] = cte("raw_routes") + route_tech_sql(start, end, office)
     q["best_tech"] = cte("fact_appointments") + (
@@ -224,7 +227,7 @@ t AS (SELECT office_id, ticket_id FROM fact_tickets WHERE invoice_date {win}),
 i AS (SELECT office_id FROM fact_ticket_items WHERE ticket_id IN (SELECT ticket_id FROM t)),
 c AS (SELECT office_id FROM dim_customers WHERE date_added {win}),
 s AS (SELECT office_id FROM dim_subscriptions WHERE date_added {win}),
-o AS (SELECT DISTINCT office_id FROM a WHERE office_id IN (1, 2)),
+o AS (SELECT DISTINCT office_id FROM dim_customers),
 n AS (SELECT o.office_id,
   (SELECT COUNT(*) FROM a WHERE a.office_id = o.office_id) AS na,
   (SELECT COUNT(*) FROM t WHERE t.office_id = o.office_id) AS nt,
@@ -236,13 +239,11 @@ SELECT TIMESTAMP '{RUN_AT}' AS run_at, office_id,
   CASE WHEN office_id = 2 THEN 'error' ELSE 'success' END AS status,
   CASE WHEN office_id = 2 THEN 'route search failed' END AS error_message,
   CAST(2 AS BIGINT) AS lookback_days,
-  CAST(CASE WHEN office_id = 2 THEN 0 ELSE na END AS BIGINT) AS appointments_synced,
-  CAST(CASE WHEN office_id = 2 THEN 0 ELSE nt END AS BIGINT) AS tickets_synced,
-  CAST(CASE WHEN office_id = 2 THEN 0 ELSE ni END AS BIGINT) AS ticket_items_synced,
-  CAST(CASE WHEN office_id = 2 THEN 0 ELSE nc END AS BIGINT) AS customers_synced,
-  CAST(CASE WHEN office_id = 2 THEN 0 ELSE ns END AS BIGINT) AS subscriptions_synced
+  na AS appointments_synced, nt AS tickets_synced, ni AS ticket_items_synced,
+  nc AS customers_synced, ns AS subscriptions_synced
 FROM n"""
-    body = q["sync_summary"]
+    q["sync_health"] = body = q["sync_summary"]
+    q["load_window"] = q["replace_window"]
     cut = body.rindex("SELECT TIMESTAMP")
     q["sync_totals"] = body[:cut] + ", health AS (" + body[cut:] + """)
 SELECT CAST(SUM(appointments_synced) AS BIGINT) AS appointments_synced,
@@ -251,6 +252,13 @@ SELECT CAST(SUM(appointments_synced) AS BIGINT) AS appointments_synced,
   CAST(SUM(customers_synced) AS BIGINT) AS customers_synced,
   CAST(SUM(subscriptions_synced) AS BIGINT) AS subscriptions_synced,
   CAST(COUNT_IF(status = 'error') AS BIGINT) AS failed_offices, COUNT(*) AS offices FROM health"""
+    q["backfill_pending"] = cte("fact_appointments") + f"""
+SELECT CAST(year(m) AS BIGINT) AS year, CAST(month(m) AS BIGINT) AS month, o AS office_id, CAST(m AS DATE) AS month_start,
+  last_day(CAST(m AS DATE)) AS month_end, strftime(m, '%Y-%m') || '-office' || o AS month_key
+FROM generate_series(TIMESTAMP '1994-12-01', TIMESTAMP '1999-12-01', INTERVAL 1 MONTH) AS g(m),
+  (VALUES (CAST(1 AS BIGINT)), (CAST(2 AS BIGINT))) AS offs(o)
+WHERE NOT EXISTS (SELECT 1 FROM fact_appointments a WHERE a.office_id = o AND a.scheduled_date < DATE '{LEDGER_BEFORE}'
+  AND date_trunc('month', a.scheduled_date) = m)"""
     y5 = f"make_date(year(DATE '{CALENDAR_AS_OF}') - 5, month(DATE '{CALENDAR_AS_OF}'), 1)"
     q["backfill_progress"] = cte("fact_appointments") + f""",
 cal AS (SELECT CAST(m AS DATE) AS month_start, o AS office_id
@@ -283,8 +291,15 @@ _FIRST_EMAIL = f"regexp_split_to_array({strip('email')}, '[;,]')[1]"
 EMAIL_IMPORT = f"NULLIF(lower({strip(_FIRST_EMAIL)}), '')"
 REAL = f"{not_orphan('officeID')} AND {not_orphan('customerID')}"
 SEGMENT = "CASE WHEN COALESCE(commercialAccount, '0') = '1' THEN 'fr_commercial' ELSE 'fr_residential' END"
-DAILY_TAGS = (f"['fr_office1', CASE WHEN COALESCE(active, '0') = '1' THEN 'fr_active' ELSE 'fr_inactive' END, "
-              f"{SEGMENT}]")
+
+
+def daily_tags(office: int) -> str:
+    return (f"['fr_office{office}', CASE WHEN COALESCE(active, '0') = '1' THEN 'fr_active' "
+            f"ELSE 'fr_inactive' END, {SEGMENT}]")
+
+
+def of_office(office: int) -> str:
+    return f"(NOT ({not_orphan('officeID')}) OR officeID = '{office}')"
 
 
 def blank_null(x: str) -> str:
@@ -320,8 +335,12 @@ CRM = """crm AS (SELECT contact_id, email, phone, string_split(tags, ',') AS tag
 by_email AS (SELECT lower(email) AS k, min(contact_id) AS cid FROM crm WHERE email IS NOT NULL GROUP BY 1),
 by_phone AS (SELECT phone AS k, min(contact_id) AS cid FROM crm WHERE phone IS NOT NULL GROUP BY 1)"""
 
-DAILY = f"""daily AS (SELECT customerID AS fr_id, {EMAIL_DAILY} AS email, {PHONE} AS phone,
-  {DAILY_TAGS} AS tags, {REAL} AS real FROM raw_customers)"""
+
+
+def daily(office: int) -> str:
+    return f"""daily AS (SELECT customerID AS fr_id, {EMAIL_DAILY} AS email, {PHONE} AS phone,
+  {daily_tags(office)} AS tags, {REAL} AS real FROM raw_customers WHERE {of_office(office)})"""
+
 
 IMPORT = f"""imp AS (SELECT {to_int('officeID')} AS office, customerID AS fr_id, {strip('fname')} AS first_name,
   {strip('lname')} AS last_name, {EMAIL_IMPORT} AS email, {PHONE} AS phone,
@@ -347,18 +366,30 @@ deduped AS (SELECT office, fr_id, first_name, last_name, email AS original_email
   CASE WHEN de AND dp THEN 'email+phone' WHEN de THEN 'email' WHEN dp THEN 'phone' END AS matched_on
   FROM dd)"""
 
-PLAN = f""", {SVC}, {CRM}, {DAILY},
+OFFICE_SVC = SVC.replace("raw_subscriptions", "(SELECT * FROM raw_subscriptions WHERE officeID = '1')")
+KEPT = "list_filter(old, lambda t: t NOT IN ('fr_active', 'fr_inactive') AND NOT starts_with(t, 'svc_'))"
+
+
+def plan(office: int) -> str:
+    """The contacts sent one after the other: each looks for the CRM contact,
+    then for the first earlier contact with its email, then its phone."""
+    svc = OFFICE_SVC if office == 1 else "svc AS (SELECT '' AS customerID, CAST([] AS VARCHAR[]) AS svc_tags)"
+    earlier = "SELECT arg_min(x.fr_id, CAST(x.fr_id AS BIGINT)) FROM sendable x WHERE CAST(x.fr_id AS BIGINT) < CAST(s.fr_id AS BIGINT)"
+    return f""", {svc}, {CRM}, {daily(office)},
 sendable AS (SELECT d.fr_id, d.email, d.phone, d.tags || COALESCE(svc.svc_tags, []) AS tags
   FROM daily d LEFT JOIN svc ON d.fr_id = svc.customerID
   WHERE d.real AND (d.email IS NOT NULL OR d.phone IS NOT NULL)),
-m AS (SELECT s.*, COALESCE(e.cid, p.cid) AS contact_id FROM sendable s
-  LEFT JOIN by_email e ON s.email = e.k LEFT JOIN by_phone p ON s.phone = p.k),
-merged AS (SELECT m.fr_id, m.contact_id,
-  list_filter(list_filter(c.tags, lambda t: t NOT IN ('fr_active', 'fr_inactive') AND NOT starts_with(t, 'svc_'))
-              || m.tags, lambda x, i: i = list_position(
-     list_filter(c.tags, lambda t: t NOT IN ('fr_active', 'fr_inactive') AND NOT starts_with(t, 'svc_')) || m.tags, x))
-  AS tags FROM m JOIN crm c ON c.contact_id = m.contact_id),
-actions AS (SELECT CASE WHEN contact_id IS NOT NULL THEN 'updated' ELSE 'created' END AS action FROM m
+m AS (SELECT s.*, COALESCE(e.cid, p.cid) AS contact_id,
+  ({earlier} AND x.email = s.email) AS before_email, ({earlier} AND x.phone = s.phone) AS before_phone
+  FROM sendable s LEFT JOIN by_email e ON s.email = e.k LEFT JOIN by_phone p ON s.phone = p.k),
+n AS (SELECT m.fr_id, m.tags, m.contact_id,
+  CASE WHEN m.contact_id IS NULL THEN COALESCE(before_email, before_phone) END AS same_as FROM m),
+o AS (SELECT n.*, CASE WHEN n.contact_id IS NOT NULL THEN c.tags ELSE d.tags END AS old
+  FROM n LEFT JOIN crm c ON c.contact_id = n.contact_id LEFT JOIN sendable d ON d.fr_id = n.same_as),
+merged AS (SELECT fr_id, contact_id, same_as,
+  list_filter({KEPT} || tags, lambda x, i: i = list_position({KEPT} || tags, x)) AS tags
+  FROM o WHERE contact_id IS NOT NULL OR same_as IS NOT NULL),
+actions AS (SELECT CASE WHEN contact_id IS NOT NULL OR same_as IS NOT NULL THEN 'updated' ELSE 'created' END AS action FROM n
   UNION ALL SELECT CASE WHEN NOT real THEN 'skipped_orphaned' ELSE 'skipped_no_contact' END FROM daily
   WHERE NOT (real AND (email IS NOT NULL OR phone IS NOT NULL)))
 """
@@ -370,26 +401,30 @@ def _contacts() -> dict[str, str]:
     q["contact_phones"] = rc + f"SELECT customerID, {PHONE} AS phone FROM raw_customers"
     q["contact_emails"] = rc + (f"SELECT customerID, {EMAIL_DAILY} AS email_daily, {EMAIL_IMPORT} AS email_import "
                                 "FROM raw_customers")
-    q["contacts_daily"] = rc + f"""SELECT customerID AS fr_id, {strip('fname')} AS first_name,
+    for name, n in (("contacts_daily", 1), ("contacts_daily_office2", 2)):
+        q[name] = rc + f"""SELECT customerID AS fr_id, {strip('fname')} AS first_name,
  {strip('lname')} AS last_name, {EMAIL_DAILY} AS email, {PHONE} AS phone, {blank_null('companyName')} AS company_name,
  {blank_null('address')} AS address1, {blank_null('city')} AS city, {blank_null('state')} AS state,
- {blank_null('zip')} AS postal_code, array_to_string({DAILY_TAGS}, ',') AS tags, {REAL} AS real FROM raw_customers"""
+ {blank_null('zip')} AS postal_code, array_to_string({daily_tags(n)}, ',') AS tags, {REAL} AS real FROM raw_customers
+WHERE {of_office(n)}"""
     q["contacts_import"] = rc + f""", {IMPORT.split(PENDING)[0]}
 SELECT CAST(office AS BIGINT) AS office, fr_id, email, phone,
  (SELECT {blank_null('companyName')} FROM raw_customers r WHERE r.customerID = imp.fr_id) AS company_name,
  array_to_string(tags, ',') AS tags, COALESCE(fr_id, '') AS custom_value FROM imp"""
-    q["contactable"] = rc + f", {DAILY} SELECT fr_id, email, phone FROM daily WHERE real AND (email IS NOT NULL OR phone IS NOT NULL)"
+    q["contactable"] = rc + f", {daily(1)} SELECT fr_id, email, phone FROM daily WHERE real AND (email IS NOT NULL OR phone IS NOT NULL)"
     rs = cte("raw_subscriptions")
     q["tag_subscriptions"] = rs + f"SELECT subscriptionID, customerID, serviceID, active FROM ({TAG_SUBS})"
     q["service_tags"] = rs + f", {SVC} SELECT customerID, array_to_string(svc_tags, ',') AS svc_tags FROM svc"
-    q["tag_counts"] = rs + f""", {SVC}
-SELECT tag, COUNT(*) AS customers FROM (SELECT unnest(svc_tags) AS tag FROM svc) GROUP BY 1
-UNION ALL SELECT 'svc_pest_not_svc_mosquito', CAST(COUNT_IF(list_contains(svc_tags, 'svc_pest')
-  AND NOT list_contains(svc_tags, 'svc_mosquito')) AS BIGINT) FROM svc"""
     both = cte("raw_customers", "raw_subscriptions", "crm_contacts")
-    q["contact_match"] = both + PLAN + "SELECT fr_id, contact_id FROM m"
-    q["tag_merge"] = both + PLAN + "SELECT fr_id, contact_id, array_to_string(tags, ',') AS tags FROM merged"
-    q["upsert_summary"] = both + PLAN + "SELECT action, COUNT(*) AS customers FROM actions GROUP BY 1"
+    q["tag_counts"] = both + f"""{plan(1)}, mine AS (SELECT list_filter(tags, lambda t: starts_with(t, 'svc_')) AS t FROM sendable)
+SELECT tag, COUNT(*) AS customers FROM (SELECT unnest(t) AS tag FROM mine) GROUP BY 1
+UNION ALL SELECT 'svc_pest_not_svc_mosquito', CAST(COUNT_IF(list_contains(t, 'svc_pest')
+  AND NOT list_contains(t, 'svc_mosquito')) AS BIGINT) FROM mine"""
+    q["contact_match"] = both + plan(1) + "SELECT fr_id, contact_id FROM m"
+    for suffix, n in (("", 1), ("_office2", 2)):
+        q[f"tag_merge{suffix}"] = both + plan(n) + (
+            "SELECT fr_id, contact_id, same_as, array_to_string(tags, ',') AS tags FROM merged")
+        q[f"upsert_summary{suffix}"] = both + plan(n) + "SELECT action, COUNT(*) AS customers FROM actions GROUP BY 1"
     ic = cte("raw_customers", "crm_contacts") + f", {CRM}, {IMPORT}\n"
     q["import_dedupe"] = ic + ("SELECT fr_id, email, phone, array_to_string(tags, ',') AS tags, action, matched_on "
                                "FROM deduped")
@@ -400,10 +435,13 @@ FROM deduped WHERE matched_on IS NOT NULL"""
     skipped = "SELECT 'skipped' AS action FROM pending WHERE email IS NULL AND phone IS NULL"
     q["import_summary"] = ic + f"""SELECT action, COUNT(*) AS customers FROM
  (SELECT action FROM deduped UNION ALL {skipped}) GROUP BY 1"""
+    q["import_log"] = ic + f"""SELECT action, COUNT(*) AS customers, TIMESTAMP '{RUN_AT}' AS run_at, COUNT(*) AS entries FROM
+ (SELECT action FROM deduped UNION ALL {skipped}) GROUP BY 1"""
+    q["duplicate_review_csv"] = q["duplicate_review"]
     q["import_summary_dry_run"] = ic + f"""SELECT action, COUNT(*) AS customers FROM
  (SELECT 'would_create' AS action FROM send UNION ALL {skipped}) GROUP BY 1"""
     bad = "(d.email IS NOT NULL AND NOT regexp_matches(d.email, '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$'))"
-    q["invalid_emails"] = rc + f""", {DAILY}
+    q["invalid_emails"] = rc + f""", {daily(1)}
 SELECT fr_id, CASE WHEN NOT {bad} THEN email END AS email, phone,
  array_to_string(CASE WHEN {bad} THEN tags || ['fr_invalid_email'] ELSE tags END, ',') AS tags,
  CASE WHEN {bad} AND phone IS NOT NULL THEN 'created_no_email' WHEN {bad} THEN 'error' END AS invalid_action
@@ -418,6 +456,10 @@ def _half_up(num: str, den: str) -> str:
             f"((2 * abs({num}) + ({den})) // (2 * ({den})))")
 
 
+#: The first 32 bits of the id's md5, 0 mod 7.
+HASH7 = "CAST('0x' || substr(md5(subscriptionID), 1, 8) AS BIGINT) % 7 = 0"
+
+
 def _reject(field: str, kind: str) -> str:
     nb = f"({field} IS NOT NULL AND {strip(field)} <> '')"
     ph = f"starts_with({strip(field)}, '0000')"
@@ -451,6 +493,8 @@ SELECT total, inspected, orphans,
  CASE WHEN inspected > 0 THEN CAST({_half_up('orphans * 10000', 'inspected')} AS DOUBLE) / 100 END AS orphan_pct,
  CASE WHEN inspected > 0 THEN CAST({_half_up('total * (inspected - orphans)', 'inspected')} AS BIGINT) END AS est_real
 FROM g"""
+    q["orphan_rate_sampled"] = q["orphan_rate"].replace("COUNT(*) AS inspected", f"CAST(COUNT_IF({HASH7}) AS BIGINT) AS inspected") \
+        .replace(f"NOT ({real})", f"{HASH7} AND NOT ({real})")
     vals = ", ".join(f"({k}, {v})" for k, v in EXPECTED_CUSTOMERS.items())
     q["count_check"] = cte("raw_customers") + f""",
 e AS (SELECT CAST(o AS BIGINT) AS office_id, CAST(x AS BIGINT) AS expected FROM (VALUES {vals}) t(o, x)),
@@ -509,7 +553,16 @@ FROM priced"""
 def _sources() -> dict[str, str]:
     q: dict[str, str] = {}
     q["raw_subscriptions"] = cte("raw_subscriptions") + "SELECT * FROM raw_subscriptions"
-    q["dim_overwrite"] = cte("raw_service_types") + SERVICE_TYPES_SQL + " WHERE officeID IN ('1', '2')"
+    q["dim_overwrite"] = cte("raw_service_types") + SERVICE_TYPES_SQL
+    q["dim_overwrite_employees"] = cte("raw_employees") + EMPLOYEES_SQL
+    q["dim_overwrite_products"] = cte("raw_products") + PRODUCTS_SQL
+    q["appended_table"] = cte("raw_products") + f""", p AS (
+ SELECT *, TIMESTAMP '{RUN_AT}' AS loaded_at FROM ({PRODUCTS_SQL}))
+SELECT * FROM p UNION ALL SELECT * FROM p WHERE taxable"""
+    q["created_tables"] = """SELECT 'dim_products' AS "table", 'existing' AS status, (SELECT COUNT(*) FROM part) AS "rows"
+UNION ALL SELECT 'dim_customers', 'existing', (SELECT COUNT(*) FROM customer)
+UNION ALL SELECT t, 'created', 0 FROM (VALUES ('dim_employees'), ('dim_service_types'), ('dim_subscriptions'),
+ ('fact_appointments'), ('fact_tickets'), ('fact_ticket_items'), ('sync_health')) AS v(t)"""
     k = "(CAST(customerID AS BIGINT) - 1)"
     q["stream_upsert"] = cte("raw_customers") + f""", landed AS (
   SELECT * REPLACE (CASE WHEN {k} % 10 = 0 THEN 'changed' || customerID || '@x.com' ELSE email END AS email)

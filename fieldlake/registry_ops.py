@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from fieldlake.operators import conform as C
 from fieldlake.operators import load as L
+from fieldlake.session import scratch_path
+from fieldlake.sources import sinks
 from fieldlake.sources.testdata import load
 
 RUN_AT = "2000-01-03 06:00:00"
@@ -15,6 +17,7 @@ ALL_DATES = ("1990-01-01", "2010-12-31")
 CHANGED_AS_OF, CHANGED_DAYS = "1999-12-31 00:00:00", 7
 BACKFILL_MONTHS = ("1998-01-01", "1998-03-01")
 CALENDAR_AS_OF = "1999-12-15"
+LEDGER_BEFORE = "1997-05-01"                    # the first backfill run got this far
 
 
 def _no_stamp(df: DataFrame) -> DataFrame:
@@ -58,6 +61,12 @@ def _conform_queries() -> dict:
     return q
 
 
+def _health(s: SparkSession, summary: DataFrame) -> DataFrame:
+    path = scratch_path(s, "health")
+    sinks.write_health(summary, path)
+    return s.read.parquet(path)
+
+
 def _load_queries() -> dict:
     q = {}
     office, start, end = WINDOW
@@ -78,7 +87,7 @@ def _load_queries() -> dict:
     def _replace_children(s, sf):
         items = load(s, sf, "fact_ticket_items")
         parents = L.window_ticket_ids(load(s, sf, "fact_appointments"), office, start, end)
-        new = (items.join(parents, ["ticket_id"], "left_semi").filter(F.col("item_id") % 10 != 1)
+        new = (items.join(parents, ["office_id", "ticket_id"], "left_semi").filter(F.col("item_id") % 10 != 1)
                .withColumn("quantity", F.col("quantity") + 1))
         return L.replace_children(items, new, parents)
     q["replace_children"] = _replace_children
@@ -87,7 +96,7 @@ def _load_queries() -> dict:
         existing = load(s, sf, "dim_customers")
         raw = L.changed_since(load(s, sf, "raw_customers"), CHANGED_AS_OF, CHANGED_DAYS)
         incoming = C.conform_customers(C.real_records(raw), RUN_AT).select(*existing.columns)
-        return L.replace_by_id(existing, incoming, ["customer_id"])
+        return L.replace_by_id(existing, incoming, ["office_id", "customer_id"])
     q["replace_by_id"] = _replace_by_id
 
     q["route_tech"] = lambda s, sf: L.route_tech(load(s, sf, "raw_routes"), start, end, office=office)
@@ -110,7 +119,7 @@ def _load_queries() -> dict:
         items = load(s, sf, "fact_ticket_items").join(t.select("ticket_id"), ["ticket_id"], "left_semi")
         c = load(s, sf, "dim_customers").filter(F.col("date_added").between(start, end))
         sub = load(s, sf, "dim_subscriptions").filter(F.col("date_added").between(start, end))
-        offices = a.select("office_id").filter(F.col("office_id").isin(1, 2)).distinct()
+        offices = load(s, sf, "dim_customers").select("office_id").distinct()
         errors = offices.filter(F.col("office_id") == 2).select(
             "office_id", F.lit("route search failed").alias("error_message"))
         loaded = {"appointments": a, "tickets": t, "ticket_items": items, "customers": c,
@@ -119,6 +128,22 @@ def _load_queries() -> dict:
     q["sync_summary"] = _sync_summary
     q["sync_totals"] = lambda s, sf: L.sync_totals(_sync_summary(s, sf))
 
+    q["sync_health"] = lambda s, sf: _health(s, _sync_summary(s, sf))
+
+    def _load_window(s, sf):
+        path = scratch_path(s, "fact")
+        sinks.write_fact(load(s, sf, "fact_appointments"), path)
+        sinks.load_window(s, path, window_incoming(s, sf), office, start, end)
+        return sinks.read_fact(s, path).drop("month")
+    q["load_window"] = _load_window
+
+    def _pending(s, sf):
+        fetched = load(s, sf, "fact_appointments").filter(F.col("scheduled_date") < LEDGER_BEFORE)
+        ledger = scratch_path(s, "ledger")
+        sinks.append(L.loaded_months(fetched), ledger)
+        return L.backfill_pending(L.backfill_calendar(s, CALENDAR_AS_OF), s.read.parquet(ledger))
+    q["backfill_pending"] = _pending
+
     q["backfill_progress"] = lambda s, sf: L.backfill_progress(
         L.backfill_calendar(s, CALENDAR_AS_OF), L.loaded_months(load(s, sf, "fact_appointments")))
     return q
@@ -147,9 +172,11 @@ def _contact_queries() -> dict:
     q["contact_emails"] = lambda s, sf: load(s, sf, "raw_customers").select(
         "customerID", clean_email(F.col("email")).alias("email_daily"),
         clean_email(F.col("email"), first_of_list=True).alias("email_import"))
-    q["contacts_daily"] = lambda s, sf: G.contacts_daily(load(s, sf, "raw_customers")).select(
-        "fr_id", "first_name", "last_name", "email", "phone", "company_name", "address1", "city",
-        "state", "postal_code", _txt("tags"), "real")
+    def _daily(office):
+        return lambda s, sf: G.contacts_daily(load(s, sf, "raw_customers"), office).select(
+            "fr_id", "first_name", "last_name", "email", "phone", "company_name", "address1", "city",
+            "state", "postal_code", _txt("tags"), "real")
+    q["contacts_daily"], q["contacts_daily_office2"] = _daily(1), _daily(2)
     q["contacts_import"] = lambda s, sf: G.contacts_import(load(s, sf, "raw_customers")).select(
         "office", "fr_id", "email", "phone", "company_name", _txt("tags"),
         F.col("custom_fields")[0]["value"].alias("custom_value"))
@@ -161,19 +188,23 @@ def _contact_queries() -> dict:
     def _tags(s, sf):
         return G.service_tags(G.tag_subscriptions(load(s, sf, "raw_subscriptions")))
     q["service_tags"] = lambda s, sf: _tags(s, sf).select("customerID", _txt("svc_tags"))
-    q["tag_counts"] = lambda s, sf: G.tag_counts(_tags(s, sf))
 
     def _daily_sendable(s, sf):
         return G.contactable(G.contacts_daily(load(s, sf, "raw_customers")).filter("real"))
+    q["tag_counts"] = lambda s, sf: G.tag_counts(
+        G.service_tags(G.tag_subscriptions(load(s, sf, "raw_subscriptions"), office=1)), _daily_sendable(s, sf))
     q["contact_match"] = lambda s, sf: G.match_contacts(_daily_sendable(s, sf), crm_existing(s, sf)).select(
         "fr_id", "contact_id")
 
-    def _plan(s, sf):
+    def _plan(s, sf, office=1):
         return G.upsert_plan(load(s, sf, "raw_customers"), load(s, sf, "raw_subscriptions"),
-                             crm_existing(s, sf))
+                             crm_existing(s, sf), office)
     q["tag_merge"] = lambda s, sf: _plan(s, sf).filter(F.col("action") == "updated").select(
-        "fr_id", "contact_id", _txt("tags"))
+        "fr_id", "contact_id", "same_as", _txt("tags"))
     q["upsert_summary"] = lambda s, sf: G.upsert_summary(_plan(s, sf))
+    q["upsert_summary_office2"] = lambda s, sf: G.upsert_summary(_plan(s, sf, 2))
+    q["tag_merge_office2"] = lambda s, sf: _plan(s, sf, 2).filter(F.col("action") == "updated").select(
+        "fr_id", "contact_id", "same_as", _txt("tags"))
 
     def _sendable_import(s, sf):
         return G.contactable(G.import_pending(G.contacts_import(load(s, sf, "raw_customers")),
@@ -182,6 +213,24 @@ def _contact_queries() -> dict:
         "fr_id", "email", "phone", _txt("tags"), "action", "matched_on")
     q["duplicate_review"] = lambda s, sf: G.duplicate_review(
         G.import_dedupe(_sendable_import(s, sf), crm_existing(s, sf)))
+
+    def _review_csv(s, sf):
+        path = scratch_path(s, "review")
+        sinks.write_review(q["duplicate_review"](s, sf), path)
+        return s.read.option("header", True).schema(
+            "fr_id string, name string, email string, phone string, matched_on string, office long").csv(path).na.fill("")
+    q["duplicate_review_csv"] = _review_csv
+
+    def _import_log(s, sf):
+        path = scratch_path(s, "import-log")
+        plan = G.import_plan(load(s, sf, "raw_customers"), None, crm_existing(s, sf), done_imports(s, sf),
+                             dry_run=False)
+        sinks.write_import_log(plan, path, RUN_AT)
+        stats = s.read.schema("action string, customers long, run_at timestamp").json(f"{path}/stats")
+        entries = s.read.schema("office long, fr_id string, action string, run_at timestamp").json(f"{path}/entries")
+        logged = entries.groupBy("action").agg(F.count(F.lit(1)).alias("entries"))
+        return stats.join(logged, ["action"], "full")
+    q["import_log"] = _import_log
     q["import_pending"] = lambda s, sf: G.import_pending(
         G.contacts_import(load(s, sf, "raw_customers")), done_imports(s, sf)).select("fr_id")
     q["import_summary"] = lambda s, sf: G.import_summary(G.import_plan(
@@ -247,22 +296,20 @@ def stream_landing(s: SparkSession, sf: str, landing: str) -> None:
     raw = load(s, sf, "raw_customers")
     k = F.col("customerID").cast("long") - 1
     for part in range(3):
-        raw.filter(k % 3 == part).coalesce(1).write.mode("append").json(landing)
+        raw.filter(k % 3 == part).write.mode("append").json(landing)
     changed = raw.filter(k % 10 == 0)
     older = changed.withColumn("email", F.concat(F.lit("old"), F.col("customerID"), F.lit("@x.com"))) \
         .withColumn("dateUpdated", F.lit("2000-01-01 09:00:00"))
     newer = changed.withColumn("email", F.concat(F.lit("changed"), F.col("customerID"), F.lit("@x.com"))) \
         .withColumn("dateUpdated", F.lit("2000-01-02 09:00:00"))
-    older.unionByName(newer).coalesce(1).write.mode("append").json(landing)
+    older.unionByName(newer).write.mode("append").json(landing)
 
 
 def _source_stream_queries() -> dict:
     from fieldlake.operators.load import refresh_dimension
-    from fieldlake.plans.catalog import register_views
-    from fieldlake.session import scratch_path
-    from fieldlake.sources import sinks
+    from fieldlake.plans.catalog import register_views, view_rows
     from fieldlake.sources.raw import read_raw
-    from fieldlake.sources.testdata import star
+    from fieldlake.sources.testdata import AS_OF_AGING, AS_OF_ROUTES, star
     from fieldlake.streaming.upsert import start_upsert_stream
     q = {}
 
@@ -272,22 +319,49 @@ def _source_stream_queries() -> dict:
         return read_raw(s, "subscription", path)
     q["raw_subscriptions"] = _raw
 
-    def _dim(s, sf):
-        path = scratch_path(s, "dim")
-        raw = load(s, sf, "raw_service_types")
-        per_office = [raw.filter(F.col("officeID") == o) for o in ("1", "2")]
-        sinks.overwrite(refresh_dimension(per_office, C.conform_service_types, RUN_AT), path)
-        sinks.overwrite(raw.limit(0), path)  # an empty refresh keeps the table
-        return s.read.parquet(path).drop("loaded_at")
-    q["dim_overwrite"] = _dim
-
-    q["view_catalog"] = lambda s, sf: register_views(s, star(s, sf), "2001-08-02")
+    def _dim(name, conform):
+        def run(s, sf):
+            path = scratch_path(s, "dim")
+            raw = load(s, sf, name)
+            first = F.coalesce(F.col("officeID") == "1", F.lit(False))
+            per_office = [raw.filter(first), raw.filter(~first)]  # as fetched: one office, then the rest
+            sinks.overwrite(refresh_dimension(per_office, conform, RUN_AT), path)
+            sinks.overwrite(raw.limit(0), path)  # an empty refresh keeps the table
+            return s.read.parquet(path).drop("loaded_at")
+        return run
+    q["dim_overwrite"] = _dim("raw_service_types", C.conform_service_types)
+    q["dim_overwrite_employees"] = _dim("raw_employees", C.conform_employees)
+    q["dim_overwrite_products"] = _dim("raw_products", C.conform_products)
+
+    def _appended(s, sf):
+        path = scratch_path(s, "appended")
+        products = C.conform_products(load(s, sf, "raw_products"), RUN_AT)
+        sinks.append(products.filter("product_id % 2 = 0"), path)
+        sinks.append(products.filter("product_id % 2 <> 0"), path)
+        sinks.append(products.filter("taxable"), path)
+        return s.read.parquet(path)
+    q["appended_table"] = _appended
+
+    def _created(s, sf):
+        root = scratch_path(s, "tables")
+        for name in ("dim_products", "dim_customers"):
+            load(s, sf, name).write.parquet(f"{root}/{name}")
+        report = sinks.ensure_tables(s, root)
+        counts = None
+        for name, _ in report.collect():
+            n = s.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("rows")).select(
+                F.lit(name).alias("table"), "rows")
+            counts = n if counts is None else counts.unionByName(n)
+        return report.join(counts, ["table"])
+    q["created_tables"] = _created
+
+    q["view_catalog"] = lambda s, sf: view_rows(s, register_views(s, star(s, sf), AS_OF_AGING, AS_OF_ROUTES))
 
     def _stream(s, sf):
         landing, table, ckpt = (scratch_path(s, n) for n in ("stream-landing", "stream-table", "stream-ckpt"))
         stream_landing(s, sf, landing)
         start_upsert_stream(s, landing, table, "customer", ckpt, RUN_AT).awaitTermination()
-        return s.read.parquet(table).drop("loaded_at")
+        return s.read.parquet(table).drop("loaded_at", "changed_at")
     q["stream_upsert"] = _stream
     return q
 

@@ -2,9 +2,11 @@
 
 Raw change files land in a folder; a Structured Streaming query picks up
 new files, conforms each micro-batch, keeps the latest version of every key
-in the batch, and upserts it into the table (replace by id). The checkpoint
-makes it restartable: a batch re-run after a failure applies the same
-upsert again, which is idempotent, and a second run over the same files
+in the batch, and upserts it into the table (replace by id). The table keeps
+each row's change stamp (``changed_at``; the epoch where the record has
+none), so a file that arrives late cannot replace a newer row. The
+checkpoint makes it restartable: a batch re-run after a failure applies the
+same upsert again, which is idempotent, and a second run over the same files
 emits no batch.
 """
 
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from fieldlake.functions.parse import to_timestamp
 from fieldlake.operators import conform as C
 from fieldlake.operators.load import replace_by_id
 from fieldlake.sources import sinks
@@ -42,12 +45,20 @@ def latest_per_key(raw: DataFrame, raw_keys: Iterable[str], stamp: str) -> DataF
 RAW_KEYS = {"customer": ("officeID", "customerID"), "subscription": ("officeID", "subscriptionID")}
 
 
+CHANGED_AT = "changed_at"
+
+
 def upsert_batch(spark: SparkSession, batch: DataFrame, table_path: str, entity: str, run_at) -> None:
     conform, real, keys, stamp = ENTITIES[entity]
     latest = latest_per_key(real(batch), RAW_KEYS[entity], stamp)
-    incoming = conform(latest.select(*batch.columns), run_at)
+    changed = F.coalesce(to_timestamp(F.col(stamp)), F.timestamp_seconds(F.lit(0)))
+    incoming = conform(latest.select(*batch.columns), run_at, changed.alias(CHANGED_AT))
     if sinks.exists(spark, table_path):
-        new = replace_by_id(spark.read.parquet(table_path), incoming, keys)
+        table = spark.read.parquet(table_path)
+        stored = table.select(*keys, F.col(CHANGED_AT).alias("_stored"))
+        incoming = (incoming.join(stored, list(keys), "left")
+                    .filter(F.col("_stored").isNull() | (F.col(CHANGED_AT) >= F.col("_stored"))).drop("_stored"))
+        new = replace_by_id(table, incoming, keys)
     else:
         new = incoming
     sinks.overwrite(new, table_path)

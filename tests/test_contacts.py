@@ -15,7 +15,9 @@ def test_upsert_outcomes(spark, sf):
     plan = G.upsert_plan(load(spark, sf, "raw_customers"), load(spark, sf, "raw_subscriptions"),
                          crm_existing(spark, sf))
     c = _counts(plan)
-    assert c["created"] == 105 and c["updated"] == 25
+    assert c == {"created": 68, "updated": 35, "skipped_no_contact": 20}
+    assert _counts(G.upsert_plan(load(spark, sf, "raw_customers"), load(spark, sf, "raw_subscriptions"),
+                                 crm_existing(spark, sf), office=2)) == {"updated": 25}
 
 
 def test_import_outcomes(spark, sf):
@@ -50,3 +52,30 @@ def test_all_tags_occur(spark, sf):
     tags = G.service_tags(G.tag_subscriptions(load(spark, sf, "raw_subscriptions")))
     seen = {r[0] for r in tags.select(F.explode("svc_tags")).distinct().collect()}
     assert seen == set(G.SERVICE_TAGS)
+
+
+def _raw(spark, rows):
+    return spark.createDataFrame([(i, o, e, p) for i, o, e, p in rows],
+                                 "customerID string, officeID string, email string, phone1 string") \
+        .selectExpr("*", "'' AS phone2", "'F' AS fname", "'L' AS lname", "'' AS companyName", "'' AS address",
+                    "'' AS city", "'' AS state", "'' AS zip", "'1' AS active", "'0' AS commercialAccount")
+
+
+def test_upsert_finds_earlier_contacts_of_the_batch(spark):
+    raw = _raw(spark, [("10", "1", "a@x.com", None), ("9", "1", "a@x.com", "7025550001"), ("11", "1", None, "7025550001"),
+                       ("12", "1", "b@x.com", "7025550001"), ("13", "2", "a@x.com", None), ("14", "1", "c@x.com", None),
+                       ("15", "1", None, None), ("-1", "-1", "a@x.com", None)])
+    subs = spark.createDataFrame([("9", "1", "Bee Removal", "1", "3"), ("9", "2", "Weed Control", "1", "3")],
+                                 "customerID string, officeID string, serviceType string, active string, serviceID string")
+    crm = spark.createDataFrame([(5, "c@x.com", None, ["vip", "svc_weed"])],
+                                "contact_id long, email string, phone string, tags array<string>")
+    got = {r["fr_id"]: (r["action"], r["contact_id"], r["same_as"], r["tags"])
+           for r in G.upsert_plan(raw, subs, crm).collect()}
+    mine = ["fr_office1", "fr_active", "fr_residential"]
+    moved = ["fr_office1", "fr_residential", "fr_active"]
+    assert got == {"9": ("created", None, None, [*mine, "svc_bee"]), "10": ("updated", None, "9", moved),
+                   "11": ("updated", None, "9", moved), "12": ("updated", None, "9", moved),
+                   "14": ("updated", 5, None, ["vip", *mine]), "15": ("skipped_no_contact", None, None, mine),
+                   "-1": ("skipped_orphaned", None, None, mine)}
+    two = {r["fr_id"]: (r["action"], r["tags"]) for r in G.upsert_plan(raw, subs, crm, office=2).collect()}
+    assert two["13"] == ("created", ["fr_office2", "fr_active", "fr_residential"]) and set(two) == {"13", "-1"}

@@ -60,5 +60,33 @@ def test_sync_summary_marks_failed_office(spark, sf):
     errors = spark.createDataFrame([(2, "boom")], "office_id long, error_message string")
     s = {r["office_id"]: r for r in L.sync_summary({"appointments": a}, "2000-01-03 06:00:00", 2, offices,
                                                   errors).collect()}
-    assert s[2]["status"] == "error" and s[2]["appointments_synced"] == 0
+    assert s[2]["status"] == "error"
+    assert s[2]["appointments_synced"] == a.filter("office_id = 2").count()  # loaded before the error
     assert s[1]["status"] == "success" and s[1]["appointments_synced"] == a.filter("office_id = 1").count()
+
+
+def test_loads_keep_the_other_office(spark):
+    child = "item_id long, office_id long, ticket_id long"
+    items = spark.createDataFrame([(1, 1, 7), (2, 2, 7), (3, 1, 8)], child)
+    parents = spark.createDataFrame([(1, 7)], "office_id long, ticket_id long")
+    assert _rows(L.replace_children(items, spark.createDataFrame([(9, 1, 7)], child), parents)) == [
+        (2, 2, 7), (3, 1, 8), (9, 1, 7)]
+    d = "appointment_id long, office_id long, scheduled_date string"
+    stored = spark.createDataFrame([(1, 1, "2024-01-05"), (2, 1, "2024-01-05"), (2, 2, "2024-01-05")], d) \
+        .withColumn("scheduled_date", F.col("scheduled_date").cast("date"))
+    active = spark.createDataFrame([(1, 1), (2, 2)], "appointment_id long, office_id long")
+    gone = L.vanished_ids(stored, active, 1, "2024-01-01", "2024-01-31")
+    assert _rows(gone.select("office_id", "appointment_id")) == [(1, 2)]
+    raw = spark.createDataFrame([("2", "1"), ("2", "2"), ("1", "1")], "appointmentID string, officeID string")
+    assert _rows(L.refetch(raw, gone)) == [("2", "1")]
+    routes = spark.createDataFrame([("5", "1", "2024-01-05", "11"), ("5", "2", "2024-01-05", "22")],
+                                   "routeID string, officeID string, date string, assignedTech string")
+    got = L.route_tech(routes, "2024-01-01", "2024-01-31")
+    assert _rows(got.select("office_id", "route_id", "route_tech_id")) == [(1, 5, 11), (2, 5, 22)]
+
+
+def test_pending_follows_the_ledger_not_the_rows(spark):
+    cal = L.backfill_calendar(spark, "1999-12-15", years=0)
+    ledger = spark.createDataFrame([(1, "1999-12-01")], "office_id long, month_start string") \
+        .withColumn("month_start", F.col("month_start").cast("date"))
+    assert _rows(L.backfill_pending(cal, ledger).select("office_id", "month_key")) == [(2, "1999-12-office2")]

@@ -132,3 +132,20 @@ def test_window_load_of_moved_undated_and_officeless_rows(spark, tmp_path):
         "appointment_id", "office_id", "scheduled_date").collect())))
     assert got == sorted(map(str, [(2, 1, d(2024, 1, 7)), (2, 2, d(2024, 5, 5)), (3, 1, None), (4, None, d(2024, 1, 9)),
                                    (6, 1, None), (7, None, None)]))
+
+
+def test_late_file_keeps_the_newer_row(spark, sf):
+    from pyspark.sql import functions as F
+
+    from fieldlake.streaming.upsert import upsert_batch
+    path = scratch_path(spark, "late")
+    raw = load(spark, sf, "raw_customers")
+    stamped = lambda when, mail: raw.withColumn("dateUpdated", F.lit(when)).withColumn("email", F.lit(mail))
+    upsert_batch(spark, stamped("2024-01-01 00:00:00", "new@x.com"), path, "customer", RUN_AT)
+    n = spark.read.parquet(path).count()
+    upsert_batch(spark, stamped("2020-01-01 00:00:00", "old@x.com"), path, "customer", RUN_AT)
+    upsert_batch(spark, stamped(None, "none@x.com"), path, "customer", RUN_AT)
+    got = spark.read.parquet(path)
+    assert got.count() == n and got.filter("email <> 'new@x.com'").count() == 0
+    upsert_batch(spark, stamped("2024-01-01 00:00:00", "again@x.com"), path, "customer", RUN_AT)
+    assert spark.read.parquet(path).filter("email <> 'again@x.com'").count() == 0
