@@ -68,16 +68,27 @@ def sample_subscription(raw: DataFrame) -> DataFrame:
 
 # Raw fields checked by the reject profile, with the parser that reads them.
 REJECT_RULES: dict[str, tuple[tuple[str, str], ...]] = {
+    "serviceType": (("typeID", "int"), ("officeID", "int"), ("frequency", "int"), ("billingFrequency", "int"),
+                    ("defaultCharge", "float")),
+    "employee": (("employeeID", "int"), ("officeID", "int"), ("type", "int")),
+    "product": (("productID", "int"), ("officeID", "int"), ("amount", "float")),
     "customer": (("customerID", "int"), ("officeID", "int"), ("billToAccountID", "int"),
                  ("dateAdded", "date"), ("dateCancelled", "date")),
     "subscription": (("subscriptionID", "int"), ("customerID", "int"), ("officeID", "int"),
                      ("serviceID", "int"), ("recurringCharge", "float"), ("initialCharge", "float"),
-                     ("frequency", "frequency"), ("nextService", "date"), ("lastService", "date")),
-    "appointment": (("appointmentID", "int"), ("ticketID", "int"), ("officeID", "int"),
-                    ("routeID", "int"), ("servicedBy", "int"), ("date", "date"), ("timeIn", "ts"),
-                    ("timeOut", "ts"), ("productionValue", "float"), ("temperature", "float")),
-    "ticket": (("ticketID", "int"), ("officeID", "int"), ("invoiceDate", "date"),
-               ("total", "float"), ("balance", "float"), ("productionValue", "float")),
+                     ("frequency", "frequency"), ("nextService", "date"), ("lastService", "date"),
+                     ("dateAdded", "date"), ("dateCancelled", "date")),
+    "appointment": (*[(x, "int") for x in (
+                        "appointmentID", "customerID", "subscriptionID", "ticketID", "officeID", "routeID", "sequence",
+                        "assignedTech", "servicedBy", "type", "duration", "status", "reserviceReasonID")],
+                    ("date", "date"),
+                    *[(x, "ts") for x in ("dateCompleted", "timeIn", "timeOut", "dateAdded", "dateUpdated")],
+                    *[(x, "float") for x in ("productionValue", "amountCollected", "latIn", "longIn", "temperature",
+                                             "windSpeed")]),
+    "ticket": (*[(x, "int") for x in ("ticketID", "appointmentID", "customerID", "subscriptionID", "officeID",
+                                      "serviceID")],
+               ("invoiceDate", "date"), ("dateCreated", "ts"), ("dateUpdated", "ts"),
+               *[(x, "float") for x in ("subTotal", "taxAmount", "total", "balance", "productionValue")]),
 }
 
 

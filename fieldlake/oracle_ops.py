@@ -508,7 +508,12 @@ FROM e LEFT JOIN c ON e.office_id = c.office_id"""
 FROM raw_subscriptions WHERE {real} AND {charge} > 0
 ORDER BY subscription_id NULLS LAST LIMIT 1"""
     for name, table, entity in (("conform_rejects", "raw_subscriptions", "subscription"),
-                                ("conform_rejects_appointments", "raw_appointments", "appointment")):
+                                ("conform_rejects_appointments", "raw_appointments", "appointment"),
+                                ("conform_rejects_service_types", "raw_service_types", "serviceType"),
+                                ("conform_rejects_employees", "raw_employees", "employee"),
+                                ("conform_rejects_products", "raw_products", "product"),
+                                ("conform_rejects_customers", "raw_customers", "customer"),
+                                ("conform_rejects_tickets", "raw_tickets", "ticket")):
         rules = REJECT_RULES[entity]
         q[name] = cte(table) + f""", g AS (SELECT {', '.join(_reject(f, k) for f, k in rules)} FROM {table})
 SELECT field, rejects FROM (UNPIVOT g ON {', '.join(f for f, _ in rules)} INTO NAME field VALUE rejects)"""

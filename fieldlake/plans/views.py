@@ -16,8 +16,6 @@ shuffled on their key with rows that cannot match dropped first.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -115,8 +113,8 @@ def _completed(appointments: DataFrame) -> DataFrame:
 
 def _with_tickets(appts: DataFrame, tickets: DataFrame) -> DataFrame:
     """Inner fact-to-fact join on ticket_id. Ids <= 0 are unset (the conform
-    jobs drop tickets without an id), so they are removed before the shuffle
-    instead of forming one hot join key."""
+    jobs give 0 to a ticket without an id), so they are removed before the
+    shuffle: joined, all of them would pair with each other."""
     a = appts.filter(F.col("ticket_id") > 0)
     tk = (tickets.filter(F.col("ticket_id") > 0)
           .select(F.col("ticket_id").alias("tk_ticket_id"),
@@ -316,16 +314,17 @@ def chemical_usage(items: DataFrame, tickets: DataFrame, appointments: DataFrame
     The invoice-date filter makes the ticket join inner, as in the original.
     Items are pre-aggregated per (ticket, office, product) before the fact
     joins — sums distribute over the join's fan-out, so the result is exact
-    and the shuffled item volume shrinks.
+    and the shuffled item volume shrinks. Unset ids (<= 0) match nothing:
+    their items have no ticket, and a ticket without an appointment no tech.
     """
-    ti = (items.filter((F.col("product_id") > 0) & (F.col("quantity") > 0))
+    ti = (items.filter((F.col("product_id") > 0) & (F.col("quantity") > 0) & (F.col("ticket_id") > 0))
           .groupBy("ticket_id", "office_id", "product_id")
           .agg(sum_exact(F.col("quantity")).alias("_qty"), sum_exact(F.col("amount")).alias("_amt")))
     t = (tickets.filter(F.col("invoice_date").isNotNull())
          .select(F.col("ticket_id").alias("t_ticket_id"), F.col("appointment_id").alias("t_appt_id"),
                  _month(F.col("invoice_date")).alias("month")))
     j = ti.join(t, ti["ticket_id"] == t["t_ticket_id"], "inner")
-    a = appointments.select(F.col("appointment_id").alias("a_id"), "serviced_by_id")
+    a = appointments.filter(F.col("appointment_id") > 0).select(F.col("appointment_id").alias("a_id"), "serviced_by_id")
     j = j.join(a, j["t_appt_id"] == a["a_id"], "left")
     j = _with_tech(j.withColumnRenamed("product_id", "ti_product_id"), employees, "serviced_by_id")
     p = products.select(F.col("product_id"), F.col("description").alias("product_name"),
@@ -349,7 +348,7 @@ def route_analysis(appointments: DataFrame, tickets: DataFrame, employees: DataF
     """Pending appointments of ``office`` in the calendar month after ``as_of``,
     ordered by route, date and sequence. ``use_best_tech`` attributes the job
     to the first non-zero of assigned and route tech instead of the raw
-    assigned tech."""
+    assigned tech. A ticket without an id (<= 0) belongs to no appointment."""
     start = F.add_months(F.trunc(_date(as_of), "month"), 1)
     end = F.add_months(F.trunc(_date(as_of), "month"), 2)
     a = appointments.filter((F.col("office_id") == office) & (F.col("status") == STATUS_PENDING)
@@ -357,8 +356,9 @@ def route_analysis(appointments: DataFrame, tickets: DataFrame, employees: DataF
     tech = (F.coalesce(F.nullif(F.col("assigned_tech_id"), F.lit(0)), F.col("route_tech_id"))
             if use_best_tech else F.col("assigned_tech_id"))
     a = a.withColumn("_tech", tech)
-    tk = tickets.select(F.col("ticket_id").alias("tk_ticket_id"), F.col("total").alias("tk_total"),
-                        F.col("production_value").alias("tk_production"))
+    tk = tickets.filter(F.col("ticket_id") > 0).select(
+        F.col("ticket_id").alias("tk_ticket_id"), F.col("total").alias("tk_total"),
+        F.col("production_value").alias("tk_production"))
     j = a.join(tk, a["ticket_id"] == tk["tk_ticket_id"], "left")
     j = _with_tech(j, employees, "_tech")
     c = customers.select(F.col("customer_id").alias("c_id"), "company_name", "first_name",
@@ -376,7 +376,3 @@ def route_analysis(appointments: DataFrame, tickets: DataFrame, employees: DataF
         production_value(F.col("tk_production"), F.col("tk_total")).alias("production_value"),
         F.col("tk_total").alias("revenue_value"), "appointment_id")
         .orderBy("route_id", "scheduled_date", "sequence"))
-
-
-def as_date(x) -> _dt.date:
-    return x if isinstance(x, _dt.date) else _dt.date.fromisoformat(str(x))

@@ -269,6 +269,12 @@ def _quality_pricing_queries() -> dict:
     q["conform_rejects_appointments"] = lambda s, sf: Q.conform_rejects(
         load(s, sf, "raw_appointments"), "appointment")
 
+    for name, table, entity in (
+            ("service_types", "raw_service_types", "serviceType"), ("employees", "raw_employees", "employee"),
+            ("products", "raw_products", "product"), ("customers", "raw_customers", "customer"),
+            ("tickets", "raw_tickets", "ticket")):
+        q[f"conform_rejects_{name}"] = lambda s, sf, t=table, e=entity: Q.conform_rejects(load(s, sf, t), e)
+
     cfg = P.config()
 
     def _eligible(s, sf):

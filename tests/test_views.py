@@ -57,3 +57,13 @@ def test_entry_smoke(spark):
     assert df.columns == ["month", "office_id", "office_name", "employee_id", "tech_name", "initials",
                           "completed_jobs", "production_value", "revenue_value", "avg_job_production",
                           "avg_job_revenue", "reservice_count"]
+
+
+def test_unset_ids_pair_with_nothing(spark, sf):
+    t = {n: load(spark, sf, n) for n in ("fact_ticket_items", "fact_tickets", "fact_appointments", "dim_employees",
+                                         "dim_products")}
+    base = V.chemical_usage(*t.values())
+    unset = {"fact_ticket_items": "ticket_id", "fact_tickets": "ticket_id", "fact_appointments": "appointment_id"}
+    more = [df.unionByName(df.withColumn(unset[n], F.lit(0).cast("long"))) if n in unset else df for n, df in t.items()]
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(V.chemical_usage(*more)) == rows(base)
