@@ -4,7 +4,9 @@ Conversations that share their first turns share a path in a tree. A tree is
 written as one text, depth first, each shared turn once; every turn carries
 its place in that text, the position id of its first character along its own
 path, and the intervals of the text it may attend to: those of its ancestors
-and its own. Loss intervals mark the texts of assistant turns.
+and its own, joined where one ends as the next begins, so a conversation of
+n turns without branches has one interval a turn, not n. Loss intervals mark
+the texts of assistant turns.
 
 The template is ``<|im_start|>role\\ntext<|im_end|>\\n``. Control strings
 inside texts get a backslash behind their first character, one more if they
@@ -100,6 +102,13 @@ def conversations(rows: DataFrame, id_col: str = "conv_id") -> DataFrame:
                                 "path string, first string, second string"))
 
 
+def _joined(spans: list[dict], start: int, stop: int) -> list[dict]:
+    """The ancestors' intervals and (start, stop) behind them."""
+    if spans and spans[-1]["stop"] == start:
+        return [*spans[:-1], {"start": spans[-1]["start"], "stop": stop}]
+    return [*spans, {"start": start, "stop": stop}]
+
+
 class _Tree:
     """One tree, written depth first, children in the order of their keys."""
 
@@ -124,7 +133,7 @@ class _Tree:
             turns.append({
                 "start": at, "stop": stop, "parent": parent,
                 "position": up["position"] + up["stop"] - up["start"] if up else 0,
-                "attends": (up["attends"] if up else []) + [{"start": at, "stop": stop}]})
+                "attends": _joined(up["attends"] if up else [], at, stop)})
             if role == LEARNT:
                 loss.append({"start": at + len(head), "stop": at + len(head) + len(body)})
             parts += [head, body, END]

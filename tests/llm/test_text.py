@@ -94,7 +94,18 @@ def test_tree_positions_and_attention(spark):
     root = tree.turns[0]
     for t in tree.turns[1:]:
         assert t.position == root.stop - root.start
-        assert [(x.start, x.stop) for x in t.attends] == [(root.start, root.stop), (t.start, t.stop)]
+        seen = [k for x in t.attends for k in range(x.start, x.stop)]
+        assert seen == [*range(root.start, root.stop), *range(t.start, t.stop)]
+
+
+def test_attention_of_a_long_conversation(spark):
+    """Intervals are joined: their number does not grow with the turns."""
+    df = spark.range(3000).selectExpr("1L as conv_id", "id as turn", "'user' as role", "concat('t', id) as text")
+    (tree,) = chat_tree.trees(chat_tree.conversations(df)).collect()
+    assert len(tree.turns) == 3000 and all(len(t.attends) == 1 for t in tree.turns)
+    assert [(x.start, x.stop) for x in tree.turns[-1].attends] == [(0, len(tree.text))]
+    assert {r[0]: tuple(r[1:5]) for r in chat_tree.formatted(df).collect()} == brute_chat(
+        [r.asDict() for r in df.collect()])
 
 
 def test_escapes_are_reversible():
