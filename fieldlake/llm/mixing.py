@@ -104,7 +104,7 @@ def thresholds(sized: DataFrame, goals: DataFrame) -> DataFrame:
         state = (reached.groupBy("src").agg(F.min(F.struct("bucket", "sum", "size", "need")).alias("b"))
                  .select("src", F.col("b.bucket").alias("prefix"), F.col("b.size").alias("size"),
                          (F.col("b.need") - F.col("b.sum") + F.col("b.size")).alias("need")))
-    nearer = F.col("size") - F.col("need") <= F.col("need")
+    nearer = (F.col("need") > 0) & (F.col("size") - F.col("need") <= F.col("need"))
     cuts = state.select(F.col("src").alias("s"),
                         (F.col("prefix") + F.when(nearer, 1).otherwise(0)).alias("cut"))
     return (goals.join(cuts, F.col("src").eqNullSafe(F.col("s")), "left")

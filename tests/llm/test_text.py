@@ -151,11 +151,21 @@ def test_mix_comes_near_its_targets(spark, sf):
     assert rows.exceptAll(again).isEmpty()
 
 
+def test_a_full_source_is_taken_twice_and_no_more(spark):
+    """Also its documents without words, however low their hash."""
+    rows = [(k, "" if k % 2 else "some words", "small") for k in range(40)]
+    rows += [(100 + k, "word " * 50, s) for k in range(40) for s in ("big", "huge")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got, names = mixing.mixed(df)
+    small = got.where("source = 'small'").collect()
+    assert {r[names["copies"]] for r in small} == {2} and mixing.apply_mix(df).where("source = 'small'").count() == 80
+
+
 def test_mix_of_odd_rows(odd, none):
     rows, names = mixing.mixed(odd)
     got = rows.collect()
     assert len(got) == odd.count() and names["size"] == "_size" and names["copies"] == "_copies"
-    assert all(r[names["taken"]] <= 2 * r[names["size"]] for r in got)
+    assert all(r[names["taken"]] <= 2 * r[names["size"]] and r[names["copies"]] <= 2 for r in got)
     out = mixing.apply_mix(odd)
     assert out.columns == odd.columns and out.count() == sum(r[names["copies"]] for r in got)
     assert mixing.apply_mix(none).count() == 0
