@@ -97,15 +97,15 @@ def _bytes(x) -> bytes:
     return (x.as_py() or "").encode()
 
 
-def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
     """(ord, id, text): ``ord`` orders the documents and is one for rows that
     repeat both id and text. It is the id itself where ids are whole numbers,
-    none is missing and none comes twice."""
+    none is missing and none comes twice; whether this is so comes second."""
     rows = docs.select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     if isinstance(docs.schema[id_col].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
         odd = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or id is null")
         if odd.isEmpty():
-            return rows.select(F.col("id").cast("long").alias("ord"), "id", "text")
+            return rows.select(F.col("id").cast("long").alias("ord"), "id", "text"), True
     rows = rows.withColumn("row", F.xxhash64("text"))
     parts = max(1, min(200, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     ranges = pinned(rows.select("id", "row").distinct().repartitionByRange(parts, "id", "row")
@@ -117,7 +117,7 @@ def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.col("id").alias("i"), F.col("row").alias("r"),
         (F.col("start") + F.row_number().over(Window.partitionBy("part").orderBy("id", "row"))).alias("ord"))
     return rows.join(ranked, F.col("id").eqNullSafe(F.col("i")) & (F.col("row") == F.col("r"))).select(
-        "ord", "id", "text")
+        "ord", "id", "text"), False
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -292,10 +292,13 @@ def _bodies(batches):
              pa.array(rows["body"], pa.binary())], list(rows))
 
 
-def _fetch(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+def _fetch(rows: DataFrame, single: bool, wanted: DataFrame) -> DataFrame:
+    """The wanted contexts' bytes, each once. ``single``: no document comes
+    twice, so its bytes need no shuffle of their own."""
     by_row = wanted.groupBy("ord").agg(F.collect_list(F.struct("anchor", "at", "n")).alias("wanted"))
     one = rows.select("ord", "text").join(by_row, "ord").select("ord", "text", "wanted")
-    return one.mapInArrow(_bodies, "anchor long, ord long, at long, body binary").dropDuplicates(["ord", "at"])
+    bodies = one.mapInArrow(_bodies, "anchor long, ord long, at long, body binary")
+    return bodies if single else bodies.dropDuplicates(["ord", "at"])
 
 
 def _single_windows(bodies: DataFrame) -> DataFrame:
@@ -343,18 +346,18 @@ def long_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per row its id, n_bytes, n_removed, n_spans, the SHA-256 of what stays,
     and the removed ``spans``."""
     spark = docs.sparkSession
-    rows = numbered(docs, id_col, text_col)
+    rows, single = numbered(docs, id_col, text_col)
     bitmap = spark.sparkContext.broadcast(repeated_anchors(rows))
     firsts = pinned(first_contexts(rows, bitmap))
     kinds = pinned(firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
     several = firsts.join(kinds, "anchor").select(
         "anchor", "kinds", "n", F.col("first.ord").alias("ord"), F.col("first.at").alias("at"))
     total = several.where(F.col("kinds") <= many).agg(F.sum(F.col("n") + LENGTH)).first()[0] or 0
-    few = _fetch(rows, several.where(F.col("kinds") <= many))
+    few = _fetch(rows, single, several.where(F.col("kinds") <= many))
     shards = F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-total // shard))))
     marks = (few.groupBy(shards.alias("shard")).applyInPandas(_shard, "ord long, at long, mark binary"))
     if not several.where(F.col("kinds") > many).isEmpty():
-        marks = marks.unionByName(_single_windows(_fetch(rows, several.where(F.col("kinds") > many))))
+        marks = marks.unionByName(_single_windows(_fetch(rows, single, several.where(F.col("kinds") > many))))
     listed = (firsts.select(F.col("first.ord").alias("ord"), F.col("first.at").alias("at"))
               .withColumn("mark", F.lit(None).cast("binary")).unionByName(marks)
               .groupBy("ord", "at").agg(F.max("mark").alias("mark"))
