@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from fieldlake.functions.parse import FLOAT_PATTERN, INT_PATTERN, WHITESPACE
 from fieldlake.registry_ops import (
-    ALL_DATES, BACKFILL_MONTHS, CALENDAR_AS_OF, CHANGED_AS_OF, CHANGED_DAYS, LEDGER_BEFORE, RUN_AT, WINDOW,
+    ALL_DATES, BACKFILL_MONTHS, CALENDAR_AS_OF, CHANGED_AS_OF, CHANGED_DAYS, LEDGER_BEFORE, NIGHTLY, RUN_AT, WINDOW,
 )
 from fieldlake.sources.testdata import FIXTURES, TICKETS_WITHOUT_ITEMS, _office, cte, select_sql
 
@@ -166,6 +166,76 @@ def _conform() -> dict[str, str]:
     return q
 
 
+def _nightly() -> dict[str, str]:
+    """One night from the star schema on: what each office brings, then each
+    table without what it replaces."""
+    as_of, days = NIGHTLY
+    inside = f"scheduled_date BETWEEN DATE '{as_of[:10]}' - {days} AND DATE '{as_of[:10]}'"
+    changed = f"{to_ts('dateUpdated')} >= TIMESTAMP '{as_of}' - INTERVAL {days} DAY"
+    real = f"{not_orphan('officeID')} AND {not_orphan('customerID')}"
+
+    def kept(table: str, new: str, key: str) -> str:
+        return (f"FROM {table} x WHERE NOT EXISTS (SELECT 1 FROM {new} n "
+                f"WHERE n.office_id = x.office_id AND n.{key} = x.{key})")
+
+    night = cte("fact_appointments", "fact_tickets", "dim_customers", "dim_subscriptions", "fact_ticket_items",
+                "raw_appointments", "raw_routes", "raw_tickets", "raw_customers", "raw_subscriptions",
+                "raw_service_types", "raw_employees", "raw_products") + f""",
+rt AS ({route_tech_sql('1999-12-11', '1999-12-31', None)}),
+conf AS (SELECT {APPOINTMENT_COLS} FROM raw_appointments
+  LEFT JOIN rt ON {to_int('routeID')} = rt.route_id AND {to_int('officeID')} = rt.office_id
+  WHERE {to_int('officeID')} IN (1, 2, 3)),
+held AS (SELECT office_id, appointment_id FROM fact_appointments WHERE {inside}),
+new_a AS (SELECT * FROM conf c WHERE ({inside} AND COALESCE(status, 0) NOT IN (-1, -2))
+  OR EXISTS (SELECT 1 FROM held h WHERE h.office_id = c.office_id AND h.appointment_id = c.appointment_id)),
+a AS (SELECT office_id, appointment_id, ticket_id, status, route_tech_id, scheduled_date
+  FROM (SELECT x.* {kept('fact_appointments', 'new_a', 'appointment_id')})
+  WHERE NOT COALESCE({inside} AND office_id IN (SELECT office_id FROM new_a), FALSE)
+  UNION ALL SELECT office_id, appointment_id, ticket_id, status, route_tech_id, scheduled_date FROM new_a),
+asked AS (SELECT DISTINCT office_id, ticket_id FROM a WHERE {inside} AND ticket_id > 0 AND office_id IN (1, 2, 3)),
+new_t AS (SELECT t.* FROM (SELECT {TICKET_COLS} FROM raw_tickets) t
+  JOIN asked ON asked.office_id = t.office_id AND asked.ticket_id = t.ticket_id),
+replaced AS (SELECT * FROM asked WHERE office_id IN (SELECT office_id FROM new_t)),
+new_i AS (SELECT i.* FROM ({_items_sql()}) i
+  JOIN replaced r ON r.office_id = i.office_id AND r.ticket_id = i.ticket_id),
+new_c AS (SELECT {CUSTOMER_COLS} FROM raw_customers WHERE {changed} AND {real}),
+new_s AS (SELECT {SUBSCRIPTION_COLS} FROM raw_subscriptions WHERE {changed} AND {real} AND officeID IN ('1', '2'))
+"""
+    q = {}
+    items = "office_id, ticket_id, item_id, product_id, amount"
+    q["nightly_sync"] = night + f"""
+SELECT 'fact_appointments' AS table_name, office_id, appointment_id AS id, ticket_id AS other_id, status AS number,
+  CAST(route_tech_id AS DOUBLE) AS amount, scheduled_date AS day FROM a
+UNION ALL SELECT 'fact_tickets', office_id, ticket_id, appointment_id, customer_id, total, invoice_date FROM (
+  SELECT office_id, ticket_id, appointment_id, customer_id, total, invoice_date {kept('fact_tickets', 'replaced', 'ticket_id')}
+  UNION ALL SELECT office_id, ticket_id, appointment_id, customer_id, total, invoice_date FROM new_t)
+UNION ALL SELECT 'fact_ticket_items', {items}, NULL FROM (
+  SELECT {items} {kept('fact_ticket_items', 'replaced', 'ticket_id')} UNION ALL SELECT {items} FROM new_i)
+UNION ALL SELECT 'dim_customers', office_id, customer_id, NULL, CAST(active AS BIGINT), NULL, date_added FROM (
+  SELECT office_id, customer_id, active, date_added {kept('dim_customers', 'new_c', 'customer_id')}
+  UNION ALL SELECT office_id, customer_id, active, date_added FROM new_c)
+UNION ALL SELECT 'dim_subscriptions', * FROM (
+  SELECT office_id, subscription_id, customer_id, service_type_id, recurring_charge, date_added
+  {kept('dim_subscriptions', 'new_s', 'subscription_id')}
+  UNION ALL SELECT office_id, subscription_id, customer_id, service_type_id, recurring_charge, date_added FROM new_s)
+UNION ALL SELECT 'dim_service_types', office_id, type_id, NULL, frequency, default_charge, NULL
+  FROM ({SERVICE_TYPES_SQL}) WHERE office_id IN (1, 2, 3)
+UNION ALL SELECT 'dim_employees', office_id, employee_id, NULL, emp_type, NULL, NULL
+  FROM ({EMPLOYEES_SQL}) WHERE office_id IN (1, 2, 3)
+UNION ALL SELECT 'dim_products', office_id, product_id, NULL, CAST(taxable AS BIGINT), unit_cost, NULL
+  FROM ({PRODUCTS_SQL}) WHERE office_id IN (1, 2, 3)"""
+    count = lambda t: f"(SELECT COUNT(*) FROM {t} WHERE {t}.office_id = o)"
+    q["nightly_health"] = night + f"""
+SELECT TIMESTAMP '{RUN_AT}' AS run_at, CAST(o AS BIGINT) AS office_id,
+  CASE WHEN o = 1 THEN 'Residential' ELSE 'Commercial' END AS office_name,
+  CASE WHEN o = 3 THEN 'error' ELSE 'success' END AS status,
+  CASE WHEN o = 3 THEN 'subscription search failed' END AS error_message, CAST({days} AS BIGINT) AS lookback_days,
+  {count('new_a')} AS appointments_synced, {count('new_t')} AS tickets_synced,
+  {count('new_i')} AS ticket_items_synced, {count('new_c')} AS customers_synced,
+  {count('new_s')} AS subscriptions_synced FROM (VALUES (1), (2), (3)) AS v(o)"""
+    return q
+
+
 def _load() -> dict[str, str]:
     q: dict[str, str] = {}
     office, start, end = WINDOW
@@ -581,6 +651,7 @@ def oracles() -> dict[str, str]:
     out.update(_sources())
     out.update(_conform())
     out.update(_load())
+    out.update(_nightly())
     out.update(_contacts())
     out.update(_quality_pricing())
     return out

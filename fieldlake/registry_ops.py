@@ -18,6 +18,8 @@ CHANGED_AS_OF, CHANGED_DAYS = "1999-12-31 00:00:00", 7
 BACKFILL_MONTHS = ("1998-01-01", "1998-03-01")
 CALENDAR_AS_OF = "1999-12-15"
 LEDGER_BEFORE = "1997-05-01"                    # the first backfill run got this far
+NIGHTLY = ("1999-12-31 00:00:00", 20)           # as of, days to look back
+NIGHTLY_OFFICES = (1, 2, 3)                     # the third one's subscription search fails
 
 
 def _no_stamp(df: DataFrame) -> DataFrame:
@@ -67,6 +69,46 @@ def _health(s: SparkSession, summary: DataFrame) -> DataFrame:
     return s.read.parquet(path)
 
 
+def _nightly(s: SparkSession, sf: str) -> str:
+    """The tables after one night, started from the star schema."""
+    from fieldlake.plans import nightly
+    from fieldlake.sources.testdata import RAW_ENTITY
+    root = scratch_path(s, "nightly")
+    tables = {e: n for n, e in RAW_ENTITY.items()} | {"ticket": "raw_tickets_nested"}
+
+    def fetch(entity, office):
+        if entity == "subscription" and office == 3:
+            raise RuntimeError("subscription search failed")
+        return load(s, sf, tables[entity]).filter(F.col("officeID") == str(office))
+
+    nightly.create_tables({n: load(s, sf, n) for n in ("fact_appointments", *nightly.BY_ID)}, root)
+    as_of, days = NIGHTLY
+    nightly.nightly_sync(s, fetch, root, NIGHTLY_OFFICES, as_of, days, RUN_AT, full_dims=True)
+    return root
+
+
+def _nightly_tables(s: SparkSession, root: str) -> DataFrame:
+    """All tables in one shape: table, office, id, another id, a number, an
+    amount and a date of each row."""
+    shapes = {
+        "fact_appointments": ("appointment_id", "ticket_id", "status", "CAST(route_tech_id AS DOUBLE)", "scheduled_date"),
+        "fact_tickets": ("ticket_id", "appointment_id", "customer_id", "total", "invoice_date"),
+        "fact_ticket_items": ("ticket_id", "item_id", "product_id", "amount", "NULL"),
+        "dim_customers": ("customer_id", "NULL", "CAST(active AS BIGINT)", "NULL", "date_added"),
+        "dim_subscriptions": ("subscription_id", "customer_id", "service_type_id", "recurring_charge", "date_added"),
+        "dim_service_types": ("type_id", "NULL", "frequency", "default_charge", "NULL"),
+        "dim_employees": ("employee_id", "NULL", "emp_type", "NULL", "NULL"),
+        "dim_products": ("product_id", "NULL", "CAST(taxable AS BIGINT)", "unit_cost", "NULL")}
+    out = None
+    for name, (i, other, n, amount, date) in shapes.items():
+        part = s.read.parquet(f"{root}/{name}").selectExpr(
+            f"'{name}' AS table_name", "CAST(office_id AS BIGINT) AS office_id", f"{i} AS id",
+            f"CAST({other} AS BIGINT) AS other_id", f"CAST({n} AS BIGINT) AS number",
+            f"CAST({amount} AS DOUBLE) AS amount", f"CAST({date} AS DATE) AS day")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _load_queries() -> dict:
     q = {}
     office, start, end = WINDOW
@@ -137,6 +179,9 @@ def _load_queries() -> dict:
         return sinks.read_fact(s, path).drop("month")
     q["load_window"] = _load_window
 
+    q["nightly_sync"] = lambda s, sf: _nightly_tables(s, _nightly(s, sf))
+    q["nightly_health"] = lambda s, sf: s.read.parquet(f"{_nightly(s, sf)}/sync_health")
+
     def _pending(s, sf):
         fetched = load(s, sf, "fact_appointments").filter(F.col("scheduled_date") < LEDGER_BEFORE)
         ledger = scratch_path(s, "ledger")

@@ -114,11 +114,11 @@ def write_fact(df: DataFrame, path: str, date_col: str = "scheduled_date") -> bo
 
 
 def load_window(spark: SparkSession, path: str, incoming: DataFrame, office: int, start, end,
-                date_col: str = "scheduled_date", keys: Iterable[str] | None = None) -> bool:
+                date_col: str = "scheduled_date", keys: Iterable[str] | None = None) -> int:
     """The window load (replace the office's rows dated in [start, end]) on
     a partitioned fact table. Only the touched partitions are read in full —
     the filter on the partition columns prunes every other folder — and only
-    they are replaced.
+    they are replaced. Returns the number of incoming rows.
 
     The touched partitions are the window's months for the office, the
     partitions the incoming rows fall in (undated rows have one of their
@@ -133,8 +133,9 @@ def load_window(spark: SparkSession, path: str, incoming: DataFrame, office: int
     keys = list(keys or (incoming.columns[0], "office_id"))
     ensure_checkpoint_dir(spark)
     inc = with_month(incoming, date_col).checkpoint(eager=True)  # fetched once
-    if inc.isEmpty():
-        return False
+    n = inc.count()
+    if not n:
+        return 0
     s, e = dt.date.fromisoformat(str(start)[:10]), dt.date.fromisoformat(str(end)[:10])
     months, m = [], s.replace(day=1)
     while m <= e:
@@ -150,7 +151,59 @@ def load_window(spark: SparkSession, path: str, incoming: DataFrame, office: int
     existing = table.filter(inside)
     new = replace_window(existing, inc.select(*existing.columns), office, start, end, keys=keys, date_col=date_col)
     cleared = [{"office_id": o, "month": month} for o, month in parts]
-    return overwrite(new, path, partition_by=FACT_PARTITIONS, cleared=cleared)
+    overwrite(new, path, partition_by=FACT_PARTITIONS, cleared=cleared, allow_empty=True)
+    return n
+
+
+ID_RANGE = 1_000_000  # ids of one folder
+ID_PARTITIONS = ("office_id", "id_range")
+
+
+def with_id_range(df: DataFrame, id_col: str, width: int = ID_RANGE) -> DataFrame:
+    """Adds the ``id_range`` partition column."""
+    return df.withColumn("id_range", F.expr(f"`{id_col}` div {int(width)}"))
+
+
+def read_by_id(spark: SparkSession, path: str) -> DataFrame:
+    """A table partitioned by office and range of ids, with typed partition
+    columns."""
+    df = spark.read.parquet(path)
+    return df.withColumns({c: F.col(c).cast("long") for c in ID_PARTITIONS})
+
+
+def write_by_id(df: DataFrame, path: str, id_col: str, width: int = ID_RANGE) -> bool:
+    """Write a table partitioned by (office_id, id_range)."""
+    return overwrite(with_id_range(df, id_col, width), path, partition_by=ID_PARTITIONS)
+
+
+def load_by_id(spark: SparkSession, path: str, incoming: DataFrame, ids: DataFrame, id_col: str,
+               width: int = ID_RANGE, allow_empty: bool = False) -> int:
+    """Replace the rows whose (office_id, ``id_col``) is in ``ids`` by
+    ``incoming``, on a table partitioned by (office_id, id_range). Only the
+    folders that ids or incoming rows fall in are read and rewritten; their
+    names are the only thing brought to the driver. Recent ids are close to
+    each other, so a night touches few folders. Returns the number of incoming
+    rows; without any the table stays as it is, unless ``allow_empty``."""
+    from fieldlake.operators.load import replace_by_id
+    from fieldlake.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    keys = ["office_id", id_col]
+    inc = with_id_range(incoming, id_col, width).checkpoint(eager=True)
+    n = inc.count()
+    if not n and not allow_empty:
+        return 0
+    gone = with_id_range(ids.select(*keys).distinct(), id_col, width).checkpoint(eager=True)
+    parts = sorted((tuple(r) for r in gone.select(*ID_PARTITIONS).union(inc.select(*ID_PARTITIONS))
+                    .distinct().collect()), key=str)
+    inside = F.lit(False)
+    for office, at in parts:
+        inside |= (F.col("office_id").eqNullSafe(F.lit(office).cast("long"))
+                   & F.col("id_range").eqNullSafe(F.lit(at).cast("long")))
+    existing = read_by_id(spark, path).filter(inside)
+    new = replace_by_id(existing, inc.select(*existing.columns), keys, delete_ids=gone)
+    overwrite(new, path, partition_by=ID_PARTITIONS, allow_empty=True,
+              cleared=[{"office_id": o, "id_range": at} for o, at in parts])
+    return n
 
 
 def ensure_tables(spark: SparkSession, root: str, names: Iterable[str] | None = None) -> DataFrame:

@@ -184,6 +184,7 @@ RAW_SUBSCRIPTIONS = Fixture("raw_subscriptions", "orders", (
     ("nextService", "CASE o_orderkey % 5 WHEN 0 THEN '0000-00-00' WHEN 1 THEN '' WHEN 2 THEN NULL "
                     "ELSE " + _s("CAST(o_orderdate AS DATE)") + " || ' 08:00:00' END", "STRING"),
     ("active", "CASE WHEN o_orderkey % 5 = 0 THEN '0' ELSE '1' END", "STRING"),
+    ("dateUpdated", _s("DATE '1999-12-01' + CAST(o_orderkey % 40 AS INT)") + " || ' 09:00:00'", "STRING"),
 ))
 
 RAW_CUSTOMERS = Fixture("raw_customers", "customer", (
