@@ -23,10 +23,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts lose the line chunks that stand elsewhere already; n_chars is
+    """Texts lose the runs of lines that stand elsewhere already; n_chars is
     counted anew where there is one."""
     prepared(spark)
-    rows, _ = line_chunks.deduplicated(docs)
+    rows, _ = line_chunks.deduplicated(docs, runs=True)
     kinds = dict(docs.dtypes)
     n = F.char_length("text").cast(kinds["n_chars"]) if "n_chars" in kinds else None
     return rows.select(*[n.alias(c) if c == "n_chars" else col(c) for c in docs.columns])

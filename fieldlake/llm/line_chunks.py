@@ -1,4 +1,4 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by content-defined chunks of lines, grown to whole runs.
 
 A rolling hash over the hashes of the last two lines chooses where a chunk
 ends, so equal passages are cut alike wherever they stand. A chunk of two or
@@ -8,23 +8,38 @@ their bytes are: they are grouped by the bytes themselves, and their 128-bit
 digest only names a group on the way back. A digest that names more than one
 text is settled by a join on the bytes.
 
+A repeated passage seldom begins and ends at a chunk's border. With ``runs``
+a second, overlapping chunking finds the rest: every two lines with a word
+that follow each other, with the blank lines between them, are a chunk (a
+pair). A line goes when it lies in a chunk or pair that stands earlier, so of
+every run of two or more lines that repeats, each line goes, whatever stands
+around the run. Of a pair that overlaps its own first place (A A A) only the
+second line goes. What goes stands earlier in the same pair, so every
+line is kept somewhere; a first place may lose lines to a still earlier repeat,
+as in op 8. Pairs are equal when their 128-bit BLAKE2b digests are: their bytes
+are not shuffled, which would send each line twice more.
+
 Sizes: chunk bytes are shuffled once, pre-aggregated, so a chunk common to a
-third of all rows is one row per map task. Chunks meet the repeated digests
-in a join without text, whose skewed partitions Spark splits. Texts are
+third of all rows is one row per map task. Chunks and pairs meet the repeated
+digests in a join without text, whose skewed partitions Spark splits. Texts are
 shuffled once more, to meet their removed chunks; a row gets at most the
-chunks of its own text.
+chunks and pairs of its own text.
 
 Defined cases: a null text has no lines and stays null; a text without a
 removed chunk stays as it is, byte by byte; a text that is removed whole is
-empty; rows that repeat both id and text are one document and change alike;
-a null id comes before all others; an empty table gives an empty table;
-further columns pass through unchanged, whatever their names.
+empty, as is (with ``runs``) one that loses every line with a word; blank
+lines before and after a run of pairs stay; rows that repeat both id and text
+are one document and change alike; a null id comes before all others; an empty
+table gives an empty table; further columns pass through unchanged, whatever
+their names.
 """
 
 from __future__ import annotations
 
 import re
+from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -62,6 +77,33 @@ def chunks(text: bytes):
         start = end
 
 
+def _worded(lines: list[bytes]) -> list[int]:
+    return [i for i, line in enumerate(lines) if _WORD(line)]
+
+
+def pairs(text: bytes):
+    """Bytes of each two lines with a word that follow each other."""
+    lines = text.split(b"\n")
+    at = _worded(lines)
+    for i, j in zip(at, at[1:], strict=False):
+        yield b"\n".join(lines[i:j + 1])
+
+
+def _emit_pairs(batches):
+    for batch in batches:
+        at, number, digests = [], [], []
+        for i, text in enumerate(batch.column(2)):
+            own = [blake2b(part, digest_size=16).digest() for part in pairs((text.as_py() or "").encode())]
+            at += [i] * len(own)
+            number += range(len(own))
+            digests += own
+        d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+        at = pa.array(at, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(at), batch.column(1).take(at), pa.array(number, pa.int32()),
+             pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())], ["id", "row", "k", "a", "b"])
+
+
 def _emit(with_bytes: bool):
     def run(batches):
         from xxhash import xxh3_128_intdigest as digest
@@ -92,13 +134,16 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         col(id_col).alias("id"), F.xxhash64(col(text_col)).alias("row"), col(text_col).alias("text"))
 
 
+def _places(docs: DataFrame, id_col: str) -> T.StructType:
+    return T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("row", T.LongType()),
+                         T.StructField("k", T.IntegerType()), T.StructField("a", T.LongType()),
+                         T.StructField("b", T.LongType())])
+
+
 def removed_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, row, k): the numbers of the chunks that go; ``row`` is the hash of
     the text, which tells rows of one id apart."""
-    rows = _rows(docs, id_col, text_col)
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("row", T.LongType()),
-                           T.StructField("k", T.IntegerType()), T.StructField("a", T.LongType()),
-                           T.StructField("b", T.LongType())])
+    rows, schema = _rows(docs, id_col, text_col), _places(docs, id_col)
     whole = T.StructType([*schema.fields, T.StructField("body", T.BinaryType())])
     place = F.struct("id", "row", "k")
     exact = (rows.mapInArrow(_emit(True), whole).groupBy("a", "b", "body")
@@ -116,34 +161,64 @@ def removed_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return gone
 
 
-def _cut(text: str, gone: list[int]) -> str:
-    lines, start, out, drop = text.encode().split(b"\n"), 0, [], set(gone)
+def removed_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, row, k, tail): the numbers of the pairs that go; ``tail`` where only
+    the second line does, as the first is the end of the pair's first place."""
+    found = _rows(docs, id_col, text_col).mapInArrow(_emit_pairs, _places(docs, id_col))
+    place = F.struct("id", "row", "k")
+    named = pinned(found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+                   .where("n > 1").drop("n"))
+    tail = (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("row") == F.col("first.row"))
+            & (F.col("k") == F.col("first.k") + 1))
+    return (found.join(named, ["a", "b"]).where(~place.eqNullSafe(F.col("first")))
+            .select("id", "row", "k", tail.alias("tail")))
+
+
+def _cut(text: str, gone: list[int], whole: list[int] | None = None, tails: list[int] | None = None) -> str:
+    """``text`` without the chunks ``gone``, the pairs ``whole`` and the second
+    lines of the pairs ``tails``."""
+    lines, start = text.encode().split(b"\n"), 0
+    stays, drop = bytearray(b"\1" * len(lines)), set(gone)
     for k, end in enumerate(chunk_ends(lines)):
-        if k not in drop:
-            out += lines[start:end]
+        if k in drop:
+            stays[start:end] = bytes(end - start)
         start = end
-    return b"\n".join(out).decode()
-
-
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
-    """``docs`` without the repeated chunks, and the name of a new column:
-    how many chunks the row lost."""
-    i, r, g, n = fresh(docs, "id", "row", "gone", "n_removed")
-    gone = (removed_chunks(docs, id_col, text_col).groupBy("id", "row").agg(F.collect_set("k").alias("gone"))
-            .select(F.col("id").alias(i), F.col("row").alias(r), F.col("gone").alias(g)))
+    at = _worded(lines) if whole or tails else []
+    for numbers, skip in ((whole or (), 0), (tails or (), 1)):
+        for k in numbers:
+            a, b = at[k] + skip, at[k + 1] + 1
+            stays[a:b] = bytes(b - a)
+    if at and not any(stays[i] for i in at):
+        return ""
+    return b"\n".join(line for line, s in zip(lines, stays, strict=True) if s).decode()
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 runs: bool = False) -> tuple[DataFrame, str]:
+    """``docs`` without the repeated chunks (with ``runs``, without the repeated
+    pairs too), and the name of a new column: how many of them the row lost."""
+    i, r, g, w, t, n = fresh(docs, "id", "row", "gone", "whole", "tails", "n_removed")
+    gone = removed_chunks(docs, id_col, text_col).select("id", "row", F.col("k").alias("chunk"))
+    if runs:
+        gone = gone.unionByName(removed_pairs(docs, id_col, text_col), allowMissingColumns=True)
+    else:
+        gone = gone.select("*", F.lit(None).cast("int").alias("k"), F.lit(None).cast("boolean").alias("tail"))
+    gone = (gone.groupBy(F.col("id").alias(i), F.col("row").alias(r))
+            .agg(F.collect_set("chunk").alias(g), F.collect_set(F.when(~F.col("tail"), F.col("k"))).alias(w),
+                 F.collect_set(F.when(F.col("tail"), F.col("k"))).alias(t)))
     met = (docs.join(gone, col(id_col).eqNullSafe(F.col(i)) & (F.xxhash64(col(text_col)) == F.col(r)), "left")
-           .select(*columns_of(docs), F.col(g)))
+           .select(*columns_of(docs), col(g), col(w), col(t)))
     at, last = docs.columns.index(text_col), len(docs.columns)
     schema = T.StructType([*docs.schema.fields, T.StructField(n, T.IntegerType())])
 
     def run(batches):
         for batch in batches:
-            lists = batch.column(last).to_pylist()
+            lists = list(zip(*(batch.column(last + k).to_pylist() for k in range(3)), strict=True))
             texts = batch.column(at).to_pylist()
-            texts = [_cut(t, k) if k else t for t, k in zip(texts, lists, strict=True)]
+            texts = [_cut(x, *own) if any(own) else x for x, own in zip(texts, lists, strict=True)]
             out = list(batch.columns[:last])
             out[at] = pa.array(texts, pa.string())
-            counts = pa.array([len(k or ()) for k in lists], pa.int32())
+            counts = pa.array([sum(len(k or ()) for k in own) for own in lists], pa.int32())
             yield pa.RecordBatch.from_arrays([*out, counts], [*batch.schema.names[:last], n])
 
     return met.mapInArrow(run, schema), n

@@ -21,7 +21,7 @@ def bpe_files() -> tuple[str, str]:
 
 
 def op1_line_chunks(spark, sf):
-    rows, n = line_chunks.deduplicated(documents(spark, sf).select("doc_id", "text"))
+    rows, n = line_chunks.deduplicated(documents(spark, sf).select("doc_id", "text"), runs=True)
     return rows.select("doc_id", F.col(n).cast("long").alias("chunks_removed"),
                        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
                        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))

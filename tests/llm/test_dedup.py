@@ -169,6 +169,64 @@ def test_line_chunks_of_odd_rows(odd, none):
     assert line_chunks.deduplicated(none)[0].count() == 0
 
 
+def brute_runs(rows):
+    """Plain search: of each two worded lines in a row that were seen before
+    (with the blank lines between), the lines go, but not those of the place seen."""
+    seen, out = {}, {}
+    for i, text in sorted(rows):
+        lines = text.split("\n")
+        at, gone = [k for k, x in enumerate(lines) if x.strip()], set()
+        for a, b in zip(at, at[1:]):
+            d, f = seen.setdefault("\n".join(lines[a:b + 1]), (i, range(a, b + 1)))
+            if (d, f[0]) != (i, a):
+                gone |= set(range(a, b + 1)) - (set(f) if d == i else set())
+        left = [k for k in range(len(lines)) if k not in gone]
+        out[i] = "\n".join(lines[k] for k in left) if set(at) & set(left) or not gone else ""
+    return out
+
+
+def planted(sizes=(2, 3, 5, 8, 13, 20), each=6, blank=False):
+    """Passages that stand twice, between lines that stand once."""
+    r, rows, line = random.Random(4), [], iter(range(10 ** 6))
+    own = lambda n: [f"line {next(line)} alone" for _ in range(n)]
+    shared = [own(n) for n in sizes for _ in range(each)]
+    if blank:
+        shared = [[x for y in p for x in (y, "")][:-1] for p in shared]
+    for k, p in enumerate(shared * 2):
+        rows.append((k, "\n".join(own(r.randrange(1, 9)) + p + own(r.randrange(1, 9)))))
+    return rows, shared
+
+
+def test_every_planted_run_goes(spark):
+    rows, shared = planted()
+    out, n = line_chunks.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), runs=True)
+    got = {x.doc_id: x.text for x in out.collect()}
+    for k, p in enumerate(shared):
+        assert got[k] == rows[k][1]
+        assert got[len(shared) + k] == rows[len(shared) + k][1].replace("\n".join(p) + "\n", "")
+
+
+def test_runs_as_plain_search(spark):
+    r = random.Random(7)
+    pool = [f"line {k} w" for k in range(25)] + ["A"] * 4
+    rows = [(k, "\n".join(r.choice(pool) for _ in range(r.randrange(12)))) for k in range(200)]
+    rows += [(200, "A\nA\nA"), (201, "B\nB\nB\nB"), (202, "C\n\nC\n\nC"), (203, "D\n\nE"), (204, "D\nE")]
+    out, n = line_chunks.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), runs=True)
+    got = {x.doc_id: x.text for x in out.collect()}
+    assert got == brute_runs(rows)
+    assert (got[201], got[202], got[204]) == ("B\nB", "C\n\nC", "D\nE")
+    lines = lambda texts: {x for t in texts for x in t.split("\n")}
+    assert lines(got.values()) == lines(t for _, t in rows)
+
+
+def test_runs_of_odd_rows(odd, none):
+    out, n = line_chunks.deduplicated(odd, runs=True)
+    assert out.columns == [*odd.columns, n]
+    got = {(r.doc_id, r.lang): r for r in out.where("doc_id is not null").collect()}
+    assert got[(4, None)].text is None and got[(6, None)].text == "" and got[(5, "en")][n] == 0
+    assert line_chunks.deduplicated(none, runs=True)[0].count() == 0
+
+
 # long repeats --------------------------------------------------------------
 
 def brute_repeats(rows, length=100):
