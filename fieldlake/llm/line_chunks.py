@@ -1,12 +1,13 @@
 """Line dedup by content-defined chunks of lines, grown to whole runs.
 
 A rolling hash over the hashes of the last two lines chooses where a chunk
-ends, so equal passages are cut alike wherever they stand. A chunk of two or
-more lines with a word that stands elsewhere too is removed, except at its
-first place (smallest id, then place in the text). Chunks are equal when
-their bytes are: they are grouped by the bytes themselves, and their 128-bit
-digest only names a group on the way back. A digest that names more than one
-text is settled by a join on the bytes.
+ends, so equal passages are cut alike wherever they stand. Each chunk but a
+text's last has two or more lines with a word; blank lines do not count. A chunk
+of so many that stands elsewhere too is removed, except at its first place
+(smallest id, then place in the text). Chunks are equal when their bytes are:
+they are grouped by the bytes themselves, and their 128-bit digest only names a
+group on the way back. A digest that names more than one text is settled by a
+join on the bytes.
 
 A repeated passage seldom begins and ends at a chunk's border. With ``runs``
 a second, overlapping chunking finds the rest: every two lines with a word
@@ -45,7 +46,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from fieldlake.llm.common import col, columns_of, fresh, pinned
 
-DIVISOR, LEAST = 3, 2  # a boundary in so many lines; lines of a chunk
+DIVISOR, LEAST = 3, 2  # a boundary in so many lines; lines with a word of a chunk
 _MASK = (1 << 64) - 1
 _WORD = re.compile(rb"[^\x20\x09-\x0D]").search
 
@@ -54,15 +55,16 @@ def chunk_ends(lines: list[bytes]) -> list[int]:
     """Where chunks end, as line numbers; the last is the number of lines."""
     from xxhash import xxh64_intdigest as xxh
 
-    out, before, start = [], 0, 0
+    out, before, worded = [], 0, 0
     for i, line in enumerate(lines, 1):
         h = xxh(line)
         rolled = (before * 0x9E3779B97F4A7C15 + h) & _MASK
         before = h
-        if i - start >= LEAST and (rolled >> 32) % DIVISOR == 0:
+        worded += bool(_WORD(line))
+        if worded >= LEAST and (rolled >> 32) % DIVISOR == 0:
             out.append(i)
-            start = i
-    if start < len(lines):
+            worded = 0
+    if not out or out[-1] < len(lines):
         out.append(len(lines))
     return out
 
@@ -72,7 +74,7 @@ def chunks(text: bytes):
     lines, start = text.split(b"\n"), 0
     for k, end in enumerate(chunk_ends(lines)):
         part = lines[start:end]
-        if end - start >= LEAST and sum(1 for x in part if _WORD(x)) >= LEAST:
+        if len(_worded(part)) >= LEAST:
             yield k, b"\n".join(part)
         start = end
 

@@ -219,6 +219,26 @@ def test_runs_as_plain_search(spark):
     assert lines(got.values()) == lines(t for _, t in rows)
 
 
+def test_blank_lines_do_not_make_chunks():
+    lines = [x for k in range(400) for x in (f"paragraph {k}".encode(), b"", b" ")]
+    ends, start = line_chunks.chunk_ends(lines), 0
+    for end in ends[:-1]:
+        assert sum(1 for x in lines[start:end] if x.strip()) >= 2
+        start = end
+    assert ends[-1] == len(lines)
+    removable = [x for _, part in line_chunks.chunks(b"\n".join(lines)) for x in part.split(b"\n")]
+    assert sum(1 for x in removable if x.strip()) >= 399
+
+
+def test_blank_separated_passages_go(spark):
+    rows, shared = planted((2, 3, 8, 40, 400), each=2, blank=True)
+    for runs in (False, True):
+        out, n = line_chunks.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), runs=runs)
+        got = {x.doc_id: x.text.split("\n") for x in out.collect()}
+        left = [sum(1 for x in p if x and x in got[len(shared) + k]) for k, p in enumerate(shared)]
+        assert all(x == 0 for x in left) if runs else max(left[-2:]) <= 20
+
+
 def test_runs_of_odd_rows(odd, none):
     out, n = line_chunks.deduplicated(odd, runs=True)
     assert out.columns == [*odd.columns, n]
