@@ -38,6 +38,7 @@ from fieldlake.llm.common import col, columns_of, fresh, slices
 
 SAMPLE, LONGEST, ROUNDS, SEED = 1500, 20_000, 14, 3
 WINDOW, STRIDE = 24, 16
+SCORED = 8  # stride of the windows that are scored: 17 words in a row lie whole in one
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 6, 6
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 17, 1 << 17
 _MEMO, _PART, _WORDS = 160_000, 2048, 20_000  # words kept; windows, words worked on at a time
@@ -98,9 +99,9 @@ def normal(word: str) -> str:
     return word.strip(_EDGE).lower()
 
 
-def windows(n: int) -> np.ndarray:
+def windows(n: int, stride: int = STRIDE) -> np.ndarray:
     """Starts of the windows of a text of n words."""
-    return np.arange(0, max(1, n - WINDOW + STRIDE), STRIDE)
+    return np.arange(0, max(1, n - WINDOW + stride), stride)
 
 
 def _sigmoid(x):
@@ -248,7 +249,7 @@ class Scorer:
             except KeyError:
                 self._learn(set(words))
                 ids = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-            s = windows(len(words))
+            s = windows(len(words), SCORED)
             starts.append(s + at)
             of.append(np.full(len(s), k))
             room = int(s[-1]) + WINDOW - len(words)

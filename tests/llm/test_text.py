@@ -277,6 +277,18 @@ def test_windows_cover_and_overlap():
         assert (np.diff(starts) < toxic_gru.WINDOW).all()
 
 
+def test_scored_windows_hold_short_passages_whole():
+    for n in (17, 24, 25, 40, 41, 500):
+        starts = toxic_gru.windows(n, toxic_gru.SCORED)
+        assert all(((starts <= p) & (p + 17 <= starts + toxic_gru.WINDOW)).any() for p in range(n - 16))
+    r = random.Random(8)
+    net = toxic_gru.Network(1)
+    texts = [[f"w{r.randrange(500)}" for _ in range(60)] for _ in range(20)]
+    alone = [[" ".join(w[s:s + toxic_gru.WINDOW]) for s in range(0, 41, 8)] for w in texts]
+    got = toxic_gru._score(net, [" ".join(w) for w in texts])
+    assert got == pytest.approx([toxic_gru._score(net, a).max() for a in alone], rel=1e-5)
+
+
 def test_classifiers_of_odd_rows(odd, none, spark):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (3, None, None), (99, 1, 1), (None, 0, 1), (5, 0, 0), (5, 0, 0)],
                                    "doc_id long, quality int, toxic int")
