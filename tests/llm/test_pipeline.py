@@ -38,7 +38,7 @@ def corpus():
 
 def network(rows):
     known = [(t, float("vile" in t)) for _, t, *_ in rows]
-    return toxic_gru.train([t for t, _ in known], np.array([y for _, y in known]), rounds=6)
+    return toxic_gru.train([t for t, _ in known], np.array([y for _, y in known]), rounds=30)
 
 
 def brute_near(rows):
