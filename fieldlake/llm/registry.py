@@ -7,7 +7,8 @@ import functools
 from pyspark.sql import functions as F
 
 from fieldlake.llm import (
-    bpe, chat_tree, factor_quality, line_chunks, line_quality, mixing, radix_dedup, run_index, simhash, toxic_gru)
+    best_fit, bpe, chat_tree, cross_align, factor_quality, lexical, line_chunks, line_quality, mixing, radix_dedup,
+    run_index, simhash, toxic_gru)
 from fieldlake.llm.common import documents, prepared
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -20,6 +21,14 @@ def bpe_files() -> tuple[str, str]:
     return public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN
 
 
+def align_files() -> tuple[str, str, str]:
+    """The byte-level tokenizer, its pattern, and the piece model."""
+    import public_tokenizers
+
+    return (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN,
+            public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op1_line_chunks(spark, sf):
     rows, n = line_chunks.deduplicated(documents(spark, sf).select("doc_id", "text"), runs=True)
     return rows.select("doc_id", F.col(n).cast("long").alias("chunks_removed"),
@@ -85,8 +94,21 @@ def op10_radix_dedup(spark, sf):
     return radix_dedup.exact_groups(documents(spark, sf))
 
 
+def op11_lexical(spark, sf):
+    return lexical.ranked(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
+def op12_cross_align(spark, sf):
+    return cross_align.aligned(documents(spark, sf), *align_files())
+
+
+def op13_best_fit(spark, sf):
+    return best_fit.packed(documents(spark, sf), *align_files()[:2])
+
+
 QUERIES = (op1_line_chunks, op2_bpe, op3_chat_tree, op4_mixing, op5_line_quality, op6_toxic_gru,
-           op7_factor_quality, op8_run_index, op9_simhash, op10_radix_dedup)
+           op7_factor_quality, op8_run_index, op9_simhash, op10_radix_dedup,
+           op11_lexical, op12_cross_align, op13_best_fit)
 
 
 def _registered(query):
@@ -104,4 +126,4 @@ def queries():
 
 def oracle_sql():
     return {"op4_mixing": mixing.ORACLE, "op5_line_quality": line_quality.ORACLE,
-            "op10_radix_dedup": radix_dedup.ORACLE}
+            "op10_radix_dedup": radix_dedup.ORACLE, "op11_lexical": lexical.ORACLE}

@@ -9,7 +9,8 @@ from fieldlake.llm import registry
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_as_sql(spark, sf, name):
     con = duckdb.connect()
-    con.sql(f"create view documents as select * from '{sf}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        con.sql(f"create view {table} as select * from '{sf}/{table}.parquet'")
     want = con.sql(registry.oracle_sql()[name]).df()
     got = registry.queries()[name](spark, sf).toPandas()
     cols = sorted(want.columns)
@@ -19,7 +20,7 @@ def test_query_as_sql(spark, sf, name):
 
 
 def test_names():
-    assert {int(n[2:].split("_")[0]) for n in registry.queries()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in registry.queries()} == set(range(1, 14))
 
 
 def test_long_repeat_query_has_its_columns(spark, sf):
