@@ -24,6 +24,7 @@ their names.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -34,27 +35,38 @@ from fieldlake.llm import subwords
 from fieldlake.llm.common import col
 from fieldlake.session import scratch_path
 
+SLICE_BYTES = 4 << 20  # of text: half of what the others take, as many arrays are held at once
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 SCORES = ("n_best", "count_sum")
 
 
+def _same_bytes(coder, ids: np.ndarray, counts: np.ndarray, words: list[bytes]) -> np.ndarray:
+    """Whether the bytes of each word's tokens are the word."""
+    data, n = subwords.table_of(words)
+    token_ends = np.append(0, np.cumsum(coder.sizes[ids]))
+    stops = np.cumsum(counts)
+    got = token_ends[stops] - token_ends[stops - counts]
+    same = got == n
+    mine, _ = subwords.spread(coder.flat, coder.sizes, subwords.spread(ids, counts, np.flatnonzero(same))[0])
+    theirs, _ = subwords.spread(data, n, np.flatnonzero(same))
+    owner = np.repeat(np.flatnonzero(same), n[same])
+    same[owner[mine != theirs]] = False
+    return same
+
+
 class Side:
     """The tokens of a slice's documents by one tokenizer."""
 
     def __init__(self, coder, units: subwords.Units):
         ids, counts = coder.words(units.words)
-        table = coder.bytes_of
-        stops = np.cumsum(counts).tolist()
-        listed = ids.tolist()
-        same = np.array([b"".join(map(table.__getitem__, listed[b - n:b])) == w
-                         for w, b, n in zip(units.words, stops, counts.tolist(), strict=True)], bool)
+        same = _same_bytes(coder, ids, counts, units.words)
         self.ids, per_unit = subwords.spread(ids, counts, units.codes)
         self.bounds = np.append(0, np.cumsum(per_unit))[units.bounds]  # of documents
         wrong = np.append(0, np.cumsum(~same[units.codes]))[units.bounds]
         self.whole = np.diff(wrong) == 0  # documents whose token bytes are their text
         self.sizes = coder.sizes[self.ids]
-        self.spaced = np.fromiter((table[i][:1] == b" " for i in range(len(coder.sizes))), bool,
-                                  len(coder.sizes))[self.ids] if len(self.ids) else np.zeros(0, bool)
+        first = coder.flat[np.minimum(np.cumsum(coder.sizes) - coder.sizes, len(coder.flat) - 1)]
+        self.spaced = ((first == 0x20) & (coder.sizes > 0))[self.ids]
 
     def keep(self, docs: np.ndarray) -> None:
         """Only the tokens of these documents (a mask); their places follow."""
@@ -124,16 +136,31 @@ class Windows:
         self.n_links = np.bincount(self.link_window, minlength=len(self.n_a))
         self.n_groups = np.bincount(self.token_window, weights=self.shared_a, minlength=len(self.n_a)).astype("<i8")
 
-    def texts(self) -> list[str]:
-        """Each window's groups as ``a1,a2|b1;a3|b2``."""
-        def parts(ids, shared):  # the ids of every group
-            tokens = list(map(str, ids.tolist()))
-            stops = (np.flatnonzero(shared) + 1).tolist()
-            return [",".join(tokens[s:e]) for s, e in zip([0, *stops], stops, strict=False)]
-
-        groups = list(map("|".join, zip(parts(self.a, self.shared_a), parts(self.b, self.shared_b), strict=True)))
-        stops = np.cumsum(self.n_groups).tolist()
-        return [";".join(groups[s:e]) for s, e in zip([0, *stops], stops, strict=False)]
+    def texts(self) -> list[bytes]:
+        """Each window's groups as ``a1,a2|b1;a3|b2;``, from the decimal texts
+        of all ids laid in order, each followed by its sign."""
+        group_a = np.cumsum(self.shared_a) - self.shared_a  # of each token
+        group_b = np.cumsum(self.shared_b) - self.shared_b
+        until_a = np.flatnonzero(self.shared_a) + 1  # A tokens up to the end of each group
+        from_b = np.append(0, np.flatnonzero(self.shared_b) + 1)
+        n_a, n_b = len(self.a), len(self.b)
+        at_a, at_b = np.arange(n_a) + from_b[group_a], np.arange(n_b) + until_a[group_b]
+        ids, sign = np.empty(n_a + n_b, "<i4"), np.empty(n_a + n_b, "u1")
+        ids[at_a], ids[at_b] = self.a, self.b
+        sign[at_a] = np.where(self.shared_a, ord("|"), ord(","))
+        sign[at_b] = np.where(self.shared_b, ord(";"), ord(","))
+        flat, n = _decimals(1 << int(ids.max(initial=0)).bit_length())
+        text, sizes = subwords.spread(flat, n, ids)
+        ends = np.cumsum(sizes)
+        text[ends - 1] = sign
+        last = np.cumsum(self.n_a + self.n_b)  # tokens up to the end of each window
+        stops, whole = ends[last - 1].tolist() if len(last) else [], text.tobytes()
+        return [whole[s:e] for s, e in zip([0, *stops], stops, strict=False)]
+
+
+@functools.lru_cache(maxsize=2)
+def _decimals(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return subwords.table_of([b"%d," % i for i in range(n)])
 
 
 def _counted(values: np.ndarray, rows: np.ndarray, n_rows: int, width: int):
@@ -157,7 +184,7 @@ def aligned_slice(table: pa.Table, coder_a, coder_b) -> dict[str, pa.Array]:
     windows.align(coder_a.sizes, coder_b.sizes)
     bounds = np.searchsorted(first_a, a.bounds)  # windows of documents
     texts, codes = windows.texts(), windows.codes.tolist()
-    shas = [hashlib.sha256(";".join(map(texts.__getitem__, codes[s:e])).encode()).hexdigest() if e > s else ""
+    shas = [hashlib.sha256(memoryview(b"".join(map(texts.__getitem__, codes[s:e])))[:-1]).hexdigest() if e > s else ""
             for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
     owner = np.repeat(np.arange(len(docs)), np.diff(bounds))
     per_doc = [np.diff(a.bounds), np.diff(b.bounds)] + [
@@ -193,7 +220,7 @@ def slices_of(docs: DataFrame, path_a: str, pattern: str, path_b: str, id_col: s
         import uuid
 
         coder_a, coder_b = subwords.byte_level(path_a, pattern, False), subwords.pieces(path_b)
-        for table in subwords.gathered(batches, 1):
+        for table in subwords.gathered(batches, 1, SLICE_BYTES):
             columns = aligned_slice(table, coder_a, coder_b)
             one = [pa.array([uuid.uuid4().hex])]
             one += [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in columns.values()]

@@ -87,12 +87,6 @@ class Units:
         self.bounds = np.searchsorted(starts, ends)
 
 
-def flat(lists: list, kind: str = "<i4") -> tuple[np.ndarray, np.ndarray]:
-    """The items of all lists, and the number of each."""
-    counts = np.fromiter(map(len, lists), "<i8", len(lists))
-    return (np.concatenate(lists).astype(kind) if len(lists) else np.zeros(0, kind)), counts
-
-
 def spread(items: np.ndarray, counts: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The items of list ``c`` for each ``c`` of ``codes``, one after another,
     and the number of each."""
@@ -112,21 +106,32 @@ def encoded_words(words: list[bytes], joined: Callable[[list[bytes]], list], sin
     data = np.frombuffer(b"".join(words), "u1")
     stops = np.cumsum(n)
     plain = np.flatnonzero((data[stops - n] == 0x20) & ends_solid(data, stops)) if len(words) else np.zeros(0, "i8")
-    lists: list = [None] * len(words)
+    held, order, counts = [], [], []  # ids, of which words, and how many each
     part_of = np.cumsum(n[plain]) // part
     cuts = [0, *(np.flatnonzero(np.diff(part_of)) + 1).tolist(), len(plain)]
     for a, b in zip(cuts, cuts[1:], strict=False):
-        group = plain[a:b].tolist()
-        ids = np.asarray(joined([words[i] for i in group]), "<i4")
-        token_ends, word_ends = np.cumsum(sizes[ids]), np.cumsum(n[plain[a:b]])
+        group = plain[a:b]
+        ids = np.asarray(joined([words[i] for i in group.tolist()]), "<i4")
+        token_ends, word_ends = np.cumsum(sizes[ids]), np.cumsum(n[group])
         at = np.searchsorted(token_ends, word_ends)
         if len(at) and at[-1] < len(token_ends) and (token_ends[at] == word_ends).all():
-            for i, tokens in zip(group, np.split(ids, at[:-1] + 1), strict=True):
-                lists[i] = tokens
-    for i, tokens in enumerate(lists):
-        if tokens is None:
-            lists[i] = np.asarray(single(words[i]), "<i4")
-    return flat(lists)
+            held.append(ids)
+            order.append(group)
+            counts.append(np.diff(at + 1, prepend=0))
+    rest = np.ones(len(words), bool)
+    for group in order:
+        rest[group] = False
+    others = np.flatnonzero(rest)
+    lists = [np.asarray(single(words[i]), "<i4") for i in others.tolist()]
+    held, order, counts = [*held, *lists], [*order, others], [*counts, np.fromiter(map(len, lists), "<i8", len(lists))]
+    place = np.empty(len(words), "<i8")
+    place[np.concatenate(order)] = np.arange(len(words))
+    return spread(np.concatenate([*held, np.zeros(0, "<i4")]), np.concatenate(counts), place)
+
+
+def table_of(entries: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Byte strings end to end, and their sizes."""
+    return np.frombuffer(b"".join(entries), "u1"), np.fromiter(map(len, entries), "<i8", len(entries))
 
 
 class ByteLevel:
@@ -151,9 +156,7 @@ class ByteLevel:
         if merged != list(range(256, 256 + len(merged))):
             raise ValueError("the ids of this tokenizer do not follow its merges")
         self.bytes_of = {i: p for p, i in ranks.items()} | {i: t.encode() for t, i in added.items()}
-        self.sizes = np.zeros(max(self.bytes_of) + 1, "<i8")
-        for i, p in self.bytes_of.items():
-            self.sizes[i] = len(p)
+        self.flat, self.sizes = table_of([self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)])
         self.added = [t.encode() for t in added] if special else []
         self.ranked = tiktoken.Encoding("ranked", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
@@ -187,7 +190,7 @@ class Pieces:
             raise ValueError("this model has pieces that span a space")
         self.bytes_of = [bytes([int(p[3:-1], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode()
                          for i, p in enumerate(names)]
-        self.sizes = np.fromiter(map(len, self.bytes_of), "<i8", n)
+        self.flat, self.sizes = table_of(self.bytes_of)
 
     def _one(self, word: bytes) -> list[int]:
         text = word[1:].decode()  # the first space is the one that is added
