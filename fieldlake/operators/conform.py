@@ -172,8 +172,8 @@ def additional_techs(x: Column) -> Column:
     return F.nullif(F.regexp_replace(x, r'[\[\]" ]', ""), F.lit(""))
 
 
-def conform_appointments(raw: DataFrame, run_at, route_tech: DataFrame | None = None) -> DataFrame:
-    """Ids default to NULL (only the key defaults to 0). ``route_tech``
+def conform_appointments(raw: DataFrame, run_at, *extra: Column, route_tech: DataFrame | None = None) -> DataFrame:
+    """``extra`` columns of the raw record are kept at the end. Ids default to NULL (only the key defaults to 0). ``route_tech``
     (office_id, route_id, route_tech_id), one row per office and route, fills route_tech_id; it is a
     per-day route table, small next to the facts, and the planner broadcasts
     it only when its measured size allows."""
@@ -208,7 +208,7 @@ def conform_appointments(raw: DataFrame, run_at, route_tech: DataFrame | None =
         strip(_c("windDirection")).alias("wind_direction"),
         to_timestamp(_c("dateAdded")).alias("date_added"),
         to_timestamp(_c("dateUpdated")).alias("date_updated"),
-        _stamp(run_at))
+        _stamp(run_at), *extra)
     # minutes are computed once in the projection above; the bound check
     # reads the column instead of re-parsing both stamps three times
     df = df.withColumn("duration_actual_min", plausible_duration(F.col("_minutes"))).drop("_minutes")
@@ -217,15 +217,17 @@ def conform_appointments(raw: DataFrame, run_at, route_tech: DataFrame | None =
     else:
         df = df.join(route_tech.select("office_id", "route_id", "route_tech_id"), ["office_id", "route_id"], "left")
     from fieldlake.sources.schemas import STAR_SCHEMAS
-    return df.select(*STAR_SCHEMAS["fact_appointments"].fieldNames())
+    fixed = STAR_SCHEMAS["fact_appointments"].fieldNames()
+    return df.select(*fixed, *[c for c in df.columns if c not in fixed])
 
 
 # ---------------------------------------------------------------------------
 # C7, C8 — tickets and their line items
 # ---------------------------------------------------------------------------
 
-def conform_tickets(raw: DataFrame, run_at) -> DataFrame:
-    """Money defaults to 0 — an empty production value becomes an explicit 0."""
+def conform_tickets(raw: DataFrame, run_at, *extra: Column) -> DataFrame:
+    """Money defaults to 0 — an empty production value becomes an explicit 0.
+    ``extra`` columns of the raw record are kept at the end."""
     return raw.select(
         to_int(_c("ticketID"), 0).alias("ticket_id"),
         to_int(_c("appointmentID"), 0).alias("appointment_id"),
@@ -242,7 +244,7 @@ def conform_tickets(raw: DataFrame, run_at) -> DataFrame:
         to_float(_c("balance"), 0).alias("balance"),
         to_float(_c("productionValue"), 0).alias("production_value"),
         flag(_c("active")).alias("active"),
-        _stamp(run_at))
+        _stamp(run_at), *extra)
 
 
 def explode_ticket_items(raw_tickets: DataFrame, run_at) -> DataFrame:

@@ -277,41 +277,81 @@ def import_pending(contacts: DataFrame, done_ids: DataFrame) -> DataFrame:
     return contacts.join(done_ids.select("fr_id"), ["fr_id"], "left_anti")
 
 
+def _with_duplicates(contacts: DataFrame, existing: DataFrame, counted: Column) -> DataFrame:
+    """Adds _dup_email and _dup_phone: the field is set, counts (an email only
+    where ``counted`` holds), and the CRM or an earlier row of the batch (by
+    office, then numeric id) has it. The first row with a value always gets it
+    into the CRM: whatever else is stripped from it, this field is not."""
+    order = F.struct(F.col("office"), F.col("fr_id").try_cast("long"), F.col("fr_id"))
+    out = contacts.withColumn("_ord", order).withColumn("_use_email", F.when(counted, F.col("email"))) \
+        .withColumn("_use_phone", F.col("phone"))
+    batch = out
+    for field, key in (("email", F.lower(F.col("email"))), ("phone", F.col("phone"))):
+        use = f"_use_{field}"
+        first = (batch.filter(F.col(use).isNotNull()).groupBy(F.col(use).alias(f"_k_{field}"))
+                 .agg(F.min("_ord").alias(f"_first_{field}")))
+        crm = (existing.select(key.alias(f"_c_{field}")).filter(F.col(f"_c_{field}").isNotNull())
+               .distinct().withColumn(f"_in_crm_{field}", F.lit(True)))
+        out = (out.join(first, out[use] == first[f"_k_{field}"], "left")
+               .join(crm, out[use] == crm[f"_c_{field}"], "left"))
+        out = out.withColumn(f"_dup_{field}", F.col(use).isNotNull() & (
+            F.coalesce(F.col(f"_in_crm_{field}"), F.lit(False)) | (F.col("_ord") != F.col(f"_first_{field}"))))
+        out = out.drop(f"_k_{field}", f"_first_{field}", f"_c_{field}", f"_in_crm_{field}", use)
+    return out
+
+
 def import_dedupe(contacts: DataFrame, existing: DataFrame) -> DataFrame:
-    """Create actions of the initial import, decided in one pass.
+    """Create actions of the initial import, decided in one pass, for emails
+    that are all well-formed (else see ``import_outcomes``).
 
     The CRM rejects a duplicate email or phone; the script then strips the
     field, tags fr_duplicate_<field> and retries. Here a field is a
     duplicate when the CRM already has it or an earlier row of the batch
     (ordered by office, then numeric id) carries it; email clashes are
     reported before phone clashes. Actions: created, created_no_email,
-    created_no_phone, created_no_email_no_phone. The script's server picks
-    which clash it reports, which this ordering approximates.
+    created_no_phone, created_no_email_no_phone.
     """
-    order = F.struct(F.col("office"), F.col("fr_id").try_cast("long"), F.col("fr_id"))
-    b = contacts.withColumn("_ord", order)
-    out = b
-    for field, key in (("email", F.lower(F.col("email"))), ("phone", F.col("phone"))):
-        first = (b.filter(F.col(field).isNotNull()).groupBy(F.col(field).alias(f"_k_{field}"))
-                 .agg(F.min("_ord").alias(f"_first_{field}")))
-        crm = (existing.select(key.alias(f"_c_{field}")).filter(F.col(f"_c_{field}").isNotNull())
-               .distinct().withColumn(f"_in_crm_{field}", F.lit(True)))
-        out = (out.join(first, out[field] == first[f"_k_{field}"], "left")
-               .join(crm, out[field] == crm[f"_c_{field}"], "left"))
-        out = out.withColumn(f"_dup_{field}", F.col(field).isNotNull() & (
-            F.coalesce(F.col(f"_in_crm_{field}"), F.lit(False)) | (F.col("_ord") != F.col(f"_first_{field}"))))
-        out = out.drop(f"_k_{field}", f"_first_{field}", f"_c_{field}", f"_in_crm_{field}")
-    de, dp = F.col("_dup_email"), F.col("_dup_phone")
-    action = (F.when(de & dp, F.lit("created_no_email_no_phone")).when(de, F.lit("created_no_email"))
-              .when(dp, F.lit("created_no_phone")).otherwise(F.lit("created")))
-    matched = (F.when(de & dp, F.lit("email+phone")).when(de, F.lit("email")).when(dp, F.lit("phone")))
-    extra = F.filter(F.array(F.when(de, F.lit("fr_duplicate_email")), F.when(dp, F.lit("fr_duplicate_phone"))),
-                     lambda t: t.isNotNull())
+    return import_outcomes(contacts, existing, checks_emails=False)
+
+
+def import_outcomes(contacts: DataFrame, existing: DataFrame, accepts_bare: bool = True,
+                    checks_emails: bool = True) -> DataFrame:
+    """What becomes of each contact of the initial import, with its retries, in
+    one pass.
+
+    The CRM looks at an attempt in this order: an email that is malformed
+    (unless not ``checks_emails``), an email it has, a phone it has, and, unless
+    ``accepts_bare``, a contact left with neither. The script answers
+
+    * a malformed email: strips it, tags fr_invalid_email, writes a review row
+      ``invalid_email`` and tries once more if there is a phone
+      (created_no_email); a phone that is taken too ends in ``error``;
+    * a taken field: strips it, tags fr_duplicate_<field> and tries again
+      (created_no_<field>, review row with the field's name); if then the other
+      field is taken, strips that too (created_no_email_no_phone, review row
+      ``email+phone``); an attempt refused without a field's name ends it
+      (``error``, review row ``unresolved``).
+
+    Columns: the contact, its original email and phone, action, and matched_on
+    (the reason on the review row, NULL for none).
+    """
+    bad = F.col("email").isNotNull() & ~valid_email(F.col("email")) if checks_emails else F.lit(False)
+    out = _with_duplicates(contacts.withColumn("_bad", bad), existing, ~F.col("_bad"))
+    bad, de, dp = F.col("_bad"), F.col("_dup_email"), F.col("_dup_phone")
+    no_email, no_phone = F.col("email").isNull() | bad | de, F.col("phone").isNull() | dp
+    stuck = (de | dp) & no_email & no_phone & F.lit(not accepts_bare)
+    action = (F.when(bad & (F.col("phone").isNull() | dp), F.lit("error")).when(bad, F.lit("created_no_email"))
+              .when(stuck, F.lit("error")).when(de & dp, F.lit("created_no_email_no_phone"))
+              .when(de, F.lit("created_no_email")).when(dp, F.lit("created_no_phone")).otherwise(F.lit("created")))
+    reason = (F.when(bad, F.lit("invalid_email")).when(stuck, F.lit("unresolved")).when(de & dp, F.lit("email+phone"))
+              .when(de, F.lit("email")).when(dp, F.lit("phone")))
+    extra = F.filter(F.array(F.when(bad, F.lit("fr_invalid_email")), F.when(de, F.lit("fr_duplicate_email")),
+                             F.when(dp & ~bad, F.lit("fr_duplicate_phone"))), lambda t: t.isNotNull())
     return out.select(
         "office", "fr_id", "first_name", "last_name", F.col("email").alias("original_email"),
-        F.col("phone").alias("original_phone"),
-        F.when(~de, F.col("email")).alias("email"), F.when(~dp, F.col("phone")).alias("phone"),
-        F.concat(F.col("tags"), extra).alias("tags"), action.alias("action"), matched.alias("matched_on"))
+        F.col("phone").alias("original_phone"), F.when(~(bad | de), F.col("email")).alias("email"),
+        F.when(~dp | bad, F.col("phone")).alias("phone"), F.concat(F.col("tags"), extra).alias("tags"),
+        action.alias("action"), reason.alias("matched_on"))
 
 
 def flag_invalid_emails(contacts: DataFrame) -> DataFrame:
@@ -338,9 +378,9 @@ def duplicate_review(deduped: DataFrame) -> DataFrame:
 
 
 def import_plan(raw_customers: DataFrame, office: int | None, existing: DataFrame, done_ids: DataFrame,
-                dry_run: bool = True) -> DataFrame:
+                dry_run: bool = True, accepts_bare: bool = True) -> DataFrame:
     """One row per pending customer with its import action. Dry run:
-    would_create / skipped; live: the dedupe actions / skipped."""
+    would_create / skipped; live: the outcomes of ``import_outcomes`` / skipped."""
     pending = import_pending(contacts_import(raw_customers, office), done_ids)
     has_contact = F.col("email").isNotNull() | F.col("phone").isNotNull()
     skipped = pending.filter(~has_contact).select("office", "fr_id", F.lit("skipped").alias("action"))
@@ -348,7 +388,7 @@ def import_plan(raw_customers: DataFrame, office: int | None, existing: DataFram
     if dry_run:
         acted = send.select("office", "fr_id", F.lit("would_create").alias("action"))
     else:
-        acted = import_dedupe(send, existing).select("office", "fr_id", "action")
+        acted = import_outcomes(send, existing, accepts_bare).select("office", "fr_id", "action")
     return acted.unionByName(skipped)
 
 

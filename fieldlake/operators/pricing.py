@@ -17,7 +17,11 @@ from pyspark.sql import functions as F
 from fieldlake.functions.codes import customer_display_name
 from fieldlake.functions.exact import div_half_up, from_units, units
 
-# Default campaign settings (fixed values of the source configuration).
+# Fixed value: the CRM tag that starts the notice there.
+PENDING_TAG = "FR_price_increase_pending"
+
+# Default campaign settings. Thresholds, keys and switches are the source
+# configuration's; the method's name and the texts are ours.
 DEFAULT_CONFIG: dict = {
     "increase": {"type": "percentage", "value": 5},
     "eligibility": {
@@ -99,9 +103,13 @@ def _fill(template: str, values: Mapping[str, Column]) -> Column:
 
 def increase_notices(priced: DataFrame, customers: DataFrame, cfg: Mapping, as_of,
                      company_name: str = "Your service team") -> DataFrame:
-    """One notice per priced subscription: subject and body filled in, with
-    the effective date ``days_before_increase`` days after ``as_of``."""
+    """One notice per priced subscription, with the effective date
+    ``days_before_increase`` days after ``as_of``: a message with subject and body
+    filled in, or, by the method ``crm_tag``, the tag by which the CRM sends its
+    own. None when the customer is not to be notified."""
     n = cfg["notification"]
+    by_tag = n["notification_method"] == "crm_tag"
+    priced = priced if n["notify_customer"] else priced.limit(0)
     c = customers.select(F.col("customer_id").alias("_cid"), "company_name", "first_name", "last_name",
                          "email")
     j = priced.join(c, priced["customer_id"] == c["_cid"], "left")
@@ -110,9 +118,11 @@ def increase_notices(priced: DataFrame, customers: DataFrame, cfg: Mapping, as_o
                                                               F.col("last_name")), F.lit("")),
             "effective_date": eff.cast("string"), "old_price": F.col("old_price"),
             "new_price": F.col("new_price"), "company_name": F.lit(company_name)}
+    text = lambda x: F.lit(None).cast("string") if by_tag else x
     return j.select("subscription_id", "customer_id", "email", eff.alias("effective_date"),
-                    F.lit(n["notification_method"]).alias("method"),
-                    F.lit(n["email_subject"]).alias("subject"), _fill(n["email_body"], vals).alias("body"))
+                    F.lit(n["notification_method"]).alias("method"), text(F.lit(n["email_subject"])).alias("subject"),
+                    text(_fill(n["email_body"], vals)).alias("body"),
+                    F.lit(PENDING_TAG if by_tag else None).cast("string").alias("tag"))
 
 
 def increase_notes(priced: DataFrame, cfg: Mapping, as_of) -> DataFrame:
@@ -139,3 +149,25 @@ def increase_plan(priced: DataFrame, cfg: Mapping) -> DataFrame:
     return (priced.join(batch, ["customer_id"], "left")
             .withColumn("in_this_run", F.coalesce("in_this_run", F.lit(False)))
             .withColumn("dry_run", F.lit(bool(sf["dry_run"]))))
+
+
+CAMPAIGN_SCHEMA = "run bigint, customer_id bigint, subscription_id bigint, old_price double, new_price double, run_at timestamp"
+
+
+def campaign_run(priced: DataFrame, cfg: Mapping, ledger_path: str, run_at) -> DataFrame:
+    """One run of the campaign: of the priced customers that no earlier run has
+    taken, the first ``max_customers_per_run`` by id, with all of their
+    subscriptions. A live run is noted in the ledger before its rows are
+    returned, so the next one goes on behind it; a dry run is not."""
+    from fieldlake.sources import sinks
+    spark = priced.sparkSession
+    past = sinks.read(spark, ledger_path) if sinks.exists(spark, ledger_path) else spark.createDataFrame([], CAMPAIGN_SCHEMA)
+    number = (past.agg(F.max("run")).first()[0] or 0) + 1
+    left = increase_plan(priced.join(past.select("customer_id").distinct(), ["customer_id"], "left_anti"), cfg)
+    rows = left.filter("in_this_run").select(
+        F.lit(number).cast("long").alias("run"), "customer_id", "subscription_id", "old_price", "new_price",
+        F.lit(str(run_at)).cast("timestamp").alias("run_at"))
+    if cfg["safety"]["dry_run"]:
+        return rows
+    sinks.append(rows, ledger_path)
+    return sinks.read(spark, ledger_path).filter(F.col("run") == number)

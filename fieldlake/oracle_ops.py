@@ -236,6 +236,48 @@ SELECT TIMESTAMP '{RUN_AT}' AS run_at, CAST(o AS BIGINT) AS office_id,
     return q
 
 
+def _backfilled() -> dict[str, str]:
+    """The history of offices 1 and 2 loaded at once."""
+    own = "office_id IN (1, 2)"
+    month = "CAST(date_trunc('month', scheduled_date) AS DATE)"
+    base = cte("raw_appointments", "raw_tickets", "raw_customers", "raw_subscriptions", "raw_service_types",
+               "raw_employees", "raw_products") + f""",
+rt AS (SELECT CAST(NULL AS BIGINT) AS route_tech_id),
+a AS (SELECT *, {month} AS month_start FROM (SELECT {APPOINTMENT_COLS} FROM raw_appointments, rt)
+  WHERE {own} AND {month} BETWEEN DATE '1994-12-01' AND DATE '1999-12-01'),
+asked AS (SELECT DISTINCT office_id, month_start, ticket_id FROM a WHERE ticket_id > 0),
+t AS (SELECT * FROM (SELECT {TICKET_COLS} FROM raw_tickets) x
+  WHERE EXISTS (SELECT 1 FROM asked WHERE asked.office_id = x.office_id AND asked.ticket_id = x.ticket_id)),
+i AS (SELECT * FROM ({_items_sql()}) x
+  WHERE EXISTS (SELECT 1 FROM asked WHERE asked.office_id = x.office_id AND asked.ticket_id = x.ticket_id))
+"""
+    real = f"{not_orphan('officeID')} AND {not_orphan('customerID')}"
+    q = {"backfill_run": base + f"""
+SELECT 'fact_appointments' AS table_name, office_id, appointment_id AS id, ticket_id AS other_id, status AS number,
+  CAST(route_tech_id AS DOUBLE) AS amount, scheduled_date AS day FROM a
+UNION ALL SELECT 'fact_tickets', office_id, ticket_id, appointment_id, customer_id, total, invoice_date FROM t
+UNION ALL SELECT 'fact_ticket_items', office_id, ticket_id, item_id, product_id, amount, NULL FROM i
+UNION ALL SELECT 'dim_customers', office_id, customer_id, NULL, CAST(active AS BIGINT), NULL, date_added
+  FROM (SELECT {CUSTOMER_COLS} FROM raw_customers WHERE {real}) WHERE {own}
+UNION ALL SELECT 'dim_subscriptions', office_id, subscription_id, customer_id, service_type_id, recurring_charge, date_added
+  FROM (SELECT {SUBSCRIPTION_COLS} FROM raw_subscriptions WHERE {real}) WHERE {own}
+UNION ALL SELECT 'dim_service_types', office_id, type_id, NULL, frequency, default_charge, NULL
+  FROM ({SERVICE_TYPES_SQL}) WHERE {own}
+UNION ALL SELECT 'dim_employees', office_id, employee_id, NULL, emp_type, NULL, NULL FROM ({EMPLOYEES_SQL}) WHERE {own}
+UNION ALL SELECT 'dim_products', office_id, product_id, NULL, CAST(taxable AS BIGINT), unit_cost, NULL
+  FROM ({PRODUCTS_SQL}) WHERE {own}"""}
+    slot = "x.office_id = o AND x.month_start = m"
+    per_slot = lambda rows: (f"(SELECT COUNT(*) FROM asked x JOIN {rows} r ON r.office_id = x.office_id "
+                             f"AND r.ticket_id = x.ticket_id WHERE {slot})")
+    q["backfill_ledger"] = base + f"""
+SELECT 'slot' AS kind, o AS office_id, m AS month_start, (SELECT COUNT(*) FROM a x WHERE {slot}) AS appointments,
+  {per_slot('t')} AS tickets, {per_slot('i')} AS ticket_items, TIMESTAMP '{RUN_AT}' AS run_at
+FROM (SELECT CAST(g AS DATE) AS m FROM generate_series(TIMESTAMP '1994-12-01', TIMESTAMP '1999-12-01', INTERVAL 1 MONTH) AS s(g)),
+  (VALUES (CAST(1 AS BIGINT)), (CAST(2 AS BIGINT))) AS offs(o)
+UNION ALL SELECT 'dims', NULL, NULL, NULL, NULL, NULL, TIMESTAMP '{RUN_AT}'"""
+    return q
+
+
 def _load() -> dict[str, str]:
     q: dict[str, str] = {}
     office, start, end = WINDOW
@@ -510,6 +552,42 @@ FROM deduped WHERE matched_on IS NOT NULL"""
     q["duplicate_review_csv"] = q["duplicate_review"]
     q["import_summary_dry_run"] = ic + f"""SELECT action, COUNT(*) AS customers FROM
  (SELECT 'would_create' AS action FROM send UNION ALL {skipped}) GROUP BY 1"""
+    # The import as the CRM sees it: a row per attempt, each from the one before.
+    bad_raw = ("raw_customers AS (SELECT * REPLACE (CASE WHEN CAST(customerID AS BIGINT) % 13 = 0 THEN 'not an address' "
+               "ELSE email END AS email) FROM all_customers)")
+    attempts = cte("raw_customers", "crm_contacts").replace("raw_customers AS (", "all_customers AS (", 1).replace(
+        "crm_contacts AS (", bad_raw + ",\ncrm_contacts AS (", 1) + f""", {CRM}, {IMPORT},
+numbered AS (SELECT *, row_number() OVER (ORDER BY CAST(office AS BIGINT), TRY_CAST(fr_id AS BIGINT), fr_id) AS turn FROM send),
+held AS (SELECT 'email' AS field, lower(email) AS value, 0 AS turn FROM crm WHERE email IS NOT NULL
+  UNION ALL SELECT 'phone', phone, 0 FROM crm WHERE phone IS NOT NULL
+  UNION ALL SELECT 'email', email, turn FROM numbered WHERE regexp_full_match(email, '[^@\\s]+@[^@\\s]+\\.[^@\\s]+')
+  UNION ALL SELECT 'phone', phone, turn FROM numbered WHERE phone IS NOT NULL),
+since AS (SELECT field, value, min(turn) AS turn FROM held GROUP BY ALL),
+one AS (SELECT n.*, CASE WHEN NOT regexp_full_match(n.email, '[^@\\s]+@[^@\\s]+\\.[^@\\s]+') THEN 'invalid'
+    WHEN e.turn < n.turn THEN 'email' WHEN p.turn < n.turn THEN 'phone' ELSE 'ok' END AS answer1,
+  COALESCE(p.turn < n.turn, FALSE) AS phone_taken
+  FROM numbered n LEFT JOIN since e ON e.field = 'email' AND e.value = n.email
+  LEFT JOIN since p ON p.field = 'phone' AND p.value = n.phone),
+two AS (SELECT *, CASE answer1 WHEN 'ok' THEN NULL
+    WHEN 'invalid' THEN CASE WHEN phone IS NULL OR phone_taken THEN 'refused' ELSE 'ok' END
+    WHEN 'email' THEN CASE WHEN phone IS NULL THEN 'refused' WHEN phone_taken THEN 'phone' ELSE 'ok' END
+    ELSE CASE WHEN email IS NULL THEN 'refused' ELSE 'ok' END END AS answer2 FROM one),
+outcomes AS (SELECT *, CASE WHEN answer1 = 'ok' THEN 'created' WHEN answer2 <> 'ok' THEN 'error'
+    WHEN answer1 = 'phone' THEN 'created_no_phone' ELSE 'created_no_email' END AS action,
+  CASE WHEN answer1 = 'ok' THEN NULL WHEN answer1 = 'invalid' THEN 'invalid_email' WHEN answer2 = 'ok' THEN answer1
+    ELSE 'unresolved' END AS reason FROM two)
+"""
+    q["import_outcomes"] = attempts + """
+SELECT CAST(office AS BIGINT) AS office, fr_id, CASE WHEN answer1 NOT IN ('invalid', 'email') THEN email END AS email,
+  CASE WHEN answer1 <> 'phone' AND NOT (answer1 = 'email' AND phone_taken) THEN phone END AS phone,
+  array_to_string(tags || CASE answer1 WHEN 'invalid' THEN ['fr_invalid_email'] WHEN 'email' THEN
+    CASE WHEN phone_taken THEN ['fr_duplicate_email', 'fr_duplicate_phone'] ELSE ['fr_duplicate_email'] END
+    WHEN 'phone' THEN ['fr_duplicate_phone'] ELSE [] END, ',') AS tags, action, reason AS matched_on FROM outcomes"""
+    q["import_outcome_summary"] = attempts + f"""
+SELECT action, COUNT(*) AS customers FROM (SELECT action FROM outcomes UNION ALL {skipped}) GROUP BY 1"""
+    q["outcome_review_csv"] = attempts + """
+SELECT fr_id, trim(COALESCE(first_name, '') || ' ' || COALESCE(last_name, '')) AS name, COALESCE(email, '') AS email,
+  COALESCE(phone, '') AS phone, reason AS matched_on, CAST(office AS BIGINT) AS office FROM outcomes WHERE reason IS NOT NULL"""
     bad = "(d.email IS NOT NULL AND NOT regexp_matches(d.email, '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$'))"
     q["invalid_emails"] = rc + f""", {daily(1)}
 SELECT fr_id, CASE WHEN NOT {bad} THEN email END AS email, phone,
@@ -611,8 +689,19 @@ priced AS (SELECT *, CAST({cents} AS DOUBLE) / 100 AS old_price,
         "company_name": "'Your service team'"})
     q["increase_notices"] = cte("dim_subscriptions", "dim_customers") + ", " + eligible + f"""
 SELECT p.subscription_id, p.customer_id, c.email, {eff} AS effective_date, '{n['notification_method']}' AS method,
- '{n['email_subject']}' AS subject, {body} AS body
+ '{n['email_subject']}' AS subject, {body} AS body, CAST(NULL AS VARCHAR) AS tag
 FROM priced p LEFT JOIN dim_customers c ON p.customer_id = c.customer_id"""
+    q["increase_notices_office2"] = cte("dim_subscriptions", "dim_customers") + ", " + eligible + f"""
+SELECT p.subscription_id, p.customer_id, c.email, {eff} AS effective_date, 'crm_tag' AS method,
+ CAST(NULL AS VARCHAR) AS subject, CAST(NULL AS VARCHAR) AS body, 'FR_price_increase_pending' AS tag
+FROM priced p LEFT JOIN dim_customers c ON p.customer_id = c.customer_id WHERE p.office_id = 2"""
+    from fieldlake.registry_ops import CAMPAIGN_DAYS
+    days = ", ".join(f"TIMESTAMP '{d}'" for d in CAMPAIGN_DAYS)
+    q["campaign_runs"] = cte("dim_subscriptions", "dim_customers") + ", " + eligible + f""",
+turn AS (SELECT customer_id, (row_number() OVER (ORDER BY customer_id) - 1) // 50 + 1 AS run
+  FROM (SELECT DISTINCT customer_id FROM priced))
+SELECT CAST(run AS BIGINT) AS run, customer_id, p.subscription_id, p.old_price, p.new_price, [{days}][run] AS run_at
+FROM turn JOIN priced p USING (customer_id) WHERE run <= {len(CAMPAIGN_DAYS)}"""
     a = CFG["account_notation"]
     nv = {"old_price": "old_price", "new_price": "new_price", "date": f"CAST(DATE '{PRICE_AS_OF}' AS VARCHAR)",
           "days_before": f"'{n['days_before_increase']}'"}
@@ -643,6 +732,43 @@ UNION ALL SELECT t, 'created', 0 FROM (VALUES ('dim_employees'), ('dim_service_t
   SELECT * REPLACE (CASE WHEN {k} % 10 = 0 THEN 'changed' || customerID || '@x.com' ELSE email END AS email)
   FROM raw_customers)
 SELECT {CUSTOMER_COLS} FROM landed WHERE {not_orphan('officeID')} AND {not_orphan('customerID')}"""
+    changed = lambda key: f"CAST({key} AS BIGINT) % 10 = 0"
+    from fieldlake.sources.schemas import RAW_FIELDS
+    from fieldlake.sources.testdata import RAW_ENTITY
+    landed = []
+    for name, entity in RAW_ENTITY.items():
+        q.setdefault(name, cte(name) + f"SELECT * FROM {name}")
+        n = f"COALESCE(TRY_CAST({RAW_FIELDS[entity][0]} AS BIGINT), 1)"
+        landed += [f"""SELECT '{entity}' AS entity, '{what}' AS what, {field} AS field,
+  (SELECT COUNT(*) FROM {name} WHERE {where}) AS "lines\"""" for what, field, where in (
+            ("records", "NULL", f"{n} % 50 <> 0"), ("quarantined", "NULL", f"{n} % 50 = 0"),
+            ("unknown field", "'fromApp'", f"{n} % 20 = 3 AND {n} % 50 <> 0"))]
+    q["raw_quarantine"] = cte(*RAW_ENTITY) + 'SELECT * FROM (' + " UNION ALL ".join(landed) + """)
+WHERE "lines" > 0 OR what <> 'unknown field'"""
+    q["raw_tickets"] = cte("raw_tickets") + f"""SELECT t.*, CASE WHEN NOT ({TICKETS_WITHOUT_ITEMS.replace('o_orderkey', '(CAST(t.appointmentID AS BIGINT) - 1)')})
+  THEN (SELECT COUNT(*) FROM lineitem WHERE l_orderkey = CAST(t.appointmentID AS BIGINT) - 1) END AS items FROM raw_tickets t"""
+    q["stream_subscriptions"] = cte("raw_subscriptions") + f""", landed AS (
+  SELECT * REPLACE (CASE WHEN {changed('subscriptionID')} THEN '99.25' ELSE recurringCharge END AS recurringCharge)
+  FROM raw_subscriptions)
+SELECT {SUBSCRIPTION_COLS} FROM landed WHERE {not_orphan('officeID')} AND {not_orphan('customerID')}"""
+    q["stream_appointments"] = cte("raw_appointments") + f""", landed AS (
+  SELECT * REPLACE (
+    CASE WHEN {changed('appointmentID')} THEN CAST(CAST(date AS DATE) + 40 AS VARCHAR) ELSE date END AS date,
+    CASE WHEN {changed('appointmentID')} THEN '2030-01-02 09:00:00' ELSE dateUpdated END AS dateUpdated)
+  FROM raw_appointments),
+rt AS (SELECT CAST(NULL AS BIGINT) AS route_tech_id)
+SELECT {APPOINTMENT_COLS} FROM landed, rt WHERE {not_orphan('officeID')}"""
+    winners = cte("raw_tickets") + f""", landed AS (
+  SELECT * REPLACE (CASE WHEN {changed('appointmentID')} THEN '77.25' ELSE total END AS total,
+    CASE WHEN {changed('appointmentID')} THEN '2030-01-02 09:00:00' ELSE dateUpdated END AS dateUpdated)
+  FROM raw_tickets),
+won AS (SELECT * FROM landed WHERE {not_orphan('officeID')}
+  QUALIFY row_number() OVER (PARTITION BY officeID, ticketID ORDER BY dateUpdated DESC, appointmentID DESC) = 1)
+"""
+    q["stream_tickets"] = winners + f"SELECT {TICKET_COLS} FROM won"
+    q["stream_ticket_items"] = winners + f""", items AS ({_items_sql()})
+SELECT items.* FROM items JOIN won ON CAST(won.appointmentID AS BIGINT) - 1 = items.item_id // 10
+WHERE NOT ({changed('won.appointmentID')} AND items.item_id % 10 = 1)"""
     return q
 
 
@@ -652,6 +778,7 @@ def oracles() -> dict[str, str]:
     out.update(_conform())
     out.update(_load())
     out.update(_nightly())
+    out.update(_backfilled())
     out.update(_contacts())
     out.update(_quality_pricing())
     return out

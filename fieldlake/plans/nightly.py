@@ -1,12 +1,14 @@
 """The nightly sync of the star schema, composed of the load operators.
 
-Per office: appointments of the look-back window (with those that vanished
-from the search), the tickets of these appointments and their items, then the
-customers and subscriptions changed since. One office's failure leaves the
-others alone; its health row keeps the counts reached before the error.
-
-Tables are folders under one root: appointments by (office, month), the
-others by (office, range of ids), so a night reads and rewrites the folders
+Appointments of the look-back window (with those that vanished from the
+search), the tickets of these appointments and their items, then the customers
+and subscriptions changed since. Per entity, each office's records are fetched
+and conformed by themselves, side by side, and all of them are loaded in one
+commit; an office whose fetch fails is left out from then on, and its health
+row keeps the counts reached before.
+
+Tables are committed folders under one root: appointments by (office, month),
+the others by (office, range of ids), so a night reads and rewrites the folders
 it touches and no others.
 """
 
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 from fieldlake.functions.parse import to_date, to_int
 from fieldlake.operators import conform as C
 from fieldlake.operators import load as L
+from fieldlake.session import ensure_checkpoint_dir
 from fieldlake.sources import sinks
 from fieldlake.sources.schemas import STAR_SCHEMAS
 
@@ -33,102 +37,178 @@ DIMENSIONS = {"dim_service_types": ("serviceType", C.conform_service_types),
               "dim_employees": ("employee", C.conform_employees),
               "dim_products": ("product", C.conform_products)}
 
-# table -> its id column, for the tables partitioned by ranges of ids
-BY_ID = {"fact_tickets": "ticket_id", "fact_ticket_items": "ticket_id", "dim_customers": "customer_id",
-         "dim_subscriptions": "subscription_id"}
-
 
-def _of_office(raw: DataFrame, office: int) -> DataFrame:
+def of_office(raw: DataFrame, office: int) -> DataFrame:
     return raw.filter(to_int(F.col("officeID")) == office)
 
 
-def _load(spark: SparkSession, root: str, table: str, rows: DataFrame, ids: DataFrame, allow_empty=False) -> int:
-    path = f"{root}/{table}"
-    columns = [c for c in sinks.read_by_id(spark, path).columns if c not in sinks.ID_PARTITIONS]
-    return sinks.load_by_id(spark, path, rows.select(*columns, "office_id"), ids, BY_ID[table],
-                            allow_empty=allow_empty)
+class Run:
+    """The offices of one sync that still go on, with their counts and the
+    errors of the others."""
+
+    def __init__(self, spark: SparkSession, root: str, offices: Iterable[int]):
+        self.spark, self.root = spark, root
+        self.offices = sorted(offices)
+        self.active = list(self.offices)
+        self.counts = {o: dict.fromkeys(L.SYNC_ENTITIES, 0) for o in self.offices}
+        self.errors: dict[int, str] = {}
+        ensure_checkpoint_dir(spark)
+
+    def fail(self, offices: Iterable[int], error: Exception) -> None:
+        for o in offices:
+            self.errors.setdefault(o, str(error))
+        self.active = [o for o in self.active if o not in self.errors]
+
+    def staged(self, name: str, make: Callable[[int], DataFrame]) -> dict[int, DataFrame]:
+        """Each active office's rows, fetched and conformed once and side by
+        side, without offices that have none; counts them as ``name``."""
+        def one(office):
+            try:
+                rows = make(office).checkpoint(eager=True)
+                return rows, rows.count(), None
+            except Exception as e:  # the other offices go on; the health row says what failed
+                return None, 0, e
+
+        with ThreadPoolExecutor(max(1, len(self.active))) as pool:
+            done = dict(zip(self.active, pool.map(one, self.active), strict=True))
+        for office, (_, n, error) in done.items():
+            if error is not None:
+                self.fail([office], error)
+            self.counts[office][name] = n
+        return {o: rows for o, (rows, n, _) in done.items() if n}
+
+    def load(self, names: Iterable[str], write: Callable[[], object]) -> None:
+        """One load for all active offices; if it fails they all do, without
+        the counts of what did not get in."""
+        try:
+            write()
+        except Exception as e:
+            for o in self.active:
+                self.counts[o].update(dict.fromkeys(names, 0))
+            self.fail(list(self.active), e)
+
+
+def _union(frames: Iterable[DataFrame]) -> DataFrame:
+    out = None
+    for f in frames:
+        out = f if out is None else out.unionByName(f)
+    return out
 
 
-def sync_appointments(spark: SparkSession, fetch: Fetch, root: str, office: int, start, end, run_at) -> int:
+def _columns(rows: DataFrame, name: str) -> DataFrame:
+    return rows.select(*STAR_SCHEMAS[name].names)
+
+
+def sync_appointments(run: Run, fetch: Fetch, start, end, run_at) -> None:
     """The window as the search returns it now, and the stored appointments
     it no longer returns, fetched again by id."""
-    path = f"{root}/fact_appointments"
-    raw = _of_office(C.real_office(fetch("appointment", office)), office)
-    stored = sinks.read_fact(spark, path)
-    dated = to_date(F.col("date")).between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date"))
-    active = raw.filter(dated & ~F.coalesce(to_int(F.col("status")).isin(*INACTIVE), F.lit(False)))
-    found = active.select(to_int(F.col("officeID")).alias("office_id"),
-                          to_int(F.col("appointmentID")).alias("appointment_id"))
-    gone = L.vanished_ids(stored, found, office, start, end)
-    routes = L.route_tech(fetch("route", office), start, end, office)
-    rows = C.conform_appointments(active.unionByName(L.refetch(raw, gone)), run_at, routes)
-    columns = [c for c in stored.columns if c not in sinks.FACT_PARTITIONS]
-    return sinks.load_window(spark, path, rows.select(*columns, "office_id"), office, start, end,
-                             keys=["office_id", "appointment_id"])
-
-
-def sync_tickets(spark: SparkSession, fetch: Fetch, root: str, office: int, start, end, run_at) -> tuple[int, int]:
+    path = f"{run.root}/fact_appointments"
+    dates = [F.lit(str(x)).cast("date") for x in (start, end)]
+
+    def rows(office):
+        raw = of_office(C.real_office(fetch("appointment", office)), office)
+        stored = sinks.read_months(run.spark, path, [(office, m) for m in sinks._months(start, end)])
+        active = raw.filter(to_date(F.col("date")).between(*dates)
+                            & ~F.coalesce(to_int(F.col("status")).isin(*INACTIVE), F.lit(False)))
+        found = active.select(to_int(F.col("officeID")).alias("office_id"),
+                              to_int(F.col("appointmentID")).alias("appointment_id"))
+        gone = L.vanished_ids(stored, found, office, start, end)
+        routes = L.route_tech(fetch("route", office), start, end, office)
+        return _columns(C.conform_appointments(active.unionByName(L.refetch(raw, gone)), run_at, route_tech=routes),
+                        "fact_appointments")
+
+    staged = run.staged("appointments", rows)
+    if staged:
+        slots = [(o, m) for o in staged for m in sinks._months(start, end)]
+        dropped = F.col("office_id").isin(*staged) & F.col("scheduled_date").between(*dates)
+        run.load(["appointments"], lambda: sinks.replace_months(
+            run.spark, path, _union(staged.values()), slots, dropped, "appointment_id", staged=True))
+
+
+def ticket_columns(raw: DataFrame, run_at) -> DataFrame:
+    return _columns(C.conform_tickets(raw, run_at), "fact_tickets")
+
+
+def item_columns(raw: DataFrame, run_at) -> DataFrame:
+    return _columns(C.explode_ticket_items(raw, run_at), "fact_ticket_items")
+
+
+def sync_tickets(run: Run, fetch: Fetch, start, end, run_at) -> None:
     """The tickets of the window's appointments, by id, and their items.
     Items of every requested ticket are replaced, also those of a ticket that
     did not come back."""
-    ids = L.window_ticket_ids(sinks.read_fact(spark, f"{root}/fact_appointments"), office, start, end)
-    raw = L.refetch(_of_office(C.real_office(fetch("ticket", office)), office), ids, "ticketID", "ticket_id")
-    tickets = _load(spark, root, "fact_tickets", C.conform_tickets(raw, run_at), ids)
-    if not tickets:
-        return 0, 0
-    return tickets, _load(spark, root, "fact_ticket_items", C.explode_ticket_items(raw, run_at), ids, allow_empty=True)
+    months = sinks._months(start, end)
+    booked = sinks.read_months(run.spark, f"{run.root}/fact_appointments", [(o, m) for o in run.active for m in months])
+    ids = {o: L.window_ticket_ids(booked, o, start, end) for o in run.active}
+
+    def rows(office):
+        return L.refetch(of_office(C.real_office(fetch("ticket", office)), office), ids[office], "ticketID", "ticket_id")
+
+    staged = run.staged("tickets", rows)
+    if not staged:
+        return
+    raw, asked = _union(staged.values()), _union(ids[o] for o in staged)
+    tickets = ticket_columns(raw, run_at)
+    items = item_columns(raw, run_at).checkpoint(eager=True)
+    for r in items.groupBy("office_id").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per office
+        if r["office_id"] in run.counts:
+            run.counts[r["office_id"]]["ticket_items"] = r["n"]
+    run.load(["tickets", "ticket_items"], lambda: sinks.load_by_id(
+        run.spark, f"{run.root}/fact_tickets", tickets, asked, "ticket_id", staged=True))
+    if run.active:
+        run.load(["ticket_items"], lambda: sinks.load_by_id(
+            run.spark, f"{run.root}/fact_ticket_items", items, asked, "ticket_id", allow_empty=True, staged=True))
+
+
+def sync_changed(run: Run, fetch: Fetch, entity: str, name: str, conform: Callable, as_of, days: int, run_at) -> None:
+    """Records changed since ``as_of`` minus ``days`` days, replaced by id."""
+    table = f"dim_{name}"
+    key = sinks.BY_ID[table]
 
+    def rows(office):
+        raw = of_office(C.real_records(fetch(entity, office)), office)
+        return _columns(conform(L.changed_since(raw, as_of, days), run_at), table)
 
-def sync_changed(spark: SparkSession, fetch: Fetch, root: str, office: int, entity: str, table: str,
-                 conform: Callable, as_of, days: int, run_at) -> int:
-    """Records changed since ``as_of`` minus ``days`` days, replaced by id."""
-    raw = _of_office(C.real_records(fetch(entity, office)), office)
-    rows = conform(L.changed_since(raw, as_of, days), run_at)
-    return _load(spark, root, table, rows, rows.select("office_id", BY_ID[table]))
+    staged = run.staged(name, rows)
+    if staged:
+        new = _union(staged.values())
+        run.load([name], lambda: sinks.load_by_id(run.spark, f"{run.root}/{table}", new, new.select("office_id", key),
+                                                  key, staged=True))
 
 
 def refresh_dimensions(spark: SparkSession, fetch: Fetch, root: str, offices: Iterable[int], run_at) -> None:
     """Full replacement of the slow dimensions from all offices."""
     for table, (entity, conform) in DIMENSIONS.items():
-        raw = [_of_office(fetch(entity, o), o) for o in offices]
-        sinks.overwrite(L.refresh_dimension(raw, conform, run_at), f"{root}/{table}")
+        raw = [of_office(fetch(entity, o), o) for o in offices]
+        sinks.overwrite(_columns(L.refresh_dimension(raw, conform, run_at), table), f"{root}/{table}")
 
 
 def create_tables(tables: dict[str, DataFrame], root: str) -> None:
     """Write tables in the layout that the sync expects."""
     for name, rows in tables.items():
-        if name == "fact_appointments":
-            sinks.write_fact(rows, f"{root}/{name}")
-        elif name in BY_ID:
-            sinks.write_by_id(rows, f"{root}/{name}", BY_ID[name])
-        else:
-            sinks.overwrite(rows, f"{root}/{name}")
+        sinks.create(rows.select(*[c for c in STAR_SCHEMAS[name].names if c in rows.columns]), f"{root}/{name}", name)
 
 
 def nightly_sync(spark: SparkSession, fetch: Fetch, root: str, offices: Iterable[int], as_of, days: int,
                  run_at, full_dims: bool = False) -> DataFrame:
     """Sync every office and append a health row for each, also for one that
     failed; returns this run's health rows. ``full_dims`` forces the refresh of
-    the slow dimensions, which otherwise is due on Mondays."""
-    offices = sorted(offices)
+    the slow dimensions, which otherwise is due on Mondays; if it fails, the
+    rows of all offices say so and nothing else is loaded."""
+    run = Run(spark, root, offices)
     end = dt.date.fromisoformat(str(as_of)[:10])
     start = end - dt.timedelta(days=days)
     if L.is_refresh_day(end, full_dims):
-        refresh_dimensions(spark, fetch, root, offices, run_at)
-    health = []
-    for office in offices:
-        counts, error = dict.fromkeys(L.SYNC_ENTITIES, 0), None
-        try:
-            counts["appointments"] = sync_appointments(spark, fetch, root, office, start, end, run_at)
-            counts["tickets"], counts["ticket_items"] = sync_tickets(spark, fetch, root, office, start, end, run_at)
-            for name, entity, conform in (("customers", "customer", C.conform_customers),
-                                          ("subscriptions", "subscription", C.conform_subscriptions)):
-                counts[name] = sync_changed(spark, fetch, root, office, entity, f"dim_{name}", conform, as_of, days,
-                                            run_at)
-        except Exception as e:  # the other offices go on; the row says what failed
-            error = str(e)
-        health.append((str(run_at), office, "Residential" if office == 1 else "Commercial",
-                       "error" if error else "success", error, days, *[counts[e] for e in L.SYNC_ENTITIES]))
+        run.load([], lambda: refresh_dimensions(spark, fetch, root, run.offices, run_at))
+    for step in (lambda: sync_appointments(run, fetch, start, end, run_at),
+                 lambda: sync_tickets(run, fetch, start, end, run_at),
+                 lambda: sync_changed(run, fetch, "customer", "customers", C.conform_customers, as_of, days, run_at),
+                 lambda: sync_changed(run, fetch, "subscription", "subscriptions", C.conform_subscriptions, as_of, days,
+                                      run_at)):
+        if run.active:
+            run.load([], step)
+    health = [(str(run_at), o, "Residential" if o == 1 else "Commercial", "error" if o in run.errors else "success",
+               run.errors.get(o), days, *[run.counts[o][e] for e in L.SYNC_ENTITIES]) for o in run.offices]
     schema = STAR_SCHEMAS["sync_health"]
     kinds = ", ".join(f"{f.name} {'string' if f.name == 'run_at' else f.dataType.simpleString()}" for f in schema)
     rows = spark.createDataFrame(health, kinds).withColumn("run_at", F.col("run_at").cast("timestamp"))

@@ -16,7 +16,7 @@ shuffled on their key with rows that cannot match dropped first.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldlake.functions.codes import (
@@ -24,7 +24,7 @@ from fieldlake.functions.codes import (
     customer_display_name, office_name, person_name, production_value,
 )
 from fieldlake.functions.exact import (
-    div_half_up, from_units, money_avg, money_sum, ratio_pct, rounded_units, sum_exact, sum_units, units,
+    PLACES, from_units, money_avg, money_sum, parts, ratio, ratio_pct, rounded_units, sum_exact,
 )
 
 
@@ -172,20 +172,16 @@ def tech_hourly_rate(appointments: DataFrame, tickets: DataFrame, employees: Dat
     prod = production_value(F.col("tk_production"), F.col("tk_total"))
     g = (_tech_frame(df).groupBy(*_TECH_KEYS)
          .agg(F.count(F.lit(1)).alias("jobs_with_time"),
-              F.count("duration_actual_min").alias("_n_dur"),
-              sum_units(F.col("duration_actual_min")).alias("_dur"),   # minutes x 100
-              sum_units(prod).alias("_prod"),
-              sum_units(F.col("tk_total")).alias("_rev")))
-    dur = F.col("_dur")
-    per_hour = lambda cents: F.when(dur > 0, from_units(div_half_up(cents * 6000, dur)))
+              sum_exact(F.col("duration_actual_min")).alias("_dur"),
+              money_avg(F.col("duration_actual_min"), 1).alias("avg_minutes_per_job"),
+              sum_exact(prod).alias("_prod"), money_sum(prod).alias("total_production"),
+              sum_exact(F.col("tk_total")).alias("_rev"), money_sum(F.col("tk_total")).alias("total_revenue")))
+    minutes = parts(F.col("_dur"))
+    per_hour = lambda total: ratio(parts(total) * 60, minutes)
     return g.select(
-        *_TECH_KEYS, "jobs_with_time",
-        from_units(div_half_up(dur, F.lit(60))).alias("total_hours_on_site"),
-        from_units(F.col("_prod")).alias("total_production"),
-        from_units(F.col("_rev")).alias("total_revenue"),
-        (div_half_up(dur, F.col("_n_dur") * 10).cast("double") / 10).alias("avg_minutes_per_job"),
-        per_hour(F.col("_prod")).alias("production_per_hour"),
-        per_hour(F.col("_rev")).alias("revenue_per_hour"))
+        *_TECH_KEYS, "jobs_with_time", ratio(minutes, F.lit(60 * 10 ** PLACES)).alias("total_hours_on_site"),
+        "total_production", "total_revenue", "avg_minutes_per_job",
+        per_hour(F.col("_prod")).alias("production_per_hour"), per_hour(F.col("_rev")).alias("revenue_per_hour"))
 
 
 def reservice_rates(appointments: DataFrame, employees: DataFrame,
@@ -236,46 +232,52 @@ def _day_number(d: Column) -> Column:
     return F.datediff(d, F.lit("1970-01-01").cast("date"))
 
 
-def _followup_counts(inspection_keys: DataFrame, followups: DataFrame, days: int) -> DataFrame:
-    """For each distinct (customer_id, inspection_date): number of distinct
-    follow-up dates f with inspection_date < f <= inspection_date + days.
-
-    A range join on customer_id alone compares every inspection with every
-    follow-up of that customer, which explodes on a hot customer. Both sides
-    are keyed by (customer_id, 30-day bucket) instead: each inspection is
-    replicated to the few buckets its window touches, follow-ups are distinct
-    per (customer, date), so a join key holds at most 30 follow-up rows and
-    the residual date predicate runs on bounded pairs.
-    """
-    dn = _day_number(F.col("inspection_date"))
-    keys = inspection_keys.withColumn("bucket", F.explode(F.sequence(
-        F.floor((dn + 1) / _BUCKET_DAYS), F.floor((dn + days) / _BUCKET_DAYS))))
-    fu = followups.select(F.col("customer_id").alias("f_customer_id"),
-                          F.col("scheduled_date").alias("f_date"),
-                          F.floor(_day_number(F.col("scheduled_date")) / _BUCKET_DAYS).alias("f_bucket"))
-    cond = ((keys["customer_id"] == fu["f_customer_id"]) & (keys["bucket"] == fu["f_bucket"])
-            & (fu["f_date"] > keys["inspection_date"])
-            & (fu["f_date"] <= F.date_add(keys["inspection_date"], days)))
-    return (keys.join(fu, cond, "inner")
-            .groupBy("customer_id", "inspection_date").agg(F.count(F.lit(1)).alias("followups")))
-
-
-def _inspections_and_followups(appointments: DataFrame, service_types: DataFrame):
+def _marks(appointments: DataFrame, service_types: DataFrame, days: int) -> DataFrame:
+    """One scan: completed inspections, once for each 30-day bucket that their
+    window (the ``days`` days after them) touches, and regular services as one
+    bit a day in their own bucket, combined map-side."""
     st = dedup_service_types(service_types).select(
         F.col("type_id").alias("st_id"), F.col("description").alias("st_description"),
         F.col("is_inspection").alias("st_insp"), F.col("reservice").alias("st_res"),
         F.col("regular_service").alias("st_reg"))
     a = appointments.filter(F.col("status") == STATUS_COMPLETE)
     a = a.join(st, a["service_type_id"] == st["st_id"], "inner")
-    inspections = (a.filter(F.col("st_insp") == F.lit(True))
-                   .groupBy("customer_id", "office_id",
-                            F.col("scheduled_date").alias("inspection_date"),
-                            F.col("st_description").alias("inspection_type"))
-                   .agg(F.count(F.lit(1)).alias("n")))
-    followups = (a.filter((F.col("st_insp") == F.lit(False)) & (F.col("st_res") == F.lit(False))
-                          & (F.col("st_reg") == F.lit(True)))
-                 .select("customer_id", "scheduled_date").distinct())
-    return inspections, followups
+    day, date = _day_number(F.col("scheduled_date")), F.col("scheduled_date")
+    inspection = F.coalesce(F.col("st_insp"), F.lit(False))
+    followup = ((F.col("st_insp") == F.lit(False)) & (F.col("st_res") == F.lit(False)) & (F.col("st_reg") == F.lit(True))
+                & F.col("customer_id").isNotNull() & date.isNotNull())
+    touched = F.sequence(F.floor((day + 1) / _BUCKET_DAYS), F.floor((day + days) / _BUCKET_DAYS))
+    no_bucket = F.array(F.lit(None).cast("long"))  # of an undated inspection
+    buckets = F.when(inspection, F.coalesce(touched, no_bucket)).when(followup, F.array(F.floor(day / _BUCKET_DAYS)))
+    bit = F.when(followup, F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(day, F.lit(_BUCKET_DAYS))))
+    own = lambda c: F.when(inspection, c)
+    return (a.select("customer_id", F.explode(buckets).alias("bucket"), inspection.alias("inspection"),
+                     own(F.col("office_id")).alias("office_id"), own(F.col("st_description")).alias("inspection_type"),
+                     own(date).alias("inspection_date"), bit.alias("bit"))
+            .groupBy("customer_id", "bucket", "inspection", "office_id", "inspection_type", "inspection_date")
+            .agg(F.count(F.lit(1)).alias("n"), F.bit_or("bit").alias("bits")))
+
+
+def _inspections(appointments: DataFrame, service_types: DataFrame, days: int) -> DataFrame:
+    """Inspections per customer, office, date and type (``n``) with the number of
+    distinct days of a regular service in the ``days`` days after them.
+
+    A join of inspections and services on the customer would compare every pair
+    of them. Here both meet by (customer, 30-day bucket), where the services are
+    one word of bits, so a bucket of a hot customer holds a row per date, office
+    and type, and no pairs are made.
+    """
+    day, at = _day_number(F.col("inspection_date")), F.col("bucket") * _BUCKET_DAYS
+    first = F.greatest(day + 1, at) - at
+    last = F.least(day + days, at + _BUCKET_DAYS - 1) - at
+    one = F.lit(1).cast("long")
+    shift = lambda x, by: F.call_function("shiftleft", x, by.cast("int"))
+    window = shift(shift(one, last - first + 1) - 1, first)
+    seen = F.bit_or("bits").over(Window.partitionBy("customer_id", "bucket"))
+    marks = _marks(appointments, service_types, days).withColumn("bits", seen).filter("inspection")
+    hits = F.coalesce(F.bit_count(F.col("bits").bitwiseAND(window)), F.lit(0))
+    return (marks.groupBy("customer_id", "office_id", "inspection_type", "inspection_date")
+            .agg(F.max("n").alias("n"), F.sum(hits).alias("followups")))
 
 
 def inspection_conversion(appointments: DataFrame, service_types: DataFrame, days: int = 90,
@@ -287,15 +289,12 @@ def inspection_conversion(appointments: DataFrame, service_types: DataFrame, day
     follow-up dates counts k times in both totals. ``distinct=True`` counts
     each inspection once.
     """
-    inspections, followups = _inspections_and_followups(appointments, service_types)
-    keys = inspections.select("customer_id", "inspection_date").distinct()
-    k = _followup_counts(keys, followups, days)
-    j = inspections.join(k, ["customer_id", "inspection_date"], "left")
-    kk = F.coalesce(F.col("followups"), F.lit(0))
+    j = _inspections(appointments, service_types, days)
+    n, k = F.col("n"), F.col("followups")
     if distinct:
-        total, conv = F.col("n"), F.when(kk > 0, F.col("n")).otherwise(0)
+        total, conv = n, F.when(k > 0, n).otherwise(0)
     else:
-        total, conv = F.col("n") * F.greatest(kk, F.lit(1)), F.col("n") * kk
+        total, conv = n * F.greatest(k, F.lit(1)), n * k
     g = (j.groupBy(_month(F.col("inspection_date")).alias("month"), "office_id", "inspection_type")
          .agg(F.sum(total).alias("total_inspections"), F.sum(conv).alias("converted")))
     return g.select("month", "office_id", office_name(F.col("office_id")).alias("office_name"),

@@ -28,7 +28,7 @@ def _no_stamp(df: DataFrame) -> DataFrame:
 
 def conformed_appointments(s: SparkSession, sf: str) -> DataFrame:
     rt = L.route_tech(load(s, sf, "raw_routes"), *ALL_DATES)
-    return C.conform_appointments(C.real_office(load(s, sf, "raw_appointments")), RUN_AT, rt)
+    return C.conform_appointments(C.real_office(load(s, sf, "raw_appointments")), RUN_AT, route_tech=rt)
 
 
 def window_incoming(s: SparkSession, sf: str) -> DataFrame:
@@ -66,22 +66,41 @@ def _conform_queries() -> dict:
 def _health(s: SparkSession, summary: DataFrame) -> DataFrame:
     path = scratch_path(s, "health")
     sinks.write_health(summary, path)
-    return s.read.parquet(path)
+    return sinks.read(s, path)
+
+
+def _fetch(s: SparkSession, sf: str):
+    """What a search of the source returns: an office's records of an entity."""
+    from fieldlake.sources.testdata import RAW_ENTITY
+    tables = {e: n for n, e in RAW_ENTITY.items()} | {"ticket": "raw_tickets_nested"}
+    return lambda entity, office: load(s, sf, tables[entity]).filter(F.col("officeID") == str(office))
+
+
+BACKFILL_SLOTS = 64  # office-months of one job
+
+
+def _backfilled(s: SparkSession, sf: str) -> str:
+    """The tables after a history load that was stopped after its first job
+    and run again."""
+    from fieldlake.plans.backfill import backfill_run
+    root = scratch_path(s, "backfill")
+    for jobs in (1, None):
+        backfill_run(s, _fetch(s, sf), root, CALENDAR_AS_OF, RUN_AT, slots_per_job=BACKFILL_SLOTS, most_jobs=jobs)
+    return root
 
 
 def _nightly(s: SparkSession, sf: str) -> str:
     """The tables after one night, started from the star schema."""
     from fieldlake.plans import nightly
-    from fieldlake.sources.testdata import RAW_ENTITY
     root = scratch_path(s, "nightly")
-    tables = {e: n for n, e in RAW_ENTITY.items()} | {"ticket": "raw_tickets_nested"}
+    found = _fetch(s, sf)
 
     def fetch(entity, office):
         if entity == "subscription" and office == 3:
             raise RuntimeError("subscription search failed")
-        return load(s, sf, tables[entity]).filter(F.col("officeID") == str(office))
+        return found(entity, office)
 
-    nightly.create_tables({n: load(s, sf, n) for n in ("fact_appointments", *nightly.BY_ID)}, root)
+    nightly.create_tables({n: load(s, sf, n) for n in ("fact_appointments", *sinks.BY_ID)}, root)
     as_of, days = NIGHTLY
     nightly.nightly_sync(s, fetch, root, NIGHTLY_OFFICES, as_of, days, RUN_AT, full_dims=True)
     return root
@@ -101,7 +120,7 @@ def _nightly_tables(s: SparkSession, root: str) -> DataFrame:
         "dim_products": ("product_id", "NULL", "CAST(taxable AS BIGINT)", "unit_cost", "NULL")}
     out = None
     for name, (i, other, n, amount, date) in shapes.items():
-        part = s.read.parquet(f"{root}/{name}").selectExpr(
+        part = sinks.read(s, f"{root}/{name}").selectExpr(
             f"'{name}' AS table_name", "CAST(office_id AS BIGINT) AS office_id", f"{i} AS id",
             f"CAST({other} AS BIGINT) AS other_id", f"CAST({n} AS BIGINT) AS number",
             f"CAST({amount} AS DOUBLE) AS amount", f"CAST({date} AS DATE) AS day")
@@ -180,13 +199,19 @@ def _load_queries() -> dict:
     q["load_window"] = _load_window
 
     q["nightly_sync"] = lambda s, sf: _nightly_tables(s, _nightly(s, sf))
-    q["nightly_health"] = lambda s, sf: s.read.parquet(f"{_nightly(s, sf)}/sync_health")
+    q["nightly_health"] = lambda s, sf: sinks.read(s, f"{_nightly(s, sf)}/sync_health")
+
+    def _backfill_ledger(s, sf):
+        from fieldlake.plans.backfill import ledger
+        return ledger(s, _backfilled(s, sf))
+    q["backfill_run"] = lambda s, sf: _nightly_tables(s, _backfilled(s, sf))
+    q["backfill_ledger"] = _backfill_ledger
 
     def _pending(s, sf):
         fetched = load(s, sf, "fact_appointments").filter(F.col("scheduled_date") < LEDGER_BEFORE)
         ledger = scratch_path(s, "ledger")
         sinks.append(L.loaded_months(fetched), ledger)
-        return L.backfill_pending(L.backfill_calendar(s, CALENDAR_AS_OF), s.read.parquet(ledger))
+        return L.backfill_pending(L.backfill_calendar(s, CALENDAR_AS_OF), sinks.read(s, ledger))
     q["backfill_pending"] = _pending
 
     q["backfill_progress"] = lambda s, sf: L.backfill_progress(
@@ -204,6 +229,12 @@ def done_imports(s: SparkSession, sf: str) -> DataFrame:
             .select(F.col("customerID").alias("fr_id")))
 
 
+def malformed_emails(raw: DataFrame) -> DataFrame:
+    """The customers with every thirteenth email written badly."""
+    odd = F.col("customerID").cast("long") % 13 == 0
+    return raw.withColumn("email", F.when(odd, F.lit("not an address")).otherwise(F.col("email")))
+
+
 def _txt(c: str) -> F.Column:
     return F.array_join(F.col(c), ",").alias(c)
 
@@ -282,6 +313,22 @@ def _contact_queries() -> dict:
         load(s, sf, "raw_customers"), None, crm_existing(s, sf), done_imports(s, sf), dry_run=False))
     q["import_summary_dry_run"] = lambda s, sf: G.import_summary(G.import_plan(
         load(s, sf, "raw_customers"), None, crm_existing(s, sf), done_imports(s, sf), dry_run=True))
+
+    def _outcomes(s, sf):
+        contacts = G.import_pending(G.contacts_import(malformed_emails(load(s, sf, "raw_customers"))), done_imports(s, sf))
+        return G.import_outcomes(G.contactable(contacts), crm_existing(s, sf), accepts_bare=False)
+    q["import_outcomes"] = lambda s, sf: _outcomes(s, sf).select(
+        "office", "fr_id", "email", "phone", _txt("tags"), "action", "matched_on")
+    q["import_outcome_summary"] = lambda s, sf: G.import_summary(G.import_plan(
+        malformed_emails(load(s, sf, "raw_customers")), None, crm_existing(s, sf), done_imports(s, sf), dry_run=False,
+        accepts_bare=False))
+
+    def _outcome_review(s, sf):
+        path = scratch_path(s, "review")
+        sinks.write_review(G.duplicate_review(_outcomes(s, sf)), path)
+        return s.read.option("header", True).schema(
+            "fr_id string, name string, email string, phone string, matched_on string, office long").csv(path).na.fill("")
+    q["outcome_review_csv"] = _outcome_review
     q["invalid_emails"] = lambda s, sf: G.flag_invalid_emails(
         G.contacts_daily(load(s, sf, "raw_customers")).filter("real")).select(
         "fr_id", "email", "phone", _txt("tags"), "invalid_action")
@@ -290,6 +337,7 @@ def _contact_queries() -> dict:
 
 EXPECTED_CUSTOMERS = {1: 1000, 2: 250, 3: 20}
 PRICE_AS_OF = "2001-06-01"
+CAMPAIGN_DAYS = ("2001-06-01 08:00:00", "2001-06-02 08:00:00", "2001-06-03 08:00:00")
 
 
 def increase_history(s: SparkSession, sf: str) -> DataFrame:
@@ -333,6 +381,17 @@ def _quality_pricing_queries() -> dict:
         "subscription_id", "old_price", "new_price")
     q["increase_notices"] = lambda s, sf: P.increase_notices(
         P.increase_prices(_eligible(s, sf), cfg), load(s, sf, "dim_customers"), cfg, PRICE_AS_OF)
+    tagged = P.config({"notification": {"notification_method": "crm_tag"}})
+    q["increase_notices_office2"] = lambda s, sf: P.increase_notices(
+        P.increase_prices(_eligible(s, sf).filter("office_id = 2"), tagged), load(s, sf, "dim_customers"), tagged, PRICE_AS_OF)
+
+    def _campaign(s, sf):
+        path = scratch_path(s, "campaign")
+        live = P.config({"safety": {"dry_run": False}})
+        for day in CAMPAIGN_DAYS:
+            P.campaign_run(P.increase_prices(_eligible(s, sf), live), live, path, day)
+        return sinks.read(s, path)
+    q["campaign_runs"] = _campaign
     q["increase_notes"] = lambda s, sf: P.increase_notes(P.increase_prices(_eligible(s, sf), cfg), cfg,
                                                          PRICE_AS_OF)
     q["increase_plan"] = lambda s, sf: P.increase_plan(P.increase_prices(_eligible(s, sf), cfg), cfg).select(
@@ -356,12 +415,57 @@ def stream_landing(s: SparkSession, sf: str, landing: str) -> None:
     older.unionByName(newer).write.mode("append").json(landing)
 
 
+def messy_lines(raw: DataFrame, key: str) -> DataFrame:
+    """Records as JSON lines, of which some are cut short (ids that 50 divides)
+    and some hold a field that is not declared (3 mod 20)."""
+    n = F.coalesce(F.col(key).try_cast("long"), F.lit(1))
+    line = F.to_json(F.struct(*raw.columns))
+    more = F.concat(F.lit('{"fromApp":"x",'), F.substr(line, F.lit(2)))
+    return raw.select(F.when(n % 50 == 0, F.substr(line, F.lit(1), F.length(line) - 4))
+                      .when(n % 20 == 3, more).otherwise(line).alias("value"))
+
+
+STREAMED = {  # entity -> (fixture, id field, what a later change file says, what a late one does)
+    "subscription": ("raw_subscriptions", "subscriptionID", {"recurringCharge": "'99.25'"}, "serviceType"),
+    "appointment": ("raw_appointments", "appointmentID", {"date": "CAST(date_add(date, 40) AS STRING)"}, "customerID"),
+    "ticket": ("raw_tickets_nested", "appointmentID", {
+        "total": "'77.25'", "items": "filter(items, x -> NOT endswith(x.itemID, '1'))"}, "customerID"),
+}
+CHANGED_STAMPS = ("2030-01-01 09:00:00", "2030-01-02 09:00:00")  # of the two changes to every tenth record
+LATE_STAMP = "1990-01-01 09:00:00"
+
+
+def change_files(s: SparkSession, sf: str, entity: str) -> list[DataFrame]:
+    """Three landings: all records; two later changes to every tenth one, of
+    which the second wins; and a late file of every seventh one, which loses."""
+    name, key, changes, lost = STREAMED[entity]
+    raw = load(s, sf, name)
+    number = F.col(key).cast("long")
+    changed = raw.filter(number % 10 == 0)
+    newer = changed.withColumns({c: F.expr(e) for c, e in changes.items()}).withColumn("dateUpdated", F.lit(CHANGED_STAMPS[1]))
+    older = changed.withColumn("dateUpdated", F.lit(CHANGED_STAMPS[0]))
+    late = raw.filter(number % 7 == 0).withColumn(lost, F.lit("1")).withColumn("dateUpdated", F.lit(LATE_STAMP))
+    return [raw, older.unionByName(newer), late]
+
+
+def streamed(s: SparkSession, sf: str, entity: str) -> str:
+    """The table after the stream has read the landings one by one, stopped
+    and started again between them."""
+    from fieldlake.streaming.upsert import start_upsert_stream
+    landing, table, ckpt = (scratch_path(s, f"{n}-{entity}") for n in ("landing", "table", "ckpt"))
+    for rows in change_files(s, sf, entity):
+        rows.write.mode("append").json(landing)
+        start_upsert_stream(s, landing, table, entity, ckpt, RUN_AT).awaitTermination()
+    return table
+
+
 def _source_stream_queries() -> dict:
     from fieldlake.operators.load import refresh_dimension
     from fieldlake.plans.catalog import register_views, view_rows
-    from fieldlake.sources.raw import read_raw
-    from fieldlake.sources.testdata import AS_OF_AGING, AS_OF_ROUTES, star
-    from fieldlake.streaming.upsert import start_upsert_stream
+    from fieldlake.sources.raw import land, read_raw
+    from fieldlake.sources.schemas import RAW_FIELDS
+    from fieldlake.sources.testdata import AS_OF_AGING, AS_OF_ROUTES, RAW_ENTITY, star
+    from fieldlake.streaming.upsert import items_path, start_upsert_stream
     q = {}
 
     def _raw(s, sf):
@@ -370,6 +474,27 @@ def _source_stream_queries() -> dict:
         return read_raw(s, "subscription", path)
     q["raw_subscriptions"] = _raw
 
+    def _landed(entity, name):
+        def run(s, sf):
+            path = scratch_path(s, f"landing-{entity}")
+            load(s, sf, name).write.json(path)
+            rows = read_raw(s, entity, path)
+            return rows if entity != "ticket" else rows.withColumn(
+                "items", F.when(F.col("items").isNotNull(), F.size("items")).cast("long"))
+        return run
+    for name, entity in RAW_ENTITY.items():
+        q.setdefault(name, _landed(entity, "raw_tickets_nested" if entity == "ticket" else name))
+
+    def _quarantine(s, sf):
+        report = None
+        for name, entity in RAW_ENTITY.items():
+            path, root = (scratch_path(s, f"{n}-{entity}") for n in ("messy", "landed"))
+            messy_lines(load(s, sf, name), RAW_FIELDS[entity][0]).write.text(path)
+            part = land(s, entity, path, root)
+            report = part if report is None else report.unionByName(part)
+        return report
+    q["raw_quarantine"] = _quarantine
+
     def _dim(name, conform):
         def run(s, sf):
             path = scratch_path(s, "dim")
@@ -378,7 +503,7 @@ def _source_stream_queries() -> dict:
             per_office = [raw.filter(first), raw.filter(~first)]  # as fetched: one office, then the rest
             sinks.overwrite(refresh_dimension(per_office, conform, RUN_AT), path)
             sinks.overwrite(raw.limit(0), path)  # an empty refresh keeps the table
-            return s.read.parquet(path).drop("loaded_at")
+            return sinks.read(s, path).drop("loaded_at")
         return run
     q["dim_overwrite"] = _dim("raw_service_types", C.conform_service_types)
     q["dim_overwrite_employees"] = _dim("raw_employees", C.conform_employees)
@@ -390,17 +515,17 @@ def _source_stream_queries() -> dict:
         sinks.append(products.filter("product_id % 2 = 0"), path)
         sinks.append(products.filter("product_id % 2 <> 0"), path)
         sinks.append(products.filter("taxable"), path)
-        return s.read.parquet(path)
+        return sinks.read(s, path)
     q["appended_table"] = _appended
 
     def _created(s, sf):
         root = scratch_path(s, "tables")
         for name in ("dim_products", "dim_customers"):
-            load(s, sf, name).write.parquet(f"{root}/{name}")
+            sinks.create(load(s, sf, name), f"{root}/{name}", name)
         report = sinks.ensure_tables(s, root)
         counts = None
         for name, _ in report.collect():
-            n = s.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("rows")).select(
+            n = sinks.read(s, f"{root}/{name}").agg(F.count(F.lit(1)).alias("rows")).select(
                 F.lit(name).alias("table"), "rows")
             counts = n if counts is None else counts.unionByName(n)
         return report.join(counts, ["table"])
@@ -412,8 +537,16 @@ def _source_stream_queries() -> dict:
         landing, table, ckpt = (scratch_path(s, n) for n in ("stream-landing", "stream-table", "stream-ckpt"))
         stream_landing(s, sf, landing)
         start_upsert_stream(s, landing, table, "customer", ckpt, RUN_AT).awaitTermination()
-        return s.read.parquet(table).drop("loaded_at", "changed_at")
+        return sinks.read(s, table).drop("loaded_at", "changed_at", "id_range")
     q["stream_upsert"] = _stream
+    q["stream_subscriptions"] = lambda s, sf: sinks.read(s, streamed(s, sf, "subscription")).drop(
+        "loaded_at", "changed_at", "id_range")
+    q["stream_appointments"] = lambda s, sf: sinks.read(s, streamed(s, sf, "appointment")).drop(
+        "loaded_at", "changed_at", "month")
+    q["stream_tickets"] = lambda s, sf: sinks.read(s, streamed(s, sf, "ticket")).drop(
+        "loaded_at", "changed_at", "id_range")
+    q["stream_ticket_items"] = lambda s, sf: sinks.read(s, items_path(streamed(s, sf, "ticket"))).drop(
+        "loaded_at", "id_range")
     return q
 
 

@@ -60,14 +60,6 @@ STAR_SCHEMAS: dict[str, StructType] = {
         "subscriptions_synced:L", None),
 }
 
-# Partition columns of the facts on disk: one office's month is one folder,
-# so window loads rewrite only the folders they touch.
-PARTITION_COLUMNS: dict[str, tuple[str, ...]] = {
-    "fact_appointments": ("office_id", "month"),
-    "fact_tickets": ("office_id", "month"),
-    "fact_ticket_items": ("office_id",),
-}
-
 # Raw field names per entity, as the source API names them. Every value is
 # landed as a string; nothing is inferred.
 RAW_FIELDS: dict[str, tuple[str, ...]] = {

@@ -16,6 +16,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+def _finer(amount: str, key: str, steps: int, places: int = 4) -> str:
+    """An amount with more decimal places than cents, so that rounding a value
+    before the sum, or a sum before the average, shows."""
+    return f"{amount} + CAST({key} % {steps} AS DOUBLE) / {10 ** places}"
+
+
 OFFICE_OF = "CASE WHEN {k} % 89 = 5 THEN 3 WHEN {k} % 6 = 0 THEN 2 ELSE 1 END"
 
 
@@ -99,7 +105,7 @@ DIM_SUBSCRIPTIONS = Fixture("dim_subscriptions", "orders", (
     ("service_type_id", "o_orderkey % 25 + 1", "BIGINT"),
     ("service_type", "'Service ' || n_name", "STRING"),
     ("recurring_charge", "CASE WHEN o_orderkey % 11 = 0 THEN 0 "
-                         "ELSE 25 + o_orderkey % 200 + CAST(0.5 AS DOUBLE) END", "DOUBLE"),
+                         "ELSE " + _finer("25 + o_orderkey % 200 + CAST(0.5 AS DOUBLE)", "o_orderkey", 7, 3) + " END", "DOUBLE"),
     ("date_added", "CAST(o_orderdate AS DATE)", "DATE"),
     ("active", "o_orderkey % 4 <> 0 AND o_orderkey % 3 = 0", "BOOLEAN"),
 ), join=("nation", "n_nationkey = o_orderkey % 25"))
@@ -118,7 +124,7 @@ FACT_APPOINTMENTS = Fixture("fact_appointments", "orders", (
     ("scheduled_date", "CAST(o_orderdate AS DATE)", "DATE"),
     ("duration_scheduled_min", "30 + (o_orderkey % 4) * 15", "BIGINT"),
     ("duration_actual_min", "CASE WHEN o_orderkey % 3 = 0 THEN NULL "
-                            "ELSE o_orderkey % 640 + CAST(0.25 AS DOUBLE) END", "DOUBLE"),
+                            "ELSE " + _finer("o_orderkey % 640", "o_orderkey", 997, 3) + " END", "DOUBLE"),
     ("status", "CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 ELSE "
                "CASE WHEN o_orderkey % 4 = 0 THEN -1 WHEN o_orderkey % 4 = 1 THEN -2 ELSE 1 END END",
      "BIGINT"),
@@ -131,11 +137,11 @@ FACT_TICKETS = Fixture("fact_tickets", "orders", (
     ("customer_id", "o_custkey + 1", "BIGINT"),
     ("office_id", _office("o_custkey"), "BIGINT"),
     ("invoice_date", "CASE WHEN o_orderkey % 53 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END", "DATE"),
-    ("total", "CASE WHEN o_orderkey % 17 = 0 THEN 0 ELSE o_totalprice END", "DOUBLE"),
-    ("balance", "CASE WHEN o_orderstatus = 'O' THEN o_totalprice "
-                "WHEN o_orderkey % 19 = 0 THEN CAST(0.01 AS DOUBLE) ELSE 0 END", "DOUBLE"),
+    ("total", "CASE WHEN o_orderkey % 17 = 0 THEN 0 ELSE " + _finer("o_totalprice", "o_orderkey", 89) + " END", "DOUBLE"),
+    ("balance", "CASE WHEN o_orderstatus = 'O' THEN " + _finer("o_totalprice", "o_orderkey", 83) +
+                " WHEN o_orderkey % 19 = 0 THEN CAST(0.01 AS DOUBLE) ELSE 0 END", "DOUBLE"),
     ("production_value", "CASE WHEN o_orderkey % 13 = 0 THEN -1 WHEN o_orderkey % 29 = 0 THEN NULL "
-                         "ELSE o_totalprice END", "DOUBLE"),
+                         "ELSE " + _finer("o_totalprice", "o_orderkey", 97) + " END", "DOUBLE"),
     ("active", "o_orderkey % 23 <> 0", "BOOLEAN"),
 ))
 
@@ -143,8 +149,8 @@ FACT_TICKET_ITEMS = Fixture("fact_ticket_items", "lineitem", (
     ("item_id", "l_orderkey * 10 + l_linenumber", "BIGINT"),
     ("ticket_id", "l_orderkey + 1", "BIGINT"),
     ("office_id", _office("o_custkey"), "BIGINT"),
-    ("quantity", "l_quantity", "DOUBLE"),
-    ("amount", "l_extendedprice", "DOUBLE"),
+    ("quantity", _finer("l_quantity", "l_orderkey", 13), "DOUBLE"),
+    ("amount", _finer("l_extendedprice", "l_orderkey", 79), "DOUBLE"),
     ("product_id", "CASE WHEN l_linenumber = 7 THEN 0 ELSE l_partkey + 1 END", "BIGINT"),
 ), join=("orders", "o_orderkey = l_orderkey"))
 

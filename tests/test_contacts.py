@@ -79,3 +79,99 @@ def test_upsert_finds_earlier_contacts_of_the_batch(spark):
                    "-1": ("skipped_orphaned", None, None, mine)}
     two = {r["fr_id"]: (r["action"], r["tags"]) for r in G.upsert_plan(raw, subs, crm, office=2).collect()}
     assert two["13"] == ("created", ["fr_office2", "fr_active", "fr_residential"]) and set(two) == {"13", "-1"}
+
+
+class Crm:
+    """A CRM that answers one attempt after the other."""
+
+    def __init__(self, emails, phones, accepts_bare):
+        self.emails, self.phones, self.accepts_bare = set(emails), set(phones), accepts_bare
+
+    def create(self, email, phone):
+        import re
+        if email and not re.fullmatch(r"[^@\s]+@[^@\s]+\.[^@\s]+", email):
+            return "invalid"
+        if email in self.emails:
+            return "email"
+        if phone in self.phones:
+            return "phone"
+        if not (email or phone or self.accepts_bare):
+            return "refused"
+        self.emails |= {email} if email else set()
+        self.phones |= {phone} if phone else set()
+        return "ok"
+
+
+def _import_one(crm, email, phone):
+    """The script's retries: (action, review reason, tags)."""
+    first = crm.create(email, phone)
+    if first == "ok":
+        return "created", None, []
+    if first == "invalid":
+        done = phone and crm.create(None, phone) == "ok"
+        return ("created_no_email" if done else "error"), "invalid_email", ["fr_invalid_email"]
+    left = {"email": email, "phone": phone, first: None}
+    second = crm.create(left["email"], left["phone"])
+    if second == "ok":
+        return f"created_no_{first}", first, [f"fr_duplicate_{first}"]
+    if second in ("email", "phone") and second != first:
+        if crm.create(None, None) == "ok":
+            return "created_no_email_no_phone", "email+phone", ["fr_duplicate_email", "fr_duplicate_phone"]
+    return "error", "unresolved", None
+
+
+def test_import_outcomes_as_one_after_the_other(spark):
+    import random
+    r = random.Random(7)
+    mails = [None, "a@x.com", "b@x.com", "c@x.com", "bad", "d@x", "e@x.com", "f@x.com"]
+    phones = [None, "+17025550001", "+17025550002", "+17025550003", "+17025550004"]
+    rows = [(r.randint(1, 2), str(k), r.choice(mails), r.choice(phones)) for k in range(1, 200)]
+    rows += [(1, str(1000 + k), f"m{k}@x.com", r.choice(phones)) for k in range(20)]
+    rows = [x for x in rows if x[2] or x[3]]
+    contacts = spark.createDataFrame(rows, "office long, fr_id string, email string, phone string").selectExpr(
+        "*", "'F' AS first_name", "'L' AS last_name", "array('t') AS tags")
+    existing = spark.createDataFrame([(1, "A@x.com", None), (2, None, "+17025550002")],
+                                     "contact_id long, email string, phone string")
+    for bare in (True, False):
+        crm, want = Crm(["a@x.com"], ["+17025550002"], bare), {}
+        for office, fr_id, email, phone in sorted(rows, key=lambda x: (x[0], int(x[1]))):
+            want[office, fr_id] = _import_one(crm, email, phone)
+        got = {(x.office, x.fr_id): x for x in G.import_outcomes(contacts, existing, bare).collect()}
+        assert {k: (x.action, x.matched_on) for k, x in got.items()} == {k: v[:2] for k, v in want.items()}
+        assert all(x.tags == ["t", *want[k][2]] for k, x in got.items() if want[k][2] is not None)
+        seen = {v[0] for v in want.values()} | {v[1] for v in want.values()}
+        assert {"created", "created_no_email", "created_no_phone", "error", "invalid_email"} <= seen
+        assert ("unresolved" in seen) != bare and ("email+phone" in seen) == bare
+
+
+def test_campaign_runs_take_the_next_customers(spark, tmp_path):
+    from fieldlake.operators import pricing as P
+    priced = spark.range(70).selectExpr("id AS subscription_id", "id div 2 AS customer_id", "60D AS old_price", "63D AS new_price")
+    live, path = P.config({"safety": {"dry_run": False, "max_customers_per_run": 15}}), str(tmp_path / "ledger")
+    dry = P.config({"safety": {"max_customers_per_run": 15}})
+    seen = []
+    for _ in range(4):
+        assert {x.customer_id for x in P.campaign_run(priced, dry, path, "2024-01-01").collect()} == set(
+            range(35)[15 * len(seen):15 * len(seen) + 15])
+        seen.append({x.customer_id for x in P.campaign_run(priced, live, path, "2024-01-01").collect()})
+    assert [len(x) for x in seen] == [15, 15, 5, 0] and set().union(*seen) == set(range(35))
+    quiet = P.config({"notification": {"notify_customer": False}})
+    customers = spark.sql("SELECT 1L AS customer_id, '' AS company_name, 'F' AS first_name, 'L' AS last_name, 'e' AS email")
+    assert P.increase_notices(priced, customers, quiet, "2024-01-01").isEmpty()
+    tagged = P.config({"notification": {"notification_method": "crm_tag"}})
+    assert {x.tag for x in P.increase_notices(priced, customers, tagged, "2024-01-01").collect()} == {P.PENDING_TAG}
+
+
+def test_landing_sets_broken_lines_aside(spark, tmp_path):
+    from fieldlake.sources import sinks
+    from fieldlake.sources.raw import land
+    lines = ['{"routeID":"1","officeID":"2","date":"2024-01-01","assignedTech":"7"}', '{"routeID":"2","extra":1,"more":[1]}',
+             '{"routeID":"3"', "", "  ", '[1,2]', '"text"', "null", '{"routeID":4,"assignedTech":[5]}', '{"extra":null}']
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines))
+    report = {(x.what, x.field): x.lines for x in land(spark, "route", str(tmp_path / "in"), str(tmp_path / "out")).collect()}
+    assert report == {("records", None): 4, ("quarantined", None): 4, ("unknown field", "extra"): 2, ("unknown field", "more"): 1}
+    assert sorted(x[0] for x in sinks.read(spark, f"{tmp_path}/out/quarantine").collect()) == sorted(
+        ['{"routeID":"3"', '[1,2]', '"text"', "null"])
+    rows = sinks.read(spark, f"{tmp_path}/out/records").orderBy("routeID").collect()
+    assert [x.routeID for x in rows] == [None, "1", "2", "4"] and rows[3].assignedTech == "[5]"

@@ -4,7 +4,7 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import functions as F
 
-from fieldlake.functions.exact import div_half_up, from_units, money_avg, money_sum, sum_units
+from fieldlake.functions.exact import div_half_up, from_units, money_avg, money_sum, ratio, sum_units
 
 
 def test_div_half_up(spark):
@@ -29,3 +29,11 @@ def test_sums_are_rounded_once(spark):
     df = spark.range(1000).select(F.lit(0.0625).alias("q"), F.lit(0.004).alias("m"))
     got = df.agg(from_units(sum_units(F.col("q"), 3), 3), money_sum(F.col("m"))).first()
     assert tuple(got) == (62.5, 4.0)
+
+
+def test_averages_are_rounded_once(spark):
+    got = lambda *v: spark.createDataFrame([(x,) for x in v], "x double").agg(money_avg(F.col("x"))).first()[0]
+    assert got(0.004, 0.005) == 0.0 and got(0.005, 0.005) == 0.01 and got(-0.005, None) == -0.01
+    assert got(1e15, 0.01) == 500000000000000.0 and got(None) is None
+    r = spark.createDataFrame([(1, 3), (-1, 3), (1, 0), (None, 3)], "n long, d long")
+    assert [x[0] for x in r.select(ratio(F.col("n"), F.col("d"))).collect()] == [0.33, -0.33, None, None]

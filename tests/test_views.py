@@ -19,12 +19,71 @@ def test_row_counts(spark, sf, name):
     assert E.queries()[name](spark, sf).count() == EXPECTED_ROWS[name]
 
 
-def test_revenue_total_matches_filtered_tickets(spark, sf):
-    t = load(spark, sf, "fact_tickets")
-    total = (t.filter("active AND invoice_date IS NOT NULL AND total > 0")
-             .agg(F.sum(F.round(F.col("total") * 100).cast("long"))).first()[0])
-    got = V.monthly_revenue(t).agg(F.sum(F.round(F.col("revenue") * 100).cast("long"))).first()[0]
-    assert got == total
+def _half_up(x, places=2):
+    from decimal import ROUND_HALF_UP, Decimal
+    return float(Decimal(x.numerator * 10 ** 30 // x.denominator).scaleb(-30).quantize(
+        Decimal(1).scaleb(-places), rounding=ROUND_HALF_UP))
+
+
+def _fraction(x):
+    from fractions import Fraction
+    return Fraction(repr(round(x, 8)))
+
+
+def test_revenue_rounds_once(spark, sf):
+    """Sums and averages of every group against fractions."""
+    from collections import defaultdict
+    t = load(spark, sf, "fact_tickets").filter("active AND invoice_date IS NOT NULL AND total > 0")
+    groups = defaultdict(list)
+    for r in t.select(F.trunc("invoice_date", "month").alias("m"), "office_id", "total").collect():
+        groups[r.m, r.office_id].append(_fraction(r.total))
+    got = {(r.month, r.office_id): (r.revenue, r.avg_invoice) for r in V.monthly_revenue(t).collect()}
+    assert got == {k: (_half_up(sum(v)), _half_up(sum(v) / len(v))) for k, v in groups.items()}
+
+
+def test_hourly_rate_divides_exact_sums(spark):
+    a = spark.createDataFrame(
+        [(k, 1, 7, k, 1, d) for k, d in ((1, 20.0 + 1 / 60), (2, 33.0 + 7 / 60), (3, 59.99))],
+        "appointment_id long, office_id long, serviced_by_id long, ticket_id long, status long, duration_actual_min double")
+    a = a.withColumn("scheduled_date", F.lit("2024-01-02").cast("date"))
+    t = spark.createDataFrame([(1, 10.004, -1.0), (2, 20.004, None), (3, 99.994, 50.555)],
+                              "ticket_id long, total double, production_value double")
+    e = spark.createDataFrame([], "employee_id long, first_name string, last_name string, initials string")
+    r = V.tech_hourly_rate(a, t, e).first()
+    minutes = sum(map(_fraction, (20.0 + 1 / 60, 33.0 + 7 / 60, 59.99)))
+    production, revenue = (sum(map(_fraction, x)) for x in ((10.004, 20.004, 50.555), (10.004, 20.004, 99.994)))
+    assert r.production_per_hour == _half_up(production * 60 / minutes)
+    assert r.revenue_per_hour == _half_up(revenue * 60 / minutes)
+    assert (r.total_hours_on_site, r.avg_minutes_per_job) == (_half_up(minutes / 60), _half_up(minutes / 3, 1))
+    assert (r.total_production, r.total_revenue) == (80.56, 130.0)
+
+
+def test_inspections_against_plain_pairs(spark):
+    """Random visits, also without customer or date, against comparing all pairs."""
+    import datetime as dt
+    import random
+    r = random.Random(6)
+    types = [(1, "Inspect A", True, False, False), (2, "Inspect B", True, False, True), (3, "Regular", False, False, True),
+             (4, "Again", False, True, True), (5, "Other", False, False, False)]
+    d0 = dt.date(1969, 6, 1)  # also before the epoch
+    rows = [(r.choice([1, 1, 1, 2, 3, None]), r.choice([1, 2]), r.choice([1, 2, 3, 3, 3, 4, 5]),
+             r.choice([1, 1, 1, 0]), None if r.random() < .05 else d0 + dt.timedelta(days=r.randint(0, 500)))
+            for _ in range(700)]
+    a = spark.createDataFrame(rows, "customer_id long, office_id long, service_type_id long, status long, scheduled_date date")
+    st = spark.createDataFrame(types * 2, "type_id long, description string, is_inspection boolean, reservice boolean, "
+                                          "regular_service boolean")
+    served = {(c, d) for c, _, k, s, d in rows if s == 1 and k == 3 and c and d}
+    for days in (1, 29, 90):
+        for distinct in (False, True):
+            want = {}
+            for c, o, k, s, d in rows:
+                if s == 1 and k in (1, 2):
+                    n = sum(1 for x, f in served if x == c and d and d < f <= d + dt.timedelta(days=days))
+                    key = (d and d.replace(day=1), o, types[k - 1][1])
+                    x, y = want.get(key, (0, 0))
+                    want[key] = (x + 1, y + (n > 0)) if distinct else (x + max(n, 1), y + n)
+            got = V.inspection_conversion(a, st, days, distinct).collect()
+            assert {(x.month, x.office_id, x.inspection_type): (x.total_inspections, x.converted) for x in got} == want
 
 
 def test_inspection_fanout_vs_distinct(spark, sf):
