@@ -35,7 +35,7 @@ from fieldlake.llm import subwords
 from fieldlake.llm.common import col
 from fieldlake.session import scratch_path
 
-SLICE_BYTES = 4 << 20  # of text: half of what the others take, as many arrays are held at once
+SLICE_BYTES = 1 << 20  # of text: less than the others take, as many arrays are held at once
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 SCORES = ("n_best", "count_sum")
 

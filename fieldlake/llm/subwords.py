@@ -142,10 +142,8 @@ class ByteLevel:
 
     def __init__(self, path: str, pattern: str, special: bool):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = not special
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         byte_of = {c: b for b, c in enumerate(byte_characters())}
@@ -155,11 +153,17 @@ class ByteLevel:
         merged = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in spec["model"]["merges"]]
         if merged != list(range(256, 256 + len(merged))):
             raise ValueError("the ids of this tokenizer do not follow its merges")
-        self.bytes_of = {i: p for p, i in ranks.items()} | {i: t.encode() for t, i in added.items()}
-        self.flat, self.sizes = table_of([self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)])
+        bytes_of = {i: p for p, i in ranks.items()} | {i: t.encode() for t, i in added.items()}
+        self.flat, self.sizes = table_of([bytes_of.get(i, b"") for i in range(max(bytes_of) + 1)])
         self.added = [t.encode() for t in added] if special else []
         self.ranked = tiktoken.Encoding("ranked", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
+    @functools.cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _one(self, word: bytes) -> list[int]:
         text = word.decode()
         if any(t in word for t in self.added):
