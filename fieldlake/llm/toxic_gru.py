@@ -1,19 +1,26 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling.
 
 A word enters as the vector of its hashed form, the mean of the vectors of
-its hashed character n-grams, and the largest first number of these. Two recurrent layers read a window of words
-forwards and backwards, attention pools their states, and the pooled state
-gives the window's logit. All windows of a text are scored, each overlapping
-the next by a third, and the text's logit is the largest.
+its hashed character n-grams, and the largest first number of these. Two recurrent
+layers read the text forwards and backwards, attention pools the states of a
+window of words, and the pooled state gives the window's logit. Every window of
+``WINDOW`` words in a row is scored, from each word on, and the text's logit is
+the largest.
+
+The windows share their states: a layer reads blocks of ``BLOCK`` words, each
+begun ``WINDOW`` words ahead of it, so a word is read about once and not once per
+window, and a state knows the ``WINDOW`` words before it at least. Pooling needs
+two numbers per word, its attention and the logit of its state, which are
+summed over each window.
 
 The network is trained in numpy on the driver, on a bounded sample: at most
 ``SAMPLE`` labelled rows of each kind, those of least hash, of at most
 ``LONGEST`` characters. Vectors start with the smoothed log-odds of their
-bucket; each round every window is scored, and the best window of each text
-and some windows of clean texts are learnt from, with half of the word
-vectors left out.
+bucket; each round all windows are scored, and the best one of each text and
+some of clean texts are learnt from, read with the words before and after them,
+with half of the word vectors left out.
 
-Scoring is a map over whole texts without a shuffle. Windows are scored in
+Scoring is a map over whole texts without a shuffle. Blocks are read in
 parts of fixed size, and the projections of the words met are kept in a table
 that is emptied when full and at the end of a partition, so memory
 does not grow with the text's windows.
@@ -37,11 +44,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from fieldlake.llm.common import col, columns_of, fresh, slices
 
 SAMPLE, LONGEST, ROUNDS, SEED = 1500, 20_000, 14, 3
-WINDOW, STRIDE = 24, 16
-SCORED = 8  # stride of the windows that are scored: 17 words in a row lie whole in one
+WINDOW, STRIDE = 24, 16  # words of a window; stride of the clean ones to choose from
+BLOCK = 72  # words read by one run of a layer, besides those ahead of it
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 6, 6
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 17, 1 << 17
-_MEMO, _PART, _WORDS = 160_000, 2048, 20_000  # words kept; windows, words worked on at a time
+_MEMO, _PART, _WORDS = 160_000, 1024, 20_000  # words kept; blocks, words worked on at a time
 _EDGE = " \t\n\r\x0b\x0c.,;:!?\"'()[]{}*#$%&<>|«»…"
 DIM = WORD_DIM + CHAR_DIM + 1
 
@@ -123,8 +130,9 @@ class Network:
     def vectors(self, word: np.ndarray, chars: Grams) -> np.ndarray:
         return np.hstack([self.p["word"][word], chars.vectors(self.p["char"])])
 
-    def states(self, x: np.ndarray, d: str, keep: list | None = None) -> np.ndarray:
-        """x: (steps, windows, 3 * HIDDEN) projected inputs, in reading order."""
+    def states(self, x: np.ndarray, d: str, mask: np.ndarray, keep: list | None = None) -> np.ndarray:
+        """x: (steps, runs, 3 * HIDDEN) projected inputs, in reading order; a
+        step without a word (``mask``) leaves the state as it is."""
         u, h = self.p[f"u{d}"].astype(x.dtype), np.zeros((x.shape[1], HIDDEN), x.dtype)
         out = np.empty((x.shape[0], x.shape[1], HIDDEN), x.dtype)
         a, b = HIDDEN, 2 * HIDDEN
@@ -136,6 +144,7 @@ class Network:
             zr *= 0.5
             zr += 0.5
             z, r, hc = zr[:, :a], zr[:, a:], hu[:, b:]
+            z *= mask[t][:, None]
             c = r * hc
             c += x[t, :, b:]
             np.tanh(c, out=c)
@@ -145,6 +154,15 @@ class Network:
             out[t] = h
         return out
 
+    def both_ways(self, fwd: np.ndarray, bwd: np.ndarray, mask: np.ndarray, kept: dict | None = None) -> np.ndarray:
+        """(steps, runs, 2 * HIDDEN): the states of some words that ``WINDOW``
+        more go before and after; fwd are the inputs without the words after
+        them, bwd those without the words before, and mask is of all."""
+        kept = kept or {"f": None, "b": None}
+        hf = self.states(fwd, "f", mask[:-WINDOW], kept["f"])[WINDOW:]
+        hb = self.states(bwd[::-1], "b", mask[WINDOW:][::-1], kept["b"])[WINDOW:][::-1]
+        return np.concatenate([hf, hb], axis=2)
+
     def pool(self, both: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """both: (steps, windows, 2 * HIDDEN); mask: which steps have a word."""
         e = np.where(mask, both @ self.p["att"].astype(both.dtype), -1e9)
@@ -153,22 +171,18 @@ class Network:
         pooled = (w[:, :, None] * both).sum(axis=0)
         return pooled @ self.p["out"].astype(both.dtype) + both.dtype.type(self.p["bias"][0]), w, pooled
 
-    def logits(self, fwd: np.ndarray, bwd: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        hf, hb = self.states(fwd, "f"), self.states(bwd[::-1], "b")[::-1]
-        return self.pool(np.concatenate([hf, hb], axis=2), mask)[0]
-
     def learn(self, word: np.ndarray, chars: Grams, index: np.ndarray, mask: np.ndarray, y: np.ndarray,
               rate: float, memory: dict) -> None:
-        """One step on windows: index (steps, windows) into the words given
-        by their bucket (0: without its word vector) and their n-grams."""
+        """One step on windows: index (3 * WINDOW steps, windows) into the words
+        given by their bucket (0: without its word vector) and their n-grams;
+        the middle steps are the window, mask says which steps have a word."""
         p = self.p
         vec = self.vectors(word, chars)
         x = vec[index]
+        fore, aft, own = slice(0, 2 * WINDOW), slice(WINDOW, 3 * WINDOW), slice(WINDOW, 2 * WINDOW)
         kept: dict[str, list] = {"f": [], "b": []}
-        hf = self.states(x @ p["xf"] + p["cf"], "f", kept["f"])
-        hb = self.states((x @ p["xb"] + p["cb"])[::-1], "b", kept["b"])[::-1]
-        both = np.concatenate([hf, hb], axis=2)
-        z, w, pooled = self.pool(both, mask)
+        both = self.both_ways(x[fore] @ p["xf"] + p["cf"], x[aft] @ p["xb"] + p["cb"], mask, kept)
+        z, w, pooled = self.pool(both, mask[own])
         g = (_sigmoid(z) - y) / len(y)
         grad = {"out": pooled.T @ g, "bias": np.array([g.sum()])}
         d_pool = g[:, None] * p["out"]
@@ -176,14 +190,14 @@ class Network:
         d_e = w * (d_w - (w * d_w).sum(axis=0))
         grad["att"] = np.einsum("tbh,tb->h", both, d_e)
         d_both = w[:, :, None] * d_pool + d_e[:, :, None] * p["att"]
-        d_x = np.zeros_like(x)
-        for d, part in (("f", d_both[:, :, :HIDDEN]), ("b", d_both[::-1, :, HIDDEN:])):
-            seq = x if d == "f" else x[::-1]
-            d_in, grad[f"u{d}"] = self._back(d, part, kept[d])
+        d_x, ahead = np.zeros_like(x), np.zeros((WINDOW, len(y), HIDDEN))
+        for d, part, span in (("f", d_both[:, :, :HIDDEN], fore), ("b", d_both[::-1, :, HIDDEN:], aft)):
+            seq = x[span] if d == "f" else x[span][::-1]
+            d_in, grad[f"u{d}"] = self._back(d, np.concatenate([ahead, part]), kept[d])
             grad[f"x{d}"] = np.einsum("tbi,tbj->ij", seq, d_in)
             grad[f"c{d}"] = d_in.sum(axis=(0, 1))
-            own = d_in @ p[f"x{d}"].T
-            d_x += own if d == "f" else own[::-1]
+            change = d_in @ p[f"x{d}"].T
+            d_x[span] += change if d == "f" else change[::-1]
         d_vec = np.zeros_like(vec)
         np.add.at(d_vec, index.ravel(), d_x.reshape(-1, DIM))
         for k, v in grad.items():
@@ -241,31 +255,65 @@ class Scorer:
         """The largest logit of each text's windows."""
         if self.used > _MEMO:
             self.clear()
-        starts, of, flat, at = [], [], [np.zeros(1, np.int64)], 1
-        for k, text in enumerate(texts):
+        lists = []
+        for text in texts:
             words = text.split()
             try:
                 ids = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
             except KeyError:
                 self._learn(set(words))
                 ids = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-            s = windows(len(words), SCORED)
-            starts.append(s + at)
-            of.append(np.full(len(s), k))
-            room = int(s[-1]) + WINDOW - len(words)
-            flat += [ids, np.zeros(max(0, room), np.int64)]
-            at += len(words) + max(0, room)
-        flat, starts, of = np.concatenate(flat), np.concatenate(starts), np.concatenate(of)
-        best = np.full(len(texts), -np.inf)
-        half = 3 * HIDDEN
-        for i in range(0, len(starts), _PART):
-            index = flat[starts[i:i + _PART][None, :] + np.arange(WINDOW)[:, None]]
-            mask = index > 0
-            mask[0] |= ~mask.any(axis=0)
-            x = self.rows[index]
-            z = self.net.logits(x[:, :, :half], x[:, :, half:], mask)
-            np.maximum.at(best, of[i:i + _PART], z)
-        return best
+            lists.append(ids)
+        return best_windows(self.net, self.rows, lists)[0]
+
+
+def laid_out(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of all texts in one array, each text in whole blocks and with
+    ``WINDOW`` places without a word (0) before and after it; where the blocks
+    start, and where the texts do."""
+    gap = np.zeros(WINDOW, np.int64)
+    flat, blocks, first, at = [gap], [np.zeros(0, np.int64)], [], WINDOW
+    for ids in lists:
+        room = -len(ids) % BLOCK
+        blocks.append(np.arange(at, at + len(ids), BLOCK))
+        first.append(at)
+        flat += [ids, np.zeros(room, np.int64), gap]
+        at += len(ids) + room + WINDOW
+    flat.append(gap)
+    return np.concatenate(flat), np.concatenate(blocks), np.array(first, np.int64)
+
+
+def word_scores(net: Network, rows: np.ndarray, flat: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Attention and logit of the state at every place; ``rows`` are the
+    projections of the words for both directions."""
+    att, out = (net.p[k].astype(np.float32) for k in ("att", "out"))
+    weight, value = np.zeros(len(flat)), np.zeros(len(flat))
+    half = 3 * HIDDEN
+    for i in range(0, len(blocks), _PART):
+        place = blocks[i:i + _PART][None, :] + np.arange(-WINDOW, BLOCK + WINDOW)[:, None]
+        index = flat[place]
+        x = rows[index]
+        both = net.both_ways(x[:-WINDOW, :, :half], x[WINDOW:, :, half:], (index > 0).astype(np.float32))
+        own = place[WINDOW:-WINDOW]
+        weight[own], value[own] = both @ att, both @ out
+    return weight, value
+
+
+def best_windows(net: Network, rows: np.ndarray, lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text the largest logit among all its windows, and the word at
+    which that window starts. A text of fewer words is one window."""
+    flat, blocks, first = laid_out(lists)
+    weight, value = word_scores(net, rows, flat, blocks)
+    best, start = np.full(len(lists), float(net.p["bias"][0])), np.zeros(len(lists), np.int64)
+    for k, (s, ids) in enumerate(zip(first.tolist(), lists, strict=True)):
+        if len(ids):
+            w, v, n = weight[s:s + len(ids)], value[s:s + len(ids)], min(WINDOW, len(ids))
+            w = np.exp(w - w.max())
+            top, all_ = (np.lib.stride_tricks.sliding_window_view(x, n).sum(axis=1) for x in (w * v, w))
+            z = top / all_
+            start[k] = z.argmax()
+            best[k] += z[start[k]]
+    return best, start
 
 
 def _log_odds(net: Network, texts: Iterable[list[str]], again: Iterable[list[str]], y: np.ndarray) -> None:
@@ -293,30 +341,24 @@ def train(texts: list[str], y: np.ndarray, rounds: int = ROUNDS, seed: int = SEE
     _log_odds(net, *(([vocabulary[i] for i in np.unique(x)] for x in ids) for _ in range(2)), y)
     words = np.array([word_bucket(w) if w else 0 for w in vocabulary])
     chars = Grams(vocabulary)
-    index, of = [], []
-    for k, x in enumerate(ids):
-        s = windows(len(x))
-        padded = np.concatenate([x, np.zeros(max(0, int(s[-1]) + WINDOW - len(x)), np.int32)])
-        index.append(padded[s[None, :] + np.arange(WINDOW)[:, None]])
-        of.append(np.full(len(s), k))
-    index, of = np.concatenate(index, axis=1), np.concatenate(of)
-    mask = index > 0
-    mask[0] |= ~mask.any(axis=0)
+    lists = [x.astype(np.int64) for x in ids]
+    flat, _, first = laid_out(lists)
+    clean = np.concatenate([[0], *(first[k] + windows(len(x)) for k, x in enumerate(lists) if not y[k])])[1:]
+    around = np.arange(-WINDOW, 2 * WINDOW)[:, None]
     memory: dict = {}
     for turn in range(rounds):
         p = net.p
         vec = net.vectors(words, chars).astype(np.float32)
-        fx, bx = (vec @ p["xf"] + p["cf"]).astype(np.float32), (vec @ p["xb"] + p["cb"]).astype(np.float32)
-        z = np.concatenate([net.logits(fx[index[:, i:i + 4096]], bx[index[:, i:i + 4096]], mask[:, i:i + 4096])
-                            for i in range(0, index.shape[1], 4096)])
-        order = np.lexsort((-z, of))
-        best = order[np.concatenate([[True], np.diff(of[order]) > 0])]
-        spare = rng.permutation(np.flatnonzero(y[of] == 0))[:len(texts) // 2]
-        for part in np.array_split(rng.permutation(np.concatenate([best, spare])), max(1, len(best) // 48)):
-            used, local = np.unique(index[:, part], return_inverse=True)
+        rows = np.hstack([vec @ p["xf"] + p["cf"], vec @ p["xb"] + p["cb"]]).astype(np.float32)
+        spare = rng.permutation(clean)[:len(texts) // 2]
+        starts = np.concatenate([first + best_windows(net, rows, lists)[1], spare])
+        label = np.concatenate([y, np.zeros(len(spare))])
+        for part in np.array_split(rng.permutation(len(starts)), max(1, len(texts) // 48)):
+            index = flat[starts[None, part] + around]
+            used, local = np.unique(index, return_inverse=True)
             known = np.where(rng.random(len(used)) < 0.5, words[used], 0)  # so that characters count too
-            net.learn(known, Grams([vocabulary[i] for i in used]), local.reshape(WINDOW, -1), mask[:, part],
-                      y[of[part]], 0.02 if turn < rounds - 3 else 0.005, memory)
+            net.learn(known, Grams([vocabulary[i] for i in used]), local.reshape(index.shape), index > 0,
+                      label[part], 0.02 if turn < rounds - 3 else 0.005, memory)
     return net
 
 
