@@ -164,15 +164,25 @@ def _decimals(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counted(values: np.ndarray, rows: np.ndarray, n_rows: int, width: int):
-    """For each row its distinct values and their counts, as Arrow lists."""
+    """For each row its distinct values, ascending, and their counts, end to
+    end; and the number of each row's."""
     keys, counts = np.unique(rows * width + values, return_counts=True)
-    ends = np.searchsorted(keys // width, np.arange(n_rows + 1)) if len(keys) else np.zeros(n_rows + 1, "i8")
-    lists = lambda x: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x, pa.int32()))
-    return lists(keys % width), lists(counts)
+    return keys % width, counts, np.bincount(keys // width, minlength=n_rows)
+
+
+def _packed(*numbers: np.ndarray) -> list[bytes]:
+    """Whole numbers as bytes: their count, then their differences, compressed."""
+    return [len(x).to_bytes(8, "little") + pa.compress(np.diff(x, prepend=0).astype("<i4"), "zstd", asbytes=True)
+            for x in numbers]
+
+
+def _unpacked(body: bytes) -> np.ndarray:
+    n = int.from_bytes(body[:8], "little")
+    return np.cumsum(np.frombuffer(pa.decompress(body[8:], 4 * n, "zstd"), "<i4"), dtype="<i8")
 
 
 def aligned_slice(table: pa.Table, coder_a, coder_b) -> dict[str, pa.Array]:
-    """The columns of one slice's row; see ``SLICE``."""
+    """The columns of one slice's row; see ``_slice_schema``."""
     data, ends = subwords.text_bytes(table.column(1), " ")
     units = subwords.Units(data, ends)
     a, b = Side(coder_a, units), Side(coder_b, units)
@@ -194,19 +204,18 @@ def aligned_slice(table: pa.Table, coder_a, coder_b) -> dict[str, pa.Array]:
     pairs, pair_of = np.unique(windows.link_a.astype("<i8") * width + windows.link_b, return_inverse=True)
     uses = np.bincount(windows.codes, minlength=len(windows.n_a))
     pair_n = np.bincount(pair_of, weights=uses[windows.link_window], minlength=len(pairs)).astype("<i8")
-    doc_windows, doc_uses = _counted(windows.codes.astype("<i8"), owner, len(docs), max(len(windows.n_a), 1))
-    links = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(windows.n_links)), pa.int32()),
-                                     pa.array(pair_of, pa.int32()))
+    kinds, times, n_kinds = _counted(windows.codes.astype("<i8"), owner, len(docs), max(len(windows.n_a), 1))
+    body = _packed(kinds, times, np.cumsum(n_kinds), pair_of, np.cumsum(windows.n_links))
     return {"ids": table.column(0).combine_chunks(), "shas": pa.array(shas, pa.string()),
             **{c: pa.array(x, pa.int64()) for c, x in zip(COUNTS, per_doc, strict=True)},
-            "windows": doc_windows, "uses": doc_uses, "links": links,
-            "a": pa.array(pairs // width, pa.int32()), "b": pa.array(pairs % width, pa.int32()),
-            "n": pa.array(pair_n, pa.int64())}
+            "body": pa.array(body, pa.binary()), "a": pa.array(pairs // width, pa.int32()),
+            "b": pa.array(pairs % width, pa.int32()), "n": pa.array(pair_n, pa.int64())}
 
 
 def _slice_schema(kind: T.DataType) -> T.StructType:
-    lists = [("ids", kind), ("shas", T.StringType()), *((c, T.LongType()) for c in COUNTS),
-             *((c, T.ArrayType(T.IntegerType())) for c in ("windows", "uses", "links")),
+    """``body``: the documents' distinct windows, how often each has them, where
+    the documents end; the windows' links by pair, and where the windows end."""
+    lists = [("ids", kind), ("shas", T.StringType()), *((c, T.LongType()) for c in COUNTS), ("body", T.BinaryType()),
              ("a", T.IntegerType()), ("b", T.IntegerType()), ("n", T.LongType())]
     return T.StructType([T.StructField("slice", T.StringType()),
                          *(T.StructField(c, T.ArrayType(t)) for c, t in lists)])
@@ -241,26 +250,20 @@ def pair_counts(stored: DataFrame) -> DataFrame:
 def _scored(batches, id_col: str):
     for batch in batches:
         for row in range(batch.num_rows):
-            own = {c: batch.column(c)[row].values for c in batch.schema.names if c != "slice"}
-            n = len(own["ids"])
-            count, best = np.zeros(len(own["a"]), "<i8"), np.zeros(len(own["a"]), "<i8")
-            at = own["at"].to_numpy() if own["at"] is not None else np.zeros(0, "i8")
-            if len(at):
-                count[at], best[at] = own["count"].to_numpy(), own["best"].to_numpy(zero_copy_only=False)
-            links, link_ends = _lists(own["links"])
-            per_window = [np.add.reduceat(np.append(x[links], 0), link_ends[:-1]) if len(link_ends) > 1
-                          else np.zeros(0, "<i8") for x in (best, count)]  # every window has a link
-            windows, ends = _lists(own["windows"])
-            uses, _ = _lists(own["uses"])
-            sums = [np.diff(np.append(0, np.cumsum(w[windows] * uses))[ends]) for w in per_window]
+            own = {c: batch.column(c)[row].values for c in batch.schema.names if c not in ("slice", "pairs")}
+            size = batch.column("pairs")[row].as_py()
+            count, best = np.zeros(size, "<i8"), np.zeros(size, "<i8")
+            if own["at"] is not None:
+                at = own["at"].to_numpy()
+                count[at], best[at] = own["count"].to_numpy(), own["best"].to_numpy()
+            kinds, times, ends, links, link_ends = map(_unpacked, own["body"].to_pylist())
+            sums = []
+            for value in (best, count):
+                per_window = np.diff(np.append(0, np.cumsum(value[links]))[np.append(0, link_ends)])
+                sums.append(np.diff(np.append(0, np.cumsum(per_window[kinds] * times))[np.append(0, ends)]))
             yield pa.RecordBatch.from_arrays(
                 [own["ids"], *(own[c] for c in COUNTS), *(pa.array(x, pa.int64()) for x in sums), own["shas"]],
-                [id_col, *COUNTS, *SCORES, "groups_sha256"]) if n else None
-
-
-def _lists(x: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    ends = x.offsets.to_numpy()
-    return x.values.to_numpy()[ends[0]:ends[-1]].astype("<i8"), ends.astype("<i8") - ends[0]
+                [id_col, *COUNTS, *SCORES, "groups_sha256"])
 
 
 def aligned(docs: DataFrame, path_a: str, pattern: str, path_b: str, id_col: str = "doc_id",
@@ -275,9 +278,8 @@ def aligned(docs: DataFrame, path_a: str, pattern: str, path_b: str, id_col: str
         "slice", "at", F.col("p.a").alias("a"), F.col("p.b").alias("b"))
     scores = held.join(pair_counts(stored), ["a", "b"]).groupBy("slice").agg(
         F.collect_list(F.struct("at", "count", F.col("best").cast("int").alias("best"))).alias("s"))
-    rows = (stored.drop("b", "n").join(scores, "slice", "left")
-            .select(*[c for c in stored.columns if c not in ("b", "n")],
-                    *[F.col(f"s.{c}").alias(c) for c in ("at", "count", "best")]))
+    rows = (stored.withColumn("pairs", F.size("a")).drop("a", "b", "n").join(scores, "slice", "left")
+            .select("slice", "ids", "shas", *COUNTS, "body", "pairs", *[F.col(f"s.{c}").alias(c) for c in ("at", "count", "best")]))
     longs = [T.StructField(c, T.LongType()) for c in (*COUNTS, *SCORES)]
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *longs,
                            T.StructField("groups_sha256", T.StringType())])
