@@ -1,15 +1,16 @@
 """Exact dedup by distributed MSD radix partitioning.
 
 Every document is one string of bytes led by its length. Level by level the
-groups are split by the next bytes of the string: a group is known by its
-length and the bytes read so far, so equality never rests on a digest. A
-document alone in its group is done; so is a group whose bytes have ended,
-and its members are equal. Only the others go on to the next level, which
-reads ``GROW`` times as many bytes.
+groups are split by the next bytes of the string: each group that goes on has a
+number, and the next level groups by that number and the bytes after those
+already read, so equality never rests on a digest. A document alone in its
+group is done; so is a group whose bytes have ended, and its members are equal.
+Only the others go on to the next level, which has read ``GROW`` times as many
+bytes; what is read is left behind.
 
 Sizes: the first level moves no text, only lengths, first bytes and ids.
-Texts of groups of two or more are shuffled once to meet their group and cut
-off; later levels work on these alone. A level counts its groups with
+The rest of the texts of groups of two or more is shuffled to meet the group's
+number; later levels work on these alone and move only bytes not yet read. A level counts its groups with
 map-side partial sums, so a group of copies, however large, is one row per
 map task. Rows meet their group's count in a sort-merge join, whose skewed
 partitions Spark splits. The number of levels is the logarithm of the longest
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 from fieldlake.llm.common import col, pinned
 
 FIRST = 16
-GROW = 64
+GROW = 16
 
 
 def _lower(texts: pa.Array) -> pa.Array:
@@ -53,16 +54,17 @@ def _heads(batches):
 def _bodies(batches):
     for batch in batches:
         body = _lower(batch.column(1))
+        sha = [hashlib.sha256(x.as_buffer()).hexdigest() for x in body]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pc.cast(pc.binary_length(body), pa.int32()), pc.binary_slice(body, 0, FIRST), body],
-            ["id", "n", "read", "body"])
+            [batch.column(0), pc.cast(pc.binary_length(body), pa.int32()), pc.binary_slice(body, 0, FIRST),
+             pc.binary_slice(body, FIRST, (1 << 31) - 1), pa.array(sha, pa.string())], ["id", "n", "read", "rest", "sha"])
 
 
-def _groups(rows: DataFrame) -> DataFrame:
-    """The groups of two or more, written out: as a table of its own its join
-    with the rows is one whose skewed partitions Spark can split."""
-    return pinned(rows.groupBy("n", "read").agg(F.count(F.lit(1)).alias("size"), F.max("id").alias("keep"))
-                  .where("size > 1"))
+def _groups(rows: DataFrame, *key: str) -> DataFrame:
+    """The groups of two or more with a number each, written out: as a table of
+    its own its join with the rows is one whose skewed partitions Spark can split."""
+    found = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("size"), F.max("id").alias("keep")).where("size > 1")
+    return pinned(found.withColumn("number", F.monotonically_increasing_id()))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -76,19 +78,21 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
              F.coalesce("size", F.lit(1).cast("long")).alias("size")]
 
     heads = rows.mapInArrow(_heads, f"id {kind}, n int, read binary, sha string")
-    groups, width = _groups(heads.select("id", "n", "read")), FIRST
+    key, width = ["n", "read"], FIRST
+    groups = _groups(heads.select("id", *key), *key)
     ended = F.col("size").isNull() | (F.col("n") <= width)
-    done = [heads.join(groups, ["n", "read"], "left").where(ended).select("id", *alone, "sha")]
-    live = rows.mapInArrow(_bodies, f"id {kind}, n int, read binary, body binary")
+    done = [heads.join(groups, key, "left").where(ended).select("id", *alone, "sha")]
+    live = rows.mapInArrow(_bodies, f"id {kind}, n int, read binary, rest binary, sha string")
     while width < longest:
-        live = pinned(live.join(groups.where(F.col("n") > width).select("n", "read"), ["n", "read"])
-                      .select("id", "n", "body"))
-        width *= GROW
-        live = live.withColumn("read", F.expr(f"substring(body, 1, {width})"))
-        groups = _groups(live.select("id", "n", "read"))
+        live = pinned(live.where(F.col("n") > width).join(groups.select(*key, "number"), key)
+                      .select("id", "n", F.col("number").alias("group"), "rest", "sha"))
+        key, step = ["group", "read"], width * (GROW - 1)
+        live = live.select("id", "n", "group", F.expr(f"substring(rest, 1, {step})").alias("read"),
+                           F.expr(f"substring(rest, {step + 1})").alias("rest"), "sha")
+        width += step
+        groups = _groups(live.select("id", *key), *key)
         ended = F.col("size").isNull() | (F.col("n") <= width)
-        done.append(live.join(groups, ["n", "read"], "left").where(ended)
-                    .select("id", *alone, F.sha2("body", 256).alias("sha")))
+        done.append(live.join(groups, key, "left").where(ended).select("id", *alone, "sha"))
 
     out = done[0]
     for part in done[1:]:

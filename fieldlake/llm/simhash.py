@@ -95,28 +95,26 @@ def _offsets(radius: int) -> list[tuple[int, ...]]:
 
 
 def forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> list[tuple[int, int]]:
-    """Links that join what the links within the radius between a and b join."""
+    """Links that join what the links within the radius between a and b join.
+    Each fingerprint has a label; one with near others links to one of every
+    label among them that is not its own, and these labels become one."""
     both = a if same else np.concatenate([a, b])
     shift = 0 if same else len(a)
-    root = np.arange(len(both))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    out = []
+    label = np.arange(len(both))
+    out: list[tuple[int, int]] = []
     for i in range(0, len(a), 256):
         part = a[i:i + 256]
         near = np.bitwise_count(part[:, None] ^ b[None, :]) <= radius
         if same:
             near &= np.arange(len(b))[None, :] > (np.arange(i, i + len(part)))[:, None]
-        for x, y in zip(*np.nonzero(near), strict=True):
-            p, q = find(i + int(x)), find(shift + int(y))
-            if p != q:
-                root[max(p, q)] = min(p, q)
-                out.append((int(both[i + int(x)]), int(both[shift + int(y)])))
+        for k in np.flatnonzero(near.any(axis=1)).tolist():
+            others = shift + np.flatnonzero(near[k])
+            kinds, first = np.unique(label[others], return_index=True)
+            new = kinds != label[i + k]
+            if new.any():
+                out += [(int(both[i + k]), int(both[y])) for y in others[first[new]]]
+                joined = np.append(kinds[new], label[i + k])
+                label[np.isin(label, joined)] = joined.min()
     return out
 
 

@@ -36,6 +36,19 @@ def test_exact_groups_need_late_bytes(spark):
     assert {got[k] for k in range(6, 306)} == {(305, 300)}
 
 
+def test_exact_groups_of_prefixes_over_all_levels(spark):
+    r = random.Random(2)
+    base = "".join(r.choice("abcDE ") for _ in range(9000))
+    texts = []
+    for cut in (0, 1, 15, 16, 17, 255, 256, 257, 4095, 4096, 4097, 8999):  # equal up to one byte, at and around each level
+        other = base[:cut] + "#" + base[cut + 1:]
+        texts += [other, other.upper(), other[:-1] + "!"]
+    texts += [base[:n] for n in (16, 17, 256, 4096, 4097)] * 2
+    got = {x.doc_id: (x.keep_id, x.group_size) for x in radix_dedup.exact_groups(pairs(spark, texts)).collect()}
+    low = [t.translate(UPPER) for t in texts]
+    assert got == {k: (max(j for j, u in enumerate(low) if u == t), low.count(t)) for k, t in enumerate(low)}
+
+
 def test_exact_groups_of_no_rows(none):
     assert radix_dedup.exact_groups(none).count() == 0
 
@@ -67,6 +80,19 @@ def test_links_join_what_brute_force_joins(spark):
     assert len(set(root.tolist())) < len(fps)
 
 
+def test_dense_tiles_take_no_step_per_pair():
+    import time
+
+    r = random.Random(3)
+    center = [r.getrandbits(64) for _ in range(3)]
+    fps = np.array(sorted({c ^ (1 << i) ^ (1 << j) if i != j else c ^ (1 << i) for c in center for i in range(64) for j in range(64)}),
+                   "u8")  # three groups, in which most are within four bits, many within three
+    start = time.process_time()
+    got = simhash.forest(fps, fps, True, 3)
+    other = simhash.forest(fps[::2], fps[1::2], False, 3)
+    assert time.process_time() - start < 20 and len(got) == len(fps) - 3 and len(other) <= len(fps)
+
+
 def test_small_tiles_find_the_same(spark):
     fps = [(1 << k) - 1 for k in range(0, 60)]  # a chain: each within one bit of the next
     df = spark.createDataFrame([(simhash.signed(f),) for f in fps], "fp long")
