@@ -1,134 +1,70 @@
-"""Line dedup by content-defined chunks of lines, grown to whole runs.
-
-A rolling hash over the hashes of the last two lines chooses where a chunk
-ends, so equal passages are cut alike wherever they stand. Each chunk but a
-text's last has two or more lines with a word; blank lines do not count. A chunk
-of so many that stands elsewhere too is removed, except at its first place
-(smallest id, then place in the text). Chunks are equal when their bytes are:
-they are grouped by the bytes themselves, and their 128-bit digest only names a
-group on the way back. A digest that names more than one text is settled by a
-join on the bytes.
-
-A repeated passage seldom begins and ends at a chunk's border. With ``runs``
-a second, overlapping chunking finds the rest: every two lines with a word
-that follow each other, with the blank lines between them, are a chunk (a
-pair). A line goes when it lies in a chunk or pair that stands earlier, so of
-every run of two or more lines that repeats, each line goes, whatever stands
-around the run. Of a pair that overlaps its own first place (A A A) only the
-second line goes. What goes stands earlier in the same pair, so every
-line is kept somewhere; a first place may lose lines to a still earlier repeat,
-as in op 8. Pairs are equal when their 128-bit BLAKE2b digests are: their bytes
-are not shuffled, which would send each line twice more.
-
-Sizes: chunk bytes are shuffled once, pre-aggregated, so a chunk common to a
-third of all rows is one row per map task. Chunks and pairs meet the repeated
-digests in a join without text, whose skewed partitions Spark splits. Texts are
-shuffled once more, to meet their removed chunks; a row gets at most the
-chunks and pairs of its own text.
+"""Line dedup by content-defined chunks of lines.
+
+Every line has a 128-bit hash. A rolling hash, that is the hashes of two lines
+with a word that follow each other and the blank lines between them, moves over
+each text line by line. Boundaries depend on content alone: a chunk ends where
+the rolling value stands nowhere else in the corpus, so a passage that stands
+twice is cut alike wherever it stands, and a chunk grows line by line over all of
+it. A chunk has two or more lines with a word, and each two of its lines stand
+elsewhere too. It is removed, except where one of its rolling values has its
+first place (smallest id, then place in the text); of lines that overlap their
+own first place (A A A) only those beyond it go. So of every run of two or more
+lines that repeats, each line goes but in its first place, whatever stands around
+the run, and every line is kept somewhere.
+
+Hashes are compared by bytes: all lines are grouped by their hash and their
+bytes, and if one hash names two lines, all are hashed again with another seed.
+Rolling values hold the hashes themselves and the blank lines as they are, so
+equal values are equal bytes.
+
+Sizes: the bytes of different lines are shuffled once, combined before, so a
+line common to a third of all rows is one row per map task. Rolling values are
+numbers; they meet the repeated ones in a join whose skewed partitions Spark
+splits. Texts are shuffled once, to meet their removed chunks; a row gets at
+most the numbers of its own text.
 
 Defined cases: a null text has no lines and stays null; a text without a
-removed chunk stays as it is, byte by byte; a text that is removed whole is
-empty, as is (with ``runs``) one that loses every line with a word; blank
-lines before and after a run of pairs stay; rows that repeat both id and text
-are one document and change alike; a null id comes before all others; an empty
-table gives an empty table; further columns pass through unchanged, whatever
-their names.
+removed chunk stays as it is, byte by byte; one that loses every line with a
+word is empty; blank lines before and after a chunk stay; rows that repeat both
+id and text are one document and change alike; a null id comes before all
+others; a very long text is one row; an empty table gives an empty table;
+further columns pass through unchanged, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
-from hashlib import blake2b
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from fieldlake.llm.common import col, columns_of, fresh, pinned
 
-DIVISOR, LEAST = 3, 2  # a boundary in so many lines; lines with a word of a chunk
+SEED = 0
 _MASK = (1 << 64) - 1
 _WORD = re.compile(rb"[^\x20\x09-\x0D]").search
+ROLLED = ("a1", "b1", "a2", "b2", "gap")  # a rolling value: two hashes of two halves, and what is between the lines
 
 
-def chunk_ends(lines: list[bytes]) -> list[int]:
-    """Where chunks end, as line numbers; the last is the number of lines."""
-    from xxhash import xxh64_intdigest as xxh
+def line_hash(line: bytes, seed: int) -> tuple[int, int]:
+    """The two halves of a line's hash, as signed numbers."""
+    from xxhash import xxh3_128_intdigest
 
-    out, before, worded = [], 0, 0
-    for i, line in enumerate(lines, 1):
-        h = xxh(line)
-        rolled = (before * 0x9E3779B97F4A7C15 + h) & _MASK
-        before = h
-        worded += bool(_WORD(line))
-        if worded >= LEAST and (rolled >> 32) % DIVISOR == 0:
-            out.append(i)
-            worded = 0
-    if not out or out[-1] < len(lines):
-        out.append(len(lines))
-    return out
-
-
-def chunks(text: bytes):
-    """(number, bytes) of the chunks that may be removed."""
-    lines, start = text.split(b"\n"), 0
-    for k, end in enumerate(chunk_ends(lines)):
-        part = lines[start:end]
-        if len(_worded(part)) >= LEAST:
-            yield k, b"\n".join(part)
-        start = end
+    d = xxh3_128_intdigest(line, seed)
+    return (d >> 64) - (1 << 63), (d & _MASK) - (1 << 63)
 
 
 def _worded(lines: list[bytes]) -> list[int]:
     return [i for i, line in enumerate(lines) if _WORD(line)]
 
 
-def pairs(text: bytes):
-    """Bytes of each two lines with a word that follow each other."""
+def rolled(text: bytes, seed: int):
+    """The rolling value of each line with a word and the next one."""
     lines = text.split(b"\n")
     at = _worded(lines)
-    for i, j in zip(at, at[1:], strict=False):
-        yield b"\n".join(lines[i:j + 1])
-
-
-def _emit_pairs(batches):
-    for batch in batches:
-        at, number, digests = [], [], []
-        for i, text in enumerate(batch.column(2)):
-            own = [blake2b(part, digest_size=16).digest() for part in pairs((text.as_py() or "").encode())]
-            at += [i] * len(own)
-            number += range(len(own))
-            digests += own
-        d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-        at = pa.array(at, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(at), batch.column(1).take(at), pa.array(number, pa.int32()),
-             pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())], ["id", "row", "k", "a", "b"])
-
-
-def _emit(with_bytes: bool):
-    def run(batches):
-        from xxhash import xxh3_128_intdigest as digest
-
-        for batch in batches:
-            at, number, a, b, body = [], [], [], [], []
-            for i, text in enumerate(batch.column(2)):
-                for k, part in chunks((text.as_py() or "").encode()):
-                    d = digest(part)
-                    at.append(i)
-                    number.append(k)
-                    a.append((d >> 64) - (1 << 63))
-                    b.append((d & _MASK) - (1 << 63))
-                    if with_bytes:
-                        body.append(part)
-            out = [batch.column(0).take(pa.array(at, pa.int64())), batch.column(1).take(pa.array(at, pa.int64())),
-                   pa.array(number, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64())]
-            names = ["id", "row", "k", "a", "b"]
-            if with_bytes:
-                out, names = [*out, pa.array(body, pa.binary())], [*names, "body"]
-            yield pa.RecordBatch.from_arrays(out, names)
-
-    return run
+    hashes = [line_hash(lines[i], seed) for i in at]
+    for i, j, x, y in zip(at, at[1:], hashes, hashes[1:], strict=False):
+        yield *x, *y, b"".join(line + b"\n" for line in lines[i + 1:j])
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -136,91 +72,94 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         col(id_col).alias("id"), F.xxhash64(col(text_col)).alias("row"), col(text_col).alias("text"))
 
 
-def _places(docs: DataFrame, id_col: str) -> T.StructType:
-    return T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("row", T.LongType()),
-                         T.StructField("k", T.IntegerType()), T.StructField("a", T.LongType()),
-                         T.StructField("b", T.LongType())])
+def _values(rows: DataFrame, seed: int) -> DataFrame:
+    """(id, row, k) and the rolling value at the k-th line with a word."""
+    schema = T.StructType([rows.schema["id"], rows.schema["row"], T.StructField("k", T.IntegerType()),
+                           *(T.StructField(c, T.LongType()) for c in ROLLED[:-1]), T.StructField("gap", T.BinaryType())])
+    kinds = [pa.int64()] * 4 + [pa.binary()]
+
+    def run(batches):
+        for batch in batches:
+            at, number, values = [], [], []
+            for i, text in enumerate(batch.column(2)):
+                own = list(rolled((text.as_py() or "").encode(), seed))
+                at += [i] * len(own)
+                number += range(len(own))
+                values += own
+            at = pa.array(at, pa.int64())
+            columns = zip(*values, strict=True) if values else [()] * len(ROLLED)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(number, pa.int32()),
+                 *(pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True))], schema.names)
 
+    return rows.mapInArrow(run, schema)
 
-def removed_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, row, k): the numbers of the chunks that go; ``row`` is the hash of
-    the text, which tells rows of one id apart."""
-    rows, schema = _rows(docs, id_col, text_col), _places(docs, id_col)
-    whole = T.StructType([*schema.fields, T.StructField("body", T.BinaryType())])
-    place = F.struct("id", "row", "k")
-    exact = (rows.mapInArrow(_emit(True), whole).groupBy("a", "b", "body")
-             .agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")))
-    named = pinned(exact.groupBy("a", "b").agg(
-        F.count(F.lit(1)).alias("texts"), F.max("n").alias("n"), F.min("first").alias("first")).where("n > 1"))
-    slim = rows.mapInArrow(_emit(False), schema)
-    gone = (slim.join(named.where("texts = 1").select("a", "b", "first"), ["a", "b"])
-            .where(~place.eqNullSafe(F.col("first"))).select("id", "row", "k"))
-    if not named.where("texts > 1").isEmpty():  # equal digests of different texts
-        again = rows.mapInArrow(_emit(True), whole).join(named.where("texts > 1").select("a", "b"), ["a", "b"])
-        firsts = again.groupBy("a", "b", "body").agg(F.min(place).alias("first"))
-        gone = gone.unionByName(again.join(firsts, ["a", "b", "body"])
-                                .where(~place.eqNullSafe(F.col("first"))).select("id", "row", "k"))
-    return gone
-
-
-def removed_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, row, k, tail): the numbers of the pairs that go; ``tail`` where only
-    the second line does, as the first is the end of the pair's first place."""
-    found = _rows(docs, id_col, text_col).mapInArrow(_emit_pairs, _places(docs, id_col))
+
+def _one_line_each(rows: DataFrame, seed: int) -> bool:
+    """Whether no hash names two different lines."""
+    def run(batches):
+        for batch in batches:
+            lines = {x for text in batch.column(2) for x in (text.as_py() or "").encode().split(b"\n") if _WORD(x)}
+            hashes = [line_hash(x, seed) for x in lines]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([h[0] for h in hashes], pa.int64()), pa.array([h[1] for h in hashes], pa.int64()),
+                 pa.array(list(lines), pa.binary())], ["a", "b", "line"])
+
+    lines = rows.select("id", "row", "text").mapInArrow(run, "a long, b long, line binary").distinct()
+    return lines.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
+def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, row, k, tail): the lines with a word, by number, that go with the
+    next one; with ``tail`` only the next one goes, as this one ends the value's
+    first place. ``row`` is the hash of the text, which tells rows of one id apart."""
+    rows, seed = _rows(docs, id_col, text_col), SEED
+    while not _one_line_each(rows, seed):
+        seed += 1
+    values = _values(rows, seed)
     place = F.struct("id", "row", "k")
-    named = pinned(found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+    named = pinned(values.groupBy(*ROLLED).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
                    .where("n > 1").drop("n"))
     tail = (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("row") == F.col("first.row"))
             & (F.col("k") == F.col("first.k") + 1))
-    return (found.join(named, ["a", "b"]).where(~place.eqNullSafe(F.col("first")))
+    return (values.join(named, list(ROLLED)).where(~place.eqNullSafe(F.col("first")))
             .select("id", "row", "k", tail.alias("tail")))
 
 
-def _cut(text: str, gone: list[int], whole: list[int] | None = None, tails: list[int] | None = None) -> str:
-    """``text`` without the chunks ``gone``, the pairs ``whole`` and the second
-    lines of the pairs ``tails``."""
-    lines, start = text.encode().split(b"\n"), 0
-    stays, drop = bytearray(b"\1" * len(lines)), set(gone)
-    for k, end in enumerate(chunk_ends(lines)):
-        if k in drop:
-            stays[start:end] = bytes(end - start)
-        start = end
-    at = _worded(lines) if whole or tails else []
-    for numbers, skip in ((whole or (), 0), (tails or (), 1)):
+def _cut(text: str, whole: list[int], tails: list[int]) -> str:
+    """``text`` without the lines ``whole`` and their next ones, and without the
+    next ones of ``tails``, with the blank lines in between."""
+    lines = text.encode().split(b"\n")
+    stays, at = bytearray(b"\1" * len(lines)), _worded(lines)
+    for numbers, skip in ((whole, 0), (tails, 1)):
         for k in numbers:
             a, b = at[k] + skip, at[k + 1] + 1
             stays[a:b] = bytes(b - a)
-    if at and not any(stays[i] for i in at):
+    if not any(stays[i] for i in at):
         return ""
     return b"\n".join(line for line, s in zip(lines, stays, strict=True) if s).decode()
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 runs: bool = False) -> tuple[DataFrame, str]:
-    """``docs`` without the repeated chunks (with ``runs``, without the repeated
-    pairs too), and the name of a new column: how many of them the row lost."""
-    i, r, g, w, t, n = fresh(docs, "id", "row", "gone", "whole", "tails", "n_removed")
-    gone = removed_chunks(docs, id_col, text_col).select("id", "row", F.col("k").alias("chunk"))
-    if runs:
-        gone = gone.unionByName(removed_pairs(docs, id_col, text_col), allowMissingColumns=True)
-    else:
-        gone = gone.select("*", F.lit(None).cast("int").alias("k"), F.lit(None).cast("boolean").alias("tail"))
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
+    """``docs`` without the repeated chunks, and the name of a new column: how
+    many of them the row lost."""
+    i, r, w, t, n = fresh(docs, "id", "row", "whole", "tails", "n_removed")
+    gone = removed(docs, id_col, text_col)
     gone = (gone.groupBy(F.col("id").alias(i), F.col("row").alias(r))
-            .agg(F.collect_set("chunk").alias(g), F.collect_set(F.when(~F.col("tail"), F.col("k"))).alias(w),
+            .agg(F.collect_set(F.when(~F.col("tail"), F.col("k"))).alias(w),
                  F.collect_set(F.when(F.col("tail"), F.col("k"))).alias(t)))
     met = (docs.join(gone, col(id_col).eqNullSafe(F.col(i)) & (F.xxhash64(col(text_col)) == F.col(r)), "left")
-           .select(*columns_of(docs), col(g), col(w), col(t)))
+           .select(*columns_of(docs), col(w), col(t)))
     at, last = docs.columns.index(text_col), len(docs.columns)
     schema = T.StructType([*docs.schema.fields, T.StructField(n, T.IntegerType())])
 
     def run(batches):
         for batch in batches:
-            lists = list(zip(*(batch.column(last + k).to_pylist() for k in range(3)), strict=True))
-            texts = batch.column(at).to_pylist()
-            texts = [_cut(x, *own) if any(own) else x for x, own in zip(texts, lists, strict=True)]
+            lists = [[x or [] for x in own] for own in zip(*(batch.column(last + k).to_pylist() for k in (0, 1)), strict=True)]
+            texts = [_cut(x, *own) if any(own) else x for x, own in zip(batch.column(at).to_pylist(), lists, strict=True)]
             out = list(batch.columns[:last])
             out[at] = pa.array(texts, pa.string())
-            counts = pa.array([sum(len(k or ()) for k in own) for own in lists], pa.int32())
-            yield pa.RecordBatch.from_arrays([*out, counts], [*batch.schema.names[:last], n])
+            runs = [sum(k - 1 not in both for k in both) for both in ({*a, *b} for a, b in lists)]
+            yield pa.RecordBatch.from_arrays([*out, pa.array(runs, pa.int32())], [*batch.schema.names[:last], n])
 
     return met.mapInArrow(run, schema), n

@@ -133,66 +133,42 @@ def test_simhash_of_no_rows(none):
 
 # line chunks ---------------------------------------------------------------
 
-def brute_chunks(rows):
-    seen, out = set(), {}
-    for i, text in sorted(rows):
-        lines, body = text.encode().split(b"\n"), dict(line_chunks.chunks(text.encode()))
-        kept, gone, start = [], 0, 0
-        for k, end in enumerate(line_chunks.chunk_ends(lines)):
-            part = body.get(k)
-            if part is not None and part in seen:
-                gone += 1
-            else:
-                kept += lines[start:end]
-                if part is not None:
-                    seen.add(part)
-            start = end
-        out[i] = (b"\n".join(kept).decode() if gone else text, gone)
-    return out
-
-
-def test_line_chunks_as_brute_force(spark):
-    r = random.Random(1)
-    pool = [f"line {k} w" for k in range(12)] + [""]
-    rows = [(k, "\n".join(r.choice(pool) for _ in range(r.randrange(30)))) for k in range(150)]
-    out, n = line_chunks.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert {x.doc_id: (x.text, x[n]) for x in out.collect()} == brute_chunks(rows)
-
-
-def test_boundaries_resist_shifts():
+def test_rolling_values_resist_shifts():
     lines = [f"passage line {k}".encode() for k in range(60)]
-    ends = line_chunks.chunk_ends(lines)
-    moved = [e - 7 for e in line_chunks.chunk_ends([f"other {k}".encode() for k in range(7)] + lines)]
-    assert len(set(ends) & set(moved)) >= len(ends) - 4
+    own = list(line_chunks.rolled(b"\n".join(lines), 0))
+    moved = list(line_chunks.rolled(b"\n".join([b"other", b" "] + lines + [b"more"]), 0))
+    assert moved[1:-1] == own and len(own) == 59
+    assert list(line_chunks.rolled(b"x\n \n\ny", 0))[0][4] == b" \n\n" and not list(line_chunks.rolled(b"x\n\n", 0))
 
 
-def test_equal_digests_are_settled_by_bytes(spark, monkeypatch):
-    import xxhash
-
+@pytest.mark.parametrize("clashes", [1, 3])
+def test_equal_hashes_are_settled_by_bytes(spark, monkeypatch, clashes):
+    """With the first seeds all lines have one hash; the bytes tell, and they are
+    hashed anew."""
     rows = [(1, "a a\nb b"), (2, "a a\nb b"), (3, "c c\nd d"), (4, "e e\nf f"), (5, "c c\nd d")]
-    real = line_chunks._emit
-
-    def one_digest(with_bytes):
-        run = real(with_bytes)
-
-        def inner(batches):
-            xxhash.xxh3_128_intdigest = lambda part: 12345
-            yield from run(batches)
-
-        return inner
-
-    monkeypatch.setattr(line_chunks, "_emit", one_digest)
-    gone = line_chunks.removed_chunks(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert sorted(r.id for r in gone.collect()) == [2, 5]
-
-
-def test_line_chunks_of_odd_rows(odd, none):
-    out, n = line_chunks.deduplicated(odd)
-    assert out.columns == [*odd.columns, n]
-    got = {(r.doc_id, r.lang): r for r in out.where("doc_id is not null").collect()}
-    assert got[(4, None)].text is None and got[(3, "en")].text == ""
-    assert got[(6, None)].text == "" and got[(6, None)][n] > 100 and got[(5, "en")][n] == 0
-    assert line_chunks.deduplicated(none)[0].count() == 0
+    real = line_chunks._values, line_chunks._one_line_each
+    hashed = line_chunks.line_hash
+    seeds = []
+
+    def clashing(line, seed):
+        return (1, 2) if seed < clashes else hashed(line, seed)
+
+    def one_each(found, seed):
+        line_chunks.line_hash = clashing
+        seeds.append(seed)
+        return real[1](found, seed)
+
+    # the workers get the functions by value, with the clashing hash in them
+    monkeypatch.setattr(line_chunks, "_one_line_each", one_each)
+    monkeypatch.setattr(line_chunks, "line_hash", clashing)
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(line_chunks)
+    try:
+        gone = line_chunks.removed(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        cloudpickle.unregister_pickle_by_value(line_chunks)
+        line_chunks.line_hash = hashed
+    assert seeds == list(range(clashes + 1)) and sorted(r.id for r in gone) == [2, 5]
 
 
 def brute_runs(rows):
@@ -225,7 +201,7 @@ def planted(sizes=(2, 3, 5, 8, 13, 20), each=6, blank=False):
 
 def test_every_planted_run_goes(spark):
     rows, shared = planted()
-    out, n = line_chunks.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), runs=True)
+    out, n = line_chunks.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
     got = {x.doc_id: x.text for x in out.collect()}
     for k, p in enumerate(shared):
         assert got[k] == rows[k][1]
@@ -237,7 +213,7 @@ def test_runs_as_plain_search(spark):
     pool = [f"line {k} w" for k in range(25)] + ["A"] * 4
     rows = [(k, "\n".join(r.choice(pool) for _ in range(r.randrange(12)))) for k in range(200)]
     rows += [(200, "A\nA\nA"), (201, "B\nB\nB\nB"), (202, "C\n\nC\n\nC"), (203, "D\n\nE"), (204, "D\nE")]
-    out, n = line_chunks.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), runs=True)
+    out, n = line_chunks.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
     got = {x.doc_id: x.text for x in out.collect()}
     assert got == brute_runs(rows)
     assert (got[201], got[202], got[204]) == ("B\nB", "C\n\nC", "D\nE")
@@ -245,32 +221,22 @@ def test_runs_as_plain_search(spark):
     assert lines(got.values()) == lines(t for _, t in rows)
 
 
-def test_blank_lines_do_not_make_chunks():
-    lines = [x for k in range(400) for x in (f"paragraph {k}".encode(), b"", b" ")]
-    ends, start = line_chunks.chunk_ends(lines), 0
-    for end in ends[:-1]:
-        assert sum(1 for x in lines[start:end] if x.strip()) >= 2
-        start = end
-    assert ends[-1] == len(lines)
-    removable = [x for _, part in line_chunks.chunks(b"\n".join(lines)) for x in part.split(b"\n")]
-    assert sum(1 for x in removable if x.strip()) >= 399
-
-
 def test_blank_separated_passages_go(spark):
     rows, shared = planted((2, 3, 8, 40, 400), each=2, blank=True)
-    for runs in (False, True):
-        out, n = line_chunks.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), runs=runs)
-        got = {x.doc_id: x.text.split("\n") for x in out.collect()}
-        left = [sum(1 for x in p if x and x in got[len(shared) + k]) for k, p in enumerate(shared)]
-        assert all(x == 0 for x in left) if runs else max(left[-2:]) <= 20
+    out, n = line_chunks.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {x.doc_id: x for x in out.collect()}
+    for k, p in enumerate(shared):
+        assert not set(got[len(shared) + k].text.split("\n")) & {x for x in p if x}
+        assert (got[k][n], got[len(shared) + k][n]) == (0, 1)  # a passage is one chunk
 
 
 def test_runs_of_odd_rows(odd, none):
-    out, n = line_chunks.deduplicated(odd, runs=True)
+    out, n = line_chunks.deduplicated(odd)
     assert out.columns == [*odd.columns, n]
     got = {(r.doc_id, r.lang): r for r in out.where("doc_id is not null").collect()}
-    assert got[(4, None)].text is None and got[(6, None)].text == "" and got[(5, "en")][n] == 0
-    assert line_chunks.deduplicated(none, runs=True)[0].count() == 0
+    assert got[(4, None)].text is None and got[(3, "en")].text == ""
+    assert got[(6, None)].text == "" and got[(6, None)][n] == 1 and got[(5, "en")][n] == 0
+    assert line_chunks.deduplicated(none)[0].count() == 0
 
 
 # long repeats --------------------------------------------------------------
