@@ -89,6 +89,9 @@ REJECT_RULES: dict[str, tuple[tuple[str, str], ...]] = {
                                       "serviceID")],
                ("invoiceDate", "date"), ("dateCreated", "ts"), ("dateUpdated", "ts"),
                *[(x, "float") for x in ("subTotal", "taxAmount", "total", "balance", "productionValue")]),
+    "route": (("routeID", "int"), ("officeID", "int"), ("date", "date"), ("assignedTech", "int")),
+    "ticketItem": (("itemID", "int"), ("quantity", "float"), ("amount", "float"), ("productID", "int"),
+                   ("serviceID", "int")),
 }
 
 
@@ -110,7 +113,10 @@ def _rejected(field: str, kind: str) -> Column:
 
 def conform_rejects(raw: DataFrame, entity: str) -> DataFrame:
     """Per raw field: how many non-blank values the safe parser replaced by a
-    default or NULL (the source load is silent about them)."""
+    default or NULL (the source load is silent about them). ``ticketItem``
+    profiles the items inside raw tickets."""
+    if entity == "ticketItem":
+        raw = raw.select(F.explode("items").alias("it")).select("it.*")
     rules = REJECT_RULES[entity]
     g = raw.agg(*[F.count_if(_rejected(f, k)).alias(f) for f, k in rules])
     return g.unpivot([], [f for f, _ in rules], "field", "rejects")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from fieldlake.functions.parse import FLOAT_PATTERN, INT_PATTERN, WHITESPACE
 from fieldlake.registry_ops import (
     ALL_DATES, BACKFILL_MONTHS, CALENDAR_AS_OF, CHANGED_AS_OF, CHANGED_DAYS, LEDGER_BEFORE, NIGHTLY, RUN_AT, WINDOW,
 )
@@ -10,6 +9,10 @@ from fieldlake.sources.testdata import FIXTURES, TICKETS_WITHOUT_ITEMS, _office,
 
 # -- parse rules in SQL ------------------------------------------------------
 
+# Rules and settings are stated here once more, not taken from the library.
+WHITESPACE = "".join(map(chr, (*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)))
+WHOLE = "[ \t]*[-+]?\\d+[ \t]*"
+DECIMAL = "[ \t]*[-+]?(\\d+\\.?\\d*|\\.\\d+)([eE][-+]?\\d+)?[ \t]*"
 TS_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
 
 
@@ -18,12 +21,12 @@ def strip(x: str) -> str:
 
 
 def to_int(x: str, default: str | None = None) -> str:
-    v = f"CASE WHEN regexp_matches({x}, '{INT_PATTERN}') THEN TRY_CAST(trim({x}, ' \t') AS BIGINT) END"
+    v = f"CASE WHEN regexp_full_match({x}, '{WHOLE}') THEN TRY_CAST(trim({x}, ' \t') AS BIGINT) END"
     return v if default is None else f"COALESCE({v}, {default})"
 
 
 def to_float(x: str, default: str | None = None) -> str:
-    v = f"CASE WHEN regexp_matches({x}, '{FLOAT_PATTERN}') THEN TRY_CAST(trim({x}, ' \t') AS DOUBLE) END"
+    v = f"CASE WHEN regexp_full_match({x}, '{DECIMAL}') THEN TRY_CAST(trim({x}, ' \t') AS DOUBLE) END"
     return v if default is None else f"COALESCE({v}, CAST({default} AS DOUBLE))"
 
 
@@ -628,9 +631,40 @@ def _fill_sql(template: str, values: dict[str, str]) -> str:
     return out
 
 
+# The typed fields of each raw entity.
+TYPED = {
+    "serviceType": {"int": "typeID officeID frequency billingFrequency", "float": "defaultCharge"},
+    "employee": {"int": "employeeID officeID type"},
+    "product": {"int": "productID officeID", "float": "amount"},
+    "customer": {"int": "customerID officeID billToAccountID", "date": "dateAdded dateCancelled"},
+    "subscription": {"int": "subscriptionID customerID officeID serviceID", "float": "recurringCharge initialCharge",
+                     "frequency": "frequency", "date": "nextService lastService dateAdded dateCancelled"},
+    "appointment": {"int": "appointmentID customerID subscriptionID ticketID officeID routeID sequence assignedTech "
+                           "servicedBy type duration status reserviceReasonID",
+                    "float": "productionValue amountCollected latIn longIn temperature windSpeed", "date": "date",
+                    "ts": "dateCompleted timeIn timeOut dateAdded dateUpdated"},
+    "ticket": {"int": "ticketID appointmentID customerID subscriptionID officeID serviceID", "date": "invoiceDate",
+               "float": "subTotal taxAmount total balance productionValue", "ts": "dateCreated dateUpdated"},
+    "route": {"int": "routeID officeID assignedTech", "date": "date"},
+}
+
+# The campaign's settings: thresholds as configured, texts as the library words them.
+CFG = {
+    "eligibility": {"minimum_days_since_last_increase": 365, "minimum_recurring_charge": 50},
+    "notification": {
+        "days_before_increase": 30, "notification_method": "field_service_messaging",
+        "email_subject": "Your new service price",
+        "email_body": "{customer_name}: your price per service changes from ${old_price:.2f} to ${new_price:.2f} on "
+                      "{effective_date}. {company_name}"},
+    "account_notation": {
+        "note_template": "Price ${old_price:.2f} to ${new_price:.2f} on {date}, told {days_before} days before.",
+        "service_note_template": "From this service: ${new_price:.2f} (was ${old_price:.2f})"},
+    "increase": {"type": "percentage", "value": 5},
+    "safety": {"dry_run": True, "max_customers_per_run": 50},
+}
+
+
 def _quality_pricing() -> dict[str, str]:
-    from fieldlake.operators.pricing import DEFAULT_CONFIG as CFG
-    from fieldlake.operators.quality import REJECT_RULES
     from fieldlake.registry_ops import EXPECTED_CUSTOMERS, PRICE_AS_OF
     q: dict[str, str] = {}
     rs = cte("raw_subscriptions")
@@ -661,8 +695,9 @@ ORDER BY subscription_id NULLS LAST LIMIT 1"""
                                 ("conform_rejects_employees", "raw_employees", "employee"),
                                 ("conform_rejects_products", "raw_products", "product"),
                                 ("conform_rejects_customers", "raw_customers", "customer"),
-                                ("conform_rejects_tickets", "raw_tickets", "ticket")):
-        rules = REJECT_RULES[entity]
+                                ("conform_rejects_tickets", "raw_tickets", "ticket"),
+                                ("conform_rejects_routes", "raw_routes", "route")):
+        rules = [(field, kind) for kind, fields in TYPED[entity].items() for field in fields.split()]
         q[name] = cte(table) + f""", g AS (SELECT {', '.join(_reject(f, k) for f, k in rules)} FROM {table})
 SELECT field, rejects FROM (UNPIVOT g ON {', '.join(f for f, _ in rules)} INTO NAME field VALUE rejects)"""
 
@@ -735,6 +770,12 @@ SELECT {CUSTOMER_COLS} FROM landed WHERE {not_orphan('officeID')} AND {not_orpha
     changed = lambda key: f"CAST({key} AS BIGINT) % 10 = 0"
     from fieldlake.sources.schemas import RAW_FIELDS
     from fieldlake.sources.testdata import RAW_ENTITY
+    item = {c: f"CAST({e} AS {t})" for c, e, t in FIXTURES["raw_items"].columns}
+    item_kinds = {"itemID": "int", "quantity": "float", "amount": "float", "productID": "int", "serviceID": "int"}
+    q["conform_rejects_ticket_items"] = f"""WITH i AS (SELECT {', '.join(f'{item[c]} AS {c}' for c in item_kinds)}
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE NOT ({TICKETS_WITHOUT_ITEMS})),
+g AS (SELECT {', '.join(_reject(c, k) for c, k in item_kinds.items())} FROM i)
+SELECT field, rejects FROM (UNPIVOT g ON {', '.join(item_kinds)} INTO NAME field VALUE rejects)"""
     landed = []
     for name, entity in RAW_ENTITY.items():
         q.setdefault(name, cte(name) + f"SELECT * FROM {name}")

@@ -365,7 +365,8 @@ def _quality_pricing_queries() -> dict:
     for name, table, entity in (
             ("service_types", "raw_service_types", "serviceType"), ("employees", "raw_employees", "employee"),
             ("products", "raw_products", "product"), ("customers", "raw_customers", "customer"),
-            ("tickets", "raw_tickets", "ticket")):
+            ("tickets", "raw_tickets", "ticket"), ("routes", "raw_routes", "route"),
+            ("ticket_items", "raw_tickets_nested", "ticketItem")):
         q[f"conform_rejects_{name}"] = lambda s, sf, t=table, e=entity: Q.conform_rejects(load(s, sf, t), e)
 
     cfg = P.config()

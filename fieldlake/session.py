@@ -54,11 +54,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local[") and sc.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="fieldlake-ckpt-")  # unset: local runs and tests only
+        path = sc._jvm.org.apache.hadoop.fs.Path(current)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(path)
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
 
 
+_scratch: dict[str, str] = {}  # application -> its scratch folder
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the checkpoint folder (shared on a cluster)."""
+    """A fresh folder under the checkpoint folder (shared on a cluster), in one
+    of this application that is deleted when it ends."""
     import uuid
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/fieldlake-{name}-{uuid.uuid4().hex[:12]}"
+    sc = spark.sparkContext
+    if sc.applicationId not in _scratch:
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fieldlake-{sc.applicationId}-{uuid.uuid4().hex[:8]}"
+        path = sc._jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _scratch[sc.applicationId] = root
+    return f"{_scratch[sc.applicationId]}/{name}-{uuid.uuid4().hex[:12]}"
