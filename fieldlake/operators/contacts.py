@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from fieldlake.functions.contact import best_phone, blank_to_null, clean_email, valid_email
 from fieldlake.functions.parse import strip, to_int
+from fieldlake.session import ensure_checkpoint_dir
 
 # Fixed values of the CRM tagging scheme.
 OFFICE_TAGS = {1: "fr_office1", 2: "fr_office2"}
@@ -192,76 +193,139 @@ def _key(field: str) -> Column:
     return F.coalesce(F.col(field), F.concat(F.lit("\x00"), F.coalesce(F.col("fr_id"), F.lit(""))))
 
 
-def match_contacts(contacts: DataFrame, existing: DataFrame) -> DataFrame:
-    """Adds contact_id of the existing CRM contact matched by email, else by
-    phone (NULL when none), and its tags as existing_tags."""
+def _crm_hits(contacts: DataFrame, existing: DataFrame) -> DataFrame:
+    """Adds _m_email_hit and _m_phone_hit, the CRM contacts (contact_id, tags)
+    holding the row's email and its phone."""
     by_email = _lookup(existing, F.lower(F.col("email")), "_m_email")
     by_phone = _lookup(existing, F.col("phone"), "_m_phone")
     j = contacts.withColumn("_e", _key("email")).withColumn("_p", _key("phone"))
     j = (j.join(by_email, j["_e"] == by_email["_m_email"], "left")
          .join(by_phone, j["_p"] == by_phone["_m_phone"], "left"))
+    return j.select(*contacts.columns, "_m_email_hit", "_m_phone_hit")
+
+
+def match_contacts(contacts: DataFrame, existing: DataFrame) -> DataFrame:
+    """Adds contact_id of the existing CRM contact matched by email, else by
+    phone (NULL when none), and its tags as existing_tags."""
     hit = F.coalesce(F.col("_m_email_hit"), F.col("_m_phone_hit"))
-    return j.select(*contacts.columns, hit["contact_id"].alias("contact_id"), hit["tags"].alias("existing_tags"))
+    return _crm_hits(contacts, existing).select(
+        *contacts.columns, hit["contact_id"].alias("contact_id"), hit["tags"].alias("existing_tags"))
 
 
-def earlier_in_batch(contacts: DataFrame, batch: DataFrame) -> DataFrame:
-    """Adds same_as, the first row of ``batch`` (by numeric id) that comes
-    before this one and carries its email, else its phone (NULL when none),
-    and that row's tags as batch_tags. A grouped minimum joined back, so a
-    shared address never gathers in one task."""
-    order = F.struct(F.col("fr_id").try_cast("long").alias("n"), F.col("fr_id").alias("fr_id"))
-    out, hits = contacts.withColumn("_ord", order), []
+def _first_holders(contacts: DataFrame) -> DataFrame:
+    """Adds _f_email and _f_phone: the first row (by _ord) that carries the
+    row's email and its phone, where it is an earlier one. A grouped minimum
+    joined back, so a shared address never gathers in one task."""
+    out = contacts
     for field in ("email", "phone"):
-        first = (batch.filter(F.col(field).isNotNull())
-                 .groupBy(F.col(field).alias(f"_k_{field}"))
-                 .agg(F.min(F.struct(order.alias("ord"), F.col("tags").alias("tags"))).alias(f"_f_{field}")))
+        first = (contacts.filter(F.col(field).isNotNull()).groupBy(F.col(field).alias(f"_k_{field}"))
+                 .agg(F.min("_ord").alias(f"_first_{field}")))
         out = out.withColumn(f"_j_{field}", _key(field))
         out = out.join(first, out[f"_j_{field}"] == first[f"_k_{field}"], "left")
-        hits.append(F.when(F.col(f"_f_{field}.ord") < F.col("_ord"), F.col(f"_f_{field}")))
-    hit = F.coalesce(*hits)
-    return out.select(*contacts.columns, hit["ord"]["fr_id"].alias("same_as"), hit["tags"].alias("batch_tags"))
+        out = out.withColumn(f"_f_{field}", F.when(F.col(f"_first_{field}") < F.col("_ord"), F.col(f"_first_{field}")))
+    return out.select(*contacts.columns, "_f_email", "_f_phone")
+
+
+def _managed(tag: Column) -> Column:
+    return tag.isin(*STATUS_TAGS) | tag.startswith(SERVICE_TAG_PREFIX)
 
 
 def merge_tags(existing_tags: Column, new_tags: Column) -> Column:
     """Existing tags minus the managed ones (fr_active, fr_inactive, svc_*),
     then the new tags; first occurrence kept, order preserved."""
-    kept = F.filter(F.coalesce(existing_tags, F.array().cast("array<string>")),
-                    lambda t: ~t.isin(*STATUS_TAGS) & ~t.startswith(SERVICE_TAG_PREFIX))
+    kept = F.filter(F.coalesce(existing_tags, F.array().cast("array<string>")), lambda t: ~_managed(t))
     return F.array_distinct(F.concat(kept, new_tags))
 
 
+def upsert_actions(raw_customers: DataFrame, existing: DataFrame, office: int = 1) -> DataFrame:
+    """Per changed customer of the office the action (created, updated,
+    skipped_orphaned, skipped_no_contact) and where it is found: in the CRM
+    (_hit) or by an earlier customer of the batch (_to; _ord is the row's own
+    place). ``existing`` has contact_id, email, phone and tags (ARRAY<STRING>).
+
+    An email is looked for before a phone, and in the CRM before the batch,
+    whose contacts are in the CRM by then."""
+    c = contacts_daily(raw_customers, office)
+    sendable = F.col("real") & (F.col("email").isNotNull() | F.col("phone").isNotNull())
+    place = F.struct(F.col("fr_id").try_cast("long").alias("n"), "fr_id", "email", "phone")
+    m = _first_holders(_crm_hits(c.filter(sendable).withColumn("_ord", place), existing))
+    by_email = F.col("_m_email_hit").isNotNull() | F.col("_f_email").isNotNull()
+    hit = F.when(by_email, F.col("_m_email_hit")).otherwise(F.col("_m_phone_hit"))
+    row = F.when(by_email, F.col("_f_email")).otherwise(F.col("_f_phone"))
+    m = (m.withColumn("_hit", hit).withColumn("_to", F.when(F.col("_hit").isNull(), row))
+         .drop("_m_email_hit", "_m_phone_hit", "_f_email", "_f_phone")
+         .withColumn("action", F.when(F.col("_hit").isNotNull() | F.col("_to").isNotNull(), F.lit("updated"))
+                     .otherwise(F.lit("created"))))
+    skipped = c.filter(~sendable).withColumn(
+        "action", F.when(~F.col("real"), F.lit("skipped_orphaned")).otherwise(F.lit("skipped_no_contact")))
+    return m.unionByName(skipped, allowMissingColumns=True)
+
+
+def _followed(links: DataFrame) -> DataFrame:
+    """(_ord, _to) with ``_to`` moved on to the last row of its chain of links.
+    Every round doubles the way gone, so a chain of n links takes log n rounds;
+    a link leads to an earlier row, so there are no circles."""
+    hops = links.filter(F.col("_to").isNotNull()).select("_ord", "_to").distinct()
+    while True:
+        hops = hops.checkpoint(eager=True)
+        on = hops.select(F.col("_ord").alias("_at"), F.col("_to").alias("_next"))
+        if hops.join(on, hops["_to"] == on["_at"], "left_semi").isEmpty():
+            return hops
+        hops = hops.join(on, hops["_to"] == on["_at"], "left").select(
+            "_ord", F.coalesce("_next", "_to").alias("_to"))
+
+
 def upsert_plan(raw_customers: DataFrame, raw_subscriptions: DataFrame, existing: DataFrame,
                 office: int = 1) -> DataFrame:
-    """Per changed customer of the office: the action (created, updated,
-    skipped_orphaned, skipped_no_contact), the matched contact and the tags
-    to write. ``existing`` has contact_id, email, phone and tags
-    (ARRAY<STRING>).
-
-    The source sends one contact after the other, so a customer whose email
-    or phone an earlier one of the batch carries finds that contact and
-    updates it: ``same_as`` names the first such customer, and its unmanaged
-    tags stay. A match in the CRM goes before one in the batch."""
-    c = contacts_daily(raw_customers, office)
-    has_contact = F.col("email").isNotNull() | F.col("phone").isNotNull()
-    sendable = F.col("real") & has_contact
-    batch = send = c.filter(sendable)
+    """Per changed customer of the office: the action (``upsert_actions``), the
+    contact it reaches and the tags to write.
+
+    The source sends one contact after the other, so a customer whose email or
+    phone an earlier one of the batch carries reaches the contact of that
+    customer, which may itself be reached through a still earlier one, and so
+    on. ``same_as`` is the first customer with the address (NULL if the CRM had
+    it before), ``contact_id`` the contact's id in the CRM, ``created_by`` the
+    customer that created it if the CRM did not have it. Tags add up: unmanaged
+    tags of the contact, then those of all earlier customers that reached it,
+    then the customer's own. An address stays with the contact that had it
+    first. Rows that repeat id, email and phone count as one.
+
+    Chains are followed by doubling, and a contact's earlier tags are one
+    minimum per tag, so no contact's customers have to meet in one task: a
+    customer's unmanaged tags come from a fixed list."""
+    ensure_checkpoint_dir(raw_customers.sparkSession)
+    rows = upsert_actions(raw_customers, existing, office).checkpoint(eager=True)
+    skipped = rows.filter(F.col("action").startswith("skipped")).drop("_ord", "_hit", "_to")
+    send = rows.filter(~F.col("action").startswith("skipped"))
     if office in SERVICE_TAG_OFFICES:
         svc = service_tags(tag_subscriptions(raw_subscriptions, office=office))
         send = send.join(svc, send["fr_id"] == svc["customerID"], "left").drop("customerID")
-        send = send.withColumn("tags", F.concat("tags", F.coalesce("svc_tags", F.array().cast("array<string>"))))
     else:
         send = send.withColumn("svc_tags", F.lit(None).cast("array<string>"))
-    m = earlier_in_batch(match_contacts(send, existing), batch)
-    known = F.col("contact_id").isNotNull()
-    found = known | F.col("same_as").isNotNull()
-    m = (m.withColumn("same_as", F.when(~known, F.col("same_as")))
-         .withColumn("existing_tags", F.when(known, F.col("existing_tags")).otherwise(F.col("batch_tags")))
-         .withColumn("action", F.when(found, F.lit("updated")).otherwise(F.lit("created")))
-         .withColumn("tags", F.when(F.col("action") == "updated", merge_tags(F.col("existing_tags"), F.col("tags")))
-                     .otherwise(F.col("tags"))).drop("batch_tags"))
-    skipped = c.filter(~sendable).withColumn(
-        "action", F.when(~F.col("real"), F.lit("skipped_orphaned")).otherwise(F.lit("skipped_no_contact")))
-    return m.unionByName(skipped, allowMissingColumns=True).drop("real")
+    none = F.array().cast("array<string>")
+
+    ends = _followed(rows).select(F.col("_ord").alias("_from"), F.col("_to").alias("_end"))
+    send = send.join(ends, send["_ord"] == ends["_from"], "left").drop("_from") \
+        .withColumn("_end", F.coalesce("_end", "_ord"))
+    known = rows.filter(F.col("_hit").isNotNull()).select(F.col("_ord").alias("_k"), F.col("_hit").alias("_known")) \
+        .dropDuplicates(["_k"])
+    send = send.join(known, send["_end"] == known["_k"], "left").drop("_k")
+    contact = F.struct(F.col("_known.contact_id").alias("id"),
+                       F.when(F.col("_known").isNull(), F.col("_end")).alias("row"))
+    send = send.withColumn("_contact", contact)
+
+    first = (send.select("_contact", "_ord", F.posexplode("tags").alias("pos", "tag")).filter(~_managed(F.col("tag")))
+             .groupBy("_contact", "tag").agg(F.min(F.struct("_ord", "pos")).alias("at"))
+             .groupBy(F.col("_contact").alias("_c")).agg(F.sort_array(F.collect_list(F.struct("at", "tag"))).alias("_said")))
+    send = send.join(first, send["_contact"] == first["_c"], "left").drop("_c")
+    before = F.transform(F.filter("_said", lambda x: x["at"]["_ord"] < F.col("_ord")), lambda x: x["tag"])
+    old = F.concat(F.coalesce(F.col("_known.tags"), none), F.coalesce(before, none))
+    own = F.concat("tags", F.coalesce("svc_tags", none))
+    send = (send.withColumn("tags", F.when(F.col("action") == "updated", merge_tags(old, own)).otherwise(own))
+            .withColumn("contact_id", F.col("_contact.id")).withColumn("created_by", F.col("_contact.row.fr_id"))
+            .withColumn("same_as", F.col("_to.fr_id"))
+            .drop("_ord", "_hit", "_to", "_end", "_known", "_contact", "_said"))
+    return send.unionByName(skipped, allowMissingColumns=True).drop("real")
 
 
 def upsert_summary(plan: DataFrame) -> DataFrame:

@@ -486,25 +486,37 @@ KEPT = "list_filter(old, lambda t: t NOT IN ('fr_active', 'fr_inactive') AND NOT
 
 
 def plan(office: int) -> str:
-    """The contacts sent one after the other: each looks for the CRM contact,
-    then for the first earlier contact with its email, then its phone."""
+    """The contacts sent one after the other: each looks for its email in the
+    CRM and among the earlier contacts, then for its phone; a recursive walk
+    leads from contact to contact to the one that the CRM holds."""
     svc = OFFICE_SVC if office == 1 else "svc AS (SELECT '' AS customerID, CAST([] AS VARCHAR[]) AS svc_tags)"
     earlier = "SELECT arg_min(x.fr_id, CAST(x.fr_id AS BIGINT)) FROM sendable x WHERE CAST(x.fr_id AS BIGINT) < CAST(s.fr_id AS BIGINT)"
     return f""", {svc}, {CRM}, {daily(office)},
 sendable AS (SELECT d.fr_id, d.email, d.phone, d.tags || COALESCE(svc.svc_tags, []) AS tags
   FROM daily d LEFT JOIN svc ON d.fr_id = svc.customerID
   WHERE d.real AND (d.email IS NOT NULL OR d.phone IS NOT NULL)),
-m AS (SELECT s.*, COALESCE(e.cid, p.cid) AS contact_id,
+m AS (SELECT s.*, COALESCE(e.cid, p.cid) AS contact_id, e.cid AS crm_email, p.cid AS crm_phone,
   ({earlier} AND x.email = s.email) AS before_email, ({earlier} AND x.phone = s.phone) AS before_phone
   FROM sendable s LEFT JOIN by_email e ON s.email = e.k LEFT JOIN by_phone p ON s.phone = p.k),
-n AS (SELECT m.fr_id, m.tags, m.contact_id,
-  CASE WHEN m.contact_id IS NULL THEN COALESCE(before_email, before_phone) END AS same_as FROM m),
-o AS (SELECT n.*, CASE WHEN n.contact_id IS NOT NULL THEN c.tags ELSE d.tags END AS old
-  FROM n LEFT JOIN crm c ON c.contact_id = n.contact_id LEFT JOIN sendable d ON d.fr_id = n.same_as),
-merged AS (SELECT fr_id, contact_id, same_as,
-  list_filter({KEPT} || tags, lambda x, i: i = list_position({KEPT} || tags, x)) AS tags
-  FROM o WHERE contact_id IS NOT NULL OR same_as IS NOT NULL),
-actions AS (SELECT CASE WHEN contact_id IS NOT NULL OR same_as IS NOT NULL THEN 'updated' ELSE 'created' END AS action FROM n
+n AS (SELECT fr_id, tags, CASE WHEN crm_email IS NULL AND before_email IS NULL THEN crm_phone ELSE crm_email END AS hit,
+  CASE WHEN crm_email IS NOT NULL THEN NULL WHEN before_email IS NOT NULL THEN before_email
+       WHEN crm_phone IS NULL THEN before_phone END AS same_as FROM m),
+reached AS (WITH RECURSIVE w AS (SELECT fr_id, fr_id AS stop, hit, same_as FROM n
+    UNION ALL SELECT w.fr_id, n.fr_id, n.hit, n.same_as FROM w JOIN n ON n.fr_id = w.same_as)
+  SELECT fr_id, hit AS contact_id, CASE WHEN hit IS NULL THEN stop END AS created_by FROM w WHERE same_as IS NULL),
+o AS (SELECT n.*, r.contact_id, r.created_by, COALESCE(c.tags, []) || COALESCE(flatten(list(n.tags) OVER (
+    PARTITION BY r.contact_id, r.created_by ORDER BY CAST(n.fr_id AS BIGINT)
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), []) AS old
+  FROM n JOIN reached r ON r.fr_id = n.fr_id LEFT JOIN crm c ON c.contact_id = r.contact_id),
+planned AS (SELECT fr_id, 'created' AS action, contact_id, same_as, created_by, tags FROM o
+  WHERE hit IS NULL AND same_as IS NULL
+  UNION ALL SELECT fr_id, 'updated', contact_id, same_as, created_by,
+  list_filter({KEPT} || tags, lambda x, i: i = list_position({KEPT} || tags, x))
+  FROM o WHERE hit IS NOT NULL OR same_as IS NOT NULL
+  UNION ALL SELECT fr_id, CASE WHEN NOT real THEN 'skipped_orphaned' ELSE 'skipped_no_contact' END, NULL, NULL, NULL,
+  tags FROM daily WHERE NOT (real AND (email IS NOT NULL OR phone IS NOT NULL))),
+merged AS (SELECT * FROM planned WHERE action = 'updated'),
+actions AS (SELECT CASE WHEN hit IS NOT NULL OR same_as IS NOT NULL THEN 'updated' ELSE 'created' END AS action FROM n
   UNION ALL SELECT CASE WHEN NOT real THEN 'skipped_orphaned' ELSE 'skipped_no_contact' END FROM daily
   WHERE NOT (real AND (email IS NOT NULL OR phone IS NOT NULL)))
 """
@@ -539,6 +551,8 @@ UNION ALL SELECT 'svc_pest_not_svc_mosquito', CAST(COUNT_IF(list_contains(t, 'sv
     for suffix, n in (("", 1), ("_office2", 2)):
         q[f"tag_merge{suffix}"] = both + plan(n) + (
             "SELECT fr_id, contact_id, same_as, array_to_string(tags, ',') AS tags FROM merged")
+        q[f"upsert_plan{suffix}"] = both + plan(n) + (
+            "SELECT fr_id, action, contact_id, same_as, created_by, array_to_string(tags, ',') AS tags FROM planned")
         q[f"upsert_summary{suffix}"] = both + plan(n) + "SELECT action, COUNT(*) AS customers FROM actions GROUP BY 1"
     ic = cte("raw_customers", "crm_contacts") + f", {CRM}, {IMPORT}\n"
     q["import_dedupe"] = ic + ("SELECT fr_id, email, phone, array_to_string(tags, ',') AS tags, action, matched_on "

@@ -275,12 +275,13 @@ def _contact_queries() -> dict:
     def _plan(s, sf, office=1):
         return G.upsert_plan(load(s, sf, "raw_customers"), load(s, sf, "raw_subscriptions"),
                              crm_existing(s, sf), office)
-    q["tag_merge"] = lambda s, sf: _plan(s, sf).filter(F.col("action") == "updated").select(
-        "fr_id", "contact_id", "same_as", _txt("tags"))
-    q["upsert_summary"] = lambda s, sf: G.upsert_summary(_plan(s, sf))
-    q["upsert_summary_office2"] = lambda s, sf: G.upsert_summary(_plan(s, sf, 2))
-    q["tag_merge_office2"] = lambda s, sf: _plan(s, sf, 2).filter(F.col("action") == "updated").select(
-        "fr_id", "contact_id", "same_as", _txt("tags"))
+    for suffix, office in (("", 1), ("_office2", 2)):
+        q[f"upsert_plan{suffix}"] = lambda s, sf, office=office: _plan(s, sf, office).select(
+            "fr_id", "action", "contact_id", "same_as", "created_by", _txt("tags"))
+        q[f"tag_merge{suffix}"] = lambda s, sf, office=office: _plan(s, sf, office).filter(
+            F.col("action") == "updated").select("fr_id", "contact_id", "same_as", _txt("tags"))
+        q[f"upsert_summary{suffix}"] = lambda s, sf, office=office: G.upsert_summary(
+            G.upsert_actions(load(s, sf, "raw_customers"), crm_existing(s, sf), office))
 
     def _sendable_import(s, sf):
         return G.contactable(G.import_pending(G.contacts_import(load(s, sf, "raw_customers")),

@@ -73,6 +73,7 @@ def test_upsert_finds_earlier_contacts_of_the_batch(spark):
            for r in G.upsert_plan(raw, subs, crm).collect()}
     mine = ["fr_office1", "fr_active", "fr_residential"]
     moved = ["fr_office1", "fr_residential", "fr_active"]
+    # 12 has a new email, so its phone finds the contact; all three reach the one of 9
     assert got == {"9": ("created", None, None, [*mine, "svc_bee"]), "10": ("updated", None, "9", moved),
                    "11": ("updated", None, "9", moved), "12": ("updated", None, "9", moved),
                    "14": ("updated", 5, None, ["vip", *mine]), "15": ("skipped_no_contact", None, None, mine),
@@ -81,6 +82,77 @@ def test_upsert_finds_earlier_contacts_of_the_batch(spark):
     assert two["13"] == ("created", ["fr_office2", "fr_active", "fr_residential"]) and set(two) == {"13", "-1"}
 
 
+def _one_after_the_other(rows, crm):
+    """The source's loop: look for the email, then the phone; an address stays
+    with the contact that had it first."""
+    contacts = {f"c{i}": list(tags or []) for i, _, _, tags in crm}
+    emails, phones, out = {}, {}, {}
+    for i, email, phone, _ in sorted(crm):
+        emails.setdefault(email, f"c{i}") if email else None
+        phones.setdefault(phone, f"c{i}") if phone else None
+    for fr_id, email, phone, own in sorted(rows, key=lambda r: int(r[0])):
+        if not (email or phone):
+            continue
+        found = (emails.get(email) if email else None) or (phones.get(phone) if phone else None)
+        at = found or f"b{fr_id}"
+        if found:
+            kept = [t for t in contacts[at] if t not in ("fr_active", "fr_inactive") and not t.startswith("svc_")]
+            contacts[at] = list(dict.fromkeys(kept + own))
+        else:
+            contacts[at] = own
+        if email:
+            emails.setdefault(email, at)
+        if phone:
+            phones.setdefault(phone, at)
+        out[fr_id] = ("updated" if found else "created", at, contacts[at])
+    return out
+
+
+def _planned(spark, rows, crm):
+    raw = spark.createDataFrame([(i, "1", e, p, commercial) for i, e, p, commercial in rows],
+                                "customerID string, officeID string, email string, phone1 string, commercialAccount string") \
+        .selectExpr("*", "'' AS phone2", "'F' AS fname", "'L' AS lname", "'' AS companyName", "'' AS address",
+                    "'' AS city", "'' AS state", "'' AS zip", "'1' AS active")
+    subs = spark.createDataFrame([(rows[0][0], "1", "Bee Removal", "1", "3")],
+                                 "customerID string, officeID string, serviceType string, active string, serviceID string")
+    existing = spark.createDataFrame(crm, "contact_id long, email string, phone string, tags array<string>")
+    got = {r["fr_id"]: ("b" + r["created_by"] if r["contact_id"] is None else f"c{r['contact_id']}", r["action"], r["tags"])
+           for r in G.upsert_plan(raw, subs, existing).collect() if not r["action"].startswith("skipped")}
+    own = lambda i, c: (["fr_office1", "fr_active", "fr_commercial" if c == "1" else "fr_residential"]
+                        + (["svc_bee"] if i == rows[0][0] else []))
+    want = _one_after_the_other([(i, e, p, own(i, c)) for i, e, p, c in rows], crm)
+    return got, {k: (at, action, tags) for k, (action, at, tags) in want.items()}
+
+
+def test_upsert_tags_add_up_along_chains(spark):
+    import random
+    phone = lambda n: f"+1702555{n:04d}"
+    # a chain: each finds the one before by its phone or its email in turn
+    chain = [(str(i), f"e{(i + 1) // 2}@x.com", phone(i // 2), str(int(i in (3, 40)))) for i in range(1, 60)]
+    got, want = _planned(spark, chain, [(7, "e1@x.com", None, ["vip", "svc_pest", "fr_inactive"])])
+    assert got == want and {at for at, _, _ in got.values()} == {"c7"}
+    assert got["59"][2] == ["vip", "fr_office1", "fr_residential", "fr_commercial", "fr_active"]
+    got, want = _planned(spark, chain, [])
+    assert got == want and {at for at, _, _ in got.values()} == {"b1"}
+    rng = random.Random(5)
+    for n in (25, 80):
+        rows = [(str(i), rng.choice([None, *[f"m{k}@x.com" for k in range(n)]]),
+                 rng.choice([None, "+17025559999", *[phone(k) for k in range(n)]]), rng.choice("01"))
+                for i in rng.sample(range(1, 2000), 150)]
+        crm = [(k, f"m{3 * k}@x.com" if k % 2 else None, phone(2 * k) if k % 3 else None, ["vip", f"t{k}", "svc_bee"])
+               for k in range(1, 9)]
+        got, want = _planned(spark, rows, crm)
+        assert got == want
+
+
+def test_upsert_plan_of_no_customers(spark):
+    raw = _raw(spark, [("-1", "-1", "a@x.com", None), ("3", "1", None, None)])
+    subs = spark.createDataFrame([], "customerID string, officeID string, serviceType string, active string, serviceID string")
+    crm = spark.createDataFrame([], "contact_id long, email string, phone string, tags array<string>")
+    assert sorted((r["fr_id"], r["action"], r["created_by"]) for r in G.upsert_plan(raw, subs, crm).collect()) == [
+        ("-1", "skipped_orphaned", None), ("3", "skipped_no_contact", None)]
+
+
 class Crm:
     """A CRM that answers one attempt after the other."""
 
