@@ -95,8 +95,7 @@ REJECT_RULES: dict[str, tuple[tuple[str, str], ...]] = {
 }
 
 
-def _rejected(field: str, kind: str) -> Column:
-    x = F.col(field)
+def _rejected(x: Column, kind: str) -> Column:
     placeholder = strip(x).startswith("0000")
     if kind == "int":
         bad = to_int(x).isNull()
@@ -118,5 +117,27 @@ def conform_rejects(raw: DataFrame, entity: str) -> DataFrame:
     if entity == "ticketItem":
         raw = raw.select(F.explode("items").alias("it")).select("it.*")
     rules = REJECT_RULES[entity]
-    g = raw.agg(*[F.count_if(_rejected(f, k)).alias(f) for f, k in rules])
+    g = raw.agg(*[F.count_if(_rejected(F.col(f), k)).alias(f) for f, k in rules])
     return g.unpivot([], [f for f, _ in rules], "field", "rejects")
+
+
+def rejected_fields(entity: str) -> Column:
+    """The names of the fields of one raw record that ``conform_rejects`` would
+    count, for a job that writes the conformed record and counts later. Of a
+    raw ticket, ``ticketItem`` gives a name for each item that has it."""
+    def names(value) -> Column:
+        found = [F.when(_rejected(value(f), k), F.lit(f)) for f, k in REJECT_RULES[entity]]
+        return F.filter(F.array(*found), lambda n: n.isNotNull())
+
+    if entity != "ticketItem":
+        return names(F.col)
+    items = F.filter("items", lambda it: it.isNotNull())
+    return F.coalesce(F.flatten(F.transform(items, lambda it: names(lambda f: it[f]))), F.array().cast("array<string>"))
+
+
+def reject_counts(entity: str, names: Column) -> list[Column]:
+    """An aggregate per field, in the order of REJECT_RULES, over ``names``."""
+    def of(field: str) -> Column:
+        return F.coalesce(F.sum(F.size(F.filter(names, lambda n: n == field))), F.lit(0)).cast("long")
+
+    return [of(f) for f, _ in REJECT_RULES[entity]]

@@ -134,11 +134,16 @@ def conformed_appointments_ctes() -> str:
             + f"LEFT JOIN rt ON {to_int('routeID')} = rt.route_id AND {to_int('officeID')} = rt.office_id WHERE {not_orphan('officeID')})\n")
 
 
-def _items_sql() -> str:
-    fx = FIXTURES["raw_items"]
-    cols = {c: f"CAST({e} AS {t})" for c, e, t in fx.columns}
+def _raw_item() -> tuple[dict[str, str], str, str]:
+    """The raw item's columns, and its ticket's id and office."""
+    cols = {c: f"CAST({e} AS {t})" for c, e, t in FIXTURES["raw_items"].columns}
     ticket = f"CAST(CASE WHEN o_orderkey % 211 = 0 THEN '' ELSE CAST(o_orderkey + 1 AS STRING) END AS STRING)"
     office = f"CAST(CASE WHEN o_orderkey % 97 = 0 THEN '-1' ELSE CAST({_office('o_custkey')} AS STRING) END AS STRING)"
+    return cols, ticket, office
+
+
+def _items_sql() -> str:
+    cols, ticket, office = _raw_item()
     return f"""SELECT {to_int(cols['itemID'], '0')} AS item_id, {to_int(ticket, '0')} AS ticket_id,
  {to_int(office, '-1')} AS office_id, {strip(cols['description'])} AS description,
  {to_float(cols['quantity'], '0')} AS quantity, {to_float(cols['amount'], '0')} AS amount,
@@ -236,6 +241,33 @@ SELECT TIMESTAMP '{RUN_AT}' AS run_at, CAST(o AS BIGINT) AS office_id,
   {count('new_a')} AS appointments_synced, {count('new_t')} AS tickets_synced,
   {count('new_i')} AS ticket_items_synced, {count('new_c')} AS customers_synced,
   {count('new_s')} AS subscriptions_synced FROM (VALUES (1), (2), (3)) AS v(o)"""
+    item = {"int": "itemID productID serviceID", "float": "quantity amount"}
+    cols, ticket, office = _raw_item()
+    fetched = {
+        "route": "SELECT * FROM raw_routes",
+        "appointment": f"""SELECT * FROM raw_appointments r WHERE ({to_date('date')} BETWEEN DATE '{as_of[:10]}' - {days}
+  AND DATE '{as_of[:10]}' AND COALESCE({to_int('status')}, 0) NOT IN (-1, -2)) OR EXISTS (SELECT 1 FROM held h
+  WHERE h.office_id = {to_int('r.officeID')} AND h.appointment_id = {to_int('r.appointmentID')})""",
+        "ticket": f"""SELECT * FROM raw_tickets r WHERE EXISTS (SELECT 1 FROM asked
+  WHERE asked.office_id = {to_int('r.officeID')} AND asked.ticket_id = {to_int('r.ticketID')})""",
+        "ticketItem": f"""SELECT {office} AS officeID, {', '.join(f"{cols[c]} AS {c}" for c in ' '.join(item.values()).split())}
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN replaced r
+  ON r.office_id = {to_int(office)} AND r.ticket_id = {to_int(ticket, '0')} WHERE NOT ({TICKETS_WITHOUT_ITEMS})""",
+        "customer": f"SELECT * FROM raw_customers WHERE {changed} AND {real}",
+        "subscription": f"SELECT * FROM raw_subscriptions WHERE {changed} AND {real}"}
+    parts = []
+    for entity, rows in fetched.items():
+        rules = [(f, k) for k, fields in TYPED.get(entity, item).items() for f in fields.split()]
+        night += f""", {entity}_rows AS ({rows}),
+{entity}_counts AS (SELECT o AS office_id, COUNT(x.officeID) AS records, {', '.join(f"{_reject(f, k)}" for f, k in rules)}
+  FROM (VALUES (1), (2), (3)) v(o) LEFT JOIN {entity}_rows x ON {to_int('x.officeID')} = o GROUP BY 1)"""
+        parts.append(f"""SELECT office_id, '{entity}' AS entity, field, records, rejects FROM (
+  UNPIVOT {entity}_counts ON {', '.join(f for f, _ in rules)} INTO NAME field VALUE rejects)"""
+                     + {"subscription": " WHERE office_id <> 3",
+                        "ticketItem": " WHERE office_id IN (SELECT office_id FROM replaced)"}.get(entity, ""))
+    q["nightly_rejects"] = night + f"""
+SELECT TIMESTAMP '{RUN_AT}' AS run_at, CAST(office_id AS BIGINT) AS office_id, entity, field,
+  CAST(records AS BIGINT) AS records, CAST(rejects AS BIGINT) AS rejects FROM ({' UNION ALL '.join(parts)})"""
     return q
 
 

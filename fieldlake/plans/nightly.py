@@ -5,7 +5,9 @@ search), the tickets of these appointments and their items, then the customers
 and subscriptions changed since. Per entity, each office's records are fetched
 and conformed by themselves, side by side, and all of them are loaded in one
 commit; an office whose fetch fails is left out from then on, and its health
-row keeps the counts reached before.
+row keeps the counts reached before. The values that the safe parsers replaced
+are noted beside the conformed records and counted with them, without a scan of
+their own, and appended to the table ``load_rejects``.
 
 Tables are committed folders under one root: appointments by (office, month),
 the others by (office, range of ids), so a night reads and rewrites the folders
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from fieldlake.functions.parse import to_date, to_int
 from fieldlake.operators import conform as C
 from fieldlake.operators import load as L
+from fieldlake.operators import quality as Q
 from fieldlake.session import ensure_checkpoint_dir
 from fieldlake.sources import sinks
 from fieldlake.sources.schemas import STAR_SCHEMAS
@@ -33,6 +36,9 @@ Fetch = Callable[[str, int], DataFrame]  # (raw entity, office) -> the office's
 # Statuses that the source's search leaves out: cancelled, rescheduled.
 INACTIVE = (-1, -2)
 
+REJECTS = "office_id bigint, entity string, field string, records bigint, rejects bigint"
+NOTED = "_rejected"  # a staged row's rejected fields, as an array of names
+
 DIMENSIONS = {"dim_service_types": ("serviceType", C.conform_service_types),
               "dim_employees": ("employee", C.conform_employees),
               "dim_products": ("product", C.conform_products)}
@@ -52,6 +58,7 @@ class Run:
         self.active = list(self.offices)
         self.counts = {o: dict.fromkeys(L.SYNC_ENTITIES, 0) for o in self.offices}
         self.errors: dict[int, str] = {}
+        self.rejects: list[tuple[int, str, str, int, int]] = []  # office, entity, field, records, rejects
         ensure_checkpoint_dir(spark)
 
     def fail(self, offices: Iterable[int], error: Exception) -> None:
@@ -59,23 +66,35 @@ class Run:
             self.errors.setdefault(o, str(error))
         self.active = [o for o in self.active if o not in self.errors]
 
-    def staged(self, name: str, make: Callable[[int], DataFrame]) -> dict[int, DataFrame]:
+    def checkpointed(self, rows: DataFrame, entity: str) -> tuple[DataFrame, int, list[int]]:
+        """The rows, conformed once, their number and their rejects per field."""
+        rows = rows.checkpoint(eager=True)
+        n, *rejects = rows.agg(F.count(F.lit(1)), *Q.reject_counts(entity, F.col(NOTED))).first()
+        return rows.drop(NOTED), n, rejects
+
+    def note(self, office: int, entity: str, n: int, rejects: list[int]) -> None:
+        fields = [f for f, _ in Q.REJECT_RULES[entity]]
+        self.rejects += [(office, entity, f, n, x) for f, x in zip(fields, rejects, strict=True)]
+
+    def staged(self, name: str, entity: str, make: Callable[[int], DataFrame]) -> dict[int, DataFrame]:
         """Each active office's rows, fetched and conformed once and side by
-        side, without offices that have none; counts them as ``name``."""
+        side, without offices that have none; counts them as ``name`` and
+        their rejects, noted in a column, as the entity's."""
         def one(office):
             try:
-                rows = make(office).checkpoint(eager=True)
-                return rows, rows.count(), None
+                return *self.checkpointed(make(office), entity), None
             except Exception as e:  # the other offices go on; the health row says what failed
-                return None, 0, e
+                return None, 0, None, e
 
         with ThreadPoolExecutor(max(1, len(self.active))) as pool:
             done = dict(zip(self.active, pool.map(one, self.active), strict=True))
-        for office, (_, n, error) in done.items():
+        for office, (_, n, rejects, error) in done.items():
             if error is not None:
                 self.fail([office], error)
+            else:
+                self.note(office, entity, n, rejects)
             self.counts[office][name] = n
-        return {o: rows for o, (rows, n, _) in done.items() if n}
+        return {o: rows for o, (rows, n, *_) in done.items() if n}
 
     def load(self, names: Iterable[str], write: Callable[[], object]) -> None:
         """One load for all active offices; if it fails they all do, without
@@ -95,8 +114,12 @@ def _union(frames: Iterable[DataFrame]) -> DataFrame:
     return out
 
 
-def _columns(rows: DataFrame, name: str) -> DataFrame:
-    return rows.select(*STAR_SCHEMAS[name].names)
+def _columns(rows: DataFrame, name: str, *extra: str) -> DataFrame:
+    return rows.select(*STAR_SCHEMAS[name].names, *extra)
+
+
+def _noted(entity: str):
+    return Q.rejected_fields(entity).alias(NOTED)
 
 
 def sync_appointments(run: Run, fetch: Fetch, start, end, run_at) -> None:
@@ -113,11 +136,14 @@ def sync_appointments(run: Run, fetch: Fetch, start, end, run_at) -> None:
         found = active.select(to_int(F.col("officeID")).alias("office_id"),
                               to_int(F.col("appointmentID")).alias("appointment_id"))
         gone = L.vanished_ids(stored, found, office, start, end)
-        routes = L.route_tech(fetch("route", office), start, end, office)
-        return _columns(C.conform_appointments(active.unionByName(L.refetch(raw, gone)), run_at, route_tech=routes),
-                        "fact_appointments")
-
-    staged = run.staged("appointments", rows)
+        routes, n, rejects = run.checkpointed(
+            of_office(fetch("route", office), office).select("*", _noted("route")), "route")
+        run.note(office, "route", n, rejects)
+        return _columns(C.conform_appointments(active.unionByName(L.refetch(raw, gone)), run_at, _noted("appointment"),
+                                               route_tech=L.route_tech(routes, start, end, office)),
+                        "fact_appointments", NOTED)
+
+    staged = run.staged("appointments", "appointment", rows)
     if staged:
         slots = [(o, m) for o in staged for m in sinks._months(start, end)]
         dropped = F.col("office_id").isin(*staged) & F.col("scheduled_date").between(*dates)
@@ -142,17 +168,21 @@ def sync_tickets(run: Run, fetch: Fetch, start, end, run_at) -> None:
     ids = {o: L.window_ticket_ids(booked, o, start, end) for o in run.active}
 
     def rows(office):
-        return L.refetch(of_office(C.real_office(fetch("ticket", office)), office), ids[office], "ticketID", "ticket_id")
+        raw = L.refetch(of_office(C.real_office(fetch("ticket", office)), office), ids[office], "ticketID", "ticket_id")
+        return raw.select("*", _noted("ticket"))
 
-    staged = run.staged("tickets", rows)
+    staged = run.staged("tickets", "ticket", rows)
     if not staged:
         return
     raw, asked = _union(staged.values()), _union(ids[o] for o in staged)
     tickets = ticket_columns(raw, run_at)
     items = item_columns(raw, run_at).checkpoint(eager=True)
-    for r in items.groupBy("office_id").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per office
-        if r["office_id"] in run.counts:
-            run.counts[r["office_id"]]["ticket_items"] = r["n"]
+    found = raw.select(to_int(F.col("officeID")).alias("office"), F.size(F.filter("items", lambda x: x.isNotNull())).alias("n"),
+                       _noted("ticketItem"))
+    for office, n, *rejects in found.groupBy("office").agg(  # a row per office
+            F.sum(F.greatest("n", F.lit(0))), *Q.reject_counts("ticketItem", F.col(NOTED))).collect():
+        run.counts[office]["ticket_items"] = n
+        run.note(office, "ticketItem", n, rejects)
     run.load(["tickets", "ticket_items"], lambda: sinks.load_by_id(
         run.spark, f"{run.root}/fact_tickets", tickets, asked, "ticket_id", staged=True))
     if run.active:
@@ -167,9 +197,9 @@ def sync_changed(run: Run, fetch: Fetch, entity: str, name: str, conform: Callab
 
     def rows(office):
         raw = of_office(C.real_records(fetch(entity, office)), office)
-        return _columns(conform(L.changed_since(raw, as_of, days), run_at), table)
+        return _columns(conform(L.changed_since(raw, as_of, days), run_at, _noted(entity)), table, NOTED)
 
-    staged = run.staged(name, rows)
+    staged = run.staged(name, entity, rows)
     if staged:
         new = _union(staged.values())
         run.load([name], lambda: sinks.load_by_id(run.spark, f"{run.root}/{table}", new, new.select("office_id", key),
@@ -192,7 +222,7 @@ def create_tables(tables: dict[str, DataFrame], root: str) -> None:
 def nightly_sync(spark: SparkSession, fetch: Fetch, root: str, offices: Iterable[int], as_of, days: int,
                  run_at, full_dims: bool = False) -> DataFrame:
     """Sync every office and append a health row for each, also for one that
-    failed; returns this run's health rows. ``full_dims`` forces the refresh of
+    failed, and what its parsers rejected; returns this run's health rows. ``full_dims`` forces the refresh of
     the slow dimensions, which otherwise is due on Mondays; if it fails, the
     rows of all offices say so and nothing else is loaded."""
     run = Run(spark, root, offices)
@@ -213,4 +243,6 @@ def nightly_sync(spark: SparkSession, fetch: Fetch, root: str, offices: Iterable
     kinds = ", ".join(f"{f.name} {'string' if f.name == 'run_at' else f.dataType.simpleString()}" for f in schema)
     rows = spark.createDataFrame(health, kinds).withColumn("run_at", F.col("run_at").cast("timestamp"))
     sinks.write_health(rows, f"{root}/sync_health")
+    found = spark.createDataFrame(run.rejects, REJECTS)
+    sinks.append(found.select(F.lit(str(run_at)).cast("timestamp").alias("run_at"), "*"), f"{root}/load_rejects")
     return rows

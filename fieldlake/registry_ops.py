@@ -200,6 +200,7 @@ def _load_queries() -> dict:
 
     q["nightly_sync"] = lambda s, sf: _nightly_tables(s, _nightly(s, sf))
     q["nightly_health"] = lambda s, sf: sinks.read(s, f"{_nightly(s, sf)}/sync_health")
+    q["nightly_rejects"] = lambda s, sf: sinks.read(s, f"{_nightly(s, sf)}/load_rejects")
 
     def _backfill_ledger(s, sf):
         from fieldlake.plans.backfill import ledger

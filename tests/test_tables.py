@@ -8,6 +8,7 @@ import pathlib
 import pytest
 from pyspark.sql import functions as F
 
+from fieldlake.operators.quality import REJECT_RULES
 from fieldlake.sources import sinks, tables
 
 
@@ -274,6 +275,28 @@ def test_night_that_starts_from_empty_tables(spark, sf, tmp_path):
     again = nightly.nightly_sync(spark, _fetch(spark, sf), root, (1, 2), as_of, days, RUN_AT).collect()
     assert [r[6:] for r in again] == [r[6:] for r in health]
     assert sinks.read(spark, f"{root}/sync_health").count() == 4
+    seen = sinks.read(spark, f"{root}/load_rejects").filter("office_id = 1").groupBy("entity").agg(
+        F.max("records").alias("n"), F.count(F.lit(1)).alias("fields")).collect()
+    assert {r.entity: r.fields for r in seen} == {e: 2 * len(REJECT_RULES[e]) for e in (
+        "appointment", "customer", "route", "subscription", "ticket", "ticketItem")}
+    assert {r.entity: r.n for r in seen}["appointment"] == health[0].appointments_synced
+
+
+def test_rejected_fields_count_like_the_profile(spark):
+    from fieldlake.operators import quality
+    item = "array<struct<itemID:string,quantity:string,amount:string,productID:string,serviceID:string>>"
+    raw = spark.createDataFrame(
+        [("1", "x", [("9", "a", "1", None, "7"), None, ("q", "b", " ", "2", "")]), ("2", "3", []), ("y", " ", None),
+         (None, "0000-00-00", [("", "", "", "", "")])],
+        f"ticketID string, invoiceDate string, items {item}")
+    for c in [f for f, _ in quality.REJECT_RULES["ticket"] if f not in raw.columns]:
+        raw = raw.withColumn(c, F.lit("n/a"))
+    for entity in ("ticket", "ticketItem"):
+        noted = raw.select(quality.rejected_fields(entity).alias("names"))
+        got = noted.agg(*quality.reject_counts(entity, F.col("names"))).first()
+        want = {r.field: r.rejects for r in quality.conform_rejects(raw, entity).collect()}
+        assert dict(zip([f for f, _ in quality.REJECT_RULES[entity]], got, strict=True)) == want
+    assert want == {"itemID": 1, "quantity": 2, "amount": 0, "productID": 0, "serviceID": 0}
 
 
 def test_failed_refresh_leaves_health_rows(spark, sf, tmp_path):
