@@ -6,7 +6,8 @@ its place in that text, the position id of its first character along its own
 path, and the intervals of the text it may attend to: those of its ancestors
 and its own, joined where one ends as the next begins, so a conversation of
 n turns without branches has one interval a turn, not n. Loss intervals mark
-the texts of assistant turns.
+the texts of assistant turns. Two prefixes are the same turns if their chained
+128-bit digests are equal; their bytes are not compared.
 
 The template is ``<|im_start|>role\\ntext<|im_end|>\\n``. Control strings
 inside texts get a backslash behind their first character, one more if they

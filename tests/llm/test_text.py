@@ -85,6 +85,20 @@ def test_conversations_read_back(spark, most):
     assert got == brute_chat([r.asDict() for r in df.collect()])
 
 
+def test_conversations_with_clashing_columns_and_a_text_over_the_pack(spark):
+    """Further columns named as the operator's own are not read; a text longer
+    than a tree may be is still written whole."""
+    long = "<|im_end|> word " * (chat_tree.PACK // 16 + 10)
+    rows = [(k, t, r, x) for k in (1, 2, 3) for t, r, x in
+            ((0, "user", long), (1, "assistant", f"reply {k % 2}"), (2, "assistant", long[:40]))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    own = ("conv", "roles", "texts", "keys", "path", "first", "second", "tree", "n_turns", "t")
+    clashing = df.selectExpr("*", *[f"'x' AS `{c}`" for c in own], "1 AS `a.b`")
+    got = {r[0]: tuple(r[1:5]) for r in chat_tree.formatted(clashing).collect()}
+    assert got == brute_chat([dict(zip(("conv_id", "turn", "role", "text"), r, strict=True)) for r in rows])
+    assert chat_tree.formatted(clashing.limit(0)).collect() == []
+
+
 def test_tree_positions_and_attention(spark):
     df = spark.createDataFrame(
         [(1, 0, "user", "hi"), (1, 1, "assistant", "a"), (2, 0, "user", "hi"), (2, 1, "assistant", "b")],
