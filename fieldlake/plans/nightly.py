@@ -66,20 +66,21 @@ class Run:
             self.errors.setdefault(o, str(error))
         self.active = [o for o in self.active if o not in self.errors]
 
-    def checkpointed(self, rows: DataFrame, entity: str) -> tuple[DataFrame, int, list[int]]:
+    def checkpointed(self, rows: DataFrame, entity: str | None) -> tuple[DataFrame, int, list[int]]:
         """The rows, conformed once, their number and their rejects per field."""
         rows = rows.checkpoint(eager=True)
-        n, *rejects = rows.agg(F.count(F.lit(1)), *Q.reject_counts(entity, F.col(NOTED))).first()
+        counts = Q.reject_counts(entity, F.col(NOTED)) if entity else []
+        n, *rejects = rows.agg(F.count(F.lit(1)), *counts).first()
         return rows.drop(NOTED), n, rejects
 
     def note(self, office: int, entity: str, n: int, rejects: list[int]) -> None:
         fields = [f for f, _ in Q.REJECT_RULES[entity]]
         self.rejects += [(office, entity, f, n, x) for f, x in zip(fields, rejects, strict=True)]
 
-    def staged(self, name: str, entity: str, make: Callable[[int], DataFrame]) -> dict[int, DataFrame]:
+    def staged(self, name: str, make: Callable[[int], DataFrame], entity: str | None = None) -> dict[int, DataFrame]:
         """Each active office's rows, fetched and conformed once and side by
-        side, without offices that have none; counts them as ``name`` and
-        their rejects, noted in a column, as the entity's."""
+        side, without offices that have none; counts them as ``name`` and, with
+        ``entity``, its rejects, which the rows then note in a column."""
         def one(office):
             try:
                 return *self.checkpointed(make(office), entity), None
@@ -91,7 +92,7 @@ class Run:
         for office, (_, n, rejects, error) in done.items():
             if error is not None:
                 self.fail([office], error)
-            else:
+            elif entity:
                 self.note(office, entity, n, rejects)
             self.counts[office][name] = n
         return {o: rows for o, (rows, n, *_) in done.items() if n}
@@ -143,7 +144,7 @@ def sync_appointments(run: Run, fetch: Fetch, start, end, run_at) -> None:
                                                route_tech=L.route_tech(routes, start, end, office)),
                         "fact_appointments", NOTED)
 
-    staged = run.staged("appointments", "appointment", rows)
+    staged = run.staged("appointments", rows, "appointment")
     if staged:
         slots = [(o, m) for o in staged for m in sinks._months(start, end)]
         dropped = F.col("office_id").isin(*staged) & F.col("scheduled_date").between(*dates)
@@ -171,7 +172,7 @@ def sync_tickets(run: Run, fetch: Fetch, start, end, run_at) -> None:
         raw = L.refetch(of_office(C.real_office(fetch("ticket", office)), office), ids[office], "ticketID", "ticket_id")
         return raw.select("*", _noted("ticket"))
 
-    staged = run.staged("tickets", "ticket", rows)
+    staged = run.staged("tickets", rows, "ticket")
     if not staged:
         return
     raw, asked = _union(staged.values()), _union(ids[o] for o in staged)
@@ -199,7 +200,7 @@ def sync_changed(run: Run, fetch: Fetch, entity: str, name: str, conform: Callab
         raw = of_office(C.real_records(fetch(entity, office)), office)
         return _columns(conform(L.changed_since(raw, as_of, days), run_at, _noted(entity)), table, NOTED)
 
-    staged = run.staged(name, entity, rows)
+    staged = run.staged(name, rows, entity)
     if staged:
         new = _union(staged.values())
         run.load([name], lambda: sinks.load_by_id(run.spark, f"{run.root}/{table}", new, new.select("office_id", key),
