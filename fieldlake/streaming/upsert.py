@@ -11,7 +11,9 @@ in folders of office and month with an index of ids; a batch reads and
 rewrites the folders its keys fall in. A ticket brings all of its items: those
 stored for it are replaced by those that came. Every commit notes the stream and
 the batch, so a batch that runs again after a failure skips the tables that
-hold it and does the rest.
+hold it and does the rest. The latest versions are staged as Parquet for the
+time of the batch: keys, rows and items are read from there, column by column,
+instead of shuffling the wide raw records once for each.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fieldlake.functions.parse import to_timestamp
 from fieldlake.operators import conform as C
+from fieldlake.session import scratch_path
 from fieldlake.sources import sinks, tables
 from fieldlake.sources.schemas import raw_schema
 
@@ -84,8 +87,19 @@ def upsert_batch(spark: SparkSession, batch: DataFrame, table_path: str, entity:
     """Apply one batch of change records. ``applied`` (stream, batch number)
     is noted in the commits; a table that has it already is left alone."""
     e = ENTITIES[entity]
+    staged = scratch_path(spark, f"batch-{entity}")
+    try:
+        latest_per_key(e.real(batch), e.raw_keys, e.stamp).select(*batch.columns).write.option(
+            "compression", "zstd").parquet(staged)
+        _apply(spark, spark.read.schema(batch.schema).parquet(staged), table_path, entity, run_at, applied)
+    finally:
+        tables.remove(spark, staged)
+
+
+def _apply(spark: SparkSession, latest: DataFrame, table_path: str, entity: str, run_at,
+           applied: tuple[str, int] | None) -> None:
+    e = ENTITIES[entity]
     keys = ["office_id", e.id_col]
-    latest = latest_per_key(e.real(batch), e.raw_keys, e.stamp).select(*batch.columns)
     changed = F.coalesce(to_timestamp(F.col(e.stamp)), F.timestamp_seconds(F.lit(0))).alias(CHANGED_AT)
     incoming = e.conform(latest, run_at, changed)
     if entity == "appointment":
