@@ -51,15 +51,17 @@ def land(spark: SparkSession, entity: str, path: str, root: str) -> DataFrame:
     """Take one entity's JSON lines into the tables ``root/records`` and
     ``root/quarantine`` (the lines that are no records, as they came).
 
-    The lines are parsed once, into a staging folder; the counts are observed
-    on the way. Returns (entity, what, field, lines): the records, the
+    The lines are parsed once, into a staging folder that holds a line's text
+    or its record, not both; the counts are observed on the way. Returns (entity, what, field, lines): the records, the
     quarantined lines, and the records with each undeclared field.
     """
     from fieldlake.session import scratch_path
     seen = Observation("landing")
     staged = scratch_path(spark, f"landing-{entity}")
     counts = [F.count_if(~F.col("broken")).alias("records"), F.count_if(F.col("broken")).alias("quarantined")]
-    parsed_lines(spark, entity, path).observe(seen, *counts).write.parquet(staged)
+    either = [F.when(F.col("broken"), F.col("value")).alias("value"), F.when(~F.col("broken"), F.col("r")).alias("r")]
+    lines = parsed_lines(spark, entity, path).observe(seen, *counts).select(*either, "broken", "unknown")
+    lines.write.option("compression", "zstd").parquet(staged)
     rows = spark.read.parquet(staged)
     sinks.append(rows.filter("NOT broken").select(*[F.col(f"r.{n}").alias(n) for n in raw_schema(entity).names]),
                  f"{root}/records")

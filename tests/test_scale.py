@@ -52,3 +52,15 @@ def test_join_with_no_stored_rows_shuffles_nothing(spark, tmp_path):
     rows = spark.range(10).select(F.lit(1).cast("long").alias("office_id"), F.col("id").alias("ticket_id"))
     kept = rows.join(none, ["office_id", "ticket_id"], "left_anti")
     assert "Join" not in kept._jdf.queryExecution().optimizedPlan().toString() and kept.count() == 10
+
+
+def test_landed_lines_are_staged_once(spark, tmp_path, monkeypatch):
+    src, staged = tmp_path / "lines", str(tmp_path / "staged")
+    src.mkdir()
+    (src / "a.json").write_text('{"customerID":"1","fname":"A"}\n{"customerID":"2","fn\n{"customerID":"3","odd":1}\n')
+    monkeypatch.setattr("fieldlake.session.scratch_path", lambda spark, name: staged)
+    report = {(r.what, r.field): r.lines for r in raw.land(spark, "customer", str(src), str(tmp_path / "out")).collect()}
+    assert report == {("records", None): 2, ("quarantined", None): 1, ("unknown field", "odd"): 1}
+    assert spark.read.parquet(staged).filter("value IS NOT NULL AND r IS NOT NULL").isEmpty()
+    assert [r.value for r in sinks.read(spark, str(tmp_path / "out/quarantine")).collect()] == ['{"customerID":"2","fn']
+    assert sorted(r.customerID for r in sinks.read(spark, str(tmp_path / "out/records")).collect()) == ["1", "3"]
