@@ -64,3 +64,15 @@ def test_landed_lines_are_staged_once(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(staged).filter("value IS NOT NULL AND r IS NOT NULL").isEmpty()
     assert [r.value for r in sinks.read(spark, str(tmp_path / "out/quarantine")).collect()] == ['{"customerID":"2","fn']
     assert sorted(r.customerID for r in sinks.read(spark, str(tmp_path / "out/records")).collect()) == ["1", "3"]
+
+
+def test_a_month_is_not_written_by_every_task(spark, tmp_path):
+    path, months = str(tmp_path / "t"), 6
+    rows = spark.range(0, 240, 1, 8).select(
+        F.col("id").alias("appointment_id"), (F.col("id") % 2).alias("office_id"),
+        F.add_months(F.lit("2024-01-01").cast("date"), (F.col("id") % months).cast("int")).alias("scheduled_date"))
+    sinks.write_fact(rows, path)
+    assert len(_files(f"{path}/rows")) == months  # ids of a month are of one office
+    sinks.replace_months(spark, path, rows.repartition(8), [], None, "appointment_id")
+    last = [f"{path}/rows/{f}" for f in tables.latest(spark, path).parts["rows"].folders]
+    assert sum(len(_files(f)) for f in last) == months and sinks.read(spark, path).count() == 240
