@@ -76,3 +76,16 @@ def test_a_month_is_not_written_by_every_task(spark, tmp_path):
     sinks.replace_months(spark, path, rows.repartition(8), [], None, "appointment_id")
     last = [f"{path}/rows/{f}" for f in tables.latest(spark, path).parts["rows"].folders]
     assert sum(len(_files(f)) for f in last) == months and sinks.read(spark, path).count() == 240
+
+
+def test_tickets_are_nested_once_for_all_searches(spark, sf, monkeypatch):
+    asked, load = [], R.load
+    monkeypatch.setattr(R, "load", lambda s, d, name: asked.append(name) or load(s, d, name))
+    fetch = R._fetch(spark, sf)
+    for office in (1, 2, 3):
+        want = load(spark, sf, "raw_tickets_nested").filter(F.col("officeID") == str(office))
+        got = fetch("ticket", office)
+        assert got.schema == want.schema or got.columns == want.columns
+        plain = lambda df: sorted(str(r.asDict(True) | {"items": sorted(map(str, r["items"] or []))}) for r in df.collect())
+        assert plain(got) == plain(want) and got.count()
+    assert asked.count("raw_tickets_nested") == 1
