@@ -77,3 +77,10 @@ def test_loads_by_month_list_only_their_folders(spark, stored):
     some = sinks.read_months(spark, f"{root}/fact_appointments", [(1, dt.date(1998, 1, 1)), (2, dt.date(1998, 1, 1))])
     files = some.inputFiles()
     assert files and all("/month=1998-01-01/" in f and "office_id=3" not in f for f in files)
+
+
+def test_usage_groups_lines_once_and_by_ids(spark, sf):
+    import re
+    plan = _plan(E.queries()["chemical_usage"](spark, sf))
+    facts = [k for k in re.findall(r"Aggregate\(keys=\[(.*?)\], functions", plan) if "_name" not in k or "month" in k]
+    assert facts and not any("name" in k or "ticket_id" in k for k in facts)

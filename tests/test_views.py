@@ -126,3 +126,28 @@ def test_unset_ids_pair_with_nothing(spark, sf):
     more = [df.unionByName(df.withColumn(unset[n], F.lit(0).cast("long"))) if n in unset else df for n, df in t.items()]
     rows = lambda df: sorted(map(str, df.collect()))
     assert rows(V.chemical_usage(*more)) == rows(base)
+
+
+def test_usage_counts_repeated_names_and_sums_unknown_products(spark):
+    import datetime as dt
+    day = dt.date(2000, 5, 17)
+    items = spark.createDataFrame([(1, 1, 1.25, 2.5, 7), (1, 1, 1.25, 2.5, 7), (1, 1, 2.0, 1.0, 8), (2, 1, 4.0, 3.0, 9),
+                                   (2, 1, 5.0, None, 9), (3, 1, 1.0, 1.0, 7)],
+                                  "ticket_id long, office_id long, quantity double, amount double, product_id long")
+    tickets = spark.createDataFrame([(1, 11, day), (2, 12, day), (2, 12, day), (3, 13, None)],
+                                    "ticket_id long, appointment_id long, invoice_date date")
+    appointments = spark.createDataFrame([(11, 5), (12, 6)], "appointment_id long, serviced_by_id long")
+    employees = spark.createDataFrame([(5, "A", "B", None), (5, "A", "B", ""), (5, "C", None, "c")],
+                                      "employee_id long, first_name string, last_name string, initials string")
+    products = spark.createDataFrame([(7, "x", None, "k"), (7, "x", None, "k"), (7, "y", "c", "k"), (None, "n", "n", "n")],
+                                     "product_id long, description string, code string, category string")
+    out = V.chemical_usage(items, tickets, appointments, employees, products)
+    may, office = dt.date(2000, 5, 1), out.first()["office_name"]
+    assert sorted(map(str, (tuple(r) for r in out.collect()))) == sorted(map(str, [
+        (may, 1, office, 5, "A B", "", 7, "x", None, "k", 10.0, 20.0),
+        (may, 1, office, 5, "A B", "", 7, "y", "c", "k", 5.0, 10.0),
+        (may, 1, office, 5, "A B", "", None, None, None, None, 4.0, 2.0),
+        (may, 1, office, 5, "5", "c", 7, "x", None, "k", 5.0, 10.0),
+        (may, 1, office, 5, "5", "c", 7, "y", "c", "k", 2.5, 5.0),
+        (may, 1, office, 5, "5", "c", None, None, None, None, 2.0, 1.0),
+        (may, 1, office, 6, "6", "", None, None, None, None, 18.0, 6.0)]))
