@@ -79,8 +79,19 @@ def test_loads_by_month_list_only_their_folders(spark, stored):
     assert files and all("/month=1998-01-01/" in f and "office_id=3" not in f for f in files)
 
 
-def test_usage_groups_lines_once_and_by_ids(spark, sf):
+def _fact_groupings(df):
     import re
-    plan = _plan(E.queries()["chemical_usage"](spark, sf))
-    facts = [k for k in re.findall(r"Aggregate\(keys=\[(.*?)\], functions", plan) if "_name" not in k or "month" in k]
+    return [k for k in re.findall(r"Aggregate\(keys=\[(.*?)\], functions", _plan(df)) if "_name" not in k or "month" in k]
+
+
+def test_usage_groups_lines_once_and_by_ids(spark, sf):
+    facts = _fact_groupings(E.queries()["chemical_usage"](spark, sf))
     assert facts and not any("name" in k or "ticket_id" in k for k in facts)
+
+
+def test_counted_usage_view_groups_by_ids(spark, sf):
+    from fieldlake.plans.catalog import register_views
+    from fieldlake.sources.testdata import AS_OF_AGING, star
+    register_views(spark, star(spark, sf), AS_OF_AGING)
+    facts = _fact_groupings(spark.table("v_chemical_usage").groupBy().count())
+    assert any("month" in k for k in facts) and not any("name" in k or "ticket_id" in k for k in facts)
