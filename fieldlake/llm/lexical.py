@@ -15,9 +15,12 @@ never below a score, so the result is exact. What a task keeps is ranked in
 two steps, first by hash of the document, so no task ranks all of it.
 
 Sizes: the text is read once and not shuffled; the index lies in the shared
-folder. A task sends at most ``top`` rows per item. The items' terms are
-brought to the driver in blocks of about ``ITEM_TERMS`` rows by hash of the
-item, and each block is searched in one pass over the index.
+folder, each slice packed by Arrow in a row group of its own, and goes to
+Python slice by slice, so a task holds one slice however many its partition
+has. A task sends at most ``top`` rows per item; they lie in the shared folder
+too. The items' terms are brought to the driver in blocks of about
+``ITEM_TERMS`` rows by hash of the item, and each block is searched in one pass
+over the index.
 
 Defined cases: a null text and one without terms are not counted and never
 found; rows with one item id are one item with the terms of all of them, null
@@ -29,13 +32,15 @@ are not read, whatever their names. Document ids are integers.
 
 from __future__ import annotations
 
+import contextlib
 import math
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from fieldlake.llm import subwords
 from fieldlake.llm.common import col
@@ -56,8 +61,25 @@ for _c in "0123456789" + LOWER:
 for _c in UPPER:
     _BYTES[ord(_c)] = ord(_c) + 32
 
-INDEX = "ids array<long>, sizes array<int>, terms array<binary>, ends array<int>, docs array<int>, times array<int>, " \
-        "n_docs long, n_terms long"
+INDEX = "lexicon binary, postings binary, n_docs long, n_terms long"
+LEXICON, POSTINGS = ["terms", "ends"], ["ids", "sizes", "docs", "times"]  # packed in the columns of these names
+
+
+def packed(lists: list[pa.Array], names: list[str]) -> pa.Array:
+    """Lists as one compressed value: the JVM only passes it on."""
+    rows = pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists], names)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd", use_threads=False)) as out:
+        out.write_batch(rows)
+    data = sink.getvalue()
+    return pa.BinaryArray.from_buffers(pa.binary(), 1, [None, pa.py_buffer(np.array([0, data.size], "<i4")), data])
+
+
+def unpacked(value: pa.Scalar) -> dict[str, pa.Array]:
+    """The lists by their names."""
+    with pa.ipc.open_stream(value.as_buffer(), options=pa.ipc.IpcReadOptions(use_threads=False)) as stream:
+        rows = stream.read_next_batch()
+    return {name: rows.column(name)[0].values for name in rows.schema.names}
 
 
 def postings(table: pa.Table) -> list[pa.Array]:
@@ -78,10 +100,9 @@ def postings(table: pa.Table) -> list[pa.Array]:
     keys, times = np.unique(terms.indices.to_numpy().astype("<i8") * n + doc, return_counts=True)
     sizes = np.bincount(doc, minlength=n)
     stops = np.searchsorted(keys, np.arange(n_terms + 1, dtype="<i8") * n)
-    lists = [table.column(0).combine_chunks().cast(pa.int64()), pa.array(sizes, pa.int32()),
-             terms.dictionary.cast(pa.binary()), pa.array(stops, pa.int32()), pa.array(keys % n, pa.int32()),
-             pa.array(times, pa.int32())]
-    return [*(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists),
+    return [packed([terms.dictionary.cast(pa.binary()), pa.array(stops, pa.int32())], LEXICON),
+            packed([table.column(0).combine_chunks().cast(pa.int64()), pa.array(sizes, pa.int32()),
+                    pa.array(keys % n, pa.int32()), pa.array(times, pa.int32())], POSTINGS),
             pa.array([int((sizes > 0).sum())], pa.int64()), pa.array([int(sizes.sum())], pa.int64())]
 
 
@@ -96,6 +117,27 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(col(id_col).cast("long"), col(text_col)).mapInArrow(run, INDEX)
 
 
+def stored_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The index in the shared folder, each slice a row group of its own:
+    readers and writers hold whole row groups."""
+    path = scratch_path(docs.sparkSession, "index")
+    index(docs, id_col, text_col).write.option("parquet.block.row.count.limit", 1).parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+@contextlib.contextmanager
+def slice_by_slice(spark: SparkSession) -> Iterator[None]:
+    """What runs meanwhile hands rows to Python one by one: a slice has the
+    size of many texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def item_terms(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """(item, term) without repeats."""
     lower = F.translate(col(text_col), UPPER, LOWER)
@@ -114,15 +156,15 @@ def statistics(stored: DataFrame, wanted: list[bytes]) -> tuple[int, int, np.nda
     def run(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                at = _find(sought, batch.column(0)[row].values)
-                ends = batch.column(1)[row].values.to_numpy()
+                lexicon = unpacked(batch.column(0)[row])
+                at, ends = _find(sought, lexicon["terms"]), lexicon["ends"].to_numpy()
                 here = np.flatnonzero(at >= 0)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(here, pa.int64()), pa.array(ends[at[here] + 1] - ends[at[here]], pa.int64())], ["term", "n"])
 
     sums = stored.agg(F.sum("n_docs"), F.sum("n_terms")).first()
     df = np.zeros(len(wanted), "<i8")
-    for r in (stored.select("terms", "ends").mapInArrow(run, "term long, n long")
+    for r in (stored.select("lexicon").mapInArrow(run, "term long, n long")
               .groupBy("term").agg(F.sum("n").alias("n")).collect()):  # at most a row per wanted term
         df[r["term"]] = r["n"]
     return sums[0] or 0, sums[1] or 0, df
@@ -228,7 +270,7 @@ def _searched(stored: DataFrame, block: dict, top: int) -> DataFrame:
         best = [Best(top) for _ in sought_by]
         for batch in batches:
             for row in range(batch.num_rows):
-                held = Slice({c: batch.column(c)[row].values for c in batch.schema.names}, sought, weights, n, total)
+                held = Slice(unpacked(batch.column(0)[row]) | unpacked(batch.column(1)[row]), sought, weights, n, total)
                 for one, terms in zip(best, sought_by, strict=True):
                     one.search(held, terms)
         item = np.repeat(np.arange(len(best)), [len(b.score) for b in best])
@@ -237,16 +279,15 @@ def _searched(stored: DataFrame, block: dict, top: int) -> DataFrame:
             [pa.array(item, pa.int32()), pa.array(join("id", "<i8"), mask=join("no_id", bool)),
              pa.array(join("score", "<i8"))], ["number", "doc", "score"])
 
-    return stored.select("ids", "sizes", "terms", "ends", "docs", "times").mapInArrow(run, "number int, doc long, score long")
+    return stored.select("lexicon", "postings").mapInArrow(run, "number int, doc long, score long")
 
 
 def ranked(docs: DataFrame, items: DataFrame, top: int = TOP, id_col: str = "doc_id", text_col: str = "text",
            item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The ``top`` documents of each item: item, rank, document and score."""
     spark = docs.sparkSession
-    path, asked_path = scratch_path(spark, "index"), scratch_path(spark, "items")
-    index(docs, id_col, text_col).write.parquet(path)
-    stored = spark.read.parquet(path)
+    asked_path = scratch_path(spark, "items")
+    stored = stored_index(docs, id_col, text_col)
     item_terms(items, item_col, item_text_col).write.parquet(asked_path)
     asked = spark.read.parquet(asked_path)
     blocks = asked.count() // ITEM_TERMS + 1
@@ -258,7 +299,10 @@ def ranked(docs: DataFrame, items: DataFrame, top: int = TOP, id_col: str = "doc
             block[r["item"]].add(r["term"].encode())
         names = spark.createDataFrame(list(enumerate(block)), T.StructType(
             [T.StructField("number", T.IntegerType()), T.StructField("item", kind)]))
-        found = _searched(stored, block, top).join(names, "number")
+        found_path = scratch_path(spark, "found")
+        with slice_by_slice(spark):
+            _searched(stored, block, top).write.parquet(found_path)
+        found = spark.read.parquet(found_path).join(names, "number")
         out = found if out is None else out.unionByName(found)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("score").desc(), F.col("doc").asc_nulls_last()]

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from fieldlake.llm import best_fit, cross_align, lexical, registry, subwords
@@ -315,3 +316,39 @@ def test_search_of_nothing(spark, odd, none):
     assert lexical.ranked(none, asked).count() == 0
     assert lexical.ranked(odd, asked.limit(0)).count() == 0
     assert lexical.ranked(odd.where("coalesce(text, '') = ''"), asked).count() == 0
+
+
+def test_search_holds_one_slice_at_a_time(spark, monkeypatch):
+    rows = [(k, f"alpha w{k % 5} filler{k} " * (1_000_000 // 20 + 500 * (k % 3))) for k in range(30)]  # four slices
+    items = [(1, "alpha w3"), (2, "w4 filler7 filler8")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    kind, seen = type(df), []
+    given = kind.mapInArrow
+
+    def one_by_one(self, f, schema, *more, **named):
+        if "lexicon" not in self.columns:
+            return given(self, f, schema, *more, **named)
+        seen.append(self.columns)
+
+        def run(batches):
+            def watched():
+                for b in batches:
+                    assert b.num_rows <= 1, f"{b.num_rows} slices at once"
+                    yield b
+            yield from f(watched())
+
+        return given(self, run, schema, *more, **named)
+
+    monkeypatch.setattr(kind, "mapInArrow", one_by_one)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    assert ranking(lexical.ranked(df, asked, top=9)) == brute_search(rows, items, 9)
+    assert len(seen) == 2 and spark.conf.get(name) == before
+
+
+def test_index_has_a_row_group_per_slice(spark):
+    rows = [(k, f"alpha w{k % 5} filler{k} " * (1_000_000 // 20)) for k in range(30)]
+    stored = lexical.stored_index(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    groups = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in stored.inputFiles()]
+    assert sum(m.num_rows for m in groups) == sum(m.num_row_groups for m in groups) >= 3
